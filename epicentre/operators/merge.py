@@ -48,6 +48,12 @@ def dedupe_latest(df: DataFrame, key: str, order_by: str) -> DataFrame:
     return out.unionByName(df.filter(F.col(key).isNull()))
 
 
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+}
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """(rows, approximate bytes) of a DataFrame in one aggregate pass."""
     fixed, var = 0, []
@@ -55,7 +61,7 @@ def measure(df: DataFrame) -> tuple[int, int]:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
         else:
-            fixed += f.dataType.defaultSize
+            fixed += _FIXED_WIDTH.get(type(f.dataType), 16)
     width = sum(var, F.lit(0)) if var else F.lit(0)
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     n = int(row["n"] or 0)
