@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epicentre.operators.marts import daily_summary, fct_events
-from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest, merge_upsert
+from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest, measure, merge_upsert
 from epicentre.params import RunParams
 from epicentre.schemas import FACT_MERGE_UPDATE_COLUMNS, RAW_UPDATE_COLUMNS
 
@@ -27,9 +27,18 @@ def raw_upsert(
     batch: DataFrame,
     params: RunParams,
     broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+    source_bytes: int | None = None,
+    deduplicated: bool = False,
 ) -> DataFrame:
-    """Merge one feed batch (27 feed columns) into the raw table (29 columns)."""
-    src = dedupe_latest(batch, "event_id", "updated_time")
+    """Merge one feed batch (27 feed columns) into the raw table (29 columns).
+
+    Unless the caller already deduplicated (and sized) the batch, it is sized
+    before deduplication: dedupe only drops rows, so that size bounds the
+    broadcast side without running the dedupe shuffle twice.
+    """
+    if source_bytes is None and broadcast_max_bytes is not None:
+        source_bytes = measure(batch)[1]
+    src = batch if deduplicated else dedupe_latest(batch, "event_id", "updated_time")
     stamp = params.run_ts_col()
     return merge_upsert(
         target,
@@ -40,6 +49,7 @@ def raw_upsert(
         on_update={"updated_at": stamp},
         on_insert={"created_at": stamp, "updated_at": stamp},
         broadcast_max_bytes=broadcast_max_bytes,
+        source_bytes=source_bytes,
     )
 
 

@@ -17,6 +17,7 @@ from epicentre.functions import (
     max_magnitude_points,
     risk_category,
 )
+from epicentre.operators.percentile import exact_percentiles
 from epicentre.params import RunParams
 from epicentre.schemas import FACT_COLUMNS
 
@@ -39,7 +40,7 @@ def daily_summary(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
     params = params or RunParams()
     cat = F.col("magnitude_category")
     depth = F.col("depth_category")
-    return fct.groupBy(F.col("event_date").alias("summary_date")).agg(
+    stats = fct.groupBy(F.col("event_date").alias("summary_date")).agg(
         F.count(F.lit(1)).alias("total_earthquakes"),
         _mag(SIGNIFICANT_MAG).alias("significant_earthquakes"),
         _mag(STRONG_MAG).alias("strong_earthquakes"),
@@ -48,7 +49,6 @@ def daily_summary(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
         F.max("magnitude").alias("max_magnitude"),
         F.min("magnitude").alias("min_magnitude"),
         F.stddev_samp("magnitude").alias("stddev_magnitude"),
-        F.percentile("magnitude", 0.5).alias("median_magnitude"),
         F.avg("depth_km").alias("avg_depth_km"),
         F.max("depth_km").alias("max_depth_km"),
         F.sum(F.coalesce(F.col("felt_reports"), F.lit(0))).alias("total_felt_reports"),
@@ -65,7 +65,17 @@ def daily_summary(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
         F.count_if(depth == "deep").alias("deep_count"),
         F.avg("station_count").alias("avg_station_count"),
         F.count_if(F.col("status") == "reviewed").alias("reviewed_count"),
-    ).withColumn("dbt_updated_at", params.run_ts_col())
+    )
+    median = exact_percentiles(
+        fct.select(F.col("event_date").alias("summary_date"), "magnitude"),
+        ["summary_date"], "magnitude", {"median_magnitude": 0.5},
+    )
+    # null-safe key: the null-date group keeps its median
+    joined = stats.join(median, stats["summary_date"].eqNullSafe(median["summary_date"]), "left")
+    names = list(stats.columns)
+    names.insert(names.index("stddev_magnitude") + 1, "median_magnitude")
+    cols = [median[c] if c == "median_magnitude" else stats[c] for c in names]
+    return joined.select(*cols).withColumn("dbt_updated_at", params.run_ts_col())
 
 
 def regional_stats(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
@@ -73,16 +83,16 @@ def regional_stats(fct: DataFrame, params: RunParams | None = None) -> DataFrame
     params = params or RunParams()
     as_of = params.as_of_col()
     date = F.col("event_date")
+    located = fct.filter(F.col("region").isNotNull())
+    p95 = exact_percentiles(located, ["region"], "magnitude", {"p95_magnitude": 0.95})
     return (
-        fct.filter(F.col("region").isNotNull())
-        .groupBy("region")
+        located.groupBy("region")
         .agg(
             F.count(F.lit(1)).alias("total_earthquakes"),
             F.count_if(date >= F.date_sub(as_of, 30)).alias("earthquakes_last_30_days"),
             F.count_if(date >= F.date_sub(as_of, 7)).alias("earthquakes_last_7_days"),
             F.avg("magnitude").alias("avg_magnitude"),
             F.max("magnitude").alias("max_magnitude"),
-            F.percentile("magnitude", 0.95).alias("p95_magnitude"),
             _mag(SIGNIFICANT_MAG).alias("significant_events"),
             _mag(STRONG_MAG).alias("strong_events"),
             _mag(MAJOR_MAG).alias("major_events"),
@@ -94,6 +104,7 @@ def regional_stats(fct: DataFrame, params: RunParams | None = None) -> DataFrame
             F.avg("latitude").alias("centroid_latitude"),
             F.avg("longitude").alias("centroid_longitude"),
         )
+        .join(p95, "region", "left")
         .withColumn(
             "days_with_data",
             (F.datediff("last_event_date", "first_event_date") + 1).cast("bigint"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from epicentre.operators import incremental as inc
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
-from epicentre.operators.merge import measure
+from epicentre.operators.merge import dedupe_latest, measure
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
@@ -34,9 +34,16 @@ class Pipeline:
 
     # -- ingest --
     def ingest(self, batch: DataFrame, params: RunParams) -> DataFrame:
-        """Upsert one feed batch (27 feed columns) into the raw table."""
+        """Upsert one feed batch (27 feed columns) into the raw table.
+
+        The deduplicated batch is written first: it is then sized and joined
+        from files, computed once, and a retried merge does not re-read the feed.
+        """
+        src = self.store.write(RAW + "__batch", dedupe_latest(batch, "event_id", "updated_time"))
+        _, size = measure(src)
         target = self.store.read(RAW, RAW_SCHEMA)
-        return self.store.write(RAW, inc.raw_upsert(target, batch, params))
+        merged = inc.raw_upsert(target, src, params, source_bytes=size, deduplicated=True)
+        return self.store.write(RAW, merged)
 
     # -- transform --
     def staging(self, params: RunParams) -> DataFrame:

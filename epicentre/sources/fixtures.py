@@ -102,24 +102,20 @@ def batch_a(feed: DataFrame) -> DataFrame:
 
 
 def batch_b(feed: DataFrame) -> DataFrame:
-    new = feed.filter(_n() % 4 == 3)
-    updates = feed.filter(_n() % 8 == 0).withColumns(
+    """New rows (n % 4 = 3) plus revisions: newer updates (n % 8 = 0: magnitude
+    +0.5, depth +10 km, reviewed, +100 days), stale repeats (n % 16 = 4: magnitude
+    +1, 1 s older) and late updates (n % 16 = 12: magnitude +0.25, 1 s newer).
+    The four sets are disjoint, so one scan and one projection build the batch."""
+    n = _n()
+    is_new, is_upd, is_stale, is_late = n % 4 == 3, n % 8 == 0, n % 16 == 4, n % 16 == 12
+    mag, upd = F.col("magnitude"), F.col("updated_time")
+    return feed.filter(is_new | is_upd | is_stale | is_late).withColumns(
         {
-            "magnitude": F.col("magnitude") + 0.5,
-            "depth_km": F.col("depth_km") + 10,
-            "status": F.lit("reviewed"),
-            "updated_time": F.col("updated_time") + _REVISION_MS,
-        }
-    )
-    stale = _revise(feed.filter(_n() % 16 == 4), 1.0, -1000)
-    late = _revise(feed.filter(_n() % 16 == 12), 0.25, 1000)
-    return new.unionByName(updates).unionByName(stale).unionByName(late)
-
-
-def _revise(df: DataFrame, mag_delta: float, updated_delta_ms: int) -> DataFrame:
-    return df.withColumns(
-        {
-            "magnitude": F.col("magnitude") + mag_delta,
-            "updated_time": F.col("updated_time") + updated_delta_ms,
+            "magnitude": F.when(is_upd, mag + 0.5).when(is_stale, mag + 1.0).when(is_late, mag + 0.25)
+            .otherwise(mag),
+            "depth_km": F.when(is_upd, F.col("depth_km") + 10).otherwise(F.col("depth_km")),
+            "status": F.when(is_upd, F.lit("reviewed")).otherwise(F.col("status")),
+            "updated_time": F.when(is_upd, upd + _REVISION_MS).when(is_stale, upd - 1000)
+            .when(is_late, upd + 1000).otherwise(upd),
         }
     )

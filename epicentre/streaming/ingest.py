@@ -14,14 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from epicentre.operators.incremental import raw_upsert
 from epicentre.params import RunParams
-from epicentre.schemas import FEATURE_COLLECTION_SCHEMA, RAW_SCHEMA
+from epicentre.plans.pipeline import RAW as RAW_TABLE
+from epicentre.plans.pipeline import Pipeline
+from epicentre.schemas import FEATURE_COLLECTION_SCHEMA
 from epicentre.sources.feed import flatten
 from epicentre.sources.store import TableStore
 
-RAW_TABLE = "raw_earthquakes"
-
 
 def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = 1,
                     multiline: bool = False) -> DataFrame:
@@ -35,9 +34,7 @@ def upsert_batch(store: TableStore, params: RunParams) -> Callable[[DataFrame, i
     def run(batch: DataFrame, epoch_id: int) -> None:
         p = params.extra.get("run_ts_of_epoch", lambda e: params.run_ts)
         run_params = params.with_run_ts(p(epoch_id))
-        feed = flatten(batch, run_params.run_ts_col())
-        target = store.read(RAW_TABLE, RAW_SCHEMA)
-        store.write(RAW_TABLE, raw_upsert(target, feed, run_params))
+        Pipeline(batch.sparkSession, store).ingest(flatten(batch, run_params.run_ts_col()), run_params)
 
     return run
 
