@@ -53,17 +53,52 @@ def raw_upsert(
     )
 
 
-def fact_increment(stg: DataFrame, fct_target: DataFrame) -> DataFrame:
-    """Staging rows newer than the fact's max updated_timestamp, or not in the fact.
-
-    Written as a keyed left join plus a scalar subquery; the literal
-    ``updated > (max) OR id NOT IN (...)`` plans as a nested-loop existence join.
+def raw_changes(target: DataFrame, src: DataFrame, small: bool) -> DataFrame:
+    """Source rows that would change the raw table: unknown keys, or strictly newer.
+
+    Rows that are not newer are no-ops of the upsert, so merging only these gives
+    the same table while touching far fewer target partitions. ``target`` should
+    already be pruned to the source's key buckets. With a small (measured) source,
+    the target's key columns are streamed through a broadcast of the source keys;
+    otherwise both sides shuffle on the key (key and timestamp columns only).
+    """
+    tkeys = target.select(F.col("event_id").alias("__tid"), F.col("updated_time").alias("__tu"))
+    skeys = src.select(F.col("event_id").alias("__sid"))
+    if small:
+        matched = tkeys.join(F.broadcast(skeys), F.col("__tid") == F.col("__sid"), "inner").drop("__sid")
+        joined = src.join(F.broadcast(matched), src["event_id"] == F.col("__tid"), "left")
+    else:
+        joined = src.join(tkeys, src["event_id"] == F.col("__tid"), "left")
+    keep = F.col("__tid").isNull() | F.coalesce(F.col("updated_time") > F.col("__tu"), F.lit(False))
+    return joined.filter(keep).drop("__tid", "__tu")
+
+
+def increment_keys(stg: DataFrame, fct_target: DataFrame) -> DataFrame:
+    """Keys of staging rows newer than the fact's max updated_timestamp, or unknown to it.
+
+    A keyed left join plus an uncorrelated scalar subquery (the literal
+    ``updated > (max) OR id NOT IN (...)`` plans as a nested-loop existence
+    join). Only key and timestamp columns take part, so the shuffle carries two
+    columns of staging, not its 36.
     """
     high_water = fct_target.select(F.max("updated_timestamp")).scalar()
     known = fct_target.select(F.col("event_id").alias("__known_id"))
-    joined = stg.join(known, stg["event_id"] == F.col("__known_id"), "left")
+    left = stg.select("event_id", "updated_timestamp")
+    joined = left.join(known, left["event_id"] == F.col("__known_id"), "left")
     take = F.col("__known_id").isNull() | F.coalesce(F.col("updated_timestamp") > high_water, F.lit(False))
-    return fct_events(joined.filter(take).drop("__known_id"))
+    return joined.filter(take).select("event_id")
+
+
+def fact_increment(stg: DataFrame, fct_target: DataFrame, keys: DataFrame | None = None,
+                   small_keys: bool = False) -> DataFrame:
+    """Fact rows to merge: the staging rows whose keys ``increment_keys`` selects.
+
+    With a small (measured) key set the staging rows are fetched by a broadcast
+    semi-join, so the wide staging rows are never shuffled.
+    """
+    keys = increment_keys(stg, fct_target) if keys is None else keys
+    keys = F.broadcast(keys) if small_keys else keys
+    return fct_events(stg.join(keys, "event_id", "left_semi"))
 
 
 def fact_merge(fct_target: DataFrame, increment: DataFrame, source_bytes: int | None = None) -> DataFrame:

@@ -54,8 +54,8 @@ _FIXED_WIDTH = {
 }
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, approximate bytes) of a DataFrame in one aggregate pass."""
+def measure(df: DataFrame, *extra: Column) -> tuple:
+    """(rows, approximate bytes, *extra aggregates) of a DataFrame in one pass."""
     fixed, var = 0, []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -63,9 +63,9 @@ def measure(df: DataFrame) -> tuple[int, int]:
         else:
             fixed += _FIXED_WIDTH.get(type(f.dataType), 16)
     width = sum(var, F.lit(0)) if var else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"), *extra).first()
     n = int(row["n"] or 0)
-    return n, n * (fixed + 8) + int(row["b"] or 0)
+    return (n, n * (fixed + 8) + int(row["b"] or 0), *row[2:])
 
 
 def merge_upsert(

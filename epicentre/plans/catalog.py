@@ -22,13 +22,13 @@ from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap,
 from epicentre.operators.merge import dedupe_latest
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
-from epicentre.plans.pipeline import DAILY, FACT, HEATMAP, RAW, RISK, Pipeline
+from epicentre.plans.pipeline import DAILY, FACT, HEATMAP, RISK, Pipeline
 from epicentre.schemas import RAW_SCHEMA
 from epicentre.session import scratch_path
 from epicentre.sources import feed as feedsrc
 from epicentre.sources.fixtures import batch_a, batch_b, feed_from_events, raw_from_events, read_table
 from epicentre.sources.store import TableStore
-from epicentre.streaming.ingest import RAW_TABLE, start_ingest
+from epicentre.streaming.ingest import start_ingest
 
 P1 = RunParams()  # first run (and every single-run query)
 P2 = P1.with_run_ts(dt.datetime(2024, 1, 31, 0, 5, 0))  # second run
@@ -123,7 +123,7 @@ def q_backfill_slice(spark, sf):
 
 def q_raw_upsert(spark, sf):
     pipe, _ = _pipeline(spark, sf)
-    return pipe.store.read(RAW)
+    return pipe.raw_table()
 
 
 def q_dedupe_latest(spark, sf):
@@ -157,7 +157,7 @@ def q_fct_incremental(spark, sf):
 
 def q_new_events_anti(spark, sf):
     pipe, _ = _pipeline(spark, sf, [FACT], second_run=False)
-    return inc.new_events(pipe.staging(P2), pipe.store.read(FACT))
+    return inc.new_events(pipe.staging(P2), pipe.fact.read())
 
 
 def q_agg_daily_summary(spark, sf):
@@ -272,7 +272,7 @@ def q_stream_ingest(spark, sf):
     q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/checkpoint", P1,
                      available_now=True, max_files_per_trigger=None)
     q.awaitTermination()
-    return store.read(RAW_TABLE, RAW_SCHEMA)
+    return Pipeline(spark, store).raw_table()
 
 
 def q_pipeline_end_to_end(spark, sf):

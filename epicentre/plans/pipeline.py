@@ -11,14 +11,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from epicentre.operators import incremental as inc
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
-from epicentre.operators.merge import dedupe_latest, measure
+from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest, measure
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
-from epicentre.sources.store import TableStore
+from epicentre.sources.store import LiveTable, TableStore
+
+DEFAULT_KEY_BUCKETS = 16
 
 RAW, FACT, DAILY, RISK, HEATMAP = (
     "raw_earthquakes", "fct_earthquakes", "agg_daily_summary", "agg_regional_risk", "agg_hourly_heatmap",
@@ -27,27 +30,67 @@ MODELS = ["stg_earthquakes", FACT, DAILY, RISK, HEATMAP]
 LAYERS = {"staging": ["stg_earthquakes"], "marts": [FACT, DAILY, RISK, HEATMAP]}
 
 
+def key_buckets(spark: SparkSession) -> int:
+    """Bucket count for new keyed tables (``spark.epicentre.keyBuckets``).
+
+    Size it so a bucket holds a few GB at the target scale: a merge rewrites
+    only the buckets that receive changed rows.
+    """
+    return int(spark.conf.get("spark.epicentre.keyBuckets", str(DEFAULT_KEY_BUCKETS)))
+
+
 class Pipeline:
-    def __init__(self, spark: SparkSession, store: TableStore):
+    def __init__(self, spark: SparkSession, store: TableStore,
+                 broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES):
         self.spark = spark
         self.store = store
+        self.raw = LiveTable(store, RAW, "event_id")
+        self.fact = LiveTable(store, FACT, "event_id")
+        self.broadcast_max_bytes = broadcast_max_bytes
+
+    def _small(self, nbytes: int) -> bool:
+        return self.broadcast_max_bytes is not None and nbytes <= self.broadcast_max_bytes
 
     # -- ingest --
-    def ingest(self, batch: DataFrame, params: RunParams) -> DataFrame:
+    def ingest(self, batch: DataFrame, params: RunParams) -> None:
         """Upsert one feed batch (27 feed columns) into the raw table.
 
-        The deduplicated batch is written first: it is then sized and joined
-        from files, computed once, and a retried merge does not re-read the feed.
+        The deduplicated batch is written first (computed once, re-read cheaply,
+        and a retried merge never re-reads the feed). Only source rows that change
+        something are merged, and only their key buckets are rewritten, so a
+        replayed snapshot writes nothing.
         """
-        src = self.store.write(RAW + "__batch", dedupe_latest(batch, "event_id", "updated_time"))
-        _, size = measure(src)
-        target = self.store.read(RAW, RAW_SCHEMA)
-        merged = inc.raw_upsert(target, src, params, source_bytes=size, deduplicated=True)
-        return self.store.write(RAW, merged)
+        n_buckets = self.raw.buckets(key_buckets(self.spark))
+        bucket = self.raw.column
+        deduped = dedupe_latest(batch, "event_id", "updated_time")
+        src = self.store.write(RAW + "__batch", deduped.withColumn(bucket, self.raw.bucket_of(n_buckets)))
+        target = self.raw.read(with_bucket=True)
+        if target is None:
+            self.raw.rebuild(inc.raw_upsert(self._empty_raw(), src.drop(bucket), params, broadcast_max_bytes=None,
+                                            deduplicated=True), n_buckets, sort_by=["event_time"])
+            return
+        rows, size, touched = _profile(src, bucket)
+        if rows == 0:
+            return
+        pruned = target.filter(F.col(bucket).isin(touched))  # partition pruning
+        changes = self.store.write(RAW + "__changes", inc.raw_changes(pruned, src, self._small(size)))
+        _, csize, changed = _profile(changes, bucket)
+        if not changed:
+            return
+        affected = target.filter(F.col(bucket).isin(changed))
+        merged = inc.raw_upsert(affected, changes, params, broadcast_max_bytes=self.broadcast_max_bytes,
+                                source_bytes=csize, deduplicated=True)
+        self.raw.replace_buckets(merged, sort_by=["event_time"])
+
+    def _empty_raw(self) -> DataFrame:
+        return self.spark.createDataFrame([], RAW_SCHEMA)
+
+    def raw_table(self) -> DataFrame:
+        return self.raw.read() if self.raw.current() else self._empty_raw()
 
     # -- transform --
     def staging(self, params: RunParams) -> DataFrame:
-        return stg_events(self.store.read(RAW, RAW_SCHEMA), params)
+        return stg_events(self.raw_table(), params)
 
     def run(self, params: RunParams, select: Iterable[str] | None = None,
             full_refresh: bool = False) -> dict[str, DataFrame]:
@@ -58,7 +101,7 @@ class Pipeline:
         out["stg_earthquakes"] = stg
         if FACT in chosen:
             self._fact(stg, params, full_refresh)
-        fct = self.store.read(FACT)
+        fct = self.fact.read()
         if fct is None:
             return out
         out[FACT] = fct
@@ -75,14 +118,26 @@ class Pipeline:
         return out
 
     def _fact(self, stg: DataFrame, params: RunParams, full_refresh: bool) -> None:
-        current = None if full_refresh else self.store.read(FACT)
+        current = None if full_refresh else self.fact.read()
         if current is None:
-            self.store.write(FACT, fct_events(stg))
+            self.fact.rebuild(fct_events(stg), key_buckets(self.spark), sort_by=["event_date"])
             return
-        # materialize the increment once: it is both measured and merged
-        increment = self.store.write(FACT + "__increment", inc.fact_increment(stg, current))
-        _, size = measure(increment)
-        self.store.write(FACT, inc.fact_merge(current, increment, source_bytes=size))
+        keys = self.store.write(FACT + "__increment_keys", inc.increment_keys(stg, current))
+        rows, size = measure(keys)[:2]
+        if rows == 0:
+            return
+        n_buckets = self.fact.buckets(key_buckets(self.spark))
+        bucket = self.fact.column
+        increment = self.store.write(
+            FACT + "__increment",
+            inc.fact_increment(stg, current, keys, self._small(size)).withColumn(
+                bucket, self.fact.bucket_of(n_buckets)),
+        )
+        _, isize, changed = _profile(increment, bucket)
+        target = self.fact.read(with_bucket=True)
+        affected = target.filter(F.col(bucket).isin(changed))
+        merged = inc.fact_merge(affected, increment, source_bytes=isize)
+        self.fact.replace_buckets(merged, sort_by=["event_date"])
 
     def _daily(self, fct: DataFrame, params: RunParams, full_refresh: bool) -> None:
         current = None if full_refresh else self.store.read(DAILY)
@@ -93,14 +148,26 @@ class Pipeline:
         self.store.write(DAILY, inc.daily_merge(current, increment))
 
     def tables(self) -> dict[str, DataFrame]:
-        out = {}
-        for name in (RAW, FACT, DAILY, RISK, HEATMAP):
+        out = {RAW: self.raw_table()}
+        fct = self.fact.read()
+        if fct is not None:
+            out[FACT] = fct
+        for name in (DAILY, RISK, HEATMAP):
             df = self.store.read(name)
             if df is not None:
                 out[name] = df
         return out
 
 
+def _profile(df: DataFrame, bucket: str) -> tuple[int, int, list[int]]:
+    """(rows, approximate bytes, distinct buckets) of a small written table, one pass.
+
+    The bucket list is bounded by the bucket count, not by the data.
+    """
+    rows, size, buckets = measure(df, F.collect_set(bucket))
+    return rows, size, sorted(buckets or [])
+
+
 def _expand(select: Iterable[str] | None) -> set[str]:
     if select is None:
         return set(MODELS)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from epicentre.plans import catalog as C
-from epicentre.plans.pipeline import DAILY, FACT, RAW, Pipeline
+from epicentre.plans.pipeline import DAILY, FACT, Pipeline
 from epicentre.session import scratch_path
 from epicentre.sources.store import TableStore
 
@@ -12,8 +12,13 @@ def _two_runs(spark, sf, select):
     pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-inc")))
     a, b = C._two_batches(spark, sf)
     pipe.ingest(a, C.P1)
-    first = {k: v for k, v in pipe.run(C.P1, select).items()}
-    first = {k: pipe.store.read(k) for k in first if pipe.store.exists(k)}
+    pipe.run(C.P1, select)
+    first = {}
+    if FACT in select:
+        # pin generation 1 as a frozen copy: later merges rewrite buckets in place
+        first[FACT] = pipe.store.write("fct_after_run1", pipe.fact.read())
+    if DAILY in select:
+        first[DAILY] = pipe.store.read(DAILY)
     pipe.ingest(b, C.P2)
     return pipe, first, a, b
 
@@ -22,7 +27,7 @@ def test_batch_sizes_and_raw_merge(spark, sf001):
     pipe, first, a, b = _two_runs(spark, sf001, [FACT])
     assert a.count() == 750 and b.count() == 500
     assert b.join(a.select("event_id"), "event_id").count() == 250
-    raw = pipe.store.read(RAW)
+    raw = pipe.raw_table()
     assert raw.count() == 1000
     changed = raw.join(a.select("event_id", F.col("magnitude").alias("m0")), "event_id").filter(
         ~F.col("magnitude").eqNullSafe(F.col("m0"))
@@ -63,7 +68,7 @@ def test_daily_increment_window_and_empty_target(spark, sf001):
     from epicentre.operators.incremental import daily_increment
 
     empty = daily_a.limit(0)
-    assert daily_increment(pipe.store.read(FACT), empty, C.P2).count() == 0
+    assert daily_increment(pipe.fact.read(), empty, C.P2).count() == 0
 
 
 def test_full_refresh_equals_one_shot_build(spark, sf001):
@@ -76,4 +81,8 @@ def test_full_refresh_equals_one_shot_build(spark, sf001):
     assert refreshed[FACT].select(cols).exceptAll(one_shot.select(cols)).count() == 0
     assert one_shot.select(cols).exceptAll(refreshed[FACT].select(cols)).count() == 0
     d1 = daily_summary(one_shot, C.P2)
-    assert refreshed[DAILY].exceptAll(d1).count() == 0
+
+    def rounded(df):  # summation order differs between layouts
+        return df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+    assert rounded(refreshed[DAILY]).exceptAll(rounded(d1)).count() == 0

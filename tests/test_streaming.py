@@ -20,7 +20,7 @@ def test_stream_one_file_per_trigger(spark, sf001):
     from epicentre.session import scratch_path
     from epicentre.sources import feed as fd
     from epicentre.sources.store import TableStore
-    from epicentre.streaming.ingest import RAW_TABLE, start_ingest
+    from epicentre.streaming.ingest import start_ingest
 
     root = scratch_path(spark, "t-stream")
     a, b = C._two_batches(spark, sf001)
@@ -30,6 +30,8 @@ def test_stream_one_file_per_trigger(spark, sf001):
     q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", C.P1, available_now=True,
                      max_files_per_trigger=1)
     q.awaitTermination()
-    got = store.read(RAW_TABLE, RAW_SCHEMA)
+    from epicentre.plans.pipeline import Pipeline
+
+    got = Pipeline(spark, store).raw_table()
     assert got.count() == 1000
     assert got.exceptAll(C.q_stream_ingest(spark, sf001)).count() == 0
