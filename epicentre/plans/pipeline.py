@@ -147,6 +147,14 @@ class Pipeline:
         increment = inc.daily_increment(fct, current, params)
         self.store.write(DAILY, inc.daily_merge(current, increment))
 
+    def register_views(self, params: RunParams) -> list[str]:
+        """Expose the current tables (and the staging view) to ``spark.sql`` by name."""
+        views = dict(self.tables())
+        views["stg_earthquakes"] = self.staging(params)
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return sorted(views)
+
     def tables(self) -> dict[str, DataFrame]:
         out = {RAW: self.raw_table()}
         fct = self.fact.read()
