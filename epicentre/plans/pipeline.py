@@ -63,16 +63,17 @@ class Pipeline:
         n_buckets = self.raw.buckets(key_buckets(self.spark))
         bucket = self.raw.column
         deduped = dedupe_latest(batch, "event_id", "updated_time")
-        src = self.store.write(RAW + "__batch", deduped.withColumn(bucket, self.raw.bucket_of(n_buckets)))
         target = self.raw.read(with_bucket=True)
-        if target is None:
-            self.raw.rebuild(inc.raw_upsert(self._empty_raw(), src.drop(bucket), params, broadcast_max_bytes=None,
+        if target is None:  # first load: every row is an insert
+            self.raw.rebuild(inc.raw_upsert(self._empty_raw(), deduped, params, broadcast_max_bytes=None,
                                             deduplicated=True), n_buckets, sort_by=["event_time"])
             return
+        src = self.store.write(RAW + "__batch", deduped.withColumn(bucket, self.raw.bucket_of(n_buckets)))
         rows, size, touched = _profile(src, bucket)
         if rows == 0:
             return
         pruned = target.filter(F.col(bucket).isin(touched))  # partition pruning
+        # written once: the merge reads it three times (broadcast, key probe, inserts)
         changes = self.store.write(RAW + "__changes", inc.raw_changes(pruned, src, self._small(size)))
         _, csize, changed = _profile(changes, bucket)
         if not changed:
