@@ -19,6 +19,7 @@ from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
+from epicentre.sources.feed import backfill_slice
 from epicentre.sources.store import LiveTable, TableStore
 
 DEFAULT_KEY_BUCKETS = 16
@@ -83,6 +84,10 @@ class Pipeline:
                                 source_bytes=csize, deduplicated=True)
         self.raw.replace_buckets(merged, sort_by=["event_time"])
 
+    def backfill(self, history: DataFrame, params: RunParams, **slice_args) -> None:
+        """Historical load: the back-fill slice of landed feed records, then the upsert."""
+        self.ingest(backfill_slice(history, params, **slice_args), params)
+
     def _empty_raw(self) -> DataFrame:
         return self.spark.createDataFrame([], RAW_SCHEMA)
 

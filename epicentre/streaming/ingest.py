@@ -30,11 +30,24 @@ def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: in
     return reader.json(landing)
 
 
-def upsert_batch(store: TableStore, params: RunParams) -> Callable[[DataFrame, int], None]:
+def upsert_batch(store: TableStore, params: RunParams,
+                 transform_every: dt.timedelta | None = None) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch body: flatten, upsert; optionally chain the model build.
+
+    With ``transform_every`` the marts are rebuilt after a batch whose stamp is at
+    least that far past the previous build (the 10-minute transform cadence),
+    and always after the first batch of a (re)started query.
+    """
+    last_build: list[dt.datetime] = []
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         p = params.extra.get("run_ts_of_epoch", lambda e: params.run_ts)
         run_params = params.with_run_ts(p(epoch_id))
-        Pipeline(batch.sparkSession, store).ingest(flatten(batch, run_params.run_ts_col()), run_params)
+        pipe = Pipeline(batch.sparkSession, store)
+        pipe.ingest(flatten(batch, run_params.run_ts_col()), run_params)
+        if transform_every is not None and (not last_build or run_params.run_ts - last_build[-1] >= transform_every):
+            pipe.run(run_params)
+            last_build.append(run_params.run_ts)
 
     return run
 
@@ -49,6 +62,7 @@ def start_ingest(
     interval: str = "5 minutes",
     max_files_per_trigger: int | None = 1,
     multiline: bool = False,
+    transform_every: dt.timedelta | None = None,
 ) -> StreamingQuery:
     """Start the ingest query (service: every ``interval``; tests: available-now).
 
@@ -58,7 +72,7 @@ def start_ingest(
     params = params or RunParams()
     writer = (
         snapshot_stream(spark, landing, max_files_per_trigger, multiline)
-        .writeStream.foreachBatch(upsert_batch(store, params))
+        .writeStream.foreachBatch(upsert_batch(store, params, transform_every))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
