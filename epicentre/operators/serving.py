@@ -99,19 +99,25 @@ def kpi_row(recent: DataFrame, params: RunParams) -> DataFrame:
 def magnitude_histogram(recent: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Counts per (bin, magnitude_category): ``bins`` equal widths over [min, max].
 
-    The last bin is closed; when min == max every row falls in bin 0. The bounds
-    are one scalar subquery (one partial max/min per task), not a driver loop.
+    The last bin is closed; when min == max every row falls in bin 0. Rows are
+    first counted per (magnitude, category) with a map-side partial step, so a
+    magnitude holding a third of all rows costs one partial row per task; the
+    bounds (one struct scalar subquery) and the binning then run on that small
+    count table, which the subquery shares with the main plan (exchange reuse).
     """
-    lo = recent.select(F.min("magnitude")).scalar()
-    hi = recent.select(F.max("magnitude")).scalar()
     m = F.col("magnitude")
+    counts = recent.filter(m.isNotNull()).groupBy("magnitude", "magnitude_category").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    bounds = counts.select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
+    # one subquery instance: attach it once, then refer to the column
+    counts = counts.withColumn("__b", bounds)
+    lo, hi = F.col("__b.lo"), F.col("__b.hi")
     raw_bin = F.floor((m - lo) * bins / (hi - lo)).cast("int")
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw_bin, F.lit(bins - 1)))
-    counted = recent.filter(m.isNotNull()).groupBy(b.alias("bin"), "magnitude_category").agg(
-        F.count(F.lit(1)).alias("earthquake_count")
-    )
+    binned = counts.groupBy(b.alias("bin"), "magnitude_category", "__b").agg(F.sum("n").alias("earthquake_count"))
     width = (hi - lo) / bins
-    return counted.select(
+    return binned.select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_start"),
         (lo + (F.col("bin") + 1) * width).alias("bin_end"),
