@@ -23,7 +23,6 @@ from epicentre.operators.merge import dedupe_latest
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.plans.pipeline import DAILY, FACT, HEATMAP, RISK, Pipeline
-from epicentre.schemas import RAW_SCHEMA
 from epicentre.session import scratch_path
 from epicentre.sources import feed as feedsrc
 from epicentre.sources.fixtures import batch_a, batch_b, feed_from_events, raw_from_events, read_table

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from epicentre.params import RunParams
-from epicentre.plans.pipeline import RAW as RAW_TABLE
 from epicentre.plans.pipeline import Pipeline
 from epicentre.schemas import FEATURE_COLLECTION_SCHEMA
 from epicentre.sources.feed import flatten
