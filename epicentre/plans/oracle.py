@@ -75,19 +75,16 @@ def batches(ts_a: str = TS1, ts_b: str = TS1) -> str:
     return f"""
     feed_a AS ({feed_sql(ts_a)}),
     feed_b AS ({feed_sql(ts_b)}),
-    batch_a AS (SELECT * FROM feed_a WHERE cast(event_code AS bigint) % 4 <> 3),
+    batch_a AS (SELECT * FROM feed_a WHERE coalesce(event_time, 0) < 1705795200000),
     batch_b AS (
-      SELECT * FROM feed_b WHERE cast(event_code AS bigint) % 4 = 3
-      UNION ALL
-      SELECT * REPLACE (magnitude + 0.5 AS magnitude, depth_km + 10 AS depth_km,
-                        'reviewed' AS status, updated_time + 8640000000 AS updated_time)
-      FROM feed_b WHERE cast(event_code AS bigint) % 8 = 0
-      UNION ALL
-      SELECT * REPLACE (magnitude + 1 AS magnitude, updated_time - 1000 AS updated_time)
-      FROM feed_b WHERE cast(event_code AS bigint) % 16 = 4
-      UNION ALL
-      SELECT * REPLACE (magnitude + 0.25 AS magnitude, updated_time + 1000 AS updated_time)
-      FROM feed_b WHERE cast(event_code AS bigint) % 16 = 12
+      SELECT * REPLACE (
+        CASE WHEN event_time < 1705795200000 AND network IN ('cl', 'vi') THEN magnitude + 0.5 WHEN event_time < 1705795200000 AND network = 'er' THEN magnitude + 1
+             WHEN event_time < 1705795200000 AND network = 'pu' THEN magnitude + 0.25 ELSE magnitude END AS magnitude,
+        CASE WHEN event_time < 1705795200000 AND network IN ('cl', 'vi') THEN depth_km + 10 ELSE depth_km END AS depth_km,
+        CASE WHEN event_time < 1705795200000 AND network IN ('cl', 'vi') THEN 'reviewed' ELSE status END AS status,
+        CASE WHEN event_time < 1705795200000 AND network IN ('cl', 'vi') THEN updated_time + 8640000000 WHEN event_time < 1705795200000 AND network = 'er' THEN updated_time - 1000
+             WHEN event_time < 1705795200000 AND network = 'pu' THEN updated_time + 1000 ELSE updated_time END AS updated_time)
+      FROM feed_b WHERE event_time >= 1704931200000
     )"""
 
 
@@ -389,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE event_time >= 1704067200000 AND event_time <= 1706659200000 AND magnitude >= 2.5
             ORDER BY event_time, event_id LIMIT 20000""",
         "raw_upsert": f"WITH {batches(TS1, TS2)}, {merged_raw(TS1, TS2)} SELECT {raw_cols} FROM raw_ab",
-        "dedupe_latest": f"""WITH {batches(TS1, TS2)}
+        "dedupe_latest": f"""WITH {batches(TS1, TS1)}
             SELECT * EXCLUDE (rn) FROM (
               SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY updated_time DESC) AS rn
               FROM (SELECT * FROM batch_a UNION ALL SELECT * FROM batch_b) u) x

@@ -8,7 +8,7 @@ oracle (``epicentre.plans.oracle``) spells the same mapping in its dialect.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epicentre.params import RunParams
@@ -86,30 +86,30 @@ def load_raw(spark: SparkSession, sf_dir: str, params: RunParams | None = None)
     return raw_from_events(read_table(spark, sf_dir, "events"), params)
 
 
-# Two overlapping snapshots over the whole table (their union holds every event):
-# A = events with n % 4 <> 3; B = the rest as new rows, plus revisions of A rows
-# (newer updates, stale repeats the upsert must ignore, and slightly-late updates).
-
-
-def _n() -> Column:
-    return F.col("event_code").cast("bigint")
-
+# Two overlapping snapshots, as consecutive polls of a rolling feed see them.
+# Snapshot A holds events before 2024-01-21 (and those without an
+# origin time); snapshot B holds events from 2024-01-11 on. In the ten overlapping
+# days B carries a revision chosen by the event's network: newer updates for
+# 'cl' and 'vi', stale repeats (1 s older) for 'er', slightly late updates (1 s
+# newer) for 'pu', unchanged repeats for 'si'. Together they hold every event.
+A_BEFORE_MS = 1705795200000  # 2024-01-21 00:00:00 UTC
+B_FROM_MS = 1704931200000  # 2024-01-11 00:00:00 UTC
+NEWER_NETWORKS, STALE_NETWORK, LATE_NETWORK = ("cl", "vi"), "er", "pu"
 _REVISION_MS = 8_640_000_000  # 100 days, in ms
 
 
 def batch_a(feed: DataFrame) -> DataFrame:
-    return feed.filter(_n() % 4 != 3)
+    return feed.filter(F.coalesce(F.col("event_time"), F.lit(0)) < A_BEFORE_MS)
 
 
 def batch_b(feed: DataFrame) -> DataFrame:
-    """New rows (n % 4 = 3) plus revisions: newer updates (n % 8 = 0: magnitude
-    +0.5, depth +10 km, reviewed, +100 days), stale repeats (n % 16 = 4: magnitude
-    +1, 1 s older) and late updates (n % 16 = 12: magnitude +0.25, 1 s newer).
-    The four sets are disjoint, so one scan and one projection build the batch."""
-    n = _n()
-    is_new, is_upd, is_stale, is_late = n % 4 == 3, n % 8 == 0, n % 16 == 4, n % 16 == 12
+    overlap = F.col("event_time") < A_BEFORE_MS
+    net = F.col("network")
+    is_upd = overlap & net.isin(*NEWER_NETWORKS)
+    is_stale = overlap & (net == STALE_NETWORK)
+    is_late = overlap & (net == LATE_NETWORK)
     mag, upd = F.col("magnitude"), F.col("updated_time")
-    return feed.filter(is_new | is_upd | is_stale | is_late).withColumns(
+    return feed.filter(F.col("event_time") >= B_FROM_MS).withColumns(
         {
             "magnitude": F.when(is_upd, mag + 0.5).when(is_stale, mag + 1.0).when(is_late, mag + 0.25)
             .otherwise(mag),
