@@ -67,3 +67,25 @@ def test_heatmap_pivot_shape(spark, sf001):
     out = C.q_heatmap_pivot(spark, sf001)
     assert out.count() == 7 and len(out.columns) == 26
     assert [r.day_name for r in out.orderBy("day_order").collect()][0] == "Monday"
+
+
+def test_recent_windows_have_no_upper_bound(spark):
+    import datetime as dt
+
+    from epicentre.operators.marts import regional_stats
+
+    p = RunParams(as_of=dt.date(2024, 1, 31))
+    rows = [("r", 3.0, dt.date(2024, 2, 10), False), ("r", 3.0, dt.date(2024, 1, 1), False),
+            ("r", 3.0, dt.date(2023, 12, 31), False), ("r", 3.0, dt.date(2024, 1, 24), False)]
+    r = regional_stats(_fct_rows(spark, rows), p).first()
+    assert r.earthquakes_last_30_days == 3  # the future date counts; 2023-12-31 does not
+    assert r.earthquakes_last_7_days == 2
+    assert r.days_with_data == 42
+
+
+def test_increment_into_empty_fact_takes_everything(spark, sf001):
+    from epicentre.operators.incremental import fact_increment
+
+    stg = C._stg(spark, sf001)
+    empty = C._fct(spark, sf001).limit(0)
+    assert fact_increment(stg, empty).count() == stg.count()
