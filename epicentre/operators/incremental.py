@@ -73,17 +73,21 @@ def raw_changes(target: DataFrame, src: DataFrame, small: bool) -> DataFrame:
     return joined.filter(keep).drop("__tid", "__tu")
 
 
-def increment_keys(stg: DataFrame, fct_target: DataFrame) -> DataFrame:
+def increment_keys(stg: DataFrame, fct_target: DataFrame, small: bool = False) -> DataFrame:
     """Keys of staging rows newer than the fact's max updated_timestamp, or unknown to it.
 
     A keyed left join plus an uncorrelated scalar subquery (the literal
     ``updated > (max) OR id NOT IN (...)`` plans as a nested-loop existence
-    join). Only key and timestamp columns take part, so the shuffle carries two
-    columns of staging, not its 36.
+    join). Only key and timestamp columns take part. With a small (measured)
+    ``stg`` side, the fact's key column is streamed through a broadcast of the
+    candidate keys, so nothing is shuffled; otherwise both key columns shuffle.
     """
     high_water = fct_target.select(F.max("updated_timestamp")).scalar()
-    known = fct_target.select(F.col("event_id").alias("__known_id"))
     left = stg.select("event_id", "updated_timestamp")
+    known = fct_target.select(F.col("event_id").alias("__known_id"))
+    if small:
+        probe = F.broadcast(left.select(F.col("event_id").alias("__cand_id")))
+        known = F.broadcast(known.join(probe, F.col("__known_id") == F.col("__cand_id"), "left_semi"))
     joined = left.join(known, left["event_id"] == F.col("__known_id"), "left")
     take = F.col("__known_id").isNull() | F.coalesce(F.col("updated_timestamp") > high_water, F.lit(False))
     return joined.filter(take).select("event_id")

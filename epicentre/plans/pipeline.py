@@ -67,7 +67,7 @@ class Pipeline:
         target = self.raw.read(with_bucket=True)
         if target is None:  # first load: every row is an insert
             self.raw.rebuild(inc.raw_upsert(self._empty_raw(), deduped, params, broadcast_max_bytes=None,
-                                            deduplicated=True), n_buckets, sort_by=["event_time"])
+                                            deduplicated=True), n_buckets, sort_by=["updated_at"])
             return
         src = self.store.write(RAW + "__batch", deduped.withColumn(bucket, self.raw.bucket_of(n_buckets)))
         rows, size, touched = _profile(src, bucket)
@@ -82,7 +82,8 @@ class Pipeline:
         affected = target.filter(F.col(bucket).isin(changed))
         merged = inc.raw_upsert(affected, changes, params, broadcast_max_bytes=self.broadcast_max_bytes,
                                 source_bytes=csize, deduplicated=True)
-        self.raw.replace_buckets(merged, sort_by=["event_time"])
+        # files ordered by change stamp: the fact increment's stamp filter skips row groups
+        self.raw.replace_buckets(merged, sort_by=["updated_at"])
 
     def backfill(self, history: DataFrame, params: RunParams, **slice_args) -> None:
         """Historical load: the back-fill slice of landed feed records, then the upsert."""
@@ -124,26 +125,46 @@ class Pipeline:
         return out
 
     def _fact(self, stg: DataFrame, params: RunParams, full_refresh: bool) -> None:
+        # Raw's change stamp, read before anything else: rows committed later carry
+        # a later stamp and are seen by the next run.
+        seen = self.raw_table().agg(F.max("updated_at")).first()[0]
         current = None if full_refresh else self.fact.read()
         if current is None:
             self.fact.rebuild(fct_events(stg), key_buckets(self.spark), sort_by=["event_date"])
+            self._set_watermark(seen)
             return
-        keys = self.store.write(FACT + "__increment_keys", inc.increment_keys(stg, current))
+        # A raw row unchanged since the last successful build can never be taken
+        # again (it is in the fact, at or below its non-decreasing high-water
+        # mark), so only rows stamped at or after the watermark are candidates.
+        wm = self._watermark()
+        recent = stg if wm is None else stg.filter(F.col("updated_at") >= F.lit(wm))
+        cand = self.store.write(FACT + "__candidates", recent.select("event_id", "updated_timestamp"))
+        _, csize = measure(cand)[:2]
+        keys = self.store.write(FACT + "__increment_keys", inc.increment_keys(cand, current, self._small(csize)))
         rows, size = measure(keys)[:2]
-        if rows == 0:
-            return
-        n_buckets = self.fact.buckets(key_buckets(self.spark))
-        bucket = self.fact.column
-        increment = self.store.write(
-            FACT + "__increment",
-            inc.fact_increment(stg, current, keys, self._small(size)).withColumn(
-                bucket, self.fact.bucket_of(n_buckets)),
-        )
-        _, isize, changed = _profile(increment, bucket)
-        target = self.fact.read(with_bucket=True)
-        affected = target.filter(F.col(bucket).isin(changed))
-        merged = inc.fact_merge(affected, increment, source_bytes=isize)
-        self.fact.replace_buckets(merged, sort_by=["event_date"])
+        if rows:
+            n_buckets = self.fact.buckets(key_buckets(self.spark))
+            bucket = self.fact.column
+            increment = self.store.write(
+                FACT + "__increment",
+                inc.fact_increment(stg, current, keys, self._small(size)).withColumn(
+                    bucket, self.fact.bucket_of(n_buckets)),
+            )
+            _, isize, changed = _profile(increment, bucket)
+            target = self.fact.read(with_bucket=True)
+            affected = target.filter(F.col(bucket).isin(changed))
+            self.fact.replace_buckets(inc.fact_merge(affected, increment, source_bytes=isize),
+                                      sort_by=["event_date"])
+        self._set_watermark(seen)
+
+    def _watermark(self):
+        wm = self.store.read(FACT + "__watermark")
+        return None if wm is None else wm.first()[0]
+
+    def _set_watermark(self, value) -> None:
+        if value is not None:
+            one = self.spark.createDataFrame([(value,)], "raw_updated_at timestamp_ntz")
+            self.store.write(FACT + "__watermark", one)
 
     def _daily(self, fct: DataFrame, params: RunParams, full_refresh: bool) -> None:
         current = None if full_refresh else self.store.read(DAILY)
