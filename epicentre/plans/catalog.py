@@ -276,7 +276,7 @@ def q_stream_ingest(spark, sf):
     return Pipeline(spark, store).raw_table()
 
 
-def q_pipeline_end_to_end(spark, sf):
+def q_end_to_end_build(spark, sf):
     return _round(_pipeline(spark, sf, [FACT, DAILY, RISK, HEATMAP])[1][RISK], RISK_ROUND)
 
 

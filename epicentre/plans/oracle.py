@@ -443,5 +443,5 @@ def oracle_sql() -> dict[str, str]:
         "row_counts": base + """SELECT 'raw_earthquakes' AS table_name, count(*) AS row_count FROM raw
             UNION ALL SELECT 'fct_earthquakes', count(*) FROM fct""",
         "stream_ingest": f"WITH {batches(TS1, TS1)}, {merged_raw(TS1, TS1)} SELECT {raw_cols} FROM raw_ab",
-        "pipeline_end_to_end": two + _replace_round("risk_ab", RISK_R),
+        "end_to_end_build": two + _replace_round("risk_ab", RISK_R),
     }
