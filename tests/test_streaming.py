@@ -35,3 +35,24 @@ def test_stream_one_file_per_trigger(spark, sf001):
     got = Pipeline(spark, store).raw_table()
     assert got.count() == 1000
     assert got.exceptAll(C.q_stream_ingest(spark, sf001)).count() == 0
+
+
+def test_service_mode_trigger(spark, sf001):
+    """The long-running form (processing-time trigger) picks up a landed snapshot."""
+    from epicentre.plans.pipeline import Pipeline
+    from epicentre.session import scratch_path
+    from epicentre.sources import feed as fd
+    from epicentre.sources.store import TableStore
+    from epicentre.streaming.ingest import start_ingest
+
+    root = scratch_path(spark, "t-service")
+    a, _ = C._two_batches(spark, sf001)
+    fd.write_snapshot(a, f"{root}/landing/s0")
+    store = TableStore(spark, f"{root}/tables")
+    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", C.P1, interval="1 second",
+                     max_files_per_trigger=None)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert Pipeline(spark, store).raw_table().count() == a.count()
