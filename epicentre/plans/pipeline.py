@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from epicentre.operators import incremental as inc
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
 from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest, measure
+from epicentre.operators.quality import dq_report
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
@@ -174,6 +175,13 @@ class Pipeline:
         increment = inc.daily_increment(fct, current, params)
         self.store.write(DAILY, inc.daily_merge(current, increment))
 
+    def quality_report(self, params: RunParams) -> DataFrame:
+        """The declared column tests (plus declared lengths) over the current tables,
+        as the transform's test step runs them after the marts."""
+        tables = dict(self.tables())
+        tables["stg_earthquakes"] = self.staging(params)
+        return dq_report(tables)
+
     def register_views(self, params: RunParams) -> list[str]:
         """Expose the current tables (and the staging view) to ``spark.sql`` by name."""
         views = dict(self.tables())
