@@ -54,18 +54,23 @@ _FIXED_WIDTH = {
 }
 
 
-def measure(df: DataFrame, *extra: Column) -> tuple:
-    """(rows, approximate bytes, *extra aggregates) of a DataFrame in one pass."""
-    fixed, var = 0, []
+def row_size_parts(df: DataFrame) -> tuple[int, Column]:
+    """(fixed bytes per row, per-row variable bytes) used to size a DataFrame."""
+    fixed, var = 8, []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
         else:
             fixed += _FIXED_WIDTH.get(type(f.dataType), 16)
-    width = sum(var, F.lit(0)) if var else F.lit(0)
+    return fixed, (sum(var, F.lit(0)) if var else F.lit(0))
+
+
+def measure(df: DataFrame, *extra: Column) -> tuple:
+    """(rows, approximate bytes, *extra aggregates) of a DataFrame in one pass."""
+    fixed, width = row_size_parts(df)
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"), *extra).first()
     n = int(row["n"] or 0)
-    return (n, n * (fixed + 8) + int(row["b"] or 0), *row[2:])
+    return (n, n * fixed + int(row["b"] or 0), *row[2:])
 
 
 def merge_upsert(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from epicentre.operators import incremental as inc
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
-from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest, measure
+from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest
 from epicentre.operators.quality import dq_report
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
@@ -70,14 +70,17 @@ class Pipeline:
             self.raw.rebuild(inc.raw_upsert(self._empty_raw(), deduped, params, broadcast_max_bytes=None,
                                             deduplicated=True), n_buckets, sort_by=["updated_at"])
             return
-        src = self.store.write(RAW + "__batch", deduped.withColumn(bucket, self.raw.bucket_of(n_buckets)))
-        rows, size, touched = _profile(src, bucket)
+        src, rows, size, ex = self.store.write_measured(
+            RAW + "__batch", deduped.withColumn(bucket, self.raw.bucket_of(n_buckets)),
+            buckets=F.collect_set(bucket))
         if rows == 0:
             return
+        touched = sorted(ex["buckets"])
         pruned = target.filter(F.col(bucket).isin(touched))  # partition pruning
         # written once: the merge reads it three times (broadcast, key probe, inserts)
-        changes = self.store.write(RAW + "__changes", inc.raw_changes(pruned, src, self._small(size)))
-        _, csize, changed = _profile(changes, bucket)
+        changes, _, csize, ex = self.store.write_measured(
+            RAW + "__changes", inc.raw_changes(pruned, src, self._small(size)), buckets=F.collect_set(bucket))
+        changed = sorted(ex["buckets"])
         if not changed:
             return
         affected = target.filter(F.col(bucket).isin(changed))
@@ -139,19 +142,20 @@ class Pipeline:
         # mark), so only rows stamped at or after the watermark are candidates.
         wm = self._watermark()
         recent = stg if wm is None else stg.filter(F.col("updated_at") >= F.lit(wm))
-        cand = self.store.write(FACT + "__candidates", recent.select("event_id", "updated_timestamp"))
-        _, csize = measure(cand)[:2]
-        keys = self.store.write(FACT + "__increment_keys", inc.increment_keys(cand, current, self._small(csize)))
-        rows, size = measure(keys)[:2]
+        cand, _, csize, _ = self.store.write_measured(
+            FACT + "__candidates", recent.select("event_id", "updated_timestamp"))
+        keys, rows, size, _ = self.store.write_measured(
+            FACT + "__increment_keys", inc.increment_keys(cand, current, self._small(csize)))
         if rows:
             n_buckets = self.fact.buckets(key_buckets(self.spark))
             bucket = self.fact.column
-            increment = self.store.write(
+            increment, _, isize, ex = self.store.write_measured(
                 FACT + "__increment",
                 inc.fact_increment(stg, current, keys, self._small(size)).withColumn(
                     bucket, self.fact.bucket_of(n_buckets)),
+                buckets=F.collect_set(bucket),
             )
-            _, isize, changed = _profile(increment, bucket)
+            changed = sorted(ex["buckets"])
             target = self.fact.read(with_bucket=True)
             affected = target.filter(F.col(bucket).isin(changed))
             self.fact.replace_buckets(inc.fact_merge(affected, increment, source_bytes=isize),
@@ -202,15 +206,6 @@ class Pipeline:
         return out
 
 
-def _profile(df: DataFrame, bucket: str) -> tuple[int, int, list[int]]:
-    """(rows, approximate bytes, distinct buckets) of a small written table, one pass.
-
-    The bucket list is bounded by the bucket count, not by the data.
-    """
-    rows, size, buckets = measure(df, F.collect_set(bucket))
-    return rows, size, sorted(buckets or [])
-
-
 def _expand(select: Iterable[str] | None) -> set[str]:
     if select is None:
         return set(MODELS)

@@ -71,6 +71,33 @@ class TableStore:
         return self.spark.read.parquet(self.path(name, v))
 
 
+    def write_measured(self, name: str, df: DataFrame, **extra) -> tuple:
+        """``write`` that also returns (rows, approximate bytes, {extra aggregates}).
+
+        The sizes are observed while the write runs (``DataFrame.observe``: counted
+        once per successful task), so sizing a written table costs no extra job.
+        """
+        import uuid
+
+        from pyspark.sql import Observation
+        from pyspark.sql import functions as F
+
+        from epicentre.operators.merge import row_size_parts
+
+        fixed, width = row_size_parts(df)
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        observed = df.observe(
+            obs,
+            F.count(F.lit(1)).alias("__rows"),
+            F.sum(width).alias("__bytes"),
+            *[col.alias(k) for k, col in extra.items()],
+        )
+        out = self.write(name, observed)
+        m = obs.get
+        rows = int(m["__rows"] or 0)
+        return out, rows, rows * fixed + int(m["__bytes"] or 0), {k: m[k] for k in extra}
+
+
 class LiveTable:
     """A keyed table kept in one directory, hash-partitioned by key bucket.
 
