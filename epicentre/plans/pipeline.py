@@ -8,6 +8,7 @@ written table, not from the feed). Incremental models follow the rules in
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap,
 from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest
 from epicentre.operators.quality import dq_report
 from epicentre.operators.staging import stg_events
-from epicentre.params import RunParams
+from epicentre.params import RunParams, ts_lit
 from epicentre.schemas import RAW_SCHEMA
 from epicentre.sources.feed import backfill_slice
 from epicentre.sources.store import LiveTable, TableStore
@@ -129,47 +130,47 @@ class Pipeline:
         return out
 
     def _fact(self, stg: DataFrame, params: RunParams, full_refresh: bool) -> None:
-        # Raw's change stamp, read before anything else: rows committed later carry
-        # a later stamp and are seen by the next run.
-        seen = self.raw_table().agg(F.max("updated_at")).first()[0]
         current = None if full_refresh else self.fact.read()
         if current is None:
+            # raw's change stamp, read before the build: later commits carry later stamps
+            seen = self.raw_table().agg(F.max("updated_at")).first()[0]
             self.fact.rebuild(fct_events(stg), key_buckets(self.spark), sort_by=["event_date"])
             self._set_watermark(seen)
             return
         # A raw row unchanged since the last successful build can never be taken
         # again (it is in the fact, at or below its non-decreasing high-water
         # mark), so only rows stamped at or after the watermark are candidates.
+        # The new watermark is observed in the same scan; the bound is inclusive,
+        # so a batch seen only in part is read again next time.
         wm = self._watermark()
-        recent = stg if wm is None else stg.filter(F.col("updated_at") >= F.lit(wm))
-        cand, _, csize, _ = self.store.write_measured(
-            FACT + "__candidates", recent.select("event_id", "updated_timestamp"))
+        recent = stg if wm is None else stg.filter(F.col("updated_at") >= ts_lit(wm))
+        cand, _, csize, ex = self.store.write_measured(
+            FACT + "__candidates", recent.select("event_id", "updated_timestamp", "updated_at"),
+            seen=F.max("updated_at"))
         keys, rows, size, _ = self.store.write_measured(
             FACT + "__increment_keys", inc.increment_keys(cand, current, self._small(csize)))
         if rows:
             n_buckets = self.fact.buckets(key_buckets(self.spark))
             bucket = self.fact.column
-            increment, _, isize, ex = self.store.write_measured(
+            increment, _, isize, ex2 = self.store.write_measured(
                 FACT + "__increment",
                 inc.fact_increment(stg, current, keys, self._small(size)).withColumn(
                     bucket, self.fact.bucket_of(n_buckets)),
                 buckets=F.collect_set(bucket),
             )
-            changed = sorted(ex["buckets"])
             target = self.fact.read(with_bucket=True)
-            affected = target.filter(F.col(bucket).isin(changed))
+            affected = target.filter(F.col(bucket).isin(sorted(ex2["buckets"])))
             self.fact.replace_buckets(inc.fact_merge(affected, increment, source_bytes=isize),
                                       sort_by=["event_date"])
-        self._set_watermark(seen)
+        self._set_watermark(ex["seen"])
 
     def _watermark(self):
-        wm = self.store.read(FACT + "__watermark")
-        return None if wm is None else wm.first()[0]
+        text = self.store.get_text(FACT + ".watermark")
+        return dt.datetime.fromisoformat(text) if text else None
 
     def _set_watermark(self, value) -> None:
         if value is not None:
-            one = self.spark.createDataFrame([(value,)], "raw_updated_at timestamp_ntz")
-            self.store.write(FACT + "__watermark", one)
+            self.store.put_text(FACT + ".watermark", value.isoformat())
 
     def _daily(self, fct: DataFrame, params: RunParams, full_refresh: bool) -> None:
         current = None if full_refresh else self.store.read(DAILY)

@@ -71,6 +71,26 @@ class TableStore:
         return self.spark.read.parquet(self.path(name, v))
 
 
+    def put_text(self, name: str, text: str) -> None:
+        """Small metadata (one short text) next to the tables, written by the driver."""
+        fs, p = self._fs(f"{self.root}/_meta/{name}")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def get_text(self, name: str) -> str | None:
+        fs, p = self._fs(f"{self.root}/_meta/{name}")
+        if not fs.exists(p):
+            return None
+        jvm = self.spark.sparkContext._jvm
+        stream = fs.open(p)
+        try:
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def write_measured(self, name: str, df: DataFrame, **extra) -> tuple:
         """``write`` that also returns (rows, approximate bytes, {extra aggregates}).
 
