@@ -171,3 +171,18 @@ def test_watermark_limits_candidates_without_changing_results(spark, sf001):
     old = before.filter(F.col("event_id") == "ev8").first()
     # magnitude is a merge column; its category is not and keeps the first load's value
     assert got.magnitude == 7.25 and got.magnitude_category == old.magnitude_category != "major"
+
+
+def test_incremental_fact_is_zone_free(spark, sf001):
+    """Watermark and time conversions do not depend on the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        pipe, first, a, b = _two_runs(spark, sf001, [FACT])
+        out = pipe.run(C.P2, [FACT])[FACT]
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        pipe_utc, _, _, _ = _two_runs(spark, sf001, [FACT])
+        ref = pipe_utc.run(C.P2, [FACT])[FACT]
+        assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
