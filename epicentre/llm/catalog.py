@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import quality_cascade, sharding
+from epicentre.llm import mixing, quality_cascade, sharding
 from epicentre.llm.common import table
 
 
@@ -16,6 +16,7 @@ def _on(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_water_filling": _on("documents", mixing.mixed_sizes),
         "op8_sampled_splitters": _on("documents", sharding.shard_rows),
         "op10_quality_cascade": _on("documents", quality_cascade.verdicts),
     }
