@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import mixing, quality_cascade, sharding
+from epicentre.llm import license_scan, mixing, packing, quality_cascade, sharding
 from epicentre.llm.common import table
 
 
@@ -16,7 +16,9 @@ def _on(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_best_fit_decreasing": _on("documents", packing.packed_pieces),
         "op5_water_filling": _on("documents", mixing.mixed_sizes),
+        "op6_template_markup": _on("documents", license_scan.license_places),
         "op8_sampled_splitters": _on("documents", sharding.shard_rows),
         "op10_quality_cascade": _on("documents", quality_cascade.verdicts),
     }
