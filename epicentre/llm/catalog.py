@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import license_scan, mixing, packing, quality_cascade, sharding
+from epicentre.llm import langid, license_scan, mixing, packing, quality_cascade, sharding
 from epicentre.llm.common import table
 
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_water_filling": _on("documents", mixing.mixed_sizes),
         "op6_template_markup": _on("documents", license_scan.license_places),
         "op8_sampled_splitters": _on("documents", sharding.shard_rows),
+        "op9_rank_order": _on("documents", langid.identified),
         "op10_quality_cascade": _on("documents", quality_cascade.verdicts),
     }
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import SPACES
+from epicentre.llm.common import SPACES, written
 
 #: Rows of the sample on which cost and selectivity are estimated (expected number).
 SAMPLE_ROWS = 2_000
@@ -125,7 +125,7 @@ def order_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     if not total:
         return list(rules)
     keep = min(1.0, sample_rows / total)
-    sample = df.select(F.col(text)).where(F.pmod(F.xxhash64(F.col(text), F.lit(7)), F.lit(1 << 20)) < int(keep * (1 << 20)) + 1)
+    sample = written(df.select(F.col(text)).where(F.pmod(F.xxhash64(F.col(text), F.lit(7)), F.lit(1 << 20)) < int(keep * (1 << 20)) + 1), "quality-sample")
     rated = []
     for k, r in enumerate(rules):
         judged = _with(sample, text, list(r.needs), set())
