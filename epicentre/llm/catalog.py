@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import langid, license_scan, mixing, packing, quality_cascade, sharding
-from epicentre.llm.common import table
+from epicentre.llm import langid, license_scan, mixing, packing, quality_cascade, sharding, uniform_topk
+from epicentre.llm.common import table, workers_find_us
 
 
 def _on(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(table(spark, sf_dir, name))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_find_us(spark)
+        return fn(table(spark, sf_dir, name))
+
+    return query
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_decreasing": _on("documents", packing.packed_pieces),
         "op5_water_filling": _on("documents", mixing.mixed_sizes),
         "op6_template_markup": _on("documents", license_scan.license_places),
+        "op7_uniform_threshold": _on("embeddings", uniform_topk.top_scores),
         "op8_sampled_splitters": _on("documents", sharding.shard_rows),
         "op9_rank_order": _on("documents", langid.identified),
         "op10_quality_cascade": _on("documents", quality_cascade.verdicts),
@@ -27,5 +32,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_uniform_threshold": uniform_topk.TOP_SCORES_SQL,
         "op10_quality_cascade": quality_cascade.VERDICTS_SQL,
     }

@@ -7,6 +7,7 @@ carries them along.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,18 @@ WORD = rf"[^{SPACES}]+"
 SLICE_BYTES = 4 << 20
 
 
+def workers_find_us(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Matters where it is neither installed nor shipped nor in the working folder; a path that
+    an executor lacks is ignored there.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
