@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import langid, license_scan, mixing, packing, quality_cascade, sharding, uniform_topk
+from epicentre.llm import katz, langid, license_scan, mixing, packing, quality_cascade, sharding, uniform_topk
 from epicentre.llm.common import table, workers_find_us
 
 
@@ -21,6 +21,7 @@ def _on(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_decreasing": _on("documents", packing.packed_pieces),
+        "op2_katz_backoff": _on("documents", katz.scored),
         "op5_water_filling": _on("documents", mixing.mixed_sizes),
         "op6_template_markup": _on("documents", license_scan.license_places),
         "op7_uniform_threshold": _on("embeddings", uniform_topk.top_scores),
