@@ -83,11 +83,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(a, b - a)
 
 
-def split_words(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts, one after the other, and the number of words of each text."""
     text = pc.fill_null(text.cast(pa.large_string()), "")
-    if lower:
-        text = pc.ascii_lower(text)
     lists = pc.ascii_split_whitespace(text)
     flat = lists.flatten()
     real = pc.not_equal(flat, "")
@@ -101,10 +99,17 @@ def split_words(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarr
 
 
 def coded_words(text: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Words as codes into the distinct words, the distinct words, and the words of each text."""
-    flat, counts = split_words(text, lower)
+    """Words as codes into the distinct words, the distinct words, and the words of each text.
+
+    ``lower`` puts A-Z in lower case.
+    """
+    flat, counts = split_words(text)
     coded = flat.dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, counts
+    codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    if lower:  # of the distinct words only
+        again = pc.ascii_lower(distinct).dictionary_encode()
+        codes, distinct = again.indices.to_numpy().astype(np.int64)[codes], again.dictionary
+    return codes, distinct, counts
 
 
 def string_hashes(values: pa.Array) -> np.ndarray:
@@ -133,3 +138,23 @@ def starts_of(counts: np.ndarray) -> np.ndarray:
 def crc32_of_id(doc_id: Column) -> Column:
     """crc32 of the id written as text; null for a null id."""
     return F.crc32(doc_id.cast("string"))
+
+
+#: Bits of the filter of may_be_in(): 256 bitmaps of 4 KB, whatever the number of ids.
+FILTER_BITS, BITMAP_BITS = 1 << 23, 1 << 15
+
+
+def may_be_in(df: DataFrame, column: str, ids: DataFrame, out: str) -> DataFrame:
+    """``df`` with a boolean ``out``: false only if ``column`` isn't among ``ids`` (one column).
+
+    Spares the join that follows from shuffling rows that have no partner.  The filter is a
+    table of at most FILTER_BITS bits, so it can be broadcast at any size of input; with very
+    many ids it is true more often, and the join still decides.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(FILTER_BITS))
+    bits = ids.select(place(ids[ids.columns[0]]).alias("p")).groupBy(F.floor(F.col("p") / BITMAP_BITS).alias("__map")).agg(F.bitmap_construct_agg(F.pmod("p", F.lit(BITMAP_BITS))).alias("__bits"))
+    p = place(df[column])
+    d = df.withColumns({"__map": F.floor(p / BITMAP_BITS), "__bit": F.pmod(p, F.lit(BITMAP_BITS))}).join(F.broadcast(bits), "__map", "left")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(F.col("__bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.bit_get(byte, F.pmod("__bit", F.lit(8)).cast("int")) == 1, F.lit(False))
+    return d.select(*df.columns, hit.alias(out))
