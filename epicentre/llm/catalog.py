@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import katz, langid, license_scan, mixing, oph_minhash, packing, quality_cascade, sharding, uniform_topk
+from epicentre.llm import automata_dedup, katz, langid, license_scan, mixing, oph_minhash, packing, quality_cascade, sharding, uniform_topk
 from epicentre.llm.common import table, workers_find_us
 
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_decreasing": _on("documents", packing.packed_pieces),
         "op2_katz_backoff": _on("documents", katz.scored),
+        "op3_suffix_automata": _on("documents", automata_dedup.kept_words),
         "op4_oph_minhash": _on("documents", oph_minhash.linked_documents),
         "op5_water_filling": _on("documents", mixing.mixed_sizes),
         "op6_template_markup": _on("documents", license_scan.license_places),
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_suffix_automata": automata_dedup.KEPT_SQL,
         "op4_oph_minhash": oph_minhash.LINKED_SQL,
         "op7_uniform_threshold": uniform_topk.TOP_SCORES_SQL,
         "op10_quality_cascade": quality_cascade.VERDICTS_SQL,
