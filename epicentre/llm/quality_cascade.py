@@ -13,6 +13,7 @@ results stand in one struct column (``out``), so no name can clash.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -103,13 +104,14 @@ def _closure(names: tuple[str, ...]) -> list[str]:
     return out
 
 
-def _with(df: DataFrame, text: str, names: list[str], have: set[str]) -> DataFrame:
-    """``df`` with the missing features as columns, one projection for each level of them."""
+def _with(df: DataFrame, text: str, names: list[str], have: set[str], alive: Column | None = None) -> DataFrame:
+    """``df`` with the missing features as columns, one projection for each level of them; only where ``alive``, if given."""
     at = lambda n: F.col(f"__q_{n}")
     todo = [n for n in _closure(tuple(names)) if n not in have]
     while todo:
         now = [n for n in todo if all(d in have for d in FEATURES[n][0])]
-        df = df.withColumns({f"__q_{n}": FEATURES[n][1](F.coalesce(F.col(text), F.lit("")), at) for n in now})
+        new = {n: FEATURES[n][1](F.coalesce(F.col(text), F.lit("")), at) for n in now}
+        df = df.withColumns({f"__q_{n}": c if alive is None else F.when(alive, c) for n, c in new.items()})
         have.update(now)
         todo = [n for n in todo if n not in now]
     return df
@@ -154,14 +156,19 @@ def judge(df: DataFrame, text: str = "text", rules: list[Rule] | tuple[Rule, ...
 def passing(df: DataFrame, text: str = "text", rules: list[Rule] | tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass every rule, with the input's columns.
 
-    One filter for each rule, in order; features are added only when the next rule needs
-    them, so that a costly one is computed for the rows still there.
+    A column says which rows are still there; the features that the next rule needs are computed
+    for those only.
     """
-    own, have, d = df.columns, set(), df
+    own, have = df.columns, set()
+    alive = F.col("__q_alive")
+    d = df.withColumn("__q_alive", F.lit(True))
     for r in rules:
-        d = _with(d, text, list(r.needs), have)
-        d = d.where(~F.coalesce(r.rejects(lambda n: F.col(f"__q_{n}")), F.lit(False)))
-    return d.select(*own)
+        d = _with(d, text, list(r.needs), have, alive)
+        d = d.withColumn("__q_alive", alive & ~F.coalesce(r.rejects(lambda n: F.col(f"__q_{n}")), F.lit(False)))
+    # counted where it is judged; the filter stays above the count and so above the steps, which it would
+    # otherwise be pushed through with all their expressions nested in it
+    d = d.observe(f"quality-{uuid.uuid4().hex}", F.count("*").alias("judged"), F.count_if(alive).alias("kept"))
+    return d.where(alive).select(*own)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
