@@ -41,7 +41,7 @@ FOLDS, HELD_OUT = 7, 2
 #: Counts above this aren't discounted.
 CUTOFF = 5
 #: Tokens in a block, and bytes of text for each partition of the tables.
-BLOCK_TOKENS, BYTES_PER_PART = 3_000_000, 20 << 20
+BLOCK_TOKENS, BYTES_PER_PART = 1_500_000, 10 << 20
 #: Hashes of the end and start marks; no word is hashed to these but by chance.
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 WORDS, PAIRS = 0, 1
