@@ -84,8 +84,8 @@ def ranked(codes: np.ndarray, size: int = PROFILE) -> np.ndarray:
 
 
 def _text_codes(all_grams: list[np.ndarray], a: int, b: int) -> np.ndarray:
-    """The n-grams between two borders (places a and b)."""
-    return np.concatenate([g[a : b - n + 1] for n, g in enumerate(all_grams)] if b > a else [np.zeros(0, np.int64)])
+    """The n-grams that lie in the places from a to before b."""
+    return np.concatenate([g[a : b - n] for n, g in enumerate(all_grams)] if b > a else [np.zeros(0, np.int64)])
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

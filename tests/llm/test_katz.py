@@ -1,0 +1,141 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from epicentre.llm import katz as k
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+END, START = object(), object()
+
+
+class Brute:
+    """The same model with plain dictionaries."""
+
+    def __init__(self, learnt):
+        self.c, self.pairs, contexts = Counter(), Counter(), Counter()
+        for tokens in learnt:
+            for h, w in zip([START, *tokens], tokens, strict=False):
+                self.c[w] += 1
+                self.pairs[h, w] += 1
+                contexts[h] += 1
+        self.n, self.v, self.contexts = sum(self.c.values()), len(self.c), contexts
+        of = lambda c: [sum(x == r for x in c.values()) for r in range(1, 7)]
+        d1, self.d2 = k.discounts(of(self.c)), k.discounts(of(self.pairs))
+        free = sum((1 - self.d(d1, x)) * x for x in self.c.values())
+        over = self.n if free > 0 else self.n + 1
+        self.p1 = {w: self.d(d1, x) * x / over for w, x in self.c.items()}
+        self.unknown = (free if free > 0 else 1.0) / over
+        self.after = defaultdict(dict)
+        for (h, w), x in self.pairs.items():
+            self.after[h][w] = x
+        self.over = {h: contexts[h] + all(x > 5 for x in s.values()) for h, s in self.after.items()}
+        self.alpha = {h: (1 - sum(self.d(self.d2, x) * x for x in s.values()) / self.over[h]) / (1 - sum(self.p1[w] for w in s)) for h, s in self.after.items()}
+
+    @staticmethod
+    def d(d, x):
+        return d[x] if x <= 5 else 1.0
+
+    def p(self, h, w):
+        if x := self.after.get(h, {}).get(w):
+            return self.d(self.d2, x) * x / self.over[h]
+        return self.alpha.get(h, 1.0) * self.p1.get(w, self.unknown)
+
+
+def expected(rows):
+    tokens = [[*WORD.findall((t or "").translate(LOWER)), END] for _, t in rows]
+    fold = [None if i is None else zlib.crc32(str(i).encode()) % 7 for i, _ in rows]
+    m = Brute([t for t, f in zip(tokens, fold, strict=True) if f not in (None, 2)])
+    out = []
+    for (i, _), t, f in zip(rows, tokens, fold, strict=True):
+        base = sum(math.log10((m.c[w] + 1) / (m.n + m.v + 1)) for w in t)
+        score = sum(math.log10(m.p(h, w)) for h, w in zip([START, *t], t, strict=False))
+        out.append((i, f == 2, len(t), sum(m.c[w] > 0 for w in t), m.n, base, score))
+    return m, out
+
+
+@pytest.fixture
+def table(spark, docs_of, tmp_path):
+    """Documents in several files."""
+
+    def make(rows, files=5):
+        docs_of(rows).repartition(files).write.parquet(str(tmp_path / "docs"))
+        return spark.read.parquet(str(tmp_path / "docs"))
+
+    return make
+
+
+def check(df, rows):
+    _, want = expected(rows)
+    got = sorted((tuple(r) for r in k.scored(df).collect()), key=repr)
+    want = sorted(want, key=repr)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
+    return got
+
+
+@pytest.mark.parametrize("per_part", [k.BYTES_PER_PART, 20_000])
+def test_matches_brute_force(monkeypatch, table, sf001_docs, per_part):
+    monkeypatch.setattr(k, "BYTES_PER_PART", per_part)  # many partitions split the frequent contexts
+    rows = [(r.doc_id, r.text) for r in sf001_docs.collect()]
+    got = check(table(rows), rows)
+    held = [g for g in got if g[1]]
+    assert sum(g[6] for g in held) > sum(g[5] for g in held)
+
+
+def test_odd_inputs(table, odd_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    check(table(rows), rows)
+
+
+def test_clashing_columns(table, clash, sf001_docs):
+    rows = [(r.doc_id, r.text) for r in sf001_docs.limit(30).collect()]
+    df = table(rows, 2)
+    path = df.inputFiles()
+    assert path
+    check(clash(df), rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(6, "a b")], [(1, "a a a a a a a a"), (2, "a")], [(1, "x y"), (6, "y x q")]])
+def test_small_inputs(table, rows):
+    check(table(rows, 1), rows)
+
+
+def test_distributions_sum_to_one(sf001_docs):
+    m, _ = expected([(r.doc_id, r.text) for r in sf001_docs.collect()])
+    for h in list(m.after)[:200]:
+        seen = sum(m.p(h, w) for w in m.after[h])
+        rest = m.alpha[h] * (sum(p for w, p in m.p1.items() if w not in m.after[h]) + m.unknown)
+        assert seen + rest == pytest.approx(1, abs=1e-9)
+
+
+def test_arrays_survive_packing():
+    rng = np.random.default_rng(1)
+    arrays = [np.zeros(0, np.int64), rng.integers(0, 200, 1000), rng.integers(0, 70_000, 999), rng.integers(0, 1 << 40, 10), rng.integers(0, 1 << 63, 7).astype(np.uint64), rng.random(5), np.array([1], np.uint8)]
+    back = k.unpack_arrays(k.pack_arrays(*arrays))
+    assert all(np.array_equal(a, b) for a, b in zip(arrays, back, strict=True))
+
+
+def test_blocks_hold_whole_documents():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, None, 3], "flags": pa.array([1, 4, 3], pa.int8()), "text": ["A b a", None, "b c"]})
+    for limit, n in ((1, 1), (100, 1)):
+        found = list(k.blocks(iter([batch]), limit))
+        assert len(found) == n
+        b = k.Block.unpacked(found[0].packed())
+        assert b.n_tokens.tolist() == [4, 1, 3] and b.name() == found[0].name()
+        assert np.array_equal(b.codes, found[0].codes) and (b.vocab[b.codes] == k.END).sum() == 3
+        h = b.contexts()
+        assert (h == len(b.vocab)).sum() == 3 and h[1] == b.codes[0]
+
+
+def test_changed_partitions_are_noticed():
+    import pyarrow as pa
+
+    with pytest.raises(RuntimeError, match="partitions changed"):
+        k._met(pa.table({"data": pa.array([], pa.binary())}), pa.table({"kind": [0], "part": [0], "told": [b""]}))
