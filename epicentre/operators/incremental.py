@@ -17,103 +17,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epicentre.operators.marts import daily_summary, fct_events
-from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest, measure, merge_upsert
+from epicentre.operators.merge import dedupe_latest, merge_rows, merge_upsert
 from epicentre.params import RunParams
-from epicentre.schemas import FACT_MERGE_UPDATE_COLUMNS, RAW_UPDATE_COLUMNS
-
-
-def raw_upsert(
-    target: DataFrame,
-    batch: DataFrame,
-    params: RunParams,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
-    source_bytes: int | None = None,
-    deduplicated: bool = False,
-) -> DataFrame:
-    """Merge one feed batch (27 feed columns) into the raw table (29 columns).
-
-    Unless the caller already deduplicated (and sized) the batch, it is sized
-    before deduplication: dedupe only drops rows, so that size bounds the
-    broadcast side without running the dedupe shuffle twice.
-    """
-    if source_bytes is None and broadcast_max_bytes is not None:
-        source_bytes = measure(batch)[1]
-    src = batch if deduplicated else dedupe_latest(batch, "event_id", "updated_time")
+from epicentre.schemas import FACT_MERGE_UPDATE_COLUMNS, FEED_COLUMNS, RAW_UPDATE_COLUMNS
+
+
+def _raw_rule(batch: DataFrame, params: RunParams) -> dict:
     stamp = params.run_ts_col()
-    return merge_upsert(
-        target,
-        src,
-        "event_id",
-        update_cols=RAW_UPDATE_COLUMNS,
-        condition=lambda t, s: s("updated_time") > t("updated_time"),
-        on_update={"updated_at": stamp},
-        on_insert={"created_at": stamp, "updated_at": stamp},
-        broadcast_max_bytes=broadcast_max_bytes,
-        source_bytes=source_bytes,
-    )
-
-
-def raw_changes(target: DataFrame, src: DataFrame, small: bool) -> DataFrame:
-    """Source rows that would change the raw table: unknown keys, or strictly newer.
-
-    Rows that are not newer are no-ops of the upsert, so merging only these gives
-    the same table while touching far fewer target partitions. ``target`` should
-    already be pruned to the source's key buckets. With a small (measured) source,
-    the target's key columns are streamed through a broadcast of the source keys;
-    otherwise both sides shuffle on the key (key and timestamp columns only).
+    return {
+        "update_cols": [*RAW_UPDATE_COLUMNS, *(c for c in batch.columns if c not in FEED_COLUMNS)],
+        "condition": lambda t, s: s("updated_time") > t("updated_time"),
+        "on_update": {"updated_at": stamp},
+        "on_insert": {"created_at": stamp, "updated_at": stamp},
+    }
+
+
+def raw_changes(target: DataFrame, batch: DataFrame, params: RunParams) -> DataFrame:
+    """The raw rows that a deduplicated feed batch adds or replaces.
+
+    An update keeps two stamps of the stored row and takes all else from the batch, so only
+    those, the key and ``updated_time`` are read from the stored table, and what only it has.
     """
-    tkeys = target.select(F.col("event_id").alias("__tid"), F.col("updated_time").alias("__tu"))
-    skeys = src.select(F.col("event_id").alias("__sid"))
-    if small:
-        matched = tkeys.join(F.broadcast(skeys), F.col("__tid") == F.col("__sid"), "inner").drop("__sid")
-        joined = src.join(F.broadcast(matched), src["event_id"] == F.col("__tid"), "left")
-    else:
-        joined = src.join(tkeys, src["event_id"] == F.col("__tid"), "left")
-    keep = F.col("__tid").isNull() | F.coalesce(F.col("updated_time") > F.col("__tu"), F.lit(False))
-    return joined.filter(keep).drop("__tid", "__tu")
-
-
-def increment_keys(stg: DataFrame, fct_target: DataFrame, small: bool = False) -> DataFrame:
+    kept = [c for c in target.columns if c not in RAW_UPDATE_COLUMNS or c == "updated_time"]
+    rows = merge_rows(target.select(*kept), batch, "event_id", **_raw_rule(batch, params))
+    return rows.select(*target.columns, *[c for c in batch.columns if c not in target.columns])
+
+
+def raw_upsert(target: DataFrame, batch: DataFrame, params: RunParams) -> DataFrame:
+    """The whole raw table after merging one feed batch (null keys left out)."""
+    return merge_upsert(target, dedupe_latest(batch, "event_id", "updated_time"), "event_id", **_raw_rule(batch, params))
+
+
+def increment_keys(stg: DataFrame, fct_target: DataFrame) -> DataFrame:
     """Keys of staging rows newer than the fact's max updated_timestamp, or unknown to it.
 
     A keyed left join plus an uncorrelated scalar subquery (the literal
     ``updated > (max) OR id NOT IN (...)`` plans as a nested-loop existence
-    join). Only key and timestamp columns take part. With a small (measured)
-    ``stg`` side, the fact's key column is streamed through a broadcast of the
-    candidate keys, so nothing is shuffled; otherwise both key columns shuffle.
+    join). Only key and timestamp columns take part; of the fact's keys only those that
+    staging has.
     """
     high_water = fct_target.select(F.max("updated_timestamp")).scalar()
     left = stg.select("event_id", "updated_timestamp")
-    known = fct_target.select(F.col("event_id").alias("__known_id"))
-    if small:
-        probe = F.broadcast(left.select(F.col("event_id").alias("__cand_id")))
-        known = F.broadcast(known.join(probe, F.col("__known_id") == F.col("__cand_id"), "left_semi"))
-    joined = left.join(known, left["event_id"] == F.col("__known_id"), "left")
-    take = F.col("__known_id").isNull() | F.coalesce(F.col("updated_timestamp") > high_water, F.lit(False))
+    known = fct_target.select("event_id").join(left.select("event_id"), "event_id", "left_semi").withColumn("__known", F.lit(True))
+    joined = left.join(known, "event_id", "left")
+    take = F.col("__known").isNull() | F.coalesce(F.col("updated_timestamp") > high_water, F.lit(False))
     return joined.filter(take).select("event_id")
 
 
-def fact_increment(stg: DataFrame, fct_target: DataFrame, keys: DataFrame | None = None,
-                   small_keys: bool = False) -> DataFrame:
-    """Fact rows to merge: the staging rows whose keys ``increment_keys`` selects.
-
-    With a small (measured) key set the staging rows are fetched by a broadcast
-    semi-join, so the wide staging rows are never shuffled.
-    """
+def fact_increment(stg: DataFrame, fct_target: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Fact rows to merge: the staging rows whose keys ``increment_keys`` selects."""
     keys = increment_keys(stg, fct_target) if keys is None else keys
-    keys = F.broadcast(keys) if small_keys else keys
     return fct_events(stg.join(keys, "event_id", "left_semi"))
 
 
-def fact_merge(fct_target: DataFrame, increment: DataFrame, source_bytes: int | None = None) -> DataFrame:
-    """unique_key event_id; on match only the seven merge columns change."""
-    return merge_upsert(
-        fct_target,
-        increment,
-        "event_id",
-        update_cols=FACT_MERGE_UPDATE_COLUMNS,
-        source_bytes=source_bytes,
-    )
+def fact_changes(fct_target: DataFrame, increment: DataFrame) -> DataFrame:
+    """unique_key event_id: the fact's new rows; on match only the seven merge columns change."""
+    return merge_rows(fct_target, increment, "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS)
 
 
 def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams) -> DataFrame:
@@ -124,8 +83,7 @@ def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams)
 
 def daily_merge(daily_target: DataFrame, increment: DataFrame) -> DataFrame:
     """unique_key summary_date, no column list: matched rows are replaced whole."""
-    # both sides hold one row per date: a plain keyed full outer join, no size probe
-    return merge_upsert(daily_target, increment, "summary_date", update_cols=None, broadcast_max_bytes=None)
+    return merge_upsert(daily_target, increment, "summary_date")
 
 
 def new_events(stg: DataFrame, fct_target: DataFrame) -> DataFrame:

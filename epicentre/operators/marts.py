@@ -1,9 +1,9 @@
 """Fact table and the three aggregate marts.
 
-All aggregates are declarative (hash/object-hash aggregation with a map-side
-partial step), so a hot group key costs one partial row per task in the
-shuffle, not its rows. The exact percentiles keep one count per distinct value
-per group (magnitudes have few), never the rows.
+Each mart is one scan and one grouping with a map-side partial step, so a hot group
+key costs one partial row per task in the shuffle, not its rows. The exact
+percentiles keep one count per distinct value of a group (magnitudes have few),
+never the rows.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from epicentre.functions import (
     max_magnitude_points,
     risk_category,
 )
-from epicentre.operators.percentile import exact_percentiles
 from epicentre.params import RunParams
 from epicentre.schemas import FACT_COLUMNS
 
@@ -36,8 +35,7 @@ def _mag(x: float):
     return F.count_if(F.col("magnitude") >= x)
 
 
-def daily_summary(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
-    params = params or RunParams()
+def daily_summary(fct: DataFrame, params: RunParams) -> DataFrame:
     cat = F.col("magnitude_category")
     depth = F.col("depth_category")
     stats = fct.groupBy(F.col("event_date").alias("summary_date")).agg(
@@ -49,6 +47,7 @@ def daily_summary(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
         F.max("magnitude").alias("max_magnitude"),
         F.min("magnitude").alias("min_magnitude"),
         F.stddev_samp("magnitude").alias("stddev_magnitude"),
+        F.percentile("magnitude", 0.5).alias("median_magnitude"),
         F.avg("depth_km").alias("avg_depth_km"),
         F.max("depth_km").alias("max_depth_km"),
         F.sum(F.coalesce(F.col("felt_reports"), F.lit(0))).alias("total_felt_reports"),
@@ -66,25 +65,14 @@ def daily_summary(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
         F.avg("station_count").alias("avg_station_count"),
         F.count_if(F.col("status") == "reviewed").alias("reviewed_count"),
     )
-    median = exact_percentiles(
-        fct.select(F.col("event_date").alias("summary_date"), "magnitude"),
-        ["summary_date"], "magnitude", {"median_magnitude": 0.5},
-    )
-    # null-safe key: the null-date group keeps its median
-    joined = stats.join(median, stats["summary_date"].eqNullSafe(median["summary_date"]), "left")
-    names = list(stats.columns)
-    names.insert(names.index("stddev_magnitude") + 1, "median_magnitude")
-    cols = [median[c] if c == "median_magnitude" else stats[c] for c in names]
-    return joined.select(*cols).withColumn("dbt_updated_at", params.run_ts_col())
+    return stats.withColumn("dbt_updated_at", params.run_ts_col())
 
 
-def regional_stats(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
+def regional_stats(fct: DataFrame, params: RunParams) -> DataFrame:
     """Per-region statistics (17 measures); regions present only."""
-    params = params or RunParams()
     as_of = params.as_of_col()
     date = F.col("event_date")
     located = fct.filter(F.col("region").isNotNull())
-    p95 = exact_percentiles(located, ["region"], "magnitude", {"p95_magnitude": 0.95})
     return (
         located.groupBy("region")
         .agg(
@@ -93,6 +81,7 @@ def regional_stats(fct: DataFrame, params: RunParams | None = None) -> DataFrame
             F.count_if(date >= F.date_sub(as_of, 7)).alias("earthquakes_last_7_days"),
             F.avg("magnitude").alias("avg_magnitude"),
             F.max("magnitude").alias("max_magnitude"),
+            F.percentile("magnitude", 0.95).alias("p95_magnitude"),
             _mag(SIGNIFICANT_MAG).alias("significant_events"),
             _mag(STRONG_MAG).alias("strong_events"),
             _mag(MAJOR_MAG).alias("major_events"),
@@ -104,7 +93,6 @@ def regional_stats(fct: DataFrame, params: RunParams | None = None) -> DataFrame
             F.avg("latitude").alias("centroid_latitude"),
             F.avg("longitude").alias("centroid_longitude"),
         )
-        .join(p95, "region", "left")
         .withColumn(
             "days_with_data",
             (F.datediff("last_event_date", "first_event_date") + 1).cast("bigint"),
@@ -119,9 +107,8 @@ def regional_stats(fct: DataFrame, params: RunParams | None = None) -> DataFrame
     )
 
 
-def regional_risk(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
+def regional_risk(fct: DataFrame, params: RunParams) -> DataFrame:
     """Regional statistics plus frequency, raw and capped risk score, category."""
-    params = params or RunParams()
     stats = regional_stats(fct, params)
     freq = F.col("total_earthquakes").cast("double") / F.nullif(F.col("days_with_data"), F.lit(0))
     raw = (
@@ -140,9 +127,8 @@ def regional_risk(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
     )
 
 
-def hourly_heatmap(fct: DataFrame, params: RunParams | None = None) -> DataFrame:
+def hourly_heatmap(fct: DataFrame, params: RunParams) -> DataFrame:
     """Day-of-week x hour pattern (8 columns)."""
-    params = params or RunParams()
     agg = fct.groupBy("day_of_week", "event_hour").agg(
         F.count(F.lit(1)).alias("earthquake_count"),
         F.avg("magnitude").alias("avg_magnitude"),

@@ -1,15 +1,10 @@
 """Keyed upsert (MERGE) as DataFrame joins, and latest-row-per-key dedupe.
 
-Parquet has no MERGE, so a merge computes the next version of the target:
+``merge_rows`` gives the rows that a MERGE inserts or updates, whole; a keyed table commits just
+those.  The target is read once, past the source's keys; which side is broadcast or whether
+both shuffle is left to Spark, which knows the written sizes and adapts at run time.
 
-* small source (size measured, under ``broadcast_max_bytes``): the target is
-  streamed once through a broadcast hash join against the source (no shuffle of
-  the target); new keys are found by a semi-join that reads only the target's
-  key column;
-* otherwise: one full outer join, both sides shuffled on the key (AQE sizes the
-  partitions and splits skewed ones).
-
-The target key must be unique; deduplicate the source first (``dedupe_latest``).
+Target and source keys must be unique and not null; deduplicate the source first.
 """
 
 from __future__ import annotations
@@ -18,62 +13,29 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 _S = "__src_"  # prefix for source columns after the join
-_T_PRESENT, _S_PRESENT = "__tgt_present", "__src_present"
+_T_PRESENT = "__tgt_present"
 
 Side = Callable[[str], Column]
 
 
 def dedupe_latest(df: DataFrame, key: str, order_by: str) -> DataFrame:
-    """Keep one row per key: the largest ``order_by``; ties by a hash of the row.
+    """One row per key: the largest ``order_by``; ties by a hash of the row.  Null keys are left out.
 
-    A max() over a packed struct is an aggregate with a map-side partial step, so
-    a key repeated in a third of all rows shrinks to one row per task before the
-    shuffle (a row_number window would sort all of them in one task). Rows with a
-    null key are passed through untouched (they can never match in a merge).
+    A max() over a packed struct has a map-side partial step, so a key repeated in a third of all
+    rows is one row per task before the shuffle.
     """
-    others = [c for c in df.columns if c != key]
     packed = F.struct(
         F.col(order_by).alias("__order"),
         F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tiebreak"),
-        *[F.col(c) for c in others],
+        *[F.col(c) for c in df.columns if c != key],
     )
-    keyed = df.filter(F.col(key).isNotNull())
-    latest = keyed.groupBy(key).agg(F.max(packed).alias("__w"))
-    out = latest.select(*[F.col(key) if c == key else F.col("__w")[c].alias(c) for c in df.columns])
-    return out.unionByName(df.filter(F.col(key).isNull()))
-
-
-_FIXED_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-}
-
-
-def row_size_parts(df: DataFrame) -> tuple[int, Column]:
-    """(fixed bytes per row, per-row variable bytes) used to size a DataFrame."""
-    fixed, var = 8, []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
-        else:
-            fixed += _FIXED_WIDTH.get(type(f.dataType), 16)
-    return fixed, (sum(var, F.lit(0)) if var else F.lit(0))
-
+    latest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(packed).alias("__w"))
+    return latest.select(*[F.col(key) if c == key else F.col("__w")[c].alias(c) for c in df.columns])
 
-def measure(df: DataFrame, *extra: Column) -> tuple:
-    """(rows, approximate bytes, *extra aggregates) of a DataFrame in one pass."""
-    fixed, width = row_size_parts(df)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"), *extra).first()
-    n = int(row["n"] or 0)
-    return (n, n * fixed + int(row["b"] or 0), *row[2:])
 
-
-def merge_upsert(
+def merge_rows(
     target: DataFrame,
     source: DataFrame,
     key: str,
@@ -82,27 +44,23 @@ def merge_upsert(
     condition: Callable[[Side, Side], Column] | None = None,
     on_update: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
-    source_bytes: int | None = None,
 ) -> DataFrame:
-    """Next version of ``target`` after MERGE ... USING ``source`` ON key.
+    """The new rows of MERGE ... USING ``source`` ON key.
 
     WHEN MATCHED [AND condition(tgt, src)] THEN UPDATE SET ``update_cols`` from the
     source (all shared non-key columns if None) and ``on_update`` values;
     WHEN NOT MATCHED THEN INSERT the source row, ``on_insert`` filling columns the
-    source lacks. Target rows never disappear. Columns only the source has are
-    appended (schema evolution), null in old rows.
+    source lacks. Columns that only the source has are appended, null in rows that don't take them.
     """
-    on_update = dict(on_update or {})
-    on_insert = dict(on_insert or {})
-    out_cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    shared = [c for c in source.columns if c != key]
-    upd = set(shared if update_cols is None else update_cols)
+    on_update, on_insert = dict(on_update or {}), dict(on_insert or {})
+    added = [c for c in source.columns if c not in target.columns]
+    out_cols = [*target.columns, *added]
+    upd = {c for c in source.columns if c != key} if update_cols is None else set(update_cols)
+    types = {f.name: f.dataType for f in (*source.schema.fields, *target.schema.fields)}
 
-    src = source.select(*[F.col(c).alias(_S + c) for c in source.columns]).withColumn(_S_PRESENT, F.lit(True))
-    tgt = target.withColumn(_T_PRESENT, F.lit(True))
-    types = {f.name: f.dataType for f in target.schema.fields}
-    types.update({f.name: f.dataType for f in source.schema.fields if f.name not in types})
+    hits = target.join(source.select(key), key, "left_semi").select(*target.columns).withColumn(_T_PRESENT, F.lit(True))
+    src = source.select(*[F.col(c).alias(_S + c) for c in source.columns])
+    joined = src.join(hits, F.col(key) == F.col(_S + key), "left")
 
     def t(c: str) -> Column:
         return F.col(c) if c in target.columns else F.lit(None).cast(types[c])
@@ -110,40 +68,20 @@ def merge_upsert(
     def s(c: str) -> Column:
         return F.col(_S + c) if c in source.columns else F.lit(None).cast(types[c])
 
-    matched = F.col(_T_PRESENT).isNotNull() & F.col(_S_PRESENT).isNotNull()
-    do_update = matched & (F.coalesce(condition(t, s), F.lit(False)) if condition else F.lit(True))
-
-    def updated_value(c: str) -> Column:
-        if c in on_update:
-            return on_update[c].cast(types[c])
-        return s(c) if c in upd else t(c)
-
-    def inserted_value(c: str) -> Column:
-        if c in source.columns:
-            return s(c)
-        return on_insert[c].cast(types[c]) if c in on_insert else F.lit(None).cast(types[c])
-
-    if source_bytes is None and broadcast_max_bytes:
-        source_bytes = measure(source)[1]
-    small = broadcast_max_bytes is not None and source_bytes is not None and source_bytes <= broadcast_max_bytes
-
-    cond_key = F.col(key) == F.col(_S + key)
-    if small:
-        kept = tgt.join(F.broadcast(src), cond_key, "left").select(
-            *[F.when(do_update, updated_value(c)).otherwise(t(c)).alias(c) for c in out_cols]
-        )
-        src_keys = src.select(_S + key)
-        matched_keys = target.select(key).join(F.broadcast(src_keys), cond_key, "left_semi")
-        inserts = src.join(F.broadcast(matched_keys), cond_key, "left_anti").select(
-            *[inserted_value(c).alias(c) for c in out_cols]
-        )
-        return kept.unionByName(inserts)
-
-    joined = tgt.join(src, cond_key, "full_outer")
+    def updated(c: str) -> Column:
+        return on_update[c] if c in on_update else s(c) if c in upd else t(c)
+
+    def inserted(c: str) -> Column:
+        return s(c) if c in source.columns else on_insert.get(c, F.lit(None))
+
     is_insert = F.col(_T_PRESENT).isNull()
-    return joined.select(
-        *[
-            F.when(is_insert, inserted_value(c)).when(do_update, updated_value(c)).otherwise(t(c)).alias(c)
-            for c in out_cols
-        ]
-    )
+    takes = F.coalesce(condition(t, s), F.lit(False)) if condition else F.lit(True)
+    return joined.filter(is_insert | takes).select(
+        *[F.when(is_insert, inserted(c)).otherwise(updated(c)).cast(types[c]).alias(c) for c in out_cols])
+
+
+def merge_upsert(target: DataFrame, source: DataFrame, key: str, **how) -> DataFrame:
+    """The whole next version of ``target``: its rows that stay, and ``merge_rows``."""
+    rows = merge_rows(target, source, key, **how)
+    kept = target.join(rows.select(key), key, "left_anti").select(*target.columns)
+    return kept.unionByName(rows, allowMissingColumns=True)

@@ -1,14 +1,16 @@
 """Data-quality checks (unique, not_null, declared lengths) as Spark jobs.
 
 Each check yields rows ``(table_name, column_name, check_name, failures)``;
-``failures`` counts offending key values (unique) or rows (not_null, length).
+``failures`` counts offending key values (unique) or rows (not_null, length), and is null where
+the table is absent, which fails the check. The counts of a table come from one aggregate,
+duplicate keys from one more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epicentre.schemas import RAW_VARCHAR_LIMITS
@@ -28,66 +30,65 @@ NOT_NULL_CHECKS = {
     "agg_daily_summary": ["summary_date"],
     "agg_regional_risk": ["region"],
 }
+LENGTH_CHECKS = {"raw_earthquakes": RAW_VARCHAR_LIMITS}
 
 REPORT_SCHEMA = "table_name string, column_name string, check_name string, failures bigint"
 
+Checks = Mapping[tuple[str, str], Column]  # (column, check) -> count of failures
 
-def _row(table: str, column: str, check: str, failures) -> list:
-    return [
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(check).alias("check_name"),
-        failures.cast("bigint").alias("failures"),
-    ]
+
+def _absent(spark: SparkSession, table: str, checks: Sequence[tuple[str, str]]) -> DataFrame:
+    return spark.createDataFrame([(table, c, k, None) for c, k in checks], REPORT_SCHEMA)
+
+
+def counted(df: DataFrame, table: str, checks: Checks) -> DataFrame:
+    """All counts of one table in a single scan."""
+    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(k).alias("check_name"), n.cast("bigint").alias("failures"))
+            for (c, k), n in checks.items()]
+    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
 def unique_failures(df: DataFrame, table: str, column: str) -> DataFrame:
     """Number of non-null values of ``column`` that occur more than once."""
     dup = df.filter(F.col(column).isNotNull()).groupBy(column).count().filter(F.col("count") > 1)
-    return dup.agg(*_row(table, column, "unique", F.count(F.lit(1))))
+    return counted(dup, table, {(column, "unique"): F.count(F.lit(1))})
+
+
+def _nulls(columns: Sequence[str]) -> Checks:
+    return {(c, "not_null"): F.count_if(F.col(c).isNull()) for c in columns}
+
+
+def _lengths(limits: Mapping[str, int]) -> Checks:
+    return {(c, "max_length"): F.count_if(F.length(c) > n) for c, n in limits.items()}
 
 
 def not_null_failures(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Null counts for all ``columns`` of one table in a single scan."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    long = counts.unpivot([], list(columns), "column_name", "failures")
-    return long.select(
-        F.lit(table).alias("table_name"),
-        "column_name",
-        F.lit("not_null").alias("check_name"),
-        F.col("failures").cast("bigint").alias("failures"),
-    )
+    return counted(df, table, _nulls(columns))
 
 
 def length_failures(raw: DataFrame, limits: Mapping[str, int] = RAW_VARCHAR_LIMITS,
                     table: str = "raw_earthquakes") -> DataFrame:
-    """Rows whose text is longer than the declared VARCHAR(n), per column, one scan."""
-    counts = raw.agg(*[F.count_if(F.length(c) > n).alias(c) for c, n in limits.items()])
-    long = counts.unpivot([], list(limits), "column_name", "failures")
-    return long.select(
-        F.lit(table).alias("table_name"),
-        "column_name",
-        F.lit("max_length").alias("check_name"),
-        F.col("failures").cast("bigint").alias("failures"),
-    )
-
-
-def dq_unique(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[str]] = UNIQUE_CHECKS) -> DataFrame:
-    parts = [unique_failures(tables[t], t, c) for t, cols in checks.items() if t in tables for c in cols]
-    return _union(parts)
+    """Rows whose text is longer than the declared VARCHAR(n), per column."""
+    return counted(raw, table, _lengths(limits))
+
+
+def dq_unique(tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
+    return _union([unique_failures(tables[t], t, c) if t in tables else _absent(spark, t, [(c, "unique")])
+                   for t, cols in UNIQUE_CHECKS.items() for c in cols])
 
 
-def dq_not_null(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[str]] = NOT_NULL_CHECKS) -> DataFrame:
-    parts = [not_null_failures(tables[t], t, cols) for t, cols in checks.items() if t in tables]
+def dq_counts(tables: Mapping[str, DataFrame], spark: SparkSession, lengths: bool = True) -> DataFrame:
+    """not_null and, if asked for, declared lengths: one aggregate per table."""
+    parts = []
+    for t, cols in NOT_NULL_CHECKS.items():
+        checks = {**_nulls(cols), **(_lengths(LENGTH_CHECKS.get(t, {})) if lengths else {})}
+        parts.append(counted(tables[t], t, checks) if t in tables else _absent(spark, t, list(checks)))
     return _union(parts)
 
 
-def dq_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+def dq_report(tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
     """All declared tests plus the raw length check, with a pass/fail status."""
-    parts = [dq_unique(tables), dq_not_null(tables)]
-    if "raw_earthquakes" in tables:
-        parts.append(length_failures(tables["raw_earthquakes"]))
-    report = _union(parts)
+    report = dq_unique(tables, spark).unionByName(dq_counts(tables, spark))
     return report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 

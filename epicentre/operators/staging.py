@@ -19,8 +19,7 @@ from epicentre.params import RunParams
 REQUIRED = ["event_id", "magnitude", "latitude", "longitude"]
 
 
-def stg_events(raw: DataFrame, params: RunParams | None = None) -> DataFrame:
-    params = params or RunParams()
+def stg_events(raw: DataFrame, params: RunParams) -> DataFrame:
     kept = raw.filter(F.col("event_id").isNotNull() & F.col("magnitude").isNotNull()
                       & F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     ts = epoch_ms_to_ntz("event_time")

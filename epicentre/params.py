@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,12 +18,16 @@ class RunParams:
     in audit stamps.
     """
 
-    as_of: dt.date = dt.date(2024, 1, 31)
-    as_of_ts: dt.datetime = dt.datetime(2024, 1, 31, 0, 0, 0)
-    run_ts: dt.datetime = dt.datetime(2024, 1, 31, 0, 0, 0)
+    as_of: dt.date
+    as_of_ts: dt.datetime
+    run_ts: dt.datetime
     days: int = 30  # dashboard look-back slider (1..365)
     min_magnitude: float = 2.0  # dashboard magnitude slider (0..7)
-    extra: dict = field(default_factory=dict)
+
+    @classmethod
+    def at(cls, now: dt.datetime, **sliders) -> "RunParams":
+        """All three dates from one reading of the clock."""
+        return cls(now.date(), now, now, **sliders)
 
     def as_of_col(self) -> Column:
         return F.lit(self.as_of).cast("date")
@@ -35,7 +39,8 @@ class RunParams:
         return ts_lit(self.run_ts)
 
     def with_run_ts(self, run_ts: dt.datetime) -> "RunParams":
-        return RunParams(self.as_of, self.as_of_ts, run_ts, self.days, self.min_magnitude, self.extra)
+        """The same dates with another audit stamp."""
+        return replace(self, run_ts=run_ts)
 
 
 def ts_lit(value: dt.datetime) -> Column:

@@ -2,6 +2,8 @@
 
 Every query starts from the driver's whole ``events`` table (mapped to feed
 records by ``epicentre.sources.fixtures``) and runs the library operators on it.
+Serving, verification and quality queries read the written tables by name; those
+are built from ``events`` once for each session and input.
 Non-exact doubles (stddev, percentiles, ratios, scores, bin edges) are rounded
 to 6 places here, in the result only, so two engines can be compared; the
 library itself returns full precision.
@@ -22,15 +24,19 @@ from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap,
 from epicentre.operators.merge import dedupe_latest
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
-from epicentre.plans.pipeline import DAILY, FACT, HEATMAP, RISK, Pipeline
+from epicentre.plans.pipeline import DAILY, FACT, HEATMAP, RAW, RISK, STAGING, Pipeline
 from epicentre.session import scratch_path
 from epicentre.sources import feed as feedsrc
-from epicentre.sources.fixtures import batch_a, batch_b, feed_from_events, raw_from_events, read_table
+from epicentre.sources.fixtures import batch_a, batch_b, batch_c, feed_from_events, flawed_raw, raw_from_events, read_table
 from epicentre.sources.store import TableStore
 from epicentre.streaming.ingest import start_ingest
 
-P1 = RunParams()  # first run (and every single-run query)
-P2 = P1.with_run_ts(dt.datetime(2024, 1, 31, 0, 5, 0))  # second run
+# The dates of the first run (and of every single-run query), of the second, and
+# of one that a wrong clock stamps before the first.
+P1 = RunParams.at(dt.datetime(2024, 1, 31, 0, 0, 0))
+P2 = P1.with_run_ts(dt.datetime(2024, 1, 31, 0, 5, 0))
+P0 = P1.with_run_ts(dt.datetime(2024, 1, 30, 23, 0, 0))
+P3 = P1.with_run_ts(dt.datetime(2024, 1, 31, 0, 10, 0))
 
 DAILY_ROUND = ["stddev_magnitude", "median_magnitude"]
 STATS_ROUND = ["p95_magnitude"]
@@ -64,56 +70,68 @@ def _fct(spark, sf):
     return fct_events(_stg(spark, sf))
 
 
-def _daily(spark, sf):
-    return daily_summary(_fct(spark, sf), P1)
-
-
-def _risk(spark, sf):
-    return regional_risk(_fct(spark, sf), P1)
-
-
-def _heatmap(spark, sf):
-    return hourly_heatmap(_fct(spark, sf), P1)
-
-
-def _recent(spark, sf):
-    return serving.recent_events(_fct(spark, sf), P1)
-
-
 def _two_batches(spark, sf):
     return batch_a(_feed(spark, sf, P1)), batch_b(_feed(spark, sf, P2))
 
 
-def _pipeline(spark, sf, select=None, second_run: bool = True) -> tuple[Pipeline, dict[str, DataFrame]]:
+def _fresh(spark, name: str = "pipeline") -> Pipeline:
+    return Pipeline(spark, TableStore(spark, scratch_path(spark, name)))
+
+
+def _pipeline(spark, sf, select=None, second_run: bool = True, second: RunParams = P2) -> tuple[Pipeline, dict[str, DataFrame]]:
     """Ingest batch A and build ``select``; ingest batch B and (optionally) build
-    again, incrementally. Every table version is written to a fresh store."""
-    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "pipeline")))
+    again, incrementally. Every table is written to a fresh store."""
+    pipe = _fresh(spark)
     a, b = _two_batches(spark, sf)
     pipe.ingest(a, P1)
     if select:
         pipe.run(P1, select)
-    pipe.ingest(b, P2)
-    out = pipe.run(P2, select) if (select and second_run) else {}
+    pipe.ingest(b, second)
+    out = pipe.run(second, select) if (select and second_run) else {}
     return pipe, out
 
 
+_built: dict[tuple[str, str], Pipeline] = {}
+
+
+def _warehouse(spark, sf) -> Pipeline:
+    """All tables after one ingest of the whole feed and one build, written once per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _built:
+        pipe = _fresh(spark, "warehouse")
+        pipe.ingest(_feed(spark, sf), P1)
+        pipe.run(P1)
+        _built[key] = pipe
+    return _built[key]
+
+
 def _tables(spark, sf) -> dict[str, DataFrame]:
-    raw = _raw(spark, sf)
-    stg = stg_events(raw, P1)
-    fct = fct_events(stg)
-    return {
-        "raw_earthquakes": raw,
-        "stg_earthquakes": stg,
-        "fct_earthquakes": fct,
-        "agg_daily_summary": daily_summary(fct, P1),
-        "agg_regional_risk": regional_risk(fct, P1),
-    }
+    pipe = _warehouse(spark, sf)
+    return {n: pipe.table(n) for n in (RAW, FACT, DAILY, RISK)} | {STAGING: pipe.staging(P1)}
+
+
+def _recent(spark, sf, ordered=False):
+    return serving.recent_events(_warehouse(spark, sf).table(FACT), P1, ordered=ordered)
 
 
-# -- queries -----------------------------------------------------------------
+# -- sources, ingest, increments ----------------------------------------------
 def q_geojson_flatten(spark, sf):
-    docs = feedsrc.to_documents(_feed(spark, sf))
-    return feedsrc.flatten(feedsrc.parse_collections(docs), P1.run_ts_col())
+    """Written as feed files, read back and flattened."""
+    path = scratch_path(spark, "snapshot")
+    feedsrc.write_snapshot(_feed(spark, sf), path)
+    docs = feedsrc.accepted(feedsrc.parse_collections(feedsrc.read_texts(spark, path)))
+    return feedsrc.flatten(docs, P1.run_ts_col())
+
+
+def q_geojson_rejects(spark, sf):
+    """Documents of one feature each; those of every fifth event are cut short or hold a wrong type."""
+    feed = _feed(spark, sf)
+    docs = feedsrc.to_features(feed).select("event_id", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array("feature").alias("features"))).alias("value"))
+    number = F.substring("event_id", 3, 20).cast("bigint")
+    broken = F.when(number % 10 == 0, F.substring("value", 1, 40)).when(number % 10 == 5, F.regexp_replace("value", '"coordinates":\\[', '"coordinates":["east",')).otherwise(F.col("value"))
+    bad = feedsrc.rejects(feedsrc.parse_collections(docs.select(broken.alias("value"))))
+    how = F.when(F.length("malformed") == 40, "cut short").otherwise("wrong type")
+    return bad.groupBy(how.alias("reason")).agg(F.count(F.lit(1)).alias("documents"))
 
 
 def q_backfill_slice(spark, sf):
@@ -125,6 +143,29 @@ def q_raw_upsert(spark, sf):
     return pipe.raw_table()
 
 
+def q_raw_rejected_keys(spark, sf):
+    """A batch in which every 50th event has lost its key, ingested twice."""
+    feed = _feed(spark, sf)
+    lost = F.substring("event_id", 3, 20).cast("bigint") % 50 == 0
+    batch = feed.withColumn("event_id", F.when(~lost, F.col("event_id")))
+    pipe = _fresh(spark)
+    pipe.ingest(batch, P1)
+    pipe.ingest(batch, P2)
+    raw = pipe.raw_table().agg(F.lit("raw").alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.count("event_id").alias("keys"))
+    bad = pipe.rejected().agg(F.lit("rejected").alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.count("event_id").alias("keys"))
+    return raw.unionByName(bad)
+
+
+def q_schema_evolution(spark, sf):
+    """Three ingests, the second with a column that the others don't have, read back after the third."""
+    a, b = _two_batches(spark, sf)
+    pipe = _fresh(spark)
+    pipe.ingest(a, P1)
+    pipe.ingest(b.withColumn("review_note", F.concat(F.lit("seen by "), F.col("network"))), P2)
+    pipe.ingest(batch_c(_feed(spark, sf, P3)), P3)
+    return pipe.raw_table().select("event_id", "magnitude", "updated_time", "updated_at", "review_note")
+
+
 def q_dedupe_latest(spark, sf):
     # one ingest stamp for both snapshots: unchanged repeats are then identical rows
     feed = _feed(spark, sf, P1)
@@ -132,6 +173,7 @@ def q_dedupe_latest(spark, sf):
     return dedupe_latest(a.unionByName(b), "event_id", "updated_time")
 
 
+# -- staging and marts ----------------------------------------------------------
 def q_stg_events(spark, sf):
     return _stg(spark, sf)
 
@@ -156,13 +198,18 @@ def q_fct_incremental(spark, sf):
     return _pipeline(spark, sf, [FACT])[1][FACT]
 
 
+def q_fct_incremental_back_stamped(spark, sf):
+    """The second ingest carries an earlier stamp than the first (a replay, or a corrected clock)."""
+    return _pipeline(spark, sf, [FACT], second=P0)[1][FACT]
+
+
 def q_new_events_anti(spark, sf):
     pipe, _ = _pipeline(spark, sf, [FACT], second_run=False)
     return inc.new_events(pipe.staging(P2), pipe.fact.read())
 
 
 def q_agg_daily_summary(spark, sf):
-    return _round(_daily(spark, sf), DAILY_ROUND)
+    return _round(daily_summary(_fct(spark, sf), P1), DAILY_ROUND)
 
 
 def q_daily_incremental(spark, sf):
@@ -174,52 +221,62 @@ def q_regional_stats(spark, sf):
 
 
 def q_agg_regional_risk(spark, sf):
-    return _round(_risk(spark, sf), RISK_ROUND)
+    return _round(regional_risk(_fct(spark, sf), P1), RISK_ROUND)
+
+
+def q_risk_capped(spark, sf):
+    """Regions by network, each with very many events a day: raw scores past the cap."""
+    fct = _fct(spark, sf).withColumn("region", F.col("source_network"))
+    return _round(regional_risk(fct, P1), RISK_ROUND)
 
 
 def q_agg_hourly_heatmap(spark, sf):
-    return _heatmap(spark, sf).orderBy("day_of_week", "event_hour")
+    return hourly_heatmap(_fct(spark, sf), P1).orderBy("day_of_week", "event_hour")
 
 
+# -- serving: the written marts, by name ------------------------------------------
 def q_recent_events(spark, sf):
-    return _recent(spark, sf)
+    return _recent(spark, sf, ordered=True)
+
+
+def _lookback(spark, sf):
+    return serving.daily_lookback(_warehouse(spark, sf).table(DAILY), P1)
 
 
 def q_daily_lookback(spark, sf):
-    return _round(serving.daily_lookback(_daily(spark, sf), P1), DAILY_ROUND)
+    return _round(_lookback(spark, sf), DAILY_ROUND)
 
 
 def q_latest_daily_10(spark, sf):
-    return _round(serving.latest_daily(_daily(spark, sf), 10), DAILY_ROUND)
+    return _round(serving.latest_daily(_warehouse(spark, sf).table(DAILY), 10), DAILY_ROUND)
 
 
 def q_top_risk_50(spark, sf):
-    return _round(serving.top_risk(_risk(spark, sf), 50), RISK_ROUND)
+    return _round(serving.top_risk(_warehouse(spark, sf).table(RISK), 50), RISK_ROUND)
 
 
 def q_top_risk_10(spark, sf):
-    return _round(serving.top_risk(_risk(spark, sf), 10), RISK_ROUND)
+    return _round(serving.top_risk(_warehouse(spark, sf).table(RISK), 10), RISK_ROUND)
 
 
 def q_risk_bar_15(spark, sf):
-    return _round(serving.risk_bar(_risk(spark, sf), 15), RISK_ROUND)
+    return _round(serving.risk_bar(_warehouse(spark, sf).table(RISK), 15), RISK_ROUND)
 
 
 def q_recent_table_20(spark, sf):
-    return serving.recent_table(_fct(spark, sf), P1, 20)
+    return serving.recent_table(_warehouse(spark, sf).table(FACT), P1, 20)
 
 
 def q_raw_latest_10(spark, sf):
-    return serving.raw_latest(_raw(spark, sf), 10)
+    return serving.raw_latest(_warehouse(spark, sf).table(RAW), 10)
 
 
 def q_kpi_row(spark, sf):
-    return serving.kpi_row(serving.recent_events(_fct(spark, sf), P1, ordered=False), P1)
+    return serving.kpi_row(_recent(spark, sf), P1)
 
 
 def q_magnitude_histogram(spark, sf):
-    recent = serving.recent_events(_fct(spark, sf), P1, ordered=False)
-    return _round(serving.magnitude_histogram(recent), ["bin_start", "bin_end"])
+    return _round(serving.magnitude_histogram(_recent(spark, sf)), ["bin_start", "bin_end"])
 
 
 def q_map_points(spark, sf):
@@ -227,7 +284,7 @@ def q_map_points(spark, sf):
 
 
 def q_timeline(spark, sf):
-    return serving.timeline(serving.daily_lookback(_daily(spark, sf), P1))
+    return serving.timeline(_lookback(spark, sf))
 
 
 def q_depth_points(spark, sf):
@@ -235,51 +292,79 @@ def q_depth_points(spark, sf):
 
 
 def q_heatmap_pivot(spark, sf):
-    return serving.heatmap_pivot(_heatmap(spark, sf))
+    return serving.heatmap_pivot(_warehouse(spark, sf).table(HEATMAP))
 
 
+# -- quality ------------------------------------------------------------------------
 def q_dq_unique(spark, sf):
-    return quality.dq_unique(_tables(spark, sf))
+    return quality.dq_unique(_tables(spark, sf), spark)
 
 
 def q_dq_not_null(spark, sf):
-    return quality.dq_not_null(_tables(spark, sf))
+    return quality.dq_counts(_tables(spark, sf), spark, lengths=False)
 
 
 def q_dq_length(spark, sf):
-    return quality.length_failures(_raw(spark, sf))
+    return quality.length_failures(_warehouse(spark, sf).table(RAW))
 
 
 def q_dq_report(spark, sf):
-    return quality.dq_report(_tables(spark, sf))
+    return quality.dq_report(_tables(spark, sf), spark)
+
+
+def q_dq_report_flawed(spark, sf):
+    """The report over a raw table with repeated keys and over-long texts; the risk table is absent."""
+    raw = flawed_raw(_raw(spark, sf))
+    stg = stg_events(raw, P1)
+    fct = fct_events(stg)
+    tables = {RAW: raw, STAGING: stg, FACT: fct, DAILY: daily_summary(fct, P1)}
+    return quality.dq_report(tables, spark)
 
 
 def q_row_counts(spark, sf):
-    t = _tables(spark, sf)
+    pipe = _warehouse(spark, sf)
     parts = [
-        t[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for name in ("raw_earthquakes", "fct_earthquakes")
+        pipe.table(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name in (RAW, FACT)
     ]
     return parts[0].unionByName(parts[1])
 
 
-def q_stream_ingest(spark, sf):
-    """Land snapshots A, B and B again; stream them through the raw upsert."""
+# -- streaming and whole builds --------------------------------------------------------
+def _stream(spark, sf, clock, **how) -> Pipeline:
+    """Land snapshots A, B and B again, one file each, and stream them one a trigger."""
     root = scratch_path(spark, "stream")
     a, b = _two_batches(spark, sf)
+    store = TableStore(spark, f"{root}/tables")
     for i, snap in enumerate((a, b, b)):
         feedsrc.write_snapshot(snap, f"{root}/landing/snapshot-{i:04d}")
-    store = TableStore(spark, f"{root}/tables")
-    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/checkpoint", P1,
-                     available_now=True, max_files_per_trigger=None)
-    q.awaitTermination()
-    return Pipeline(spark, store).raw_table()
+        q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/checkpoint", clock, available_now=True, **how)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return Pipeline(spark, store)
+
+
+def q_stream_ingest(spark, sf):
+    """Three micro-batches, each with its own stamps; the third is a replay."""
+    return _stream(spark, sf, lambda epoch: (P1, P2, P3)[epoch]).raw_table()
+
+
+def q_stream_chained_build(spark, sf):
+    """A build after every micro-batch, days apart: the last-30-days counts move with the clock."""
+    days = (dt.datetime(2024, 1, 31, 23, 55), dt.datetime(2024, 2, 1, 0, 5), dt.datetime(2024, 2, 20, 0, 0))
+    pipe = _stream(spark, sf, lambda epoch: RunParams.at(days[epoch]), transform_every=dt.timedelta(minutes=10))
+    return _round(pipe.table(RISK), RISK_ROUND)
 
 
 def q_end_to_end_build(spark, sf):
     return _round(_pipeline(spark, sf, [FACT, DAILY, RISK, HEATMAP])[1][RISK], RISK_ROUND)
 
 
+def q_end_to_end_heatmap(spark, sf):
+    return _pipeline(spark, sf, [FACT, HEATMAP])[1][HEATMAP]
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 

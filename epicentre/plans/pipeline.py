@@ -1,14 +1,14 @@
 """Dependency-ordered build: raw -> staging -> fact -> {daily, risk, heatmap}.
 
-Each mart is written as a new table version in the shared folder and read back,
-which cuts lineage between layers (a lost executor recomputes from the last
-written table, not from the feed). Incremental models follow the rules in
-``epicentre.operators.incremental``; ``full_refresh`` rebuilds them whole.
+Raw and fact are keyed tables: an ingest commits the rows that it changed, a build takes what
+raw has committed since the fact was last built. The other marts are written as a new version
+each. Every layer is read back from the shared folder, which cuts lineage between layers (a
+lost executor recomputes from the last written table, not from the feed). Incremental models
+follow the rules in ``epicentre.operators.incremental``; ``full_refresh`` rebuilds them whole.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,89 +16,72 @@ from pyspark.sql import functions as F
 
 from epicentre.operators import incremental as inc
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
-from epicentre.operators.merge import DEFAULT_BROADCAST_MAX_BYTES, dedupe_latest
+from epicentre.operators.merge import dedupe_latest
 from epicentre.operators.quality import dq_report
 from epicentre.operators.staging import stg_events
-from epicentre.params import RunParams, ts_lit
+from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
 from epicentre.sources.feed import backfill_slice
-from epicentre.sources.store import LiveTable, TableStore
-
-DEFAULT_KEY_BUCKETS = 16
+from epicentre.sources.store import KeyedTable, TableStore
 
 RAW, FACT, DAILY, RISK, HEATMAP = (
     "raw_earthquakes", "fct_earthquakes", "agg_daily_summary", "agg_regional_risk", "agg_hourly_heatmap",
 )
-MODELS = ["stg_earthquakes", FACT, DAILY, RISK, HEATMAP]
-LAYERS = {"staging": ["stg_earthquakes"], "marts": [FACT, DAILY, RISK, HEATMAP]}
-
+REJECTED = RAW + "__rejected"
+STAGING = "stg_earthquakes"
+MODELS = [STAGING, FACT, DAILY, RISK, HEATMAP]
+LAYERS = {"staging": [STAGING], "marts": [FACT, DAILY, RISK, HEATMAP]}
+#: The commit of raw that the fact has seen, kept in the fact's own manifest.
+SEEN = "raw_commit"
 
-def key_buckets(spark: SparkSession) -> int:
-    """Bucket count for new keyed tables (``spark.epicentre.keyBuckets``).
 
-    Size it so a bucket holds a few GB at the target scale: a merge rewrites
-    only the buckets that receive changed rows.
-    """
-    return int(spark.conf.get("spark.epicentre.keyBuckets", str(DEFAULT_KEY_BUCKETS)))
+class MissingTable(LookupError):
+    """A model's parent, or a table to be checked, hasn't been built."""
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, store: TableStore,
-                 broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES):
+    def __init__(self, spark: SparkSession, store: TableStore):
         self.spark = spark
         self.store = store
-        self.raw = LiveTable(store, RAW, "event_id")
-        self.fact = LiveTable(store, FACT, "event_id")
-        self.broadcast_max_bytes = broadcast_max_bytes
-
-    def _small(self, nbytes: int) -> bool:
-        return self.broadcast_max_bytes is not None and nbytes <= self.broadcast_max_bytes
+        self.raw = KeyedTable(store, RAW, "event_id")
+        self.fact = KeyedTable(store, FACT, "event_id", order_by=["event_date"])
 
     # -- ingest --
-    def ingest(self, batch: DataFrame, params: RunParams) -> None:
-        """Upsert one feed batch (27 feed columns) into the raw table.
+    def ingest(self, batch: DataFrame, params: RunParams) -> dict[str, int]:
+        """Upsert one feed batch (the feed columns, and any further ones) into the raw table.
 
-        The deduplicated batch is written first (computed once, re-read cheaply,
-        and a retried merge never re-reads the feed). Only source rows that change
-        something are merged, and only their key buckets are rewritten, so a
-        replayed snapshot writes nothing.
+        Commits only rows that are new or strictly newer, so a replayed snapshot commits
+        nothing. Rows without a key are written to a table of rejected rows. Gives the number of
+        rows committed and rejected.
         """
-        n_buckets = self.raw.buckets(key_buckets(self.spark))
-        bucket = self.raw.column
-        deduped = dedupe_latest(batch, "event_id", "updated_time")
-        target = self.raw.read(with_bucket=True)
-        if target is None:  # first load: every row is an insert
-            self.raw.rebuild(inc.raw_upsert(self._empty_raw(), deduped, params, broadcast_max_bytes=None,
-                                            deduplicated=True), n_buckets, sort_by=["updated_at"])
-            return
-        src, rows, size, ex = self.store.write_measured(
-            RAW + "__batch", deduped.withColumn(bucket, self.raw.bucket_of(n_buckets)),
-            buckets=F.collect_set(bucket))
-        if rows == 0:
-            return
-        touched = sorted(ex["buckets"])
-        pruned = target.filter(F.col(bucket).isin(touched))  # partition pruning
-        # written once: the merge reads it three times (broadcast, key probe, inserts)
-        changes, _, csize, ex = self.store.write_measured(
-            RAW + "__changes", inc.raw_changes(pruned, src, self._small(size)), buckets=F.collect_set(bucket))
-        changed = sorted(ex["buckets"])
-        if not changed:
-            return
-        affected = target.filter(F.col(bucket).isin(changed))
-        merged = inc.raw_upsert(affected, changes, params, broadcast_max_bytes=self.broadcast_max_bytes,
-                                source_bytes=csize, deduplicated=True)
-        # files ordered by change stamp: the fact increment's stamp filter skips row groups
-        self.raw.replace_buckets(merged, sort_by=["updated_at"])
-
-    def backfill(self, history: DataFrame, params: RunParams, **slice_args) -> None:
+        batch = self.store.scratch("batch", batch)
+        no_key = F.col("event_id").isNull()
+        rejected = batch.where(no_key).count()
+        if rejected:
+            before = self.store.read(REJECTED)
+            now = batch.where(no_key).withColumn("rejected_at", params.run_ts_col())
+            self.store.write(REJECTED, now if before is None else before.unionByName(now, allowMissingColumns=True))
+        latest = self.store.scratch("latest", dedupe_latest(batch, "event_id", "updated_time"))
+        target = self.raw.read()
+        if target is None:
+            first = inc.raw_changes(self.spark.createDataFrame([], RAW_SCHEMA), latest, params)
+            self.raw.rebuild(first)
+            committed = self.raw.state()["base_rows"]
+        else:
+            committed = self.raw.commit(inc.raw_changes(target, latest, params))
+        self.store.drop_scratch()
+        return {"committed": committed, "rejected": rejected}
+
+    def backfill(self, history: DataFrame, params: RunParams, **slice_args) -> dict[str, int]:
         """Historical load: the back-fill slice of landed feed records, then the upsert."""
-        self.ingest(backfill_slice(history, params, **slice_args), params)
-
-    def _empty_raw(self) -> DataFrame:
-        return self.spark.createDataFrame([], RAW_SCHEMA)
+        return self.ingest(backfill_slice(history, params, **slice_args), params)
 
     def raw_table(self) -> DataFrame:
-        return self.raw.read() if self.raw.current() else self._empty_raw()
+        raw = self.raw.read()
+        return self.spark.createDataFrame([], RAW_SCHEMA) if raw is None else raw
+
+    def rejected(self) -> DataFrame | None:
+        return self.store.read(REJECTED)
 
     # -- transform --
     def staging(self, params: RunParams) -> DataFrame:
@@ -106,106 +89,84 @@ class Pipeline:
 
     def run(self, params: RunParams, select: Iterable[str] | None = None,
             full_refresh: bool = False) -> dict[str, DataFrame]:
-        """Build the selected models (default all) in dependency order."""
+        """Build the selected models (default all) in dependency order; all tables that are there."""
         chosen = _expand(select)
-        out: dict[str, DataFrame] = {}
-        stg = self.staging(params)
-        out["stg_earthquakes"] = stg
+        if not self.raw.exists():
+            raise MissingTable(RAW)
         if FACT in chosen:
-            self._fact(stg, params, full_refresh)
+            self._fact(params, full_refresh)
         fct = self.fact.read()
-        if fct is None:
-            return out
-        out[FACT] = fct
+        if fct is None and chosen & {DAILY, RISK, HEATMAP}:
+            raise MissingTable(FACT)
         if DAILY in chosen:
             self._daily(fct, params, full_refresh)
         if RISK in chosen:
             self.store.write(RISK, regional_risk(fct, params))
         if HEATMAP in chosen:
             self.store.write(HEATMAP, hourly_heatmap(fct, params))
-        for name in (DAILY, RISK, HEATMAP):
-            df = self.store.read(name)
-            if df is not None:
-                out[name] = df
+        out = self.tables() | {STAGING: self.staging(params)}
+        del out[RAW]
         return out
 
-    def _fact(self, stg: DataFrame, params: RunParams, full_refresh: bool) -> None:
+    def _fact(self, params: RunParams, full_refresh: bool) -> None:
+        """Rows that raw committed since the last build are the only ones that can be taken.
+
+        Any other staging row was judged by an earlier build: it is in the fact at or below its
+        high-water mark, which never falls, or the fact passed it over for good. Commit numbers
+        rise whatever stamps a caller gives, and the number seen is written in one step with
+        the rows that were taken.
+        """
+        state = self.raw.state()
         current = None if full_refresh else self.fact.read()
         if current is None:
-            # raw's change stamp, read before the build: later commits carry later stamps
-            seen = self.raw_table().agg(F.max("updated_at")).first()[0]
-            self.fact.rebuild(fct_events(stg), key_buckets(self.spark), sort_by=["event_date"])
-            self._set_watermark(seen)
+            self.fact.rebuild(fct_events(stg_events(self.raw.read(state=state), params)), {SEEN: state["last"]})
             return
-        # A raw row unchanged since the last successful build can never be taken
-        # again (it is in the fact, at or below its non-decreasing high-water
-        # mark), so only rows stamped at or after the watermark are candidates.
-        # The new watermark is observed in the same scan; the bound is inclusive,
-        # so a batch seen only in part is read again next time.
-        wm = self._watermark()
-        recent = stg if wm is None else stg.filter(F.col("updated_at") >= ts_lit(wm))
-        cand, _, csize, ex = self.store.write_measured(
-            FACT + "__candidates", recent.select("event_id", "updated_timestamp", "updated_at"),
-            seen=F.max("updated_at"))
-        keys, rows, size, _ = self.store.write_measured(
-            FACT + "__increment_keys", inc.increment_keys(cand, current, self._small(csize)))
-        if rows:
-            n_buckets = self.fact.buckets(key_buckets(self.spark))
-            bucket = self.fact.column
-            increment, _, isize, ex2 = self.store.write_measured(
-                FACT + "__increment",
-                inc.fact_increment(stg, current, keys, self._small(size)).withColumn(
-                    bucket, self.fact.bucket_of(n_buckets)),
-                buckets=F.collect_set(bucket),
-            )
-            target = self.fact.read(with_bucket=True)
-            affected = target.filter(F.col(bucket).isin(sorted(ex2["buckets"])))
-            self.fact.replace_buckets(inc.fact_merge(affected, increment, source_bytes=isize),
-                                      sort_by=["event_date"])
-        self._set_watermark(ex["seen"])
-
-    def _watermark(self):
-        text = self.store.get_text(FACT + ".watermark")
-        return dt.datetime.fromisoformat(text) if text else None
-
-    def _set_watermark(self, value) -> None:
-        if value is not None:
-            self.store.put_text(FACT + ".watermark", value.isoformat())
+        recent = stg_events(self.raw.read(since=self.fact.notes().get(SEEN, 0), state=state), params)
+        keys = self.store.scratch("increment-keys", inc.increment_keys(recent, current))
+        increment = self.store.scratch("increment", inc.fact_increment(recent, current, keys))
+        self.fact.commit(inc.fact_changes(current, increment), {SEEN: state["last"]})
+        self.store.drop_scratch()
 
     def _daily(self, fct: DataFrame, params: RunParams, full_refresh: bool) -> None:
         current = None if full_refresh else self.store.read(DAILY)
         if current is None:
             self.store.write(DAILY, daily_summary(fct, params))
-            return
-        increment = inc.daily_increment(fct, current, params)
-        self.store.write(DAILY, inc.daily_merge(current, increment))
+        else:
+            self.store.write(DAILY, inc.daily_merge(current, inc.daily_increment(fct, current, params)))
+
+    # -- reading --
+    def table(self, name: str) -> DataFrame:
+        """A written table by name; MissingTable if it isn't there."""
+        df = {RAW: self.raw, FACT: self.fact}[name].read() if name in (RAW, FACT) else self.store.read(name)
+        if df is None:
+            raise MissingTable(name)
+        return df
+
+    def tables(self) -> dict[str, DataFrame]:
+        """All written tables that are there."""
+        out = {}
+        for name in (RAW, FACT, DAILY, RISK, HEATMAP):
+            try:
+                out[name] = self.table(name)
+            except MissingTable:
+                continue
+        return out
 
     def quality_report(self, params: RunParams) -> DataFrame:
         """The declared column tests (plus declared lengths) over the current tables,
-        as the transform's test step runs them after the marts."""
-        tables = dict(self.tables())
-        tables["stg_earthquakes"] = self.staging(params)
-        return dq_report(tables)
+        as the transform's test step runs them after the marts. An absent table fails its tests."""
+        tables = self.tables()
+        if RAW in tables:
+            tables[STAGING] = self.staging(params)
+        return dq_report(tables, self.spark)
 
     def register_views(self, params: RunParams) -> list[str]:
         """Expose the current tables (and the staging view) to ``spark.sql`` by name."""
-        views = dict(self.tables())
-        views["stg_earthquakes"] = self.staging(params)
+        views = self.tables() | {STAGING: self.staging(params)}
         for name, df in views.items():
             df.createOrReplaceTempView(name)
         return sorted(views)
 
-    def tables(self) -> dict[str, DataFrame]:
-        out = {RAW: self.raw_table()}
-        fct = self.fact.read()
-        if fct is not None:
-            out[FACT] = fct
-        for name in (DAILY, RISK, HEATMAP):
-            df = self.store.read(name)
-            if df is not None:
-                out[name] = df
-        return out
-
 
 def _expand(select: Iterable[str] | None) -> set[str]:
     if select is None:

@@ -1,8 +1,9 @@
 """The GeoJSON event feed: read, flatten, back-fill slice, and write snapshots.
 
-A snapshot is a set of FeatureCollection documents. Written by us they are JSON
-Lines (one collection per line, splittable); a feed file that is one
-pretty-printed document needs ``multiline=True`` (one task per file).
+A feed file holds one FeatureCollection in any layout, as the feed serves it, or JSON Lines
+with one collection on each line, as ``write_snapshot`` writes them.  Documents that don't
+parse, or hold a value of a wrong type, are never skipped: they are raised or handed back
+as rejects.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epicentre.params import RunParams
 from epicentre.schemas import (
@@ -21,31 +23,63 @@ from epicentre.schemas import (
     RAW_FIELDS,
 )
 
-# The historical query's defaults and its per-request row cap.
+# The historical query's defaults.
 BACKFILL_START = dt.date(2024, 1, 1)
 BACKFILL_MIN_MAGNITUDE = 2.5
-BACKFILL_LIMIT = 20_000
 # Features per written FeatureCollection document.
 FEATURES_PER_DOCUMENT = 1000
 
+_CORRUPT = "_corrupt"
+_CHECKED = T.StructType([*FEATURE_COLLECTION_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
 
-def read_collections(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """FeatureCollections from JSON files, with the fixed schema (never inferred)."""
-    return spark.read.schema(FEATURE_COLLECTION_SCHEMA).option("multiLine", multiline).json(path)
 
+class MalformedFeed(ValueError):
+    """Feed documents that can't be read, where the caller didn't ask for them as rejects."""
 
-def parse_collections(docs: DataFrame, column: str = "value") -> DataFrame:
-    """FeatureCollections from a string column holding JSON documents."""
-    return docs.select(F.from_json(F.col(column), FEATURE_COLLECTION_SCHEMA).alias("fc")).select("fc.*")
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """One row (value) per file; a file of no bytes has none."""
+    return spark.read.text(path, wholetext=True)
+
+
+def _parsed(text: Column) -> Column:
+    return F.from_json(text, _CHECKED, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
+
+
+def parse_collections(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Documents of files (or of single texts): type, features, malformed (the text, else null).
+
+    If every line that isn't blank begins an object, each is a document; else the text is one.
+    A document without an array of features is malformed.
+    """
+    text = F.col(column)
+    lines = F.filter(F.split(text, "\\r?\\n"), lambda x: F.trim(x) != "")
+    by_line = (F.size(lines) > 0) & F.forall(lines, lambda x: F.ltrim(x).startswith("{"))
+    docs = texts.select(F.explode(F.when(by_line, lines).otherwise(F.array(text))).alias("doc"))
+    d = docs.withColumn("fc", _parsed(F.col("doc")))
+    bad = F.col("fc").isNull() | F.col(f"fc.{_CORRUPT}").isNotNull() | F.col("fc.features").isNull()
+    return d.select("fc.type", "fc.features", F.when(bad, F.coalesce("doc", F.lit(""))).alias("malformed"))
+
+
+def rejects(collections: DataFrame) -> DataFrame:
+    return collections.where(F.col("malformed").isNotNull()).select("malformed")
+
+
+def accepted(collections: DataFrame) -> DataFrame:
+    """The readable documents; raises MalformedFeed if there are others."""
+    n = rejects(collections).count()
+    if n:
+        raise MalformedFeed(f"{n} feed documents can't be read")
+    return collections.where(F.col("malformed").isNull())
 
 
 def flatten(collections: DataFrame, ingested_at: Column) -> DataFrame:
-    """One feed record (27 columns) per feature.
+    """One feed record (27 columns) per feature of the readable documents.
 
     Missing properties give nulls, unknown keys are dropped; coordinates past the
     end of the array (or a null geometry) give null lon/lat/depth.
     """
-    feats = collections.select(F.explode("features").alias("f"))
+    feats = collections.where(F.col("malformed").isNull()).select(F.explode("features").alias("f"))
     types = dict(RAW_FIELDS)
     cols = []
     for c in FEED_COLUMNS:
@@ -78,7 +112,7 @@ def to_features(feed: DataFrame) -> DataFrame:
 
 
 def to_documents(feed: DataFrame, per_document: int = FEATURES_PER_DOCUMENT) -> DataFrame:
-    """Feed records -> FeatureCollection JSON documents (column ``value``).
+    """Feed records -> FeatureCollection JSON documents (doc, value).
 
     Documents hold about ``per_document`` features: the document count comes from
     a scalar count, and rows go to documents by a hash of the event id, so the
@@ -88,13 +122,11 @@ def to_documents(feed: DataFrame, per_document: int = FEATURES_PER_DOCUMENT) ->
     n_docs = feed.select(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / per_document))).scalar()
     feats = to_features(feed).withColumn("doc", F.pmod(F.xxhash64("event_id"), n_docs))
     docs = feats.groupBy("doc").agg(F.collect_list("feature").alias("features"))
-    return docs.select(
-        F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")
-    )
+    return docs.select("doc", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value"))
 
 
 def write_snapshot(feed: DataFrame, path: str, per_document: int = FEATURES_PER_DOCUMENT) -> None:
-    to_documents(feed, per_document).write.mode("errorifexists").text(path)
+    to_documents(feed, per_document).select("value").write.mode("errorifexists").text(path)
 
 
 def backfill_slice(
@@ -103,24 +135,20 @@ def backfill_slice(
     start: dt.date = BACKFILL_START,
     end: dt.date | None = None,
     min_magnitude: float = BACKFILL_MIN_MAGNITUDE,
-    limit: int = BACKFILL_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The historical query: start <= time <= end, magnitude >= min, oldest first,
-    at most ``limit`` rows (the feed's per-request cap). ``end`` defaults to as_of.
-    The bounds are plain literals on the raw columns, so they push down to Parquet.
+    """The historical query: start <= time <= end, magnitude >= min. ``end`` defaults to as_of.
+
+    All rows, in no order: landed history has no request limit.  A ``limit``, where a caller
+    wants one, takes the oldest rows (a top-k).  The bounds are plain literals on the raw
+    columns, so they push down to Parquet.
     """
-    end = end or params.as_of
-    start_ms = _epoch_ms(start)
-    end_ms = _epoch_ms(end)
-    return (
-        history.filter(
-            (F.col("event_time") >= start_ms)
-            & (F.col("event_time") <= end_ms)
-            & (F.col("magnitude") >= min_magnitude)
-        )
-        .orderBy("event_time", "event_id")
-        .limit(limit)
+    found = history.filter(
+        (F.col("event_time") >= _epoch_ms(start))
+        & (F.col("event_time") <= _epoch_ms(end or params.as_of))
+        & (F.col("magnitude") >= min_magnitude)
     )
+    return found if limit is None else found.orderBy("event_time", "event_id").limit(limit)
 
 
 def _epoch_ms(d: dt.date) -> int:

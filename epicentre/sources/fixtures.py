@@ -66,9 +66,8 @@ def _base(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_from_events(events: DataFrame, params: RunParams | None = None) -> DataFrame:
+def raw_from_events(events: DataFrame, params: RunParams) -> DataFrame:
     """29 raw columns; ingest/created/updated stamps all equal ``params.run_ts``."""
-    params = params or RunParams()
     base = _base(events)
     types = dict(RAW_FIELDS)
     cols = [F.expr(_RAW_EXPR[c]).cast(types[c]).alias(c) for c in RAW_COLUMNS[:26]]
@@ -77,12 +76,12 @@ def raw_from_events(events: DataFrame, params: RunParams | None = None) -> DataF
     return base.select(*cols)
 
 
-def feed_from_events(events: DataFrame, params: RunParams | None = None) -> DataFrame:
+def feed_from_events(events: DataFrame, params: RunParams) -> DataFrame:
     """The 27 feed columns (what a flattened snapshot carries)."""
     return raw_from_events(events, params).drop("created_at", "updated_at")
 
 
-def load_raw(spark: SparkSession, sf_dir: str, params: RunParams | None = None) -> DataFrame:
+def load_raw(spark: SparkSession, sf_dir: str, params: RunParams) -> DataFrame:
     return raw_from_events(read_table(spark, sf_dir, "events"), params)
 
 
@@ -95,6 +94,7 @@ def load_raw(spark: SparkSession, sf_dir: str, params: RunParams | None = None)
 A_BEFORE_MS = 1705795200000  # 2024-01-21 00:00:00 UTC
 B_FROM_MS = 1704931200000  # 2024-01-11 00:00:00 UTC
 NEWER_NETWORKS, STALE_NETWORK, LATE_NETWORK = ("cl", "vi"), "er", "pu"
+C_FROM_MS = 1706227200000  # 2024-01-26 00:00:00 UTC
 _REVISION_MS = 8_640_000_000  # 100 days, in ms
 
 
@@ -119,3 +119,21 @@ def batch_b(feed: DataFrame) -> DataFrame:
             .when(is_late, upd + 1000).otherwise(upd),
         }
     )
+
+
+def batch_c(feed: DataFrame) -> DataFrame:
+    """A third snapshot: the events from 2024-01-26 on, those of one network updated past any revision above."""
+    late = F.col("network") == LATE_NETWORK
+    return feed.filter(F.col("event_time") >= C_FROM_MS).withColumns({
+        "magnitude": F.when(late, F.col("magnitude") + 0.25).otherwise(F.col("magnitude")),
+        "updated_time": F.when(late, F.col("updated_time") + 2 * _REVISION_MS).otherwise(F.col("updated_time"))})
+
+
+def flawed_raw(raw: DataFrame) -> DataFrame:
+    """Every 40th event twice, and titles and magnitude types of every 30th far past their declared length."""
+    number = F.col("event_code").cast("bigint")
+    long = number % 30 == 0
+    flawed = raw.withColumns({
+        "title": F.when(long, F.repeat("title", 200)).otherwise(F.col("title")),
+        "mag_type": F.when(long, F.repeat("mag_type", 6)).otherwise(F.col("mag_type"))})
+    return flawed.unionByName(flawed.filter(number % 40 == 0))

@@ -1,194 +1,213 @@
-"""Written tables in the shared folder, one directory per version.
+"""Written tables in the shared folder.
 
-Overwriting a Parquet path that the same plan reads deletes its input, so every
-write goes to a new ``v<N>`` directory and readers take the newest complete one
-(Spark's committer leaves ``_SUCCESS`` last). Old versions stay for readers in
-flight. Listing goes through the Hadoop FileSystem API, so any shared file
-system (HDFS, S3A, ABFS, local in tests) works.
+Nothing is ever written over files that a reader may hold.  A plain table is a directory for
+each version, complete once Spark's ``_SUCCESS`` is there.  A keyed table is a base directory
+and a few directories of later rows; one small text names them, and a commit writes new files
+first and then the next text.  A run that dies before that leaves the old table whole.  Old
+versions are removed when newer ones have been committed ``keep`` times.
+
+This covers one writer for each table on any Hadoop file system.  Where the session has a table
+format with MERGE, use that instead: the operators give it the same changed rows.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+COMMIT = "__commit"
+
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    # -- file system helpers (driver-side metadata only) --
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
+
+    # -- the file system, for small metadata on the driver --
+    def _path(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _versions(self, name: str) -> list[int]:
-        fs, p = self._fs(f"{self.root}/{name}")
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if st.isDirectory() and n.startswith("v") and n[1:].isdigit():
-                done, dp = self._fs(f"{st.getPath().toString()}/_SUCCESS")
-                if done.exists(dp):
-                    out.append(int(n[1:]))
-        return sorted(out)
-
-    def path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v{version:06d}"
+    def names(self, path: str) -> list[str]:
+        fs, p = self._path(path)
+        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
-    def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
+    def complete(self, path: str) -> bool:
+        fs, p = self._path(f"{path}/_SUCCESS")
+        return fs.exists(p)
 
-    def version(self, name: str) -> int | None:
-        v = self._versions(name)
-        return v[-1] if v else None
+    def remove(self, path: str) -> None:
+        fs, p = self._path(path)
+        fs.delete(p, True)
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
-        v = self.version(name)
-        if v is None:
-            return None if schema is None else self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(self.path(name, v))
-
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        """Write ``df`` as the next version and return a DataFrame reading it back.
-
-        Reading back cuts the lineage: later stages (and retries after a lost
-        executor) start from the written files, not from the whole upstream plan.
-        """
-        v = (self.version(name) or 0) + 1
-        # a failed earlier attempt may have left an incomplete directory behind
-        fs, p = self._fs(f"{self.root}/{name}")
-        while fs.exists(self._fs(self.path(name, v))[1]):
-            v += 1
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name, v))
-        return self.spark.read.parquet(self.path(name, v))
-
-
-    def put_text(self, name: str, text: str) -> None:
-        """Small metadata (one short text) next to the tables, written by the driver."""
-        fs, p = self._fs(f"{self.root}/_meta/{name}")
-        out = fs.create(p, True)
+    def read_text(self, path: str) -> str:
+        fs, p = self._path(path)
+        stream = fs.open(p)
         try:
-            out.write(bytearray(text.encode("utf-8")))
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
-            out.close()
+            stream.close()
 
-    def get_text(self, name: str) -> str | None:
-        fs, p = self._fs(f"{self.root}/_meta/{name}")
-        if not fs.exists(p):
-            return None
-        jvm = self.spark.sparkContext._jvm
-        stream = fs.open(p)
+    def create_text(self, path: str, text: str) -> None:
+        """A new file, all of it or none; an error if it is there already."""
+        fs, tmp = self._path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+        out = fs.create(tmp, False)
         try:
-            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            out.write(bytearray(text.encode("utf-8")))
         finally:
-            stream.close()
+            out.close()
+        _, final = self._path(path)
+        if fs.exists(final) or not fs.rename(tmp, final):
+            fs.delete(tmp, False)
+            raise RuntimeError(f"{path} was committed by another writer")
 
-    def write_measured(self, name: str, df: DataFrame, **extra) -> tuple:
-        """``write`` that also returns (rows, approximate bytes, {extra aggregates}).
+    # -- plain tables --
+    def _versions(self, name: str) -> list[str]:
+        return [n for n in self.names(f"{self.root}/{name}") if n.startswith("v") and n[1:].isdigit()]
 
-        The sizes are observed while the write runs (``DataFrame.observe``: counted
-        once per successful task), so sizing a written table costs no extra job.
-        """
-        import uuid
+    def _newest(self, name: str) -> str | None:
+        return next((v for v in reversed(self._versions(name)) if self.complete(f"{self.root}/{name}/{v}")), None)
 
-        from pyspark.sql import Observation
-        from pyspark.sql import functions as F
-
-        from epicentre.operators.merge import row_size_parts
-
-        fixed, width = row_size_parts(df)
-        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-        observed = df.observe(
-            obs,
-            F.count(F.lit(1)).alias("__rows"),
-            F.sum(width).alias("__bytes"),
-            *[col.alias(k) for k, col in extra.items()],
-        )
-        out = self.write(name, observed)
-        m = obs.get
-        rows = int(m["__rows"] or 0)
-        return out, rows, rows * fixed + int(m["__bytes"] or 0), {k: m[k] for k in extra}
-
-
-class LiveTable:
-    """A keyed table kept in one directory, hash-partitioned by key bucket.
-
-    Incremental merges replace only the bucket directories that hold changed
-    rows (dynamic partition overwrite: Spark writes a staging copy and swaps the
-    touched partitions at job commit, after every read of them finished). A full
-    rebuild starts a new generation directory, so buckets that become empty do
-    not survive it. The bucket count is part of the directory name
-    (``live-b<N>-g<gen>``): a key always maps to the same bucket of a generation.
+    def exists(self, name: str) -> bool:
+        return self._newest(name) is not None
+
+    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
+        v = self._newest(name)
+        if v is None:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        return self.spark.read.parquet(f"{self.root}/{name}/{v}")
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write the next version and read it back, which cuts the lineage."""
+        have = self._versions(name)
+        path = f"{self.root}/{name}/v{int(have[-1][1:]) + 1 if have else 1:06d}"
+        df.write.parquet(path)
+        for v in self._versions(name)[: -self.keep]:
+            self.remove(f"{self.root}/{name}/{v}")
+        return self.spark.read.parquet(path)
+
+    def scratch(self, name: str, df: DataFrame) -> DataFrame:
+        """An intermediate result, written and read back; drop_scratch() removes it."""
+        path = f"{self.root}/_scratch/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_scratch(self) -> None:
+        """What earlier steps left for themselves; call it when no DataFrame on it is in use."""
+        self.remove(f"{self.root}/_scratch")
+
+
+class KeyedTable:
+    """Rows by key, with small commits: a base, and directories of rows written since.
+
+    A commit appends the rows that it changed or added, whole, stamped with a number that
+    always rises.  A reader takes the base without the keys that came later, and of these the
+    newest row.  compact() writes a new base when what came later has grown to a part of it, so
+    a row is rewritten a bounded number of times however small the commits are.
     """
 
-    def __init__(self, store: TableStore, name: str, key: str, column: str = "key_bucket"):
-        self.store, self.name, self.key, self.column = store, name, key, column
-
-    def _generations(self) -> list[tuple[int, int, str]]:
-        fs, p = self.store._fs(f"{self.store.root}/{self.name}")
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            parts = n.split("-")
-            if st.isDirectory() and len(parts) == 3 and parts[0] == "live" and parts[1][1:].isdigit() \
-                    and parts[2][1:].isdigit():
-                done, dp = self.store._fs(f"{st.getPath().toString()}/_SUCCESS")
-                if done.exists(dp):
-                    out.append((int(parts[2][1:]), int(parts[1][1:]), st.getPath().toString()))
-        return sorted(out)
-
-    def current(self) -> tuple[int, int, str] | None:
-        g = self._generations()
-        return g[-1] if g else None
-
-    def buckets(self, default: int) -> int:
-        cur = self.current()
-        return cur[1] if cur else default
-
-    def bucket_of(self, n_buckets: int):
-        from pyspark.sql import functions as F
-
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(n_buckets)).cast("int")
-
-    def read(self, with_bucket: bool = False) -> DataFrame | None:
-        cur = self.current()
-        if cur is None:
+    #: Compact when so many commits, or rows of this share of the base, have come.
+    MAX_COMMITS, MAX_SHARE = 16, 0.25
+
+    def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None):
+        self.store, self.name, self.key, self.order_by = store, name, key, order_by
+        self.root = f"{store.root}/{name}"
+
+    def state(self) -> dict | None:
+        """The newest manifest: base, base_rows, commits [[directory, number, rows]], last, notes."""
+        have = [n for n in self.store.names(f"{self.root}/manifests") if n.endswith(".json")]
+        return json.loads(self.store.read_text(f"{self.root}/manifests/{have[-1]}")) if have else None
+
+    def _put(self, state: dict) -> None:
+        folder = f"{self.root}/manifests"
+        have = [n for n in self.store.names(folder) if n.endswith(".json")]
+        number = int(have[-1][:-5]) + 1 if have else 1
+        self.store.create_text(f"{folder}/{number:08d}.json", json.dumps(state))
+        for old in have[: -self.store.keep]:
+            self.store.remove(f"{folder}/{old}")
+        used = {"manifests"}
+        for n in self.store.names(folder):
+            if n.endswith(".json"):
+                s = json.loads(self.store.read_text(f"{folder}/{n}"))
+                used |= {s["base"], *(c[0] for c in s["commits"])}
+        for n in set(self.store.names(self.root)) - used:
+            self.store.remove(f"{self.root}/{n}")
+
+    def _write(self, df: DataFrame, ordered: bool) -> tuple[str, int]:
+        from pyspark.sql import Observation
+
+        seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        if ordered and self.order_by:
+            df = df.repartitionByRange(*self.order_by, self.key).sortWithinPartitions(*self.order_by)
+        else:
+            df = df.hint("rebalance")
+        folder = uuid.uuid4().hex[:16]
+        df.write.parquet(f"{self.root}/{folder}")
+        return folder, int(seen.get["n"] or 0)
+
+    def exists(self) -> bool:
+        return self.state() is not None
+
+    def last_commit(self) -> int:
+        s = self.state()
+        return s["last"] if s else 0
+
+    def notes(self) -> dict:
+        s = self.state()
+        return s["notes"] if s else {}
+
+    def read(self, with_commit: bool = False, since: int | None = None, state: dict | None = None) -> DataFrame | None:
+        """The current rows; with ``since``, only those written by later commits."""
+        s = state or self.state()
+        if s is None:
             return None
-        df = self.store.spark.read.parquet(cur[2])
-        return df if with_bucket else df.drop(self.column)
-
-    def _write(self, df: DataFrame, path: str, dynamic: bool, sort_by: list[str]) -> None:
-        # one task per bucket: one file per touched bucket, no small-file spray
-        out = df.repartition(self.column).sortWithinPartitions(self.column, *sort_by)
-        w = out.write.mode("overwrite" if dynamic else "errorifexists").partitionBy(self.column)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        w.parquet(path)
-
-    def rebuild(self, df: DataFrame, n_buckets: int, sort_by: list[str] | None = None) -> None:
-        """Write ``df`` (without bucket column) as a new generation."""
-        cur = self.current()
-        gen = (cur[0] if cur else 0) + 1
-        fs, _ = self.store._fs(self.store.root)
-        path = f"{self.store.root}/{self.name}/live-b{n_buckets}-g{gen:06d}"
-        while fs.exists(self.store._fs(path)[1]):
-            gen += 1
-            path = f"{self.store.root}/{self.name}/live-b{n_buckets}-g{gen:06d}"
-        self._write(df.withColumn(self.column, self.bucket_of(n_buckets)), path, False, sort_by or [])
-
-    def replace_buckets(self, df: DataFrame, sort_by: list[str] | None = None) -> None:
-        """Replace the buckets present in ``df`` (which carries the bucket column)."""
-        cur = self.current()
-        if cur is None:
-            raise ValueError(f"{self.name}: no generation to merge into")
-        self._write(df, cur[2], True, sort_by or [])
+        spark = self.store.spark
+        base = spark.read.parquet(f"{self.root}/{s['base']}")
+        later = [c for c in s["commits"] if since is None or c[1] > since]
+        if since is not None:
+            base = base.where(F.col(COMMIT) > since) if s["base_commit"] > since else None
+        out = base
+        if later:
+            new = spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{c[0]}" for c in later])
+            keys = new.select(self.key)
+            if len(later) > 1:
+                others = [c for c in new.columns if c not in (self.key, COMMIT)]
+                newest = new.groupBy(self.key).agg(F.max(F.struct(COMMIT, *others)).alias("__row"))
+                new = newest.select(*[F.col(self.key) if c == self.key else F.col(f"__row.{c}").alias(c) for c in new.columns])
+            # the base streams past the keys of the later commits, which compact() keeps few
+            out = new if base is None else base.join(keys, self.key, "left_anti").select(*base.columns).unionByName(new, allowMissingColumns=True)
+        if out is None:
+            out = spark.read.parquet(f"{self.root}/{s['base']}").limit(0)
+        return out if with_commit else out.drop(COMMIT)
+
+    def rebuild(self, df: DataFrame, notes: dict | None = None) -> None:
+        """Replace the whole table."""
+        last = self.last_commit() + 1
+        folder, rows = self._write(df.withColumn(COMMIT, F.lit(last).cast("long")), True)
+        self._put({"base": folder, "base_rows": rows, "base_commit": last, "commits": [], "last": last, "notes": notes or {}})
+
+    def commit(self, rows: DataFrame, notes: dict | None = None) -> int:
+        """Add changed or new rows, one for each key; gives their number.  No rows, no commit."""
+        s = self.state()
+        last = s["last"] + 1
+        folder, n = self._write(rows.withColumn(COMMIT, F.lit(last).cast("long")), False)
+        if not n:
+            self.store.remove(f"{self.root}/{folder}")
+            if notes is not None and notes != s["notes"]:
+                self._put(s | {"notes": notes})
+            return 0
+        self._put(s | {"commits": [*s["commits"], [folder, last, n]], "last": last, "notes": s["notes"] if notes is None else notes})
+        if len(s["commits"]) + 1 >= self.MAX_COMMITS or n + sum(c[2] for c in s["commits"]) > self.MAX_SHARE * max(s["base_rows"], 1):
+            self.compact()
+        return n
+
+    def compact(self) -> None:
+        """Write the current rows as a new base; each keeps the number of its commit."""
+        s = self.state()
+        if s["commits"]:
+            folder, rows = self._write(self.read(with_commit=True, state=s), True)
+            self._put(s | {"base": folder, "base_rows": rows, "base_commit": s["last"], "commits": []})

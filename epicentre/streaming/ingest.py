@@ -16,37 +16,48 @@ from pyspark.sql.streaming import StreamingQuery
 
 from epicentre.params import RunParams
 from epicentre.plans.pipeline import Pipeline
-from epicentre.schemas import FEATURE_COLLECTION_SCHEMA
-from epicentre.sources.feed import flatten
+from epicentre.sources.feed import accepted, flatten, parse_collections
 from epicentre.sources.store import TableStore
 
+Clock = Callable[[int], RunParams]
 
-def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = 1,
-                    multiline: bool = False) -> DataFrame:
-    reader = spark.readStream.schema(FEATURE_COLLECTION_SCHEMA).option("multiLine", multiline)
+
+def wall_clock(epoch_id: int) -> RunParams:
+    """All dates of a micro-batch from the moment it runs (UTC)."""
+    return RunParams.at(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+
+def epoch_clock(start: dt.datetime, step: dt.timedelta) -> Clock:
+    """start + epoch * step (deterministic replays)."""
+    return lambda epoch: RunParams.at(start + epoch * step)
+
+
+def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landed files' texts; a trigger takes all that have come unless it is told otherwise."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing)
+    return reader.text(landing, wholetext=True)
 
 
-def upsert_batch(store: TableStore, params: RunParams,
+def upsert_batch(store: TableStore, clock: Clock,
                  transform_every: dt.timedelta | None = None) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch body: flatten, upsert; optionally chain the model build.
+    """The foreachBatch body: parse, flatten, upsert; optionally chain the model build.
 
     With ``transform_every`` the marts are rebuilt after a batch whose stamp is at
     least that far past the previous build (the 10-minute transform cadence),
-    and always after the first batch of a (re)started query.
+    and always after the first batch of a (re)started query. A malformed document fails the
+    batch, which is then run again when the file has been put right.
     """
     last_build: list[dt.datetime] = []
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        p = params.extra.get("run_ts_of_epoch", lambda e: params.run_ts)
-        run_params = params.with_run_ts(p(epoch_id))
+        params = clock(epoch_id)
         pipe = Pipeline(batch.sparkSession, store)
-        pipe.ingest(flatten(batch, run_params.run_ts_col()), run_params)
-        if transform_every is not None and (not last_build or run_params.run_ts - last_build[-1] >= transform_every):
-            pipe.run(run_params)
-            last_build.append(run_params.run_ts)
+        pipe.ingest(flatten(accepted(parse_collections(batch)), params.run_ts_col()), params)
+        if transform_every is not None and (not last_build or params.run_ts - last_build[-1] >= transform_every):
+            pipe.run(params)
+            last_build.append(params.run_ts)
 
     return run
 
@@ -56,28 +67,20 @@ def start_ingest(
     landing: str,
     store: TableStore,
     checkpoint: str,
-    params: RunParams | None = None,
+    clock: Clock = wall_clock,
     available_now: bool = False,
     interval: str = "5 minutes",
-    max_files_per_trigger: int | None = 1,
-    multiline: bool = False,
+    max_files_per_trigger: int | None = None,
     transform_every: dt.timedelta | None = None,
 ) -> StreamingQuery:
     """Start the ingest query (service: every ``interval``; tests: available-now).
 
-    ``params.extra['run_ts_of_epoch']`` may map the epoch id to the audit stamp;
-    by default every batch is stamped ``params.run_ts``.
+    ``clock`` gives each micro-batch its dates, by default the time at which it runs.
     """
-    params = params or RunParams()
     writer = (
-        snapshot_stream(spark, landing, max_files_per_trigger, multiline)
-        .writeStream.foreachBatch(upsert_batch(store, params, transform_every))
+        snapshot_stream(spark, landing, max_files_per_trigger)
+        .writeStream.foreachBatch(upsert_batch(store, clock, transform_every))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
-
-
-def epoch_clock(start: dt.datetime, step: dt.timedelta) -> Callable[[int], dt.datetime]:
-    """Audit stamps start + epoch * step (deterministic replays)."""
-    return lambda epoch: start + epoch * step

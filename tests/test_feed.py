@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from epicentre.params import RunParams
@@ -46,7 +47,7 @@ def test_flatten_edge_cases(spark):
 def test_documents_round_trip_and_bounded_size(spark, sf001):
     from epicentre.sources.fixtures import feed_from_events, read_table
 
-    feed = feed_from_events(read_table(spark, sf001, "events"), RunParams(run_ts=STAMP))
+    feed = feed_from_events(read_table(spark, sf001, "events"), RunParams.at(STAMP))
     docs = fd.to_documents(feed, per_document=100)
     sizes = docs.select(F.size(F.from_json("value", "features array<string>").features).alias("n"))
     assert sizes.count() == 10 and sizes.agg(F.max("n")).first()[0] < 200
@@ -57,17 +58,58 @@ def test_documents_round_trip_and_bounded_size(spark, sf001):
 def test_written_snapshot_reads_back(spark, sf001):
     from epicentre.sources.fixtures import feed_from_events, read_table
 
-    feed = feed_from_events(read_table(spark, sf001, "events"), RunParams(run_ts=STAMP))
+    feed = feed_from_events(read_table(spark, sf001, "events"), RunParams.at(STAMP))
     path = scratch_path(spark, "t-snap")
     fd.write_snapshot(feed, path)
-    back = fd.flatten(fd.read_collections(spark, path), F.lit(STAMP).cast("timestamp_ntz"))
+    back = fd.flatten(fd.accepted(fd.parse_collections(fd.read_texts(spark, path))), F.lit(STAMP).cast("timestamp_ntz"))
     assert back.count() == feed.count()
 
 
 def test_backfill_slice(spark):
     rows = [(f"e{i}", float(i % 5), 1704067200000 + i * 1000) for i in range(50)]
     hist = spark.createDataFrame(rows, "event_id string, magnitude double, event_time long")
-    out = fd.backfill_slice(hist, RunParams(), min_magnitude=2.5, limit=7).collect()
+    assert fd.backfill_slice(hist, RunParams.at(STAMP), min_magnitude=2.5).count() == 20  # all, without a limit
+    assert "Sort" not in fd.backfill_slice(hist, RunParams.at(STAMP))._jdf.queryExecution().executedPlan().toString()
+    out = fd.backfill_slice(hist, RunParams.at(STAMP), min_magnitude=2.5, limit=7).collect()
     assert len(out) == 7 and all(r.magnitude >= 2.5 for r in out)
     assert [r.event_time for r in out] == sorted(r.event_time for r in out)
     assert out[0].event_id == "e3"
+
+
+ONE = {"type": "FeatureCollection", "features": [{"id": "a", "properties": {"mag": 1.0}, "geometry": None}, {"id": "b"}]}
+
+
+def _read(spark, folder):
+    return fd.parse_collections(fd.read_texts(spark, str(folder)))
+
+
+def _ids(docs):
+    return sorted(r.event_id for r in fd.flatten(docs, F.lit(STAMP).cast("timestamp_ntz")).collect())
+
+
+@pytest.mark.parametrize("text", [json.dumps(ONE), json.dumps(ONE, indent=2), json.dumps(ONE, indent=2).replace("\n", "\r\n"), "\n" + json.dumps(ONE) + "\n\n"])
+def test_any_layout_of_one_document(spark, tmp_path, text):
+    (tmp_path / "feed.json").write_text(text)
+    assert _ids(fd.accepted(_read(spark, tmp_path))) == ["a", "b"]
+
+
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "feed.json").write_text(json.dumps(ONE) + "\n" + json.dumps(ONE))
+    assert _ids(fd.accepted(_read(spark, tmp_path))) == ["a", "a", "b", "b"]
+
+
+@pytest.mark.parametrize("bad", [json.dumps(ONE)[:-5], json.dumps(ONE, indent=2)[:-9], " ", "no json", "[1]", "{}", json.dumps({"features": None}), json.dumps(ONE).replace("1.0", '"high"')])
+def test_malformed_documents_are_raised_or_handed_back(spark, tmp_path, bad):
+    (tmp_path / "bad.json").write_text(bad)
+    (tmp_path / "good.json").write_text(json.dumps(ONE))
+    docs = _read(spark, tmp_path)
+    assert [r.malformed for r in fd.rejects(docs).collect()] == [bad]
+    assert _ids(docs) == ["a", "b"]
+    with pytest.raises(fd.MalformedFeed, match="1 feed documents"):
+        fd.accepted(docs)
+
+
+def test_only_the_malformed_line_is_handed_back(spark, tmp_path):
+    (tmp_path / "feed.json").write_text(json.dumps(ONE) + "\n" + json.dumps(ONE)[:30] + "\n" + json.dumps(ONE))
+    docs = _read(spark, tmp_path)
+    assert _ids(docs) == ["a", "a", "b", "b"] and fd.rejects(docs).count() == 1

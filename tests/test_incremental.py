@@ -1,25 +1,25 @@
 """Late-data laws of the incremental models (sf0.001 fixture batches)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from epicentre.plans import catalog as C
-from epicentre.plans.pipeline import DAILY, FACT, Pipeline
+from epicentre.plans.pipeline import DAILY, FACT, MissingTable, Pipeline
 from epicentre.session import scratch_path
-from epicentre.sources.store import TableStore
+from epicentre.sources.store import KeyedTable, TableStore
 
 
-def _two_runs(spark, sf, select):
+def _two_runs(spark, sf, select, second=C.P2):
     pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-inc")))
     a, b = C._two_batches(spark, sf)
     pipe.ingest(a, C.P1)
     pipe.run(C.P1, select)
     first = {}
     if FACT in select:
-        # pin generation 1 as a frozen copy: later merges rewrite buckets in place
-        first[FACT] = pipe.store.write("fct_after_run1", pipe.fact.read())
+        first[FACT] = pipe.fact.read()  # stays readable: commits never touch written files
     if DAILY in select:
         first[DAILY] = pipe.store.read(DAILY)
-    pipe.ingest(b, C.P2)
+    pipe.ingest(b, second)
     return pipe, first, a, b
 
 
@@ -95,32 +95,112 @@ def test_full_refresh_equals_one_shot_build(spark, sf001):
     assert rounded(refreshed[DAILY]).exceptAll(rounded(d1)).count() == 0
 
 
-def _files(spark, path):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(p, True)
-    out = set()
-    while it.hasNext():
-        out.add(it.next().getPath().toString())
-    return out
+def test_commits_hold_only_what_changed(spark, sf001):
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-replay")))
+    a, b = C._two_batches(spark, sf001)
+    pipe.raw.MAX_SHARE = 10  # no compaction here
+    assert pipe.ingest(a, C.P1) == {"committed": 702, "rejected": 0}
+    before = pipe.raw.read()
+    assert pipe.ingest(b, C.P2)["committed"] == 298 + 210  # new, and strictly newer
+    held = pipe.raw.state()
+    assert pipe.ingest(b, C.P2)["committed"] == 0  # the same snapshot again
+    assert pipe.raw.state() == held
+    some = pipe.raw_table().orderBy("event_id").limit(100).withColumn("updated_time", F.col("updated_time") + 10**13)
+    some = pipe.store.scratch("some", some)
+    assert pipe.ingest(some.drop("created_at", "updated_at"), C.P2)["committed"] == 100
+    assert pipe.raw.state()["commits"][-1][2] == 100
+    assert before.count() == 702 and before.agg(F.max("updated_at")).first()[0] == C.P1.run_ts  # read before, still whole
+
+
+def test_compaction_and_retention(spark, sf001):
+    store = TableStore(spark, scratch_path(spark, "t-compact"), keep=2)
+    t = KeyedTable(store, "t", "k")
+    rows = lambda *r: spark.createDataFrame(r, "k int, v string")
+    t.rebuild(rows((1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")))
+    for i in range(6):
+        t.commit(rows((i, f"x{i}")))
+    assert {r.k: r.v for r in t.read().collect()} == {0: "x0", 1: "x1", 2: "x2", 3: "x3", 4: "x4", 5: "x5"}
+    assert t.state()["last"] == 7 and len(t.state()["commits"]) < 6  # grown past its share, and compacted
+    assert {r.k for r in t.read(since=5).collect()} == {4, 5}
+    t.compact()
+    assert t.state()["commits"] == [] and {r.k for r in t.read(since=5).collect()} == {4, 5}
+    folders = [n for n in store.names(t.root) if n != "manifests"]
+    manifests = [n for n in store.names(f"{t.root}/manifests") if n.endswith(".json")]
+    assert len(manifests) <= 3 and len(folders) <= 6
+
+
+def test_failure_before_the_switch_leaves_the_old_table(spark, sf001, monkeypatch):
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-crash")))
+    a, b = C._two_batches(spark, sf001)
+    pipe.ingest(a, C.P1)
+    pipe.run(C.P1, [FACT])
+
+    def crash(*_):
+        raise OSError("lost before the switch")
+
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "create_text", crash)
+        with pytest.raises(OSError, match="lost"):
+            pipe.ingest(b, C.P2)
+    assert pipe.raw_table().count() == 702
+    assert pipe.ingest(b, C.P2)["committed"] == 508  # again, and whole
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "create_text", crash)
+        with pytest.raises(OSError, match="lost"):
+            pipe.run(C.P2, [FACT])
+    out = pipe.run(C.P2, [FACT])[FACT]
+    assert out.count() == pipe.staging(C.P2).count()
 
 
-def test_replayed_snapshot_writes_nothing_and_changes_touch_few_buckets(spark, sf001):
-    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-replay")))
+def test_two_writers_are_noticed(spark):
+    store = TableStore(spark, scratch_path(spark, "t-two"))
+    t = KeyedTable(store, "t", "k")
+    t.rebuild(spark.createDataFrame([(1,)], "k int"))
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.create_text(f"{t.root}/manifests/00000001.json", "{}")
+
+
+def test_rows_without_a_key_are_rejected_and_counted(spark, sf001):
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-null")))
+    a, _ = C._two_batches(spark, sf001)
+    five = a.orderBy("event_code").limit(5).withColumn("event_id", F.lit(None).cast("string"))
+    for n in (1, 2, 3):
+        done = pipe.ingest(a.unionByName(five), C.P1)
+        assert done["rejected"] == 5 and pipe.raw_table().count() == 702
+        assert pipe.rejected().count() == 5 * n
+
+
+def test_missing_parents_raise(spark, sf001):
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-missing")))
+    with pytest.raises(MissingTable, match="raw"):
+        pipe.run(C.P1, [FACT])
+    a, _ = C._two_batches(spark, sf001)
+    pipe.ingest(a, C.P1)
+    with pytest.raises(MissingTable, match="fct"):
+        pipe.run(C.P1, [DAILY])
+    with pytest.raises(MissingTable):
+        pipe.table(DAILY)
+    assert {r.status for r in pipe.quality_report(C.P1).collect() if r.table_name == DAILY} == {"fail"}
+
+
+def test_new_columns_survive_commits_and_compaction(spark, sf001):
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-columns")))
+    pipe.raw.MAX_SHARE = 10
     a, b = C._two_batches(spark, sf001)
     pipe.ingest(a, C.P1)
-    pipe.ingest(b, C.P2)
-    live = pipe.raw.current()[2]
-    before = _files(spark, live)
-    pipe.ingest(b, C.P2)  # the same snapshot again
-    assert _files(spark, live) == before
-    # one newer revision rewrites exactly one bucket directory
-    one = pipe.raw_table().filter(F.col("event_id") == "ev8").withColumn("updated_time", F.col("updated_time") + 1)
-    pipe.ingest(one.drop("created_at", "updated_at"), C.P2)
-    after = _files(spark, live)
-    changed_dirs = {f.rsplit("/", 1)[0] for f in after ^ before}
-    assert len(changed_dirs) == 1
+    pipe.ingest(b.withColumn("note", F.lit("n")), C.P2)
+    one = pipe.raw_table().where("note = 'n'").limit(1).withColumn("updated_time", F.col("updated_time") + 10**13)
+    one = pipe.store.scratch("one", one.drop("created_at", "updated_at", "note"))
+    pipe.ingest(one, C.P3)
+    assert pipe.raw_table().where("note = 'n'").count() == 508
+    pipe.raw.compact()
+    assert pipe.raw_table().where("note = 'n'").count() == 508
+
+
+def test_earlier_stamps_lose_no_rows(spark, sf001):
+    pipe, first, a, b = _two_runs(spark, sf001, [FACT], second=C.P0)
+    out = pipe.run(C.P0, [FACT])[FACT]
+    assert out.count() == 980 == pipe.staging(C.P0).count()
 
 
 def test_backfill_then_stream_chained_transform(spark, sf001):
@@ -133,42 +213,36 @@ def test_backfill_then_stream_chained_transform(spark, sf001):
     a, b = C._two_batches(spark, sf001)
     store = TableStore(spark, f"{root}/tables")
     pipe = Pipeline(spark, store)
-    pipe.backfill(a, C.P1, min_magnitude=0.0, limit=100_000)
+    pipe.backfill(a, C.P1, min_magnitude=0.0)
     assert pipe.raw_table().count() == a.filter(F.col("event_time").isNotNull() & F.col("magnitude").isNotNull()).count()
     fd.write_snapshot(b, f"{root}/landing/s0")
-    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", C.P2, available_now=True,
-                     max_files_per_trigger=None, transform_every=dt.timedelta(minutes=10))
+    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", lambda epoch: C.P2, available_now=True,
+                     transform_every=dt.timedelta(minutes=10))
     q.awaitTermination()
     tables = pipe.tables()
     assert {"fct_earthquakes", "agg_daily_summary", "agg_regional_risk", "agg_hourly_heatmap"} <= set(tables)
     assert tables["fct_earthquakes"].count() == pipe.staging(C.P2).count()
 
 
-def test_watermark_limits_candidates_without_changing_results(spark, sf001):
-    import datetime as dt
-
+def test_only_later_commits_are_candidates(spark, sf001):
     from epicentre.operators.incremental import fact_increment
 
     pipe, first, a, b = _two_runs(spark, sf001, [FACT])
     pipe.run(C.P2, [FACT])
-    fct2 = pipe.store.write("fct_after_run2", pipe.fact.read())
-    # a third run with nothing new: only rows stamped at or after the watermark are candidates
-    p3 = C.P2.with_run_ts(dt.datetime(2024, 1, 31, 0, 10))
-    pipe.run(p3, [FACT])
-    cand = pipe.store.read(FACT + "__candidates")
-    assert 0 < cand.count() < pipe.staging(p3).count()
+    fct2 = pipe.fact.read()
+    assert pipe.raw.read(since=pipe.fact.notes()["raw_commit"]).count() == 0
+    pipe.run(C.P3, [FACT])  # nothing new
     assert pipe.fact.read().exceptAll(fct2).count() == 0
-    # one newer revision after the watermark is taken, exactly as the full rule takes it
-    p4 = C.P2.with_run_ts(dt.datetime(2024, 1, 31, 0, 15))
+    # one newer revision is taken, exactly as the full rule takes it
     row = pipe.raw_table().filter(F.col("event_id") == "ev8").withColumn(
         "updated_time", F.col("updated_time") + 10**12).withColumn("magnitude", F.lit(7.25))
-    before = pipe.store.write("fct_before_run4", pipe.fact.read())
-    pipe.ingest(row.drop("created_at", "updated_at"), p4)
-    expected = fact_increment(pipe.staging(p4), before)
+    row = pipe.store.scratch("row", row.drop("created_at", "updated_at"))
+    pipe.ingest(row, C.P3)
+    expected = fact_increment(pipe.staging(C.P3), fct2)
     assert [r.event_id for r in expected.collect()] == ["ev8"]
-    pipe.run(p4, [FACT])
+    pipe.run(C.P3, [FACT])
     got = pipe.fact.read().filter(F.col("event_id") == "ev8").first()
-    old = before.filter(F.col("event_id") == "ev8").first()
+    old = fct2.filter(F.col("event_id") == "ev8").first()
     # magnitude is a merge column; its category is not and keeps the first load's value
     assert got.magnitude == 7.25 and got.magnitude_category == old.magnitude_category != "major"
 

@@ -1,33 +1,12 @@
 """Aggregate traps: single-row stddev, exact percentiles, score cap, empty KPI."""
 
-import random
-
 from pyspark.sql import functions as F
 
 from epicentre.operators import serving
 from epicentre.operators.marts import regional_risk
-from epicentre.operators.percentile import exact_percentiles
-from epicentre.params import RunParams
 from epicentre.plans import catalog as C
 
 
-def test_exact_percentiles_match_builtin(spark):
-    rnd = random.Random(7)
-    rows = [(rnd.randint(0, 40), rnd.choice([None, rnd.randint(-8, 40) / 4])) for _ in range(3000)]
-    rows += [(99, 1.0), (100, 1.0), (100, 2.0)]
-    df = spark.createDataFrame(rows, "g int, v double")
-    probs = {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}
-    ours = exact_percentiles(df, ["g"], "v", probs)
-    builtin = df.groupBy("g").agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()]).dropna(subset=["p50"])
-    a = {r.g: r for r in ours.collect()}
-    b = {r.g: r for r in builtin.collect()}
-    assert a.keys() == b.keys()
-    for g in a:
-        for n in probs:
-            assert abs(a[g][n] - b[g][n]) < 1e-9, (g, n, a[g][n], b[g][n])
-    assert abs(a[100].p95 - 1.95) < 1e-12
-
-
 def _fct_rows(spark, rows):
     """rows: (region, magnitude, event_date, tsunami)."""
     return spark.createDataFrame(rows, "region string, magnitude double, event_date date, has_tsunami_warning boolean").select(
@@ -41,7 +20,7 @@ def test_risk_cap_and_null_score(spark):
 
     d = dt.date(2024, 1, 30)
     rows = [("hot", 6.5, d, True)] * 12 + [("nodate", 3.0, None, False)]
-    risk = {r.region: r for r in regional_risk(_fct_rows(spark, rows), RunParams()).collect()}
+    risk = {r.region: r for r in regional_risk(_fct_rows(spark, rows), C.P1).collect()}
     hot = risk["hot"]
     assert hot.raw_risk_score > 100 and hot.risk_score == 100.0 and hot.risk_category == "high"
     nd = risk["nodate"]
@@ -54,12 +33,12 @@ def test_single_row_stddev_is_null(spark, sf001):
 
     fct = C._fct(spark, sf001)
     one = fct.limit(1)
-    assert daily_summary(one, RunParams()).first().stddev_magnitude is None
+    assert daily_summary(one, C.P1).first().stddev_magnitude is None
 
 
 def test_kpi_on_empty(spark, sf001):
     fct = C._fct(spark, sf001).limit(0)
-    row = serving.kpi_row(fct, RunParams()).first()
+    row = serving.kpi_row(fct, C.P1).first()
     assert tuple(row) == (0, 0, 0.0, 0.0, 0)
 
 
@@ -74,7 +53,7 @@ def test_recent_windows_have_no_upper_bound(spark):
 
     from epicentre.operators.marts import regional_stats
 
-    p = RunParams(as_of=dt.date(2024, 1, 31))
+    p = C.P1
     rows = [("r", 3.0, dt.date(2024, 2, 10), False), ("r", 3.0, dt.date(2024, 1, 1), False),
             ("r", 3.0, dt.date(2023, 12, 31), False), ("r", 3.0, dt.date(2024, 1, 24), False)]
     r = regional_stats(_fct_rows(spark, rows), p).first()

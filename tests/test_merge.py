@@ -1,4 +1,4 @@
-"""MERGE semantics: conditional update, inserts, stamps, dedupe, both join paths."""
+"""MERGE semantics: conditional update, inserts, stamps, dedupe, broadcast and shuffled joins."""
 
 import datetime as dt
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epicentre.operators.incremental import raw_upsert
-from epicentre.operators.merge import dedupe_latest, merge_upsert
+from epicentre.operators.merge import dedupe_latest, merge_rows, merge_upsert
 from epicentre.params import RunParams
 from epicentre.schemas import FEED_COLUMNS, RAW_SCHEMA
 
@@ -29,17 +29,25 @@ def _feed(spark, rows, stamp=T0):
     return df.select(*cols)
 
 
-@pytest.mark.parametrize("bcast", [64 << 20, None])
-def test_raw_upsert_rules(spark, bcast):
+@pytest.fixture(params=["10m", "-1"])
+def joins(spark, request):
+    """Spark's broadcast threshold: its default, and never."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_raw_upsert_rules(spark, joins):
     empty = spark.createDataFrame([], RAW_SCHEMA)
     first = _feed(spark, [("a", 1.0, 100), ("b", 2.0, 100), ("c", 3.0, None), ("d", 4.0, 100)])
-    raw = raw_upsert(empty, first, RunParams(run_ts=T0), broadcast_max_bytes=bcast)
+    raw = raw_upsert(empty, first, RunParams.at(T0))
     second = _feed(
         spark,
         [("a", 1.5, 200), ("b", 2.5, 100), ("c", 3.5, 300), ("d", 4.5, None), ("e", 5.0, 50)],
         stamp=T1,
     )
-    out = raw_upsert(raw, second, RunParams(run_ts=T1), broadcast_max_bytes=bcast)
+    out = raw_upsert(raw, second, RunParams.at(T1))
     got = {r.event_id: r for r in out.collect()}
     assert set(got) == {"a", "b", "c", "d", "e"}
     # strictly newer: update, bump updated_at, keep ingest/create stamps
@@ -57,8 +65,8 @@ def test_raw_upsert_rules(spark, bcast):
 def test_replay_is_noop(spark):
     empty = spark.createDataFrame([], RAW_SCHEMA)
     batch = _feed(spark, [("a", 1.0, 100), ("b", 2.0, 200)])
-    once = raw_upsert(empty, batch, RunParams(run_ts=T0))
-    twice = raw_upsert(once, batch, RunParams(run_ts=T1))
+    once = raw_upsert(empty, batch, RunParams.at(T0))
+    twice = raw_upsert(once, batch, RunParams.at(T1))
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
 
 
@@ -68,8 +76,8 @@ def test_dedupe_latest(spark):
         "k string, o int, v string",
     )
     got = sorted((r.k or "", r.o, r.v) for r in dedupe_latest(df, "k", "o").collect())
-    # latest per key; null-key rows pass through untouched
-    assert got == [("", 5, "k1"), ("", 6, "k2"), ("a", 3, "y"), ("b", 1, "m")]
+    # latest per key; rows without a key can't be merged and are left out
+    assert got == [("a", 3, "y"), ("b", 1, "m")]
 
 
 def test_dedupe_tie_is_deterministic(spark):
@@ -81,23 +89,25 @@ def test_dedupe_tie_is_deterministic(spark):
 def test_restricted_update_and_schema_evolution(spark):
     tgt = spark.createDataFrame([(1, "old", 10)], "id int, a string, b int")
     src = spark.createDataFrame([(1, "new", 20, "x"), (2, "ins", 30, "y")], "id int, a string, b int, extra string")
-    for bcast in (64 << 20, None):
-        out = merge_upsert(tgt, src, "id", update_cols=["a"], broadcast_max_bytes=bcast)
-        got = {r.id: r for r in out.collect()}
-        assert out.columns == ["id", "a", "b", "extra"]
-        assert (got[1].a, got[1].b, got[1].extra) == ("new", 10, None)  # only `a` updated
-        assert (got[2].a, got[2].b, got[2].extra) == ("ins", 30, "y")
-
-
-def test_broadcast_path_plans_no_target_shuffle(spark):
-    tgt = spark.range(1000).select(F.col("id").cast("int").alias("id"), F.lit("t").alias("v"))
-    src = spark.createDataFrame([(1, "s")], "id int, v string")
-    plan = merge_upsert(tgt, src, "id")._jdf.queryExecution().executedPlan().toString()
+    out = merge_upsert(tgt, src, "id", update_cols=["a"])
+    got = {r.id: r for r in out.collect()}
+    assert out.columns == ["id", "a", "b", "extra"]
+    assert (got[1].a, got[1].b, got[1].extra) == ("new", 10, None)  # only `a` updated
+    assert (got[2].a, got[2].b, got[2].extra) == ("ins", 30, "y")
+    rows = {r.id: r for r in merge_rows(tgt, src, "id").collect()}
+    assert (rows[1].b, rows[1].extra) == (20, "x")
+
+
+def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
+    spark.range(1000).select(F.col("id").cast("int").alias("id"), F.lit("t").alias("v")).write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(1, "s")], "id int, v string").write.parquet(str(tmp_path / "s"))
+    rows = merge_rows(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), "id")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_both_merge_paths_agree_on_random_inputs(spark):
-    """Broadcast and shuffle plans of the same MERGE give the same table."""
+def test_random_inputs_row_by_row(spark, joins):
+    """The merged table is what merging row by row gives, by either join."""
     from hypothesis import given, settings
     from hypothesis import strategies as st
 
@@ -111,12 +121,8 @@ def test_both_merge_paths_agree_on_random_inputs(spark):
         tgt = spark.createDataFrame(trows, "k int, u int, v int")
         src = spark.createDataFrame(srows, "k int, u int, v int")
 
-        def run(bcast):
-            out = merge_upsert(tgt, src, "k", condition=lambda t, s: s("u") > t("u"), broadcast_max_bytes=bcast)
-            return sorted(tuple(r) for r in out.collect())
-
-        small, big = run(64 << 20), run(None)
-        assert small == big
+        out = merge_upsert(tgt, src, "k", condition=lambda t, s: s("u") > t("u"))
+        got = sorted(tuple(r) for r in out.collect())
         # reference semantics, row by row
         t = {r[0]: r for r in trows}
         for k, u, v in srows:
@@ -124,6 +130,6 @@ def test_both_merge_paths_agree_on_random_inputs(spark):
                 t[k] = (k, u, v)
             elif u is not None and t[k][1] is not None and u > t[k][1]:
                 t[k] = (k, u, v)
-        assert small == sorted(t.values())
+        assert got == sorted(t.values())
 
     check()

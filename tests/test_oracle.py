@@ -10,6 +10,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import canon, duck  # noqa: E402
 
+from epicentre.plans import catalog, oracle  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -19,14 +21,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     cols, rows = canon(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(oracle.oracle_sql()[name])
     dcols, drows = canon([d[0] for d in cur.description], cur.fetchall())
     assert cols == dcols
     assert len(rows) == len(drows)
@@ -36,3 +39,15 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 31 and "median_magnitude" in df.columns
+
+
+def test_evidence_is_not_all_zero(spark):
+    """Failing checks, a capped score and updated stamps really occur in the compared rows."""
+    q = catalog.queries()
+    flawed = {(r.check_name): 0 for r in q["dq_report_flawed"](spark, SF).collect()}
+    rows = q["dq_report_flawed"](spark, SF).collect()
+    assert all(any(r.failures for r in rows if r.check_name == c) for c in flawed if c != "not_null")
+    assert all(r.status == "fail" for r in rows if r.table_name == "agg_regional_risk")
+    capped = q["risk_capped"](spark, SF).collect()
+    assert any(r.raw_risk_score > 100 and r.risk_score == 100 for r in capped)
+    assert {r.updated_at for r in q["stream_ingest"](spark, SF).collect()} == {catalog.P1.run_ts, catalog.P2.run_ts}

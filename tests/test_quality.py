@@ -18,8 +18,17 @@ def test_checks_count_failures(spark):
 def test_report_passes_on_fixture(spark, sf001):
     from epicentre.plans import catalog as C
 
-    rep = {(r.table_name, r.column_name, r.check_name): r for r in quality.dq_report(C._tables(spark, sf001)).collect()}
+    rep = {(r.table_name, r.column_name, r.check_name): r for r in quality.dq_report(C._tables(spark, sf001), spark).collect()}
     assert len(rep) == 28
     # staging lets null event times through, so this declared test really fails
     assert rep[("stg_earthquakes", "event_timestamp", "not_null")].status == "fail"
     assert rep[("fct_earthquakes", "event_id", "unique")].status == "pass"
+
+
+def test_absent_tables_fail(spark, sf001):
+    from epicentre.plans import catalog as C
+
+    raw = C._tables(spark, sf001)["raw_earthquakes"]
+    rep = quality.dq_report({"raw_earthquakes": raw}, spark).collect()
+    assert len(rep) == 28
+    assert all((r.status == "fail" and r.failures is None) == (r.table_name != "raw_earthquakes") for r in rep)

@@ -18,7 +18,7 @@ def test_layer_widths_and_types(spark, sf001):
         "date", "boolean", "int", "int")
     fct = C._fct(spark, sf001)
     assert fct.columns == FACT_COLUMNS and len(fct.columns) == 31
-    assert len(C._daily(spark, sf001).columns) == 27
-    risk = C._risk(spark, sf001)
+    assert len(C._warehouse(spark, sf001).table("agg_daily_summary").columns) == 27
+    risk = C._warehouse(spark, sf001).table("agg_regional_risk")
     assert len(risk.columns) == 23 and dict(risk.dtypes)["days_with_data"] == "bigint"
-    assert len(C._heatmap(spark, sf001).columns) == 8
+    assert len(C._warehouse(spark, sf001).table("agg_hourly_heatmap").columns) == 8

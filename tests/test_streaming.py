@@ -1,58 +1,85 @@
-"""Three overlapping snapshots through the stream equal the batch upsert."""
+"""Overlapping snapshots through the stream equal the batch upsert, stamps included."""
+
+import datetime as dt
+
+import pytest
 
 from epicentre.operators.incremental import raw_upsert
 from epicentre.plans import catalog as C
+from epicentre.plans.pipeline import Pipeline
 from epicentre.schemas import RAW_SCHEMA
+from epicentre.session import scratch_path
+from epicentre.sources import feed as fd
+from epicentre.sources.store import TableStore
+from epicentre.streaming.ingest import epoch_clock, start_ingest
+
+
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_stream_equals_batch_upsert(spark, sf001):
-    streamed = C.q_stream_ingest(spark, sf001)
+@pytest.fixture
+def expected(spark, sf001):
     a, b = C._two_batches(spark, sf001)
-    b = b.withColumn("ingested_at", C.P1.run_ts_col())  # the stream stamps every batch with its run time
     empty = spark.createDataFrame([], RAW_SCHEMA)
-    batch = raw_upsert(raw_upsert(empty, a, C.P1), b, C.P1)
-    assert streamed.count() == 1000
-    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    return raw_upsert(raw_upsert(empty, a, C.P1), b, C.P2)
 
 
-def test_stream_one_file_per_trigger(spark, sf001):
-    """One snapshot file per micro-batch (the feed's polling shape) gives the same end state."""
-    from epicentre.session import scratch_path
-    from epicentre.sources import feed as fd
-    from epicentre.sources.store import TableStore
-    from epicentre.streaming.ingest import start_ingest
+def test_stream_equals_batch_upsert(spark, sf001, expected):
+    """Three micro-batches with stamps of their own; the replayed third changes nothing."""
+    assert same(C.q_stream_ingest(spark, sf001), expected)
 
+
+def test_stream_one_file_per_trigger(spark, sf001, expected):
     root = scratch_path(spark, "t-stream")
     a, b = C._two_batches(spark, sf001)
     for i, snap in enumerate((a, b)):
         fd.write_snapshot(snap.coalesce(1), f"{root}/landing/s{i}")
     store = TableStore(spark, f"{root}/tables")
-    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", C.P1, available_now=True,
+    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", lambda epoch: C.P1, available_now=True,
                      max_files_per_trigger=1)
     q.awaitTermination()
-    from epicentre.plans.pipeline import Pipeline
-
     got = Pipeline(spark, store).raw_table()
-    assert got.count() == 1000
-    assert got.exceptAll(C.q_stream_ingest(spark, sf001)).count() == 0
+    stamps = ["ingested_at", "created_at", "updated_at"]
+    assert same(got.drop(*stamps), expected.drop(*stamps))
 
 
 def test_service_mode_trigger(spark, sf001):
     """The long-running form (processing-time trigger) picks up a landed snapshot."""
-    from epicentre.plans.pipeline import Pipeline
-    from epicentre.session import scratch_path
-    from epicentre.sources import feed as fd
-    from epicentre.sources.store import TableStore
-    from epicentre.streaming.ingest import start_ingest
-
     root = scratch_path(spark, "t-service")
     a, _ = C._two_batches(spark, sf001)
     fd.write_snapshot(a, f"{root}/landing/s0")
     store = TableStore(spark, f"{root}/tables")
-    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", C.P1, interval="1 second",
-                     max_files_per_trigger=None)
+    q = start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", interval="1 second")
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    assert Pipeline(spark, store).raw_table().count() == a.count()
+    raw = Pipeline(spark, store).raw_table()
+    assert raw.count() == a.count()
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((raw.first().updated_at - now).total_seconds()) < 600  # the wall clock, not a fixture date
+
+
+def test_the_clock_moves_the_look_back(spark, sf001):
+    """Built 60 days later, no event is within the last 30 days."""
+    root = scratch_path(spark, "t-clock")
+    a, b = C._two_batches(spark, sf001)
+    store = TableStore(spark, f"{root}/tables")
+    clock = epoch_clock(dt.datetime(2024, 1, 31), dt.timedelta(days=60))
+    for i, snap in enumerate((a, b)):
+        fd.write_snapshot(snap, f"{root}/landing/s{i}")
+        start_ingest(spark, f"{root}/landing/*/part-*", store, f"{root}/ckpt", clock, available_now=True,
+                     transform_every=dt.timedelta(minutes=10)).awaitTermination()
+    risk = Pipeline(spark, store).table("agg_regional_risk").collect()
+    assert sum(r.earthquakes_last_30_days for r in risk) == 0 and {r.dbt_updated_at for r in risk} == {dt.datetime(2024, 3, 31)}
+
+
+def test_malformed_snapshot_stops_the_stream(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "x.json").write_text('{"features": [')
+    store = TableStore(spark, str(tmp_path / "tables"))
+    q = start_ingest(spark, str(tmp_path / "landing" / "*"), store, str(tmp_path / "ckpt"), available_now=True)
+    with pytest.raises(Exception, match="can't be read"):
+        q.awaitTermination()
+    assert not Pipeline(spark, store).raw.exists()
