@@ -14,11 +14,13 @@ as they stand there.  An empty table gives an empty result.  Null ids of documen
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,13 @@ WINDOW = 4096
 #: Fixed by the contract: the id that ends a document.
 END_ID = 2
 #: Ids that a task packs at a time.
-BLOCK_IDS = 4 << 20
+BLOCK_IDS = 1 << 20
 #: A window under this share is cut into powers of two.
 MIN_FILL = 0.98
 #: Strings whose ids a worker remembers, in each of two generations.
-CACHE = 300_000
+CACHE = 100_000
 #: Bytes of text that a task turns into ids at a time.
-SLICE = 12 << 20
+SLICE = 6 << 20
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -42,44 +44,48 @@ _stores: dict[str, "_Ids"] = {}
 
 
 class _Ids:
-    """The ids of blank-separated strings, encoded once while they are remembered.
-
-    Of a plain word the lower-cased form is remembered, and a full stop or comma behind it
-    apart from it: the tokenizer lower-cases all text and cuts between letters and other
-    characters.  Other strings are remembered as they are.
-    """
+    """The ids of strings, encoded once while they are remembered."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.encoder, self.young, self.old = Tokenizer.from_file(path), {}, {}
+        # lower-case ASCII words can skip the steps before the model, if these leave them as they are
+        self.model = self.encoder.model
+        probes = ["a", "the", "licensed", "qzxwvj", "abcdefghijklmnopqrstuvwxyz"]
+        self.direct = all(self._direct(w) == self.encoder.encode(w, add_special_tokens=False).ids for w in probes)
+
+    def _direct(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word)]
 
-    def _learn(self, words: list[str]) -> None:
+    def of(self, words: list[str]) -> list[bytes]:
         if len(self.young) > CACHE:  # what wasn't asked for since the last time is forgotten
             self.old, self.young = self.young, {}
-        young, old, new = self.young, self.old, []
-        for w in words:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
+        young, old, out, new, direct = self.young, self.old, [], [], self.direct
+        for k, w in enumerate(words):
+            ids = young.get(w)
+            if ids is None:
+                ids = old.get(w)
+                if ids is None and direct and w.isascii() and w.isalpha() and w.islower():
+                    ids = array("I", self._direct(w)).tobytes()
+                if ids is None:
+                    new.append(k)
                 else:
-                    young[w] = b""
-                    new.append(w)
+                    young[w] = ids
+            out.append(ids)
         for i in range(0, len(new), 8192):
-            for w, e in zip(new[i : i + 8192], self.encoder.encode_batch_fast(new[i : i + 8192], add_special_tokens=False), strict=True):
-                young[w] = array("I", e.ids).tobytes()
+            part = [words[k] for k in new[i : i + 8192]]
+            for k, w, e in zip(new[i : i + 8192], part, self.encoder.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                out[k] = young[w] = array("I", e.ids).tobytes()
+        return out
 
-    def of(self, words: list[str]) -> list[bytes]:
-        parts = []
-        for w in words:
-            core = w[:-1] if w[-1] in ".," else w
-            if core.isascii() and core.isalpha():
-                parts.append((core.lower(), w[-1] if core is not w else None))
-            else:
-                parts.append((w, None))
-        self._learn(list(dict.fromkeys([p for p, _ in parts])) + [".", ","])
-        known = self.young
-        return [known[p] if end is None else known[p] + known[end] for p, end in parts]
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` with these starts and sizes, one after the other."""
+    take = np.repeat(starts - starts_of(sizes), sizes)
+    take += np.arange(len(take))
+    return flat[take]
 
 
 def default_tokenizer() -> str:
@@ -92,19 +98,31 @@ def encode(text: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts (without end marks), one after the other, and how many each text has.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those
-    of its blank-separated strings.
+    of its blank-separated strings.  It also lower-cases all text and cuts between letters and
+    other characters: so of an ASCII word the lower-cased form is looked up, and a full stop or
+    comma behind it apart from it.
     """
     if path not in _stores:
         _stores[path] = _Ids(path)
     codes, distinct, counts = coded_words(text)
-    blobs = _stores[path].of(distinct.to_pylist())
+    if not len(codes):
+        return np.zeros(0, np.uint32), np.zeros(len(counts), np.int64)
+    plain = pc.match_substring_regex(distinct, "^[A-Za-z]+[.,]?$")
+    words = pc.if_else(plain, pc.utf8_rtrim(pc.ascii_lower(distinct), ".,"), distinct)
+    ends = np.where(plain, pc.ends_with(distinct, "."), False) + 2 * np.where(plain, pc.ends_with(distinct, ","), False)
+    looked_up = words.dictionary_encode()
+    blobs = _stores[path].of([*looked_up.dictionary.to_pylist(), "", ".", ","])
     flat = np.frombuffer(b"".join(blobs), dtype="<u4")
     sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
+    starts = starts_of(sizes)
+    # each distinct string is a word and what stands behind it
+    two = np.stack([looked_up.indices.to_numpy().astype(np.int64), ends + len(blobs) - 3], axis=1).reshape(-1)
+    flat = _gather(flat, starts[two], sizes[two])
+    sizes = sizes[two].reshape(-1, 2).sum(axis=1)
     per_word = sizes[codes]
-    take = np.arange(int(per_word.sum()), dtype=np.int64) + np.repeat(starts_of(sizes)[codes] - starts_of(per_word), per_word)
     bounds = np.concatenate([[0], np.cumsum(per_word)])
-    ends = np.cumsum(counts)
-    return flat[take], bounds[ends] - bounds[ends - counts]
+    ends_at = np.cumsum(counts)
+    return _gather(flat, starts_of(sizes)[codes], per_word), bounds[ends_at] - bounds[ends_at - counts]
 
 
 class OpenWindows:
