@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from epicentre.functions import MONDAY_FIRST, epoch_ms_to_ntz
 from epicentre.params import RunParams
 
+# Columns of the dashboard's event reads.
 RECENT_COLUMNS = [
     "event_id", "event_timestamp", "event_date", "magnitude", "magnitude_category",
     "depth_km", "depth_category", "latitude", "longitude", "region", "place",

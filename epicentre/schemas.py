@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 S, D, L, I, TS = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.TimestampNTZType()
 
-# Raw table: 27 columns from the feed + two audit stamps (29). event_id is the key.
+# The raw table's columns, 27 from the feed + two audit stamps (29). event_id is the key.
 RAW_FIELDS: list[tuple[str, T.DataType]] = [
     ("event_id", S),
     ("magnitude", D),
@@ -100,7 +100,7 @@ FEATURE_COLLECTION_SCHEMA = T.StructType(
     [T.StructField("type", S), T.StructField("features", T.ArrayType(FEATURE_SCHEMA))]
 )
 
-# Feed property name for each raw column it fills (raw column -> properties field).
+# Feed property name for each raw column it fills (raw column -> properties field).
 PROPERTY_OF = {
     "magnitude": "mag",
     "mag_type": "magType",
@@ -125,9 +125,10 @@ PROPERTY_OF = {
     "title": "title",
     "detail_url": "detail",
 }
-# coordinates[i] -> raw column
+# coordinates[i] -> raw column
 COORDINATE_COLUMNS = ["longitude", "latitude", "depth_km"]
 
+# The staging view's and the fact's columns, in their order.
 STAGING_COLUMNS = [
     "event_id", "magnitude", "mag_type", "magnitude_category", "place", "longitude",
     "latitude", "depth_km", "depth_category", "region", "event_timestamp", "event_date",
@@ -147,7 +148,7 @@ FACT_COLUMNS = [
     "updated_timestamp", "place", "title", "detail_url", "ingested_at", "dbt_updated_at",
 ]
 
-# The only fact columns an incremental run rewrites for an already known event.
+# The only fact columns an incremental run rewrites for an already known event.
 FACT_MERGE_UPDATE_COLUMNS = [
     "magnitude", "updated_timestamp", "status", "felt_reports", "community_intensity",
     "alert_level", "dbt_updated_at",
