@@ -53,30 +53,30 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    """Compressed; integers in the narrowest type that holds them."""
+    """Compressed: integers in the narrowest type that holds them, hashes as differences, bytes of like weight together."""
     head, body = [struct.pack("<B", len(arrays))], []
     for a in arrays:
-        if a.dtype.kind in "iu" and a.dtype != np.uint64:
+        hashes = a.dtype == np.uint64
+        if hashes:
+            a = np.diff(a, prepend=np.uint64(0))  # small where the hashes are sorted
+        elif a.dtype.kind in "iu":
             a = a.astype(np.min_scalar_type(int(a.max(initial=0))))
-        raw = np.ascontiguousarray(a)
-        planes = raw.view(np.uint8).reshape(len(raw), -1).T if len(raw) and raw.itemsize in (2, 4) else raw  # bytes of like weight together
-        head.append(struct.pack("<2sq", raw.dtype.str[1:].encode(), len(raw)))
-        body.append(np.ascontiguousarray(planes).tobytes())
+        a = np.ascontiguousarray(a)
+        head.append(struct.pack("<?2sq", hashes, a.dtype.str[1:].encode(), len(a)))
+        body.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
     data = b"".join(head + body)
     return struct.pack("<q", len(data)) + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def unpack_arrays(blob: bytes) -> list[np.ndarray]:
     data = pa.decompress(blob[8:], decompressed_size=struct.unpack_from("<q", blob)[0], codec="zstd", asbytes=True)
-    n, at = data[0], 1
-    kinds = [struct.unpack_from("<2sq", data, at + 10 * i) for i in range(n)]
-    at, out = at + 10 * n, []
-    for kind, size in kinds:
+    n, out = data[0], []
+    at = 1 + 11 * n
+    for i in range(n):
+        hashes, kind, size = struct.unpack_from("<?2sq", data, 1 + 11 * i)
         t = np.dtype("<" + kind.decode())
-        raw = np.frombuffer(data, np.uint8, size * t.itemsize, at)
-        if size and t.itemsize in (2, 4):
-            raw = np.ascontiguousarray(raw.reshape(t.itemsize, size).T)
-        out.append(raw.reshape(-1).view(t))
+        a = np.ascontiguousarray(np.frombuffer(data, np.uint8, size * t.itemsize, at).reshape(t.itemsize, size).T).reshape(-1).view(t)
+        out.append(np.cumsum(a, dtype=np.uint64) if hashes else a)
         at += size * t.itemsize
     return out
 
@@ -285,33 +285,36 @@ def _met(left: pa.Table, right: pa.Table) -> tuple[list[Block], dict[tuple[int,
 
 
 def _pair_rows(parts: int, train_docs: int, words: Unigrams):
-    """Pass 2: (part, block, distinct pairs with their counts and P of the words)."""
+    """Pass 2: (part, block, distinct pairs with their counts and the totals of their words)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found, told = _met(left, right)
         rows = []
         for block in found:
             totals = _word_answers(block, parts, told)
-            p1 = words.p(totals)
             ask = PairAsk(block, parts, totals, train_docs, words.tokens)
             counts = np.bincount(ask.token[block.learnt()], minlength=len(ask.keys))
             for part, pairs, h, wide in ask.slices():
                 runs = np.bincount(np.searchsorted(h, ask.h[pairs]), minlength=len(h))
                 w, at = np.unique(ask.w[pairs], return_inverse=True)
-                rows.append((part, left["block"][0].as_py(), pack_arrays(ask.h_hash[h], runs, block.vocab[w], p1[w], at, counts[pairs], ask.h_hash[wide])))
+                rows.append((part, left["block"][0].as_py(), pack_arrays(ask.h_hash[h], runs, block.vocab[w], totals[w], at, counts[pairs], ask.h_hash[wide])))
         return pa.table({k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate((("part", pa.int64()), ("block", pa.int64()), ("ask", pa.binary())))})
 
     return run
 
 
-def _pair_totals(group: pa.Table) -> pa.Table:
+def _pair_totals(words: Unigrams):
     """One partition's pairs: totals, and of contexts that need a backoff weight what it is made of."""
+    return lambda group: _pair_group(group, words)
+
+
+def _pair_group(group: pa.Table, words: Unigrams) -> pa.Table:
     asked = [unpack_arrays(x.as_py()) for x in group["ask"]]
     h = np.concatenate([np.repeat(a[0], a[1]) for a in asked])
     w = np.concatenate([a[2][a[4]] for a in asked])
     keys, first, where = np.unique(mix(h) ^ mix(w + np.uint64(7)) * np.uint64(0xD6E8FEB86659FD93), return_index=True, return_inverse=True)
     totals = np.bincount(where, weights=np.concatenate([a[5] for a in asked]).astype(np.int64), minlength=len(keys)).astype(np.int64)
-    p1 = np.concatenate([a[3][a[4]] for a in asked])[first]
+    p1 = words.p(np.concatenate([a[3][a[4]] for a in asked]).astype(np.int64)[first])
     contexts, of = np.unique(h[first], return_inverse=True)
     seen = totals > 0
     at, n = of[seen], len(contexts)
@@ -406,7 +409,7 @@ def score(docs: DataFrame, learn: str = "learn", held_out: str = "held_out") ->
     rows = d.mapInArrow(_block_rows, "block long, data binary").groupBy("block")
     tell = lambda t: t.select("block", "kind", "part", "told").groupBy("block")
     asked = rows.cogroup(tell(word_told)).applyInArrow(_pair_rows(parts, train_docs, words), "part long, block long, ask binary")
-    pair_told = written(asked.groupBy("part").applyInArrow(_pair_totals, _TOLD), "katz-pairs")
+    pair_told = written(asked.groupBy("part").applyInArrow(_pair_totals(words), _TOLD), "katz-pairs")
     d2 = discounts(_stats(pair_told, CUTOFF + 1))
 
     return rows.cogroup(tell(word_told.unionByName(pair_told))).applyInArrow(_evaluate(parts, train_docs, vocabulary, words, d2), SCORES)
