@@ -2,8 +2,8 @@
 
 A feed file holds one FeatureCollection in any layout, as the feed serves it, or JSON Lines
 with one collection on each line, as ``write_snapshot`` writes them.  Documents that don't
-parse, or hold a value of a wrong type, are never skipped: they are raised or handed back
-as rejects.
+parse, or hold a value of a wrong type, are never skipped: they fail the job that reads them,
+or are handed back as rejects.
 """
 
 from __future__ import annotations
@@ -33,10 +33,6 @@ _CORRUPT = "_corrupt"
 _CHECKED = T.StructType([*FEATURE_COLLECTION_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
 
 
-class MalformedFeed(ValueError):
-    """Feed documents that can't be read, where the caller didn't ask for them as rejects."""
-
-
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row (value) per file; a file of no bytes has none."""
     return spark.read.text(path, wholetext=True)
@@ -66,11 +62,11 @@ def rejects(collections: DataFrame) -> DataFrame:
 
 
 def accepted(collections: DataFrame) -> DataFrame:
-    """The readable documents; raises MalformedFeed if there are others."""
-    n = rejects(collections).count()
-    if n:
-        raise MalformedFeed(f"{n} feed documents can't be read")
-    return collections.where(F.col("malformed").isNull())
+    """All documents as readable ones; whatever reads the features of another fails (in the same pass)."""
+    kind = collections.schema["features"].dataType
+    stop = F.raise_error(F.concat(F.lit("a feed document can't be read: "), F.substring("malformed", 1, 200))).cast(kind)
+    features = F.when(F.col("malformed").isNull(), F.col("features")).otherwise(stop)
+    return collections.select("type", features.alias("features"), F.lit(None).cast("string").alias("malformed"))
 
 
 def flatten(collections: DataFrame, ingested_at: Column) -> DataFrame:
