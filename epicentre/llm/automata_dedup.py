@@ -18,7 +18,8 @@ windows are few (they cross the end of a shared passage or an edited word) and g
 the same steps once more, now with the whole window as the value, which settles them.
 
 Null and empty texts have no words.  Documents with a null id neither lose words nor make
-others lose some; rows that share an id don't either among themselves, each is judged alone.
+others lose some; rows that share an id don't either among themselves, each is judged by its
+own text.
 An empty table gives an empty result.  Texts keep the white space between kept words.
 """
 
@@ -45,8 +46,8 @@ SHARD_WORDS, STREAM_WORDS = 100_000, 1_000_000
 BRIDGE = 25
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_REGION = "ref long, doc_id long, start long, words array<long>"
-_MATCHED = "doc_id long, start long, stop long, words array<long>"
+_REGION = "ref long, doc_id long, row long, start long, words array<long>"
+_MATCHED = "doc_id long, row long, start long, stop long, words array<long>"
 
 
 # -- windows and their values ------------------------------------------------------------
@@ -144,8 +145,8 @@ def _regions(rows, window: int, run: int):
             take = np.arange(int(size.sum())) + np.repeat(offset - starts_of(size), size)
             begin = place[a] + (part.column("start").to_numpy()[row[a]] if "start" in part.schema.names else 0)
             words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(h[take].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ref[a]), pa.array(part.column("doc_id").to_numpy()[row[a]]), pa.array(begin.astype(np.int64)), words], names=["ref", "doc_id", "start", "words"])
+            of = lambda name: pa.array(part.column(name).to_numpy()[row[a]])  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([pa.array(ref[a]), of("doc_id"), of("row"), pa.array(begin.astype(np.int64)), words], names=["ref", "doc_id", "row", "start", "words"])
 
     return go
 
@@ -241,7 +242,7 @@ def _match(window: int, last: bool):
     """One shard: its references' automaton, and what the other documents' regions have in common with it."""
 
     def go(group: pa.Table) -> pa.Table:
-        ref, doc, start = (group[c].to_numpy() for c in ("ref", "doc_id", "start"))
+        ref, doc, line, start = (group[c].to_numpy() for c in ("ref", "doc_id", "row", "start"))
         h, counts = _list(pa.concat_arrays(group["words"].chunks))
         at = starts_of(counts)
         own = np.flatnonzero(ref == doc)
@@ -254,19 +255,19 @@ def _match(window: int, last: bool):
         for r in own:
             automaton.add(codes[at[r] : at[r] + counts[r]].tolist(), int(doc[r]))
         automaton.finish()
-        out: list[tuple[int, int, int, np.ndarray | None]] = []
+        out: list[tuple[int, int, int, int, np.ndarray | None]] = []
         for r in np.flatnonzero(ref != doc).tolist():
             words = codes[at[r] : at[r] + counts[r]].tolist()
             hit = np.array(automaton.covered(words, int(doc[r]), window), np.int64)
             if len(hit):
-                out += [(int(doc[r]), int(start[r] + a), int(start[r] + b), None) for a, b in zip(*_stretches(hit, window, window), strict=True)]
+                out += [(int(doc[r]), int(line[r]), int(start[r] + a), int(start[r] + b), None) for a, b in zip(*_stretches(hit, window, window), strict=True)]
             if not last:
                 rest = np.setdiff1d(np.arange(counts[r] - window + 1), hit)
                 if len(rest):
-                    out += [(int(doc[r]), int(start[r] + a), int(start[r] + b), h[at[r] + a : at[r] + b]) for a, b in zip(*_stretches(rest, window, 1), strict=True)]
-        return pa.table({
-            "doc_id": pa.array([x[0] for x in out], pa.int64()), "start": pa.array([x[1] for x in out], pa.int64()), "stop": pa.array([x[2] for x in out], pa.int64()),
-            "words": pa.array([x[3] for x in out], pa.list_(pa.int64()))})
+                    out += [(int(doc[r]), int(line[r]), int(start[r] + a), int(start[r] + b), h[at[r] + a : at[r] + b]) for a, b in zip(*_stretches(rest, window, 1), strict=True)]
+        types = [pa.int64()] * 4 + [pa.list_(pa.int64())]
+        names = ["doc_id", "row", "start", "stop", "words"]
+        return pa.table({n: pa.array([x[i] for x in out], t) for i, (n, t) in enumerate(zip(names, types, strict=True))})
 
     return go
 
@@ -296,17 +297,20 @@ def _round(source: DataFrame, rows, window: int, run: int, last: bool, name: str
     mine = F.when(is_ref, F.sequence(F.lit(0), F.col("ways") - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id", "start"), F.col("ways")).cast("int")))
     d = d.withColumn("way", F.explode(F.when(F.col("ways").isNull(), F.array(F.lit(-1))).otherwise(mine)))
     d = d.withColumn("shard", F.when(F.col("ways").isNull(), F.pmod(F.xxhash64("ref"), F.lit(shards))).otherwise(F.col("ref")))
-    return written(d.select("shard", "way", "ref", "doc_id", "start", "words").groupBy("shard", "way").applyInArrow(
+    return written(d.select("shard", "way", "ref", "doc_id", "row", "start", "words").groupBy("shard", "way").applyInArrow(
         _match(window, last), _MATCHED), f"substrings-matched{name}")
 
 
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
-    """doc_id, start, stop (words, from 0): what is to be removed; stretches of one document may overlap."""
-    d = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, row, start, stop (words, from 0): what is to be removed; stretches of one document may overlap.
+
+    ``row`` is a hash of the text; it tells rows apart that share an id.
+    """
+    d = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("string").alias("text"))
     once = _round(d, _text_rows, window, run, False, "1")
-    open_ones = once.where("words IS NOT NULL").select("doc_id", "start", "words")
+    open_ones = once.where("words IS NOT NULL").select("doc_id", "row", "start", "words")
     again = _round(open_ones, _word_rows, window, window, True, "2")
-    return once.where("words IS NULL").select("doc_id", "start", "stop").unionByName(again.select("doc_id", "start", "stop"))
+    return once.where("words IS NULL").select("doc_id", "row", "start", "stop").unionByName(again.select("doc_id", "row", "start", "stop"))
 
 
 def _kept_text(text: str, cuts: list[dict]) -> tuple[str, int]:
@@ -339,10 +343,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, remov
     Only texts that lose words are joined with their stretches; the others stay as they are.
     """
     own = docs.columns
-    cuts = repeated_stretches(docs, window, run).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start", "stop")).alias("__cuts"))
+    cuts = repeated_stretches(docs, window, run).groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("start", "stop")).alias("__cuts"))
     cuts = written(cuts, "substrings-cuts")
     seen = may_be_in(docs, "doc_id", cuts.select("__id"), "__near")
-    near = seen.where("__near").drop("__near").join(cuts, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
+    near = seen.where("__near").drop("__near").join(cuts, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__row")), "left").drop("__id", "__row")
     cut = near.where("__cuts IS NOT NULL")
     schema = StructType([f for f in docs.schema if f.name != "text"] + [StructField("text", StringType()), StructField("__gone", LongType())])
     as_was = near.where("__cuts IS NULL").select(*own).unionByName(seen.where("NOT __near").select(*own)).withColumn("__gone", F.lit(0).cast("long"))

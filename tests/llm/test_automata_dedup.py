@@ -61,6 +61,11 @@ def test_odd_inputs(odd_docs, clash, docs_of):
     check(docs_of([(1, long_text), (1, long_text), (None, long_text), (2, long_text.replace(" ", "\n\t ")), (3, "  " + long_text + " tail\n")]))
 
 
+def test_rows_that_share_an_id(docs_of):
+    p, q = (" ".join(f"{c}{i}" for i in range(70)) for c in "pq")
+    check(docs_of([(1, p), (2, f"own words {p}"), (2, q), (2, f"{q} {p}"), (3, q), (3, f"x y z {q}")]))
+
+
 def test_white_space_of_what_is_kept(docs_of):
     passage = " ".join(f"x{i}" for i in range(50))
     df = docs_of([(1, passage), (2, f"head\n one {passage}\n\ntail  end\n"), (3, "as \n it\twas")])
