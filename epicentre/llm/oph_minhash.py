@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import coded_words, mix, slices, starts_of, string_hashes, written
+from epicentre.llm.common import coded_words, may_be_in, mix, slices, starts_of, string_hashes, written
 from epicentre.llm.components import components
 
 #: Fixed by the contract: words of a shingle and least similarity in percent.
@@ -178,8 +178,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     members = written(dealt.join(shared, "bucket"), "minhash-members")
     stars = written(members.where("node != center").groupBy(F.col("center").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("bands")), "minhash-stars")
 
-    needed = members.select("node").distinct().withColumnRenamed("node", "doc_id")
-    sets = written(d.join(needed, "doc_id", "left_semi").mapInArrow(_sets(k), "id long, shingles array<long>, bits array<long>"), "minhash-sets")
+    needed = written(members.select(F.col("node").alias("doc_id")).distinct(), "minhash-needed")
+    near = may_be_in(d, "doc_id", needed, "near").where("near").drop("near")  # most texts share no bucket
+    sets = written(near.join(needed, "doc_id", "left_semi").mapInArrow(_sets(k), "id long, shingles array<long>, bits array<long>"), "minhash-sets")
 
     likely = stars.groupBy("v").agg(F.max(F.struct("bands", (-F.col("u")).alias("u"))).alias("b")).select((-F.col("b.u")).alias("u"), "v")
     links = written(_confirmed(likely, sets, percent), "minhash-links1")
