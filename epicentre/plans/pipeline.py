@@ -9,9 +9,10 @@ follow the rules in ``epicentre.operators.incremental``; ``full_refresh`` rebuil
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from epicentre.operators import incremental as inc
@@ -54,14 +55,15 @@ class Pipeline:
         nothing. Rows without a key are written to a table of rejected rows. Gives the number of
         rows committed and rejected.
         """
-        batch = self.store.scratch("batch", batch)
         no_key = F.col("event_id").isNull()
-        rejected = batch.where(no_key).count()
+        seen = Observation(f"batch-{uuid.uuid4().hex[:8]}")
+        counted = batch.observe(seen, F.count_if(no_key).alias("rejected"))
+        latest = self.store.scratch("latest", dedupe_latest(counted, "event_id", "updated_time"))
+        rejected = int(seen.get["rejected"] or 0)
         if rejected:
             before = self.store.read(REJECTED)
             now = batch.where(no_key).withColumn("rejected_at", params.run_ts_col())
             self.store.write(REJECTED, now if before is None else before.unionByName(now, allowMissingColumns=True))
-        latest = self.store.scratch("latest", dedupe_latest(batch, "event_id", "updated_time"))
         target = self.raw.read()
         if target is None:
             first = inc.raw_changes(self.spark.createDataFrame([], RAW_SCHEMA), latest, params)
