@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import automata_dedup, bond_negatives, katz, langid, license_scan, mixing, oph_minhash, packing, quality_cascade, sharding, uniform_topk
+from epicentre.llm import automata_dedup, bond_negatives, katz, langid, license_scan, mixing, oph_minhash, packing, quality_cascade, sharding, turn_repair, uniform_topk
 from epicentre.llm.common import table, workers_find_us
 
 
@@ -30,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sampled_splitters": _on("documents", sharding.shard_rows),
         "op9_rank_order": _on("documents", langid.identified),
         "op10_quality_cascade": _on("documents", quality_cascade.verdicts),
+        "op11_wagner_fischer": _on("conversations", turn_repair.repaired),
         "op13_bond_scan": _on("embeddings", bond_negatives.hard_negatives),
     }
 
@@ -40,5 +41,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_oph_minhash": oph_minhash.LINKED_SQL,
         "op7_uniform_threshold": uniform_topk.TOP_SCORES_SQL,
         "op10_quality_cascade": quality_cascade.VERDICTS_SQL,
+        "op11_wagner_fischer": turn_repair.REPAIRED_SQL,
         "op13_bond_scan": bond_negatives.HARD_NEGATIVES_SQL,
     }
