@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epicentre.llm import automata_dedup, bond_negatives, katz, langid, license_scan, mixing, oph_minhash, packing, quality_cascade, sharding, turn_repair, uniform_topk
+from epicentre.llm import automata_dedup, bond_negatives, katz, langid, license_scan, mixing, oph_minhash, packing, quality_cascade, sharding, turn_repair, uniform_topk, wrapper_html
 from epicentre.llm.common import table, workers_find_us
 
 
@@ -31,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_rank_order": _on("documents", langid.identified),
         "op10_quality_cascade": _on("documents", quality_cascade.verdicts),
         "op11_wagner_fischer": _on("conversations", turn_repair.repaired),
+        "op12_union_free_wrappers": _on("pages", wrapper_html.page_texts),
         "op13_bond_scan": _on("embeddings", bond_negatives.hard_negatives),
     }
 
@@ -42,5 +43,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_uniform_threshold": uniform_topk.TOP_SCORES_SQL,
         "op10_quality_cascade": quality_cascade.VERDICTS_SQL,
         "op11_wagner_fischer": turn_repair.REPAIRED_SQL,
+        "op12_union_free_wrappers": wrapper_html.PAGE_TEXTS_SQL,
         "op13_bond_scan": bond_negatives.HARD_NEGATIVES_SQL,
     }
