@@ -144,7 +144,7 @@ def q_raw_upsert(spark, sf):
 
 
 def q_raw_rejected_keys(spark, sf):
-    """A batch in which every 50th event has lost its key, ingested twice."""
+    """A batch in which every 50th event has lost its key, ingested twice: each such row is stored once."""
     feed = _feed(spark, sf)
     lost = F.substring("event_id", 3, 20).cast("bigint") % 50 == 0
     batch = feed.withColumn("event_id", F.when(~lost, F.col("event_id")))
@@ -361,6 +361,26 @@ def q_end_to_end_build(spark, sf):
     return _round(_pipeline(spark, sf, [FACT, DAILY, RISK, HEATMAP])[1][RISK], RISK_ROUND)
 
 
+def q_interleaved_build(spark, sf):
+    """Ingest and build as two users of one warehouse: batch B is committed while a build of batch A is at work.
+
+    The risk mart of that build, which sees batch A alone, and of the next.
+    """
+    root = scratch_path(spark, "interleaved")
+    ingest, build = (Pipeline(spark, TableStore(spark, root)) for _ in range(2))
+    a, b = _two_batches(spark, sf)
+    models = [FACT, DAILY, RISK]
+    ingest.ingest(a, P1)
+    began = build.raw.state()
+    with build.store.run() as scratch:
+        begun = scratch.write("begun", build.raw.read(state=began).select("event_id"))
+        ingest.ingest(b, P2)
+        begun.count()  # an ingest leaves the files of a build alone
+        first = build.run(P1, models, raw_state=began)[RISK].withColumn("build", F.lit(1))
+    second = build.run(P2, models)[RISK].withColumn("build", F.lit(2))
+    return _round(first.unionByName(second), RISK_ROUND)
+
+
 def q_end_to_end_heatmap(spark, sf):
     return _pipeline(spark, sf, [FACT, HEATMAP])[1][HEATMAP]
 

@@ -369,7 +369,7 @@ def oracle_sql() -> dict[str, str]:
         "backfill_slice": f"WITH feed AS ({feed_sql()}) SELECT * FROM feed WHERE event_time BETWEEN 1704067200000 AND 1706659200000 AND magnitude >= 2.5",
         "raw_upsert": f"WITH {batches(TS1, TS2)}, {merged_raw(TS1, TS2)} SELECT {raw_cols} FROM raw_ab",
         "raw_rejected_keys": """SELECT 'raw' AS table_name, count(*) AS row_count, count(*) AS keys FROM events WHERE event_id % 50 <> 0
-            UNION ALL SELECT 'rejected', 2 * count(*), 0 FROM events WHERE event_id % 50 = 0""",
+            UNION ALL SELECT 'rejected', count(*), 0 FROM events WHERE event_id % 50 = 0""",
         "schema_evolution": f"""WITH {batches(TS1, TS2)}, raw_a AS (SELECT *, NULL AS review_note FROM ({_raw_of('batch_a', TS1)})),
             raw_ab AS ({_upserted('raw_a', 'batch_b', TS2, (('review_note', "'seen by ' || b.network"),))})
             SELECT t.event_id, if(late, c.magnitude + 0.25, t.magnitude) AS magnitude, if(late, c.updated_time + 17280000000, t.updated_time) AS updated_time,
@@ -418,5 +418,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": f"WITH {batches(TS1, TS2)}, {merged_raw(TS1, TS2)} SELECT {raw_cols} FROM raw_ab",
         "stream_chained_build": two_run_ctes(CHAIN[1], CHAIN[0], CHAIN[1], CHAIN[2], "DATE '2024-02-20'", CHAIN[0]) + _replace_round("risk_ab", RISK_R),
         "end_to_end_build": two + _replace_round("risk_ab", RISK_R),
+        "interleaved_build": two + f""", stats_a AS (SELECT * EXCLUDE (felt) FROM ({stats_sql('fct_a')})), risk_a AS ({risk_sql('stats_a')})
+            SELECT *, 1 AS build FROM ({_replace_round("risk_a", RISK_R)}) UNION ALL BY NAME SELECT *, 2 AS build FROM ({_replace_round("risk_ab", RISK_R)})""",
         "end_to_end_heatmap": two + "SELECT * FROM heatmap_ab",
     }

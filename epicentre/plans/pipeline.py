@@ -23,7 +23,7 @@ from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
 from epicentre.sources.feed import backfill_slice
-from epicentre.sources.store import KeyedTable, TableStore
+from epicentre.sources.store import AppendTable, KeyedTable, TableStore
 
 RAW, FACT, DAILY, RISK, HEATMAP = (
     "raw_earthquakes", "fct_earthquakes", "agg_daily_summary", "agg_regional_risk", "agg_hourly_heatmap",
@@ -46,32 +46,32 @@ class Pipeline:
         self.store = store
         self.raw = KeyedTable(store, RAW, "event_id")
         self.fact = KeyedTable(store, FACT, "event_id", order_by=["event_date"])
+        self.rejects = AppendTable(store, REJECTED, "row_hash")
 
     # -- ingest --
     def ingest(self, batch: DataFrame, params: RunParams) -> dict[str, int]:
         """Upsert one feed batch (the feed columns, and any further ones) into the raw table.
 
         Commits only rows that are new or strictly newer, so a replayed snapshot commits
-        nothing. Rows without a key are written to a table of rejected rows. Gives the number of
-        rows committed and rejected.
+        nothing. Rows without a key go to a table of rejected rows, each once however often it comes
+        again. Gives the number of rows committed, and of rows of this batch that were rejected.
         """
         no_key = F.col("event_id").isNull()
         seen = Observation(f"batch-{uuid.uuid4().hex[:8]}")
         counted = batch.observe(seen, F.count_if(no_key).alias("rejected"))
-        latest = self.store.scratch("latest", dedupe_latest(counted, "event_id", "updated_time"))
-        rejected = int(seen.get["rejected"] or 0)
-        if rejected:
-            before = self.store.read(REJECTED)
-            now = batch.where(no_key).withColumn("rejected_at", params.run_ts_col())
-            self.store.write(REJECTED, now if before is None else before.unionByName(now, allowMissingColumns=True))
-        target = self.raw.read()
-        if target is None:
-            first = inc.raw_changes(self.spark.createDataFrame([], RAW_SCHEMA), latest, params)
-            self.raw.rebuild(first)
-            committed = self.raw.state()["base_rows"]
-        else:
-            committed = self.raw.commit(inc.raw_changes(target, latest, params))
-        self.store.drop_scratch()
+        with self.store.run() as scratch:
+            latest = scratch.write("latest", dedupe_latest(counted, "event_id", "updated_time"))
+            rejected = int(seen.get["rejected"] or 0)
+            if rejected:
+                what = F.to_json(F.struct(*[c for c in sorted(batch.columns) if c != "ingested_at"]))
+                self.rejects.append(batch.where(no_key).withColumns({"row_hash": F.sha2(what, 256), "rejected_at": params.run_ts_col()}))
+            target = self.raw.read()
+            if target is None:
+                first = inc.raw_changes(self.spark.createDataFrame([], RAW_SCHEMA), latest, params)
+                self.raw.rebuild(first)
+                committed = self.raw.state()["base_rows"]
+            else:
+                committed = self.raw.commit(inc.raw_changes(target, latest, params))
         return {"committed": committed, "rejected": rejected}
 
     def backfill(self, history: DataFrame, params: RunParams, **slice_args) -> dict[str, int]:
@@ -83,20 +83,25 @@ class Pipeline:
         return self.spark.createDataFrame([], RAW_SCHEMA) if raw is None else raw
 
     def rejected(self) -> DataFrame | None:
-        return self.store.read(REJECTED)
+        return self.rejects.read()
 
     # -- transform --
     def staging(self, params: RunParams) -> DataFrame:
         return stg_events(self.raw_table(), params)
 
     def run(self, params: RunParams, select: Iterable[str] | None = None,
-            full_refresh: bool = False) -> dict[str, DataFrame]:
-        """Build the selected models (default all) in dependency order; all tables that are there."""
+            full_refresh: bool = False, raw_state: dict | None = None) -> dict[str, DataFrame]:
+        """Build the selected models (default all) in dependency order; all tables that are there.
+
+        The build sees raw as it is at its start, or as ``raw_state`` (an earlier ``raw.state()``)
+        has it, whatever an ingest in another process commits meanwhile; the next build takes that.
+        """
         chosen = _expand(select)
-        if not self.raw.exists():
+        state = raw_state or self.raw.state()
+        if state is None:
             raise MissingTable(RAW)
         if FACT in chosen:
-            self._fact(params, full_refresh)
+            self._fact(params, full_refresh, state)
         fct = self.fact.read()
         if fct is None and chosen & {DAILY, RISK, HEATMAP}:
             raise MissingTable(FACT)
@@ -110,7 +115,7 @@ class Pipeline:
         del out[RAW]
         return out
 
-    def _fact(self, params: RunParams, full_refresh: bool) -> None:
+    def _fact(self, params: RunParams, full_refresh: bool, state: dict) -> None:
         """Rows that raw committed since the last build are the only ones that can be taken.
 
         Any other staging row was judged by an earlier build: it is in the fact at or below its
@@ -118,16 +123,15 @@ class Pipeline:
         rise whatever stamps a caller gives, and the number seen is written in one step with
         the rows that were taken.
         """
-        state = self.raw.state()
         current = None if full_refresh else self.fact.read()
         if current is None:
             self.fact.rebuild(fct_events(stg_events(self.raw.read(state=state), params)), {SEEN: state["last"]})
             return
         recent = stg_events(self.raw.read(since=self.fact.notes().get(SEEN, 0), state=state), params)
-        keys = self.store.scratch("increment-keys", inc.increment_keys(recent, current))
-        increment = self.store.scratch("increment", inc.fact_increment(recent, current, keys))
-        self.fact.commit(inc.fact_changes(current, increment), {SEEN: state["last"]})
-        self.store.drop_scratch()
+        with self.store.run() as scratch:
+            keys = scratch.write("increment-keys", inc.increment_keys(recent, current))
+            increment = scratch.write("increment", inc.fact_increment(recent, current, keys))
+            self.fact.commit(inc.fact_changes(current, increment), {SEEN: state["last"]})
 
     def _daily(self, fct: DataFrame, params: RunParams, full_refresh: bool) -> None:
         current = None if full_refresh else self.store.read(DAILY)

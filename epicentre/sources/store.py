@@ -3,16 +3,22 @@
 Nothing is ever written over files that a reader may hold.  A plain table is a directory for
 each version, complete once Spark's ``_SUCCESS`` is there.  A keyed table is a base directory
 and a few directories of later rows; one small text names them, and a commit writes new files
-first and then the next text.  A run that dies before that leaves the old table whole.  Old
-versions are removed when newer ones have been committed ``keep`` times.
-
-This covers one writer for each table on any Hadoop file system.  Where the session has a table
-format with MERGE, use that instead: the operators give it the same changed rows.
+first and then the next text.  A run that dies before that leaves the old table whole.  What a
+newer version has replaced is removed when that version is ``keep_for`` old, by the file
+system's own times, so a job that began no longer ago than that finds all its files, in
+whatever process it runs.  Intermediate tables belong to the run that writes them, which removes
+just its own.
+
+This covers one writer for each table and any number of readers, on any Hadoop file system.
+Where the session has a table format with MERGE, use that instead: the operators give it the
+same changed rows.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,17 +29,25 @@ COMMIT = "__commit"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
-        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
+    def __init__(self, spark: SparkSession, root: str, keep_for: dt.timedelta = dt.timedelta(days=1)):
+        self.spark, self.root, self.keep_for = spark, root.rstrip("/"), keep_for
+        self._own: Scratch | None = None
 
     # -- the file system, for small metadata on the driver --
     def _path(self, path: str):
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def names(self, path: str) -> list[str]:
+    def times(self, path: str) -> dict[str, int]:
+        """Names in a folder with the times of their last change (ms), in order of name."""
         fs, p = self._path(path)
-        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+        return dict(sorted((st.getPath().getName(), st.getModificationTime()) for st in fs.listStatus(p))) if fs.exists(p) else {}
+
+    def names(self, path: str) -> list[str]:
+        return list(self.times(path))
+
+    def expired(self, since: int, now: int) -> bool:
+        return now - since > self.keep_for.total_seconds() * 1000
 
     def complete(self, path: str) -> bool:
         fs, p = self._path(f"{path}/_SUCCESS")
@@ -85,19 +99,92 @@ class TableStore:
         have = self._versions(name)
         path = f"{self.root}/{name}/v{int(have[-1][1:]) + 1 if have else 1:06d}"
         df.write.parquet(path)
-        for v in self._versions(name)[: -self.keep]:
-            self.remove(f"{self.root}/{name}/{v}")
+        times = {v: t for v, t in self.times(f"{self.root}/{name}").items() if v in self._versions(name)}
+        versions = list(times)
+        for v, later in zip(versions, versions[1:], strict=False):
+            if self.expired(times[later], times[versions[-1]]):
+                self.remove(f"{self.root}/{name}/{v}")
         return self.spark.read.parquet(path)
 
+    # -- intermediate tables --
+    def run(self) -> Scratch:
+        """A folder for the intermediate tables of one run; leave it as a context, and it is gone."""
+        return Scratch(self)
+
     def scratch(self, name: str, df: DataFrame) -> DataFrame:
-        """An intermediate result, written and read back; drop_scratch() removes it."""
-        path = f"{self.root}/_scratch/{name}-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        """An intermediate table of this store's user, kept until drop_scratch()."""
+        self._own = self._own or self.run()
+        return self._own.write(name, df)
 
     def drop_scratch(self) -> None:
-        """What earlier steps left for themselves; call it when no DataFrame on it is in use."""
-        self.remove(f"{self.root}/_scratch")
+        """Remove what this object's scratch() wrote, and nothing of other runs."""
+        if self._own is not None:
+            self._own.drop()
+            self._own = None
+
+
+class Scratch:
+    """Intermediate tables of one run, in a folder of its own.
+
+    What a run that died has left is removed by a later run when it is ``keep_for`` old.
+    """
+
+    def __init__(self, store: TableStore):
+        self.store, self.name = store, uuid.uuid4().hex[:16]
+        folder = f"{store.root}/_scratch"
+        fs, p = store._path(f"{folder}/{self.name}")
+        fs.mkdirs(p)
+        times = store.times(folder)
+        for n, t in times.items():
+            if n != self.name and store.expired(t, times[self.name]):
+                store.remove(f"{folder}/{n}")
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written and read back."""
+        path = f"{self.store.root}/_scratch/{self.name}/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.store.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        self.store.remove(f"{self.store.root}/_scratch/{self.name}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
+
+class AppendTable:
+    """Rows that are stored once for each key, in a directory for each append; none is written again.
+
+    An append that dies leaves a directory without ``_SUCCESS``, which no reader sees; when it
+    is repeated, the rows that had come are known by their keys.
+    """
+
+    def __init__(self, store: TableStore, name: str, key: str):
+        self.store, self.key = store, key
+        self.root = f"{store.root}/{name}"
+
+    def read(self) -> DataFrame | None:
+        parts = [f"{self.root}/{n}" for n in self.store.names(self.root) if self.store.complete(f"{self.root}/{n}")]
+        return self.store.spark.read.option("mergeSchema", "true").parquet(*parts) if parts else None
+
+    def append(self, rows: DataFrame) -> int:
+        """Add the rows whose keys aren't there; gives their number."""
+        from pyspark.sql import Observation
+
+        have = self.read()
+        new = rows.dropDuplicates([self.key])
+        if have is not None:
+            new = new.join(have.select(self.key), self.key, "left_anti").select(*rows.columns)
+        seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+        folder = f"{self.root}/{uuid.uuid4().hex[:16]}"
+        new.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(folder)
+        n = int(seen.get["n"] or 0)
+        if not n:
+            self.store.remove(folder)
+        return n
 
 
 class KeyedTable:
@@ -105,19 +192,22 @@ class KeyedTable:
 
     A commit appends the rows that it changed or added, whole, stamped with a number that
     always rises.  A reader takes the base without the keys that came later, and of these the
-    newest row.  compact() writes a new base when what came later has grown to a part of it, so
-    a row is rewritten a bounded number of times however small the commits are.
+    newest row.  When ``FOLD`` directories are of one order of size (a power of ``FOLD``), they
+    are folded into one of the next, which leaves their newest rows: so a row is folded once for
+    each order of size, however small the commits are, and there are fewer than ``FOLD``
+    directories of each.  The base is rewritten only when what came later has grown to
+    ``MAX_SHARE`` of its rows.
     """
 
-    #: Compact when so many commits, or rows of this share of the base, have come.
-    MAX_COMMITS, MAX_SHARE = 16, 0.25
+    #: Directories that are folded into one; share of the base's rows at which the base is rewritten.
+    FOLD, MAX_SHARE = 8, 0.25
 
     def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None):
         self.store, self.name, self.key, self.order_by = store, name, key, order_by
         self.root = f"{store.root}/{name}"
 
     def state(self) -> dict | None:
-        """The newest manifest: base, base_rows, commits [[directory, number, rows]], last, notes."""
+        """The newest manifest: base, base_rows, commits [[directory, last number, rows]], last, notes."""
         have = [n for n in self.store.names(f"{self.root}/manifests") if n.endswith(".json")]
         return json.loads(self.store.read_text(f"{self.root}/manifests/{have[-1]}")) if have else None
 
@@ -126,15 +216,29 @@ class KeyedTable:
         have = [n for n in self.store.names(folder) if n.endswith(".json")]
         number = int(have[-1][:-5]) + 1 if have else 1
         self.store.create_text(f"{folder}/{number:08d}.json", json.dumps(state))
-        for old in have[: -self.store.keep]:
-            self.store.remove(f"{folder}/{old}")
+        self._expire()
+
+    def _expire(self) -> None:
+        """Remove manifests that were replaced ``keep_for`` ago, and directories that only these named.
+
+        The kept manifests are read for it only when the oldest is twice that old, so an ordinary commit
+        reads none of them.
+        """
+        folder = f"{self.root}/manifests"
+        times = {n: t for n, t in self.store.times(folder).items() if n.endswith(".json")}
+        names, now = list(times), max(times.values())
+        old = [n for n, later in zip(names, names[1:], strict=False) if self.store.expired(times[later], now)]
+        if not old or not self.store.expired(times[old[0]] + int(self.store.keep_for.total_seconds() * 1000), now):
+            return
+        for n in old:
+            self.store.remove(f"{folder}/{n}")
         used = {"manifests"}
-        for n in self.store.names(folder):
-            if n.endswith(".json"):
-                s = json.loads(self.store.read_text(f"{folder}/{n}"))
-                used |= {s["base"], *(c[0] for c in s["commits"])}
-        for n in set(self.store.names(self.root)) - used:
-            self.store.remove(f"{self.root}/{n}")
+        for n in names[len(old):]:
+            s = json.loads(self.store.read_text(f"{folder}/{n}"))
+            used |= {s["base"], *(c[0] for c in s["commits"])}
+        for n, t in self.store.times(self.root).items():
+            if n not in used and self.store.expired(t, now):  # a younger one may be about to be named
+                self.store.remove(f"{self.root}/{n}")
 
     def _write(self, df: DataFrame, ordered: bool) -> tuple[str, int]:
         from pyspark.sql import Observation
@@ -172,18 +276,24 @@ class KeyedTable:
             base = base.where(F.col(COMMIT) > since) if s["base_commit"] > since else None
         out = base
         if later:
-            new = spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{c[0]}" for c in later])
+            new = self._runs(later)
+            if since is not None:
+                new = new.where(F.col(COMMIT) > since)
             keys = new.select(self.key)
-            if len(later) > 1:
-                others = [c for c in new.columns if c not in (self.key, COMMIT)]
-                newest = new.groupBy(self.key).agg(F.max(F.struct(COMMIT, *others)).alias("__row"))
-                new = newest.select(*[F.col(self.key) if c == self.key else F.col(f"__row.{c}").alias(c) for c in new.columns])
             # the base streams past the keys of the later commits, which compact() keeps few
             out = new if base is None else base.join(keys, self.key, "left_anti").select(*base.columns).unionByName(new, allowMissingColumns=True)
         if out is None:
             out = spark.read.parquet(f"{self.root}/{s['base']}").limit(0)
         return out if with_commit else out.drop(COMMIT)
 
+    def _runs(self, runs: list) -> DataFrame:
+        """The newest rows of these directories; which they are is told by keys and numbers alone."""
+        new = self.store.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{c[0]}" for c in runs])
+        if len(runs) == 1:
+            return new
+        newest = new.groupBy(self.key).agg(F.max(COMMIT).alias(COMMIT))
+        return new.join(newest, [self.key, COMMIT], "left_semi").select(*new.columns)
+
     def rebuild(self, df: DataFrame, notes: dict | None = None) -> None:
         """Replace the whole table."""
         last = self.last_commit() + 1
@@ -201,10 +311,26 @@ class KeyedTable:
                 self._put(s | {"notes": notes})
             return 0
         self._put(s | {"commits": [*s["commits"], [folder, last, n]], "last": last, "notes": s["notes"] if notes is None else notes})
-        if len(s["commits"]) + 1 >= self.MAX_COMMITS or n + sum(c[2] for c in s["commits"]) > self.MAX_SHARE * max(s["base_rows"], 1):
+        if n + sum(c[2] for c in s["commits"]) > self.MAX_SHARE * max(s["base_rows"], 1):
             self.compact()
+        else:
+            self.fold()
         return n
 
+    def fold(self) -> None:
+        """Fold the directories of an order of size that has ``FOLD`` of them, and so on upwards."""
+        while True:
+            s = self.state()
+            orders: dict[int, list] = {}
+            for c in s["commits"]:
+                orders.setdefault(int(math.log(max(c[2], 1), self.FOLD) + 1e-9), []).append(c)
+            full = next((runs for _, runs in sorted(orders.items()) if len(runs) >= self.FOLD), None)
+            if full is None:
+                return
+            folder, rows = self._write(self._runs(full), False)
+            rest = [c for c in s["commits"] if c not in full]
+            self._put(s | {"commits": sorted([*rest, [folder, max(c[1] for c in full), rows]], key=lambda c: c[1])})
+
     def compact(self) -> None:
         """Write the current rows as a new base; each keeps the number of its commit."""
         s = self.state()

@@ -112,8 +112,8 @@ def test_commits_hold_only_what_changed(spark, sf001):
     assert before.count() == 702 and before.agg(F.max("updated_at")).first()[0] == C.P1.run_ts  # read before, still whole
 
 
-def test_compaction_and_retention(spark, sf001):
-    store = TableStore(spark, scratch_path(spark, "t-compact"), keep=2)
+def test_compaction_keeps_rows_and_numbers(spark):
+    store = TableStore(spark, scratch_path(spark, "t-compact"))
     t = KeyedTable(store, "t", "k")
     rows = lambda *r: spark.createDataFrame(r, "k int, v string")
     t.rebuild(rows((1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")))
@@ -124,9 +124,118 @@ def test_compaction_and_retention(spark, sf001):
     assert {r.k for r in t.read(since=5).collect()} == {4, 5}
     t.compact()
     assert t.state()["commits"] == [] and {r.k for r in t.read(since=5).collect()} == {4, 5}
-    folders = [n for n in store.names(t.root) if n != "manifests"]
+
+
+def test_small_commits_are_folded_and_never_rewrite_the_base(spark):
+    """200 commits of one row over 20,000: each row is folded once for each order of size."""
+    store = TableStore(spark, scratch_path(spark, "t-fold"))
+    t = KeyedTable(store, "t", "k")
+    t.rebuild(spark.range(20_000).selectExpr("id as k", "'base' as v"))
+    base, written, plain = t.state()["base"], [], t._write
+
+    def counted(df, ordered):
+        out = plain(df, ordered)
+        written.append(out[1])
+        return out
+
+    t._write = counted
+    keys = [(i * 37) % 150 if i % 4 else 20_000 + i for i in range(200)]  # some come again, some are new
+    for i, k in enumerate(keys):
+        assert t.commit(spark.range(k, k + 1, 1, 1).selectExpr("id as k", f"'c{i}' as v")) == 1
+    s = t.state()
+    assert s["base"] == base and s["last"] == 201 and max(written) <= 200
+    assert sum(written) <= 200 * (1 + 3) and len(s["commits"]) <= 3 * (t.FOLD - 1)  # 200 < FOLD ** 3
+    want = {k: "base" for k in range(20_000)} | {k: f"c{i}" for i, k in enumerate(keys)}
+    assert {r.k: r.v for r in t.read().collect()} == want
+    later = {k: f"c{i}" for i, k in enumerate(keys) if i >= 120}
+    assert {r.k: r.v for r in t.read(since=121).collect()} == later
+
+
+def _age(store, path, hours):
+    """Make files (and folders) look older."""
+    import os
+    import pathlib
+
+    root = pathlib.Path(path.removeprefix("file:"))
+    for p in [root, *root.rglob("*")]:
+        then = p.stat().st_mtime - hours * 3600
+        os.utime(p, (then, then))
+
+
+def test_retention_goes_by_age(spark):
+    import datetime as dt
+
+    store = TableStore(spark, scratch_path(spark, "t-age"), keep_for=dt.timedelta(hours=6))
+    t = KeyedTable(store, "t", "k")
+    t.MAX_SHARE = 100
+    row = lambda i: spark.range(i, i + 1, 1, 1).selectExpr("id as k")
+    t.rebuild(row(0))
+    held = t.read()
+    for i in range(1, 20):
+        t.commit(row(i))
+    assert held.count() == 1 and len([n for n in store.names(f"{t.root}/manifests") if n.endswith(".json")]) >= 20
+    dead = store.times(t.root)  # with what folding has replaced
+    _age(store, t.root, 24)
+    t.rebuild(row(100))
     manifests = [n for n in store.names(f"{t.root}/manifests") if n.endswith(".json")]
-    assert len(manifests) <= 3 and len(folders) <= 6
+    left = store.names(t.root)
+    # the state before the rebuild was replaced just now: its files stay
+    assert len(manifests) == 2 and len(left) < len(dead) and t.read().count() == 1
+    store.write("p", row(1))
+    store.write("p", row(2))
+    assert store.names(f"{store.root}/p") == ["v000001", "v000002"]
+    _age(store, f"{store.root}/p", 24)
+    store.write("p", row(3))
+    assert store.names(f"{store.root}/p") == ["v000002", "v000003"]
+
+
+def test_scratch_belongs_to_its_run(spark):
+    import datetime as dt
+
+    root = scratch_path(spark, "t-own")
+    one, two = TableStore(spark, root), TableStore(spark, root, keep_for=dt.timedelta(hours=6))
+    held = one.scratch("x", spark.range(3))
+    with two.run() as run:
+        run.write("y", spark.range(4))
+    two.scratch("z", spark.range(5))
+    two.drop_scratch()
+    assert held.count() == 3  # other runs came and went
+    _age(one, f"{root}/_scratch", 7)
+    with two.run():
+        assert len(two.names(f"{root}/_scratch")) == 1  # what a dead run left has expired
+    one.drop_scratch()
+    assert two.names(f"{root}/_scratch") == []
+
+
+def test_build_beside_an_ingest_of_another_process(spark, sf001, tmp_path):
+    """Both schedules at once, each in its own process, over one warehouse; then one more build."""
+    import os
+    import subprocess
+    import sys
+
+    from epicentre.sources import feed as fd
+
+    a, b = C._two_batches(spark, sf001)
+    root = str(tmp_path / "w")
+    pipe = Pipeline(spark, TableStore(spark, root))
+    pipe.ingest(a, C.P1)
+    parts = [b.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i) for i in range(3)]
+    for i, p in enumerate(parts):
+        fd.write_snapshot(p, str(tmp_path / f"s{i}"))
+    code = (
+        "import sys\nsys.path.insert(0, sys.argv[1])\nfrom epicentre.__main__ import main\n"
+        "for i in range(3):\n    assert main(['ingest', '--warehouse', sys.argv[2], '--snapshots', f'{sys.argv[3]}/s{i}/part-*', '--run-ts', '2024-01-31 00:05:00']) == 0\n")
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    other = subprocess.Popen([sys.executable, "-c", code, here, root, str(tmp_path)], stdout=subprocess.PIPE, stderr=subprocess.STDOUT)
+    builds = 0
+    while other.poll() is None:
+        pipe.run(C.P1)
+        builds += 1
+    assert other.returncode == 0, other.stdout.read().decode()[-2000:]
+    last = pipe.run(C.P2)
+    assert builds >= 1 and pipe.raw_table().count() == 1000
+    assert last[FACT].count() == 980
+    assert pipe.run(C.P2, full_refresh=True)["agg_regional_risk"].count() > 0
 
 
 def test_failure_before_the_switch_leaves_the_old_table(spark, sf001, monkeypatch):
@@ -164,10 +273,42 @@ def test_rows_without_a_key_are_rejected_and_counted(spark, sf001):
     pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-null")))
     a, _ = C._two_batches(spark, sf001)
     five = a.orderBy("event_code").limit(5).withColumn("event_id", F.lit(None).cast("string"))
-    for n in (1, 2, 3):
+    for _ in range(3):
         done = pipe.ingest(a.unionByName(five), C.P1)
         assert done["rejected"] == 5 and pipe.raw_table().count() == 702
-        assert pipe.rejected().count() == 5 * n
+        assert pipe.rejected().count() == 5  # once, however often they come
+
+
+def test_rejects_of_many_batches_are_written_once(spark, sf001):
+    """50 polls of a rolling feed, each with the same rows without a key and one new one; some are replayed."""
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-rejects")))
+    feed = C._feed(spark, sf001).orderBy("event_code").limit(60).withColumn("event_id", F.lit(None).cast("string"))
+    rows = feed.collect()
+    written = 0
+    for n in range(50):
+        batch = spark.createDataFrame(rows[n : n + 10], feed.schema).withColumn("ingested_at", F.lit(f"2024-01-31 00:00:{n:02d}").cast("timestamp_ntz"))
+        new = pipe.rejects.append(batch.withColumn("row_hash", F.sha2(F.to_json(F.struct(*sorted(c for c in batch.columns if c != "ingested_at"))), 256)))
+        written += new
+        assert new == (10 if n == 0 else 1)
+    assert written == pipe.rejected().count() == 59
+    assert len(pipe.store.names(pipe.rejects.root)) == 50  # a directory for each, and none written again
+
+
+def test_a_failed_batch_leaves_its_rejects_once(spark, sf001, monkeypatch):
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-reject-crash")))
+    a, b = C._two_batches(spark, sf001)
+    pipe.ingest(a, C.P1)
+    bad = b.withColumn("event_id", F.when(F.col("network") != "cl", F.col("event_id")))
+    lost = bad.where("event_id is null").count()
+
+    def crash(*_):
+        raise OSError("lost before the switch")
+
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "create_text", crash)
+        with pytest.raises(OSError, match="lost"):
+            pipe.ingest(bad, C.P2)
+    assert pipe.ingest(bad, C.P2)["rejected"] == lost == pipe.rejected().count() > 0
 
 
 def test_missing_parents_raise(spark, sf001):
