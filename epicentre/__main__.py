@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--as-of")
     for name in ("ingest", "backfill"):
         sub.choices[name].add_argument("--snapshots", required=True)
+        sub.choices[name].add_argument("--layout", choices=["auto", "lines", "document"], default="auto")
     f = sub.choices["backfill"]
     f.add_argument("--start", type=dt.date.fromisoformat)
     f.add_argument("--end", type=dt.date.fromisoformat)
@@ -63,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
     pipe = Pipeline(spark, store)
     params = _params(args)
     if args.cmd in ("ingest", "backfill"):
-        collections = feed.accepted(feed.parse_collections(feed.read_texts(spark, args.snapshots)))
+        collections = feed.accepted(feed.parse_documents(feed.read_documents(spark, args.snapshots, args.layout)))
         records = feed.flatten(collections, params.run_ts_col())
         if args.cmd == "ingest":
             done = pipe.ingest(records, params)

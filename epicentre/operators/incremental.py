@@ -13,6 +13,8 @@ Late-data rules follow the model definitions exactly:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from epicentre.operators.merge import dedupe_latest, merge_rows, merge_upsert
 from epicentre.params import RunParams
 from epicentre.schemas import FACT_MERGE_UPDATE_COLUMNS, FEED_COLUMNS, RAW_UPDATE_COLUMNS
 
+FactModel = Callable[[DataFrame], DataFrame]
+DailyModel = Callable[[DataFrame, RunParams], DataFrame]
+
 
 def _raw_rule(batch: DataFrame, params: RunParams) -> dict:
     stamp = params.run_ts_col()
@@ -64,21 +69,24 @@ def increment_keys(stg: DataFrame, fct_target: DataFrame) -> DataFrame:
     return joined.filter(take).select("event_id")
 
 
-def fact_increment(stg: DataFrame, fct_target: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+def fact_increment(stg: DataFrame, fct_target: DataFrame, keys: DataFrame | None = None, model: FactModel = fct_events) -> DataFrame:
     """Fact rows to merge: the staging rows whose keys ``increment_keys`` selects."""
     keys = increment_keys(stg, fct_target) if keys is None else keys
-    return fct_events(stg.join(keys, "event_id", "left_semi"))
+    return model(stg.join(keys, "event_id", "left_semi"))
 
 
 def fact_changes(fct_target: DataFrame, increment: DataFrame) -> DataFrame:
-    """unique_key event_id: the fact's new rows; on match only the seven merge columns change."""
+    """unique_key event_id: the fact's new rows; on match only the seven merge columns change.
+
+    A column that the model has got since is appended: null in stored rows, also where they change.
+    """
     return merge_rows(fct_target, increment, "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS)
 
 
-def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams) -> DataFrame:
+def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams, model: DailyModel = daily_summary) -> DataFrame:
     """Daily rows for event_date >= max(summary_date) - 1 day."""
     low = daily_target.select(F.date_sub(F.max("summary_date"), 1)).scalar()
-    return daily_summary(fct.filter(F.col("event_date") >= low), params)
+    return model(fct.filter(F.col("event_date") >= low), params)
 
 
 def daily_merge(daily_target: DataFrame, increment: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ never the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epicentre.functions import (
@@ -26,16 +28,17 @@ SIGNIFICANT_MAG, STRONG_MAG, MAJOR_MAG = 4.0, 5.0, 6.0
 W_FREQUENCY, W_AVG_MAG, W_LAST_30, W_TSUNAMI = 10, 5, 0.5, 15
 
 
-def fct_events(stg: DataFrame) -> DataFrame:
-    """Fact projection (31 of staging's 36 columns)."""
-    return stg.select(*FACT_COLUMNS)
+def fct_events(stg: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Fact projection (31 of staging's 36 columns), and any further ones of staging."""
+    return stg.select(*FACT_COLUMNS, *more)
 
 
 def _mag(x: float):
     return F.count_if(F.col("magnitude") >= x)
 
 
-def daily_summary(fct: DataFrame, params: RunParams) -> DataFrame:
+def daily_summary(fct: DataFrame, params: RunParams, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per date, 25 measures; ``more`` adds named aggregates."""
     cat = F.col("magnitude_category")
     depth = F.col("depth_category")
     stats = fct.groupBy(F.col("event_date").alias("summary_date")).agg(
@@ -64,6 +67,7 @@ def daily_summary(fct: DataFrame, params: RunParams) -> DataFrame:
         F.count_if(depth == "deep").alias("deep_count"),
         F.avg("station_count").alias("avg_station_count"),
         F.count_if(F.col("status") == "reviewed").alias("reviewed_count"),
+        *[c.alias(n) for n, c in (more or {}).items()],
     )
     return stats.withColumn("dbt_updated_at", params.run_ts_col())
 

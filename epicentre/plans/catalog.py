@@ -119,7 +119,7 @@ def q_geojson_flatten(spark, sf):
     """Written as feed files, read back and flattened."""
     path = scratch_path(spark, "snapshot")
     feedsrc.write_snapshot(_feed(spark, sf), path)
-    docs = feedsrc.accepted(feedsrc.parse_collections(feedsrc.read_texts(spark, path)))
+    docs = feedsrc.accepted(feedsrc.parse_documents(feedsrc.read_documents(spark, path)))
     return feedsrc.flatten(docs, P1.run_ts_col())
 
 
@@ -129,7 +129,7 @@ def q_geojson_rejects(spark, sf):
     docs = feedsrc.to_features(feed).select("event_id", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array("feature").alias("features"))).alias("value"))
     number = F.substring("event_id", 3, 20).cast("bigint")
     broken = F.when(number % 10 == 0, F.substring("value", 1, 40)).when(number % 10 == 5, F.regexp_replace("value", '"coordinates":\\[', '"coordinates":["east",')).otherwise(F.col("value"))
-    bad = feedsrc.rejects(feedsrc.parse_collections(docs.select(broken.alias("value"))))
+    bad = feedsrc.rejects(feedsrc.parse_documents(docs.select(broken.alias("value"))))
     how = F.when(F.length("malformed") == 40, "cut short").otherwise("wrong type")
     return bad.groupBy(how.alias("reason")).agg(F.count(F.lit(1)).alias("documents"))
 
@@ -166,6 +166,21 @@ def q_schema_evolution(spark, sf):
     return pipe.raw_table().select("event_id", "magnitude", "updated_time", "updated_at", "review_note")
 
 
+def q_marts_schema_evolution(spark, sf):
+    """Fact and daily models that get a column each before the second run: magnitude type, and events of type ml."""
+    pipe = _fresh(spark)
+    a, b = _two_batches(spark, sf)
+    pipe.ingest(a, P1)
+    pipe.run(P1, [FACT, DAILY])
+    pipe.ingest(b, P2)
+    more = {"ml_events": F.count_if(F.col("mag_type") == "ml")}
+    later = Pipeline(spark, pipe.store, lambda stg: fct_events(stg, ["mag_type"]), lambda fct, params: daily_summary(fct, params, more))
+    out = later.run(P2, [FACT, DAILY])
+    fact = out[FACT].select(F.lit(FACT).alias("table_name"), F.col("event_id").alias("key"), "magnitude", F.col("mag_type").alias("added"))
+    daily = out[DAILY].select(F.lit(DAILY), F.col("summary_date").cast("string"), F.col("max_magnitude"), F.col("ml_events").cast("string"))
+    return fact.union(daily)
+
+
 def q_dedupe_latest(spark, sf):
     # one ingest stamp for both snapshots: unchanged repeats are then identical rows
     feed = _feed(spark, sf, P1)

@@ -375,6 +375,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT t.event_id, if(late, c.magnitude + 0.25, t.magnitude) AS magnitude, if(late, c.updated_time + 17280000000, t.updated_time) AS updated_time,
                    if(late, {TS3}, t.updated_at) AS updated_at, t.review_note
             FROM raw_ab t JOIN feed_a c USING (event_id), LATERAL (SELECT ifnull(c.event_time >= 1706227200000 AND c.network = 'pu', false) AS late)""",
+        "marts_schema_evolution": two + """, typed AS (SELECT f.*, if(a.event_id IS NULL, s.mag_type, NULL) AS mag_type FROM fct_ab f LEFT JOIN fct_a a USING (event_id) LEFT JOIN stg_ab s USING (event_id))
+            SELECT 'fct_earthquakes' AS table_name, event_id AS key, magnitude, mag_type AS added FROM typed
+            UNION ALL SELECT 'agg_daily_summary', d.summary_date::VARCHAR, d.max_magnitude, i.ml::VARCHAR FROM daily_ab d
+            LEFT JOIN (SELECT event_date, count(*) FILTER (mag_type = 'ml') AS ml FROM typed WHERE event_date >= (SELECT max(summary_date) - 1 FROM daily_a) GROUP BY event_date) i ON i.event_date = d.summary_date""",
         "dedupe_latest": f"""WITH {batches(TS1, TS1)}
             SELECT * FROM (FROM batch_a UNION ALL FROM batch_b) QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY updated_time DESC) = 1""",
         "stg_events": base + "SELECT * FROM stg",

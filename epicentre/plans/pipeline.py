@@ -23,7 +23,7 @@ from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
 from epicentre.sources.feed import backfill_slice
-from epicentre.sources.store import AppendTable, KeyedTable, TableStore
+from epicentre.sources.store import AppendTable, KeyedTable, PartitionedTable, TableStore
 
 RAW, FACT, DAILY, RISK, HEATMAP = (
     "raw_earthquakes", "fct_earthquakes", "agg_daily_summary", "agg_regional_risk", "agg_hourly_heatmap",
@@ -41,11 +41,16 @@ class MissingTable(LookupError):
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, store: TableStore):
+    """``fact_model`` and ``daily_model`` are the two incremental models; columns that one has got since its
+    table was built are appended to the table, null in the rows that no later run takes."""
+
+    def __init__(self, spark: SparkSession, store: TableStore, fact_model: inc.FactModel = fct_events, daily_model: inc.DailyModel = daily_summary):
         self.spark = spark
+        self.fact_model, self.daily_model = fact_model, daily_model
         self.store = store
         self.raw = KeyedTable(store, RAW, "event_id")
         self.fact = KeyedTable(store, FACT, "event_id", order_by=["event_date"])
+        self.daily = PartitionedTable(store, DAILY, "summary_date")
         self.rejects = AppendTable(store, REJECTED, "row_hash")
 
     # -- ingest --
@@ -125,25 +130,28 @@ class Pipeline:
         """
         current = None if full_refresh else self.fact.read()
         if current is None:
-            self.fact.rebuild(fct_events(stg_events(self.raw.read(state=state), params)), {SEEN: state["last"]})
+            self.fact.rebuild(self.fact_model(stg_events(self.raw.read(state=state), params)), {SEEN: state["last"]})
             return
         recent = stg_events(self.raw.read(since=self.fact.notes().get(SEEN, 0), state=state), params)
         with self.store.run() as scratch:
             keys = scratch.write("increment-keys", inc.increment_keys(recent, current))
-            increment = scratch.write("increment", inc.fact_increment(recent, current, keys))
+            increment = scratch.write("increment", inc.fact_increment(recent, current, keys, self.fact_model))
             self.fact.commit(inc.fact_changes(current, increment), {SEEN: state["last"]})
 
     def _daily(self, fct: DataFrame, params: RunParams, full_refresh: bool) -> None:
-        current = None if full_refresh else self.store.read(DAILY)
+        """An increment replaces the partitions of its dates; what it is computed from, the table's last
+        date included, is read before it is written (into files of its own)."""
+        current = None if full_refresh else self.daily.read()
         if current is None:
-            self.store.write(DAILY, daily_summary(fct, params))
+            self.daily.commit(self.daily_model(fct, params), replace_all=True)
         else:
-            self.store.write(DAILY, inc.daily_merge(current, inc.daily_increment(fct, current, params)))
+            self.daily.commit(inc.daily_increment(fct, current, params, self.daily_model))
 
     # -- reading --
     def table(self, name: str) -> DataFrame:
         """A written table by name; MissingTable if it isn't there."""
-        df = {RAW: self.raw, FACT: self.fact}[name].read() if name in (RAW, FACT) else self.store.read(name)
+        own = {RAW: self.raw, FACT: self.fact, DAILY: self.daily}
+        df = own[name].read() if name in own else self.store.read(name)
         if df is None:
             raise MissingTable(name)
         return df

@@ -1,9 +1,11 @@
 """The GeoJSON event feed: read, flatten, back-fill slice, and write snapshots.
 
 A feed file holds one FeatureCollection in any layout, as the feed serves it, or JSON Lines
-with one collection on each line, as ``write_snapshot`` writes them.  Documents that don't
-parse, or hold a value of a wrong type, are never skipped: they fail the job that reads them,
-or are handed back as rejects.
+with one collection on each line, as ``write_snapshot`` writes them.  Lines are read by Spark's
+text source, which splits a file of any size among tasks; only a file whose document runs over
+several lines is one row, up to ``WHOLE_BYTES``.  Documents that don't parse, or hold a value
+of a wrong type, are never skipped: they fail the job that reads them, or are handed back as
+rejects.
 """
 
 from __future__ import annotations
@@ -29,32 +31,84 @@ BACKFILL_MIN_MAGNITUDE = 2.5
 # Features per written FeatureCollection document.
 FEATURES_PER_DOCUMENT = 1000
 
+# Largest file that is read as one document; history of any size belongs in JSON Lines.
+WHOLE_BYTES = 512 << 20
+
 _CORRUPT = "_corrupt"
 _CHECKED = T.StructType([*FEATURE_COLLECTION_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
 
 
+class DocumentTooLarge(ValueError):
+    """A file that must be read as one document is larger than WHOLE_BYTES."""
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row (value) per file; a file of no bytes has none."""
     return spark.read.text(path, wholetext=True)
 
 
+def read_documents(spark: SparkSession, path: str, layout: str = "auto") -> DataFrame:
+    """One row (value) per document of the files.
+
+    A file is JSON Lines if every line that isn't blank begins an object, else one document.
+    ``layout`` "lines" or "document" spares the pass over the files that tells them apart.
+    """
+    if layout == "document":
+        return read_texts(spark, path)
+    lines = spark.read.text(path)
+    return _lines(lines) if layout == "lines" else documents_of(with_files(lines), path)
+
+
+def with_files(lines: DataFrame) -> DataFrame:
+    """Lines of text files with the file that each is from."""
+    return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+
+
+def documents_of(lines: DataFrame, path: str) -> DataFrame:
+    """The documents that the lines (value, file, bytes) are from; ``path`` reads the same files."""
+    value = F.col("value")
+    blank = ~value.rlike("\\S")
+    files = lines.groupBy("file", "bytes").agg(F.bool_and(blank).alias("blank"), F.bool_and(blank | value.rlike("^\\s*\\{")).alias("objects"))
+    # as many names at most as there are files, which the driver has listed anyway
+    whole = files.where(F.col("blank") | ~F.col("objects")).select("file", "bytes").collect()
+    for file, size in whole:
+        if size > WHOLE_BYTES:
+            raise DocumentTooLarge(f"{file}: a document over several lines of {size} bytes; at most {WHOLE_BYTES} can be read, as JSON Lines any number")
+    if not whole:
+        return _lines(lines)
+    names = [r.file for r in whole]
+    texts = read_texts(lines.sparkSession, path).where(F.col("_metadata.file_path").isin(names)).select(F.explode(F.array("value")).alias("value"))
+    return texts.unionByName(_lines(lines.where(~F.col("file").isin(names))))
+
+
+def _lines(lines: DataFrame) -> DataFrame:
+    # by a generator, since a filter may be evaluated after those that later steps add (and fail on blank lines)
+    return lines.select(F.explode(F.filter(F.array("value"), lambda x: x.rlike("\\S"))).alias("value"))
+
+
 def _parsed(text: Column) -> Column:
     return F.from_json(text, _CHECKED, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
 
 
+def parse_documents(docs: DataFrame, column: str = "value") -> DataFrame:
+    """One document a row: type, features, malformed (the text, else null).
+
+    A document without an array of features is malformed.
+    """
+    d = docs.select(F.col(column).alias("doc")).withColumn("fc", _parsed(F.col("doc")))
+    bad = F.col("fc").isNull() | F.col(f"fc.{_CORRUPT}").isNotNull() | F.col("fc.features").isNull()
+    return d.select("fc.type", "fc.features", F.when(bad, F.coalesce("doc", F.lit(""))).alias("malformed"))
+
+
 def parse_collections(texts: DataFrame, column: str = "value") -> DataFrame:
-    """Documents of files (or of single texts): type, features, malformed (the text, else null).
+    """Documents of single texts (values of a table, say): type, features, malformed.
 
     If every line that isn't blank begins an object, each is a document; else the text is one.
-    A document without an array of features is malformed.
     """
     text = F.col(column)
     lines = F.filter(F.split(text, "\\r?\\n"), lambda x: F.trim(x) != "")
     by_line = (F.size(lines) > 0) & F.forall(lines, lambda x: F.ltrim(x).startswith("{"))
-    docs = texts.select(F.explode(F.when(by_line, lines).otherwise(F.array(text))).alias("doc"))
-    d = docs.withColumn("fc", _parsed(F.col("doc")))
-    bad = F.col("fc").isNull() | F.col(f"fc.{_CORRUPT}").isNotNull() | F.col("fc.features").isNull()
-    return d.select("fc.type", "fc.features", F.when(bad, F.coalesce("doc", F.lit(""))).alias("malformed"))
+    return parse_documents(texts.select(F.explode(F.when(by_line, lines).otherwise(F.array(text))).alias("doc")), "doc")
 
 
 def rejects(collections: DataFrame) -> DataFrame:

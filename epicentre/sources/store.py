@@ -187,27 +187,15 @@ class AppendTable:
         return n
 
 
-class KeyedTable:
-    """Rows by key, with small commits: a base, and directories of rows written since.
-
-    A commit appends the rows that it changed or added, whole, stamped with a number that
-    always rises.  A reader takes the base without the keys that came later, and of these the
-    newest row.  When ``FOLD`` directories are of one order of size (a power of ``FOLD``), they
-    are folded into one of the next, which leaves their newest rows: so a row is folded once for
-    each order of size, however small the commits are, and there are fewer than ``FOLD``
-    directories of each.  The base is rewritten only when what came later has grown to
-    ``MAX_SHARE`` of its rows.
-    """
-
-    #: Directories that are folded into one; share of the base's rows at which the base is rewritten.
-    FOLD, MAX_SHARE = 8, 0.25
+class Manifests:
+    """A table whose newest numbered text says which of its files count."""
 
-    def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None):
-        self.store, self.name, self.key, self.order_by = store, name, key, order_by
+    def __init__(self, store: TableStore, name: str):
+        self.store, self.name = store, name
         self.root = f"{store.root}/{name}"
 
     def state(self) -> dict | None:
-        """The newest manifest: base, base_rows, commits [[directory, last number, rows]], last, notes."""
+        """The newest manifest, None if the table isn't there."""
         have = [n for n in self.store.names(f"{self.root}/manifests") if n.endswith(".json")]
         return json.loads(self.store.read_text(f"{self.root}/manifests/{have[-1]}")) if have else None
 
@@ -219,7 +207,7 @@ class KeyedTable:
         self._expire()
 
     def _expire(self) -> None:
-        """Remove manifests that were replaced ``keep_for`` ago, and directories that only these named.
+        """Remove manifests that were replaced ``keep_for`` ago, and files that only these named.
 
         The kept manifests are read for it only when the oldest is twice that old, so an ordinary commit
         reads none of them.
@@ -232,10 +220,96 @@ class KeyedTable:
             return
         for n in old:
             self.store.remove(f"{folder}/{n}")
-        used = {"manifests"}
-        for n in names[len(old):]:
-            s = json.loads(self.store.read_text(f"{folder}/{n}"))
-            used |= {s["base"], *(c[0] for c in s["commits"])}
+        self._clean([json.loads(self.store.read_text(f"{folder}/{n}")) for n in names[len(old):]], now)
+
+    def _clean(self, kept: list[dict], now: int) -> None:
+        """Remove the files that no kept manifest counts and that are ``keep_for`` old."""
+        raise NotImplementedError
+
+    def exists(self) -> bool:
+        return self.state() is not None
+
+    def last_commit(self) -> int:
+        s = self.state()
+        return s["last"] if s else 0
+
+    def notes(self) -> dict:
+        s = self.state()
+        return s["notes"] if s else {}
+
+
+class PartitionedTable(Manifests):
+    """Rows by a partition column; a commit replaces whole partitions and writes no others.
+
+    Each commit writes its partitions by dynamic partition overwrite, in folders of its own number
+    under the partition's: a commit that died and is repeated replaces just what it had written, and
+    files that a reader may hold are never touched.  A reader takes each partition's newest commit.
+    Columns that a commit is the first to have are appended, null in other partitions.
+    """
+
+    def __init__(self, store: TableStore, name: str, by: str):
+        super().__init__(store, name)
+        self.by = by
+
+    def read(self, state: dict | None = None) -> DataFrame | None:
+        s = state or self.state()
+        if s is None:
+            return None
+        schema = T.StructType.fromJson(s["schema"])
+        kinds = T.StructType([*schema.fields, T.StructField(COMMIT, T.LongType())])
+        rows = self.store.spark.read.schema(kinds).parquet(f"{self.root}/data").where(F.col(COMMIT).between(s["base"], s["last"]))
+        newest = rows.groupBy(F.col(self.by).alias("__by")).agg(F.max(COMMIT).alias("__newest"))
+        of = F.col(self.by).eqNullSafe(F.col("__by")) & (F.col(COMMIT) == F.col("__newest"))
+        return rows.join(newest, of, "left_semi").select(*schema.names)
+
+    def commit(self, rows: DataFrame, replace_all: bool = False, notes: dict | None = None) -> DataFrame:
+        """Replace the partitions of these rows, or the whole table; gives the table."""
+        s = self.state() or {"base": 1, "last": 0, "schema": rows.schema.jsonValue(), "notes": {}}
+        number = s["last"] + 1
+        old = T.StructType.fromJson(s["schema"])
+        schema = rows.schema if replace_all else T.StructType([*old.fields, *(f for f in rows.schema.fields if f.name not in old.names)])
+        columns = [F.col(c).cast(schema[c].dataType).alias(c) for c in rows.columns]
+        writer = rows.select(*columns, F.lit(number).cast("long").alias(COMMIT)).repartition(self.by).write
+        writer.partitionBy(self.by, COMMIT).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/data")
+        new = {"base": number if replace_all else s["base"], "last": number, "schema": schema.jsonValue(), "notes": s["notes"] if notes is None else notes}
+        self._put(new)
+        return self.read(new)
+
+    def _clean(self, kept: list[dict], now: int) -> None:
+        oldest = min(s["last"] for s in kept)
+        base = min(s["base"] for s in kept)
+        for part in self.store.names(f"{self.root}/data"):
+            times = self.store.times(f"{self.root}/data/{part}") if "=" in part else {}
+            numbers = sorted(int(n.partition("=")[2]) for n in times if n.startswith(f"{COMMIT}="))
+            counted = [n for n in numbers if n <= oldest]  # of these the oldest kept manifest takes the newest
+            for n in counted:
+                if (n < counted[-1] or n < base) and self.store.expired(times[f"{COMMIT}={n}"], now):
+                    self.store.remove(f"{self.root}/data/{part}/{COMMIT}={n}")
+
+
+class KeyedTable(Manifests):
+    """Rows by key, with small commits: a base, and directories of rows written since.
+
+    A commit appends the rows that it changed or added, whole, stamped with a number that
+    always rises.  A reader takes the base without the keys that came later, and of these the
+    newest row.  When ``FOLD`` directories are of one order of size (a power of ``FOLD``), they
+    are folded into one of the next, which leaves their newest rows: so a row is folded once for
+    each order of size, however small the commits are, and there are fewer than ``FOLD``
+    directories of each.  The base is rewritten only when what came later has grown to
+    ``MAX_SHARE`` of its rows.
+    """
+
+    #: Directories that are folded into one; share of the base's rows at which the base is rewritten.
+    FOLD, MAX_SHARE = 8, 0.25
+
+    def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None):
+        super().__init__(store, name)
+        self.key, self.order_by = key, order_by
+
+    # a manifest: base, base_rows, base_commit, commits [[directory, last number, rows]], last, notes
+
+    def _clean(self, kept: list[dict], now: int) -> None:
+        used = {"manifests"}.union(*({s["base"], *(c[0] for c in s["commits"])} for s in kept))
         for n, t in self.store.times(self.root).items():
             if n not in used and self.store.expired(t, now):  # a younger one may be about to be named
                 self.store.remove(f"{self.root}/{n}")
@@ -253,17 +327,6 @@ class KeyedTable:
         df.write.parquet(f"{self.root}/{folder}")
         return folder, int(seen.get["n"] or 0)
 
-    def exists(self) -> bool:
-        return self.state() is not None
-
-    def last_commit(self) -> int:
-        s = self.state()
-        return s["last"] if s else 0
-
-    def notes(self) -> dict:
-        s = self.state()
-        return s["notes"] if s else {}
-
     def read(self, with_commit: bool = False, since: int | None = None, state: dict | None = None) -> DataFrame | None:
         """The current rows; with ``since``, only those written by later commits."""
         s = state or self.state()

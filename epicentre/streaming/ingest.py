@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from epicentre.params import RunParams
 from epicentre.plans.pipeline import Pipeline
-from epicentre.sources.feed import accepted, flatten, parse_collections
+from epicentre.sources.feed import accepted, documents_of, flatten, parse_documents, with_files
 from epicentre.sources.store import TableStore
 
 Clock = Callable[[int], RunParams]
@@ -33,14 +33,14 @@ def epoch_clock(start: dt.datetime, step: dt.timedelta) -> Clock:
 
 
 def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The landed files' texts; a trigger takes all that have come unless it is told otherwise."""
+    """The landed files' lines and names; a trigger takes all that have come unless it is told otherwise."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(landing, wholetext=True)
+    return with_files(reader.text(landing))
 
 
-def upsert_batch(store: TableStore, clock: Clock,
+def upsert_batch(store: TableStore, clock: Clock, landing: str,
                  transform_every: dt.timedelta | None = None) -> Callable[[DataFrame, int], None]:
     """The foreachBatch body: parse, flatten, upsert; optionally chain the model build.
 
@@ -54,7 +54,7 @@ def upsert_batch(store: TableStore, clock: Clock,
     def run(batch: DataFrame, epoch_id: int) -> None:
         params = clock(epoch_id)
         pipe = Pipeline(batch.sparkSession, store)
-        pipe.ingest(flatten(accepted(parse_collections(batch)), params.run_ts_col()), params)
+        pipe.ingest(flatten(accepted(parse_documents(documents_of(batch, landing))), params.run_ts_col()), params)
         if transform_every is not None and (not last_build or params.run_ts - last_build[-1] >= transform_every):
             pipe.run(params)
             last_build.append(params.run_ts)
@@ -79,7 +79,7 @@ def start_ingest(
     """
     writer = (
         snapshot_stream(spark, landing, max_files_per_trigger)
-        .writeStream.foreachBatch(upsert_batch(store, clock, transform_every))
+        .writeStream.foreachBatch(upsert_batch(store, clock, landing, transform_every))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -61,7 +61,7 @@ def test_written_snapshot_reads_back(spark, sf001):
     feed = feed_from_events(read_table(spark, sf001, "events"), RunParams.at(STAMP))
     path = scratch_path(spark, "t-snap")
     fd.write_snapshot(feed, path)
-    back = fd.flatten(fd.accepted(fd.parse_collections(fd.read_texts(spark, path))), F.lit(STAMP).cast("timestamp_ntz"))
+    back = fd.flatten(fd.accepted(fd.parse_documents(fd.read_documents(spark, path))), F.lit(STAMP).cast("timestamp_ntz"))
     assert back.count() == feed.count()
 
 
@@ -80,7 +80,7 @@ ONE = {"type": "FeatureCollection", "features": [{"id": "a", "properties": {"mag
 
 
 def _read(spark, folder):
-    return fd.parse_collections(fd.read_texts(spark, str(folder)))
+    return fd.parse_documents(fd.read_documents(spark, str(folder)))
 
 
 def _ids(docs):
@@ -113,3 +113,39 @@ def test_only_the_malformed_line_is_handed_back(spark, tmp_path):
     (tmp_path / "feed.json").write_text(json.dumps(ONE) + "\n" + json.dumps(ONE)[:30] + "\n" + json.dumps(ONE))
     docs = _read(spark, tmp_path)
     assert _ids(docs) == ["a", "a", "b", "b"] and fd.rejects(docs).count() == 1
+
+
+def test_layouts_side_by_side(spark, tmp_path):
+    """Files of every layout in one folder, with names that a pattern would read otherwise."""
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(ONE) for _ in range(3)) + "\n\n")
+    (tmp_path / "one line.json").write_text(json.dumps(ONE))
+    (tmp_path / "pretty.json").write_text(json.dumps(ONE, indent=1))
+    (tmp_path / "tabs%20.json").write_text(json.dumps(ONE, indent="\t"))
+    (tmp_path / "empty.json").write_text("")
+    docs = _read(spark, tmp_path)
+    assert docs.count() == 6 and _ids(fd.accepted(docs)) == ["a"] * 6 + ["b"] * 6
+    only = fd.read_documents(spark, str(tmp_path / "lines.json"), "lines")
+    assert only.count() == 3
+    assert fd.read_documents(spark, str(tmp_path / "pretty.json"), "document").count() == 1
+
+
+def test_json_lines_are_split_among_tasks(spark, tmp_path):
+    """A history file of 300 MB is read by several tasks, and none holds more than its split."""
+    line = json.dumps({"type": "FeatureCollection", "features": [{"id": "x" * 100, "properties": {"mag": 1.0}}] * 2000})
+    n = (300 << 20) // len(line) + 1
+    with open(tmp_path / "history.json", "w") as f:
+        for _ in range(n):
+            f.write(line + "\n")
+    docs = fd.read_documents(spark, str(tmp_path))
+    assert docs.rdd.getNumPartitions() >= 3
+    rows = docs.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == n and len(rows) >= 3
+
+
+def test_a_document_too_large_raises(spark, tmp_path, monkeypatch):
+    (tmp_path / "pretty.json").write_text(json.dumps(ONE, indent=1))
+    monkeypatch.setattr(fd, "WHOLE_BYTES", 20)
+    with pytest.raises(fd.DocumentTooLarge, match="pretty.json"):
+        fd.read_documents(spark, str(tmp_path))
+    (tmp_path / "pretty.json").write_text(json.dumps(ONE) + "\n" + json.dumps(ONE))
+    assert fd.read_documents(spark, str(tmp_path)).count() == 2  # lines of any size

@@ -18,7 +18,7 @@ def _two_runs(spark, sf, select, second=C.P2):
     if FACT in select:
         first[FACT] = pipe.fact.read()  # stays readable: commits never touch written files
     if DAILY in select:
-        first[DAILY] = pipe.store.read(DAILY)
+        first[DAILY] = pipe.daily.read()
     pipe.ingest(b, second)
     return pipe, first, a, b
 
@@ -78,6 +78,48 @@ def test_daily_increment_window_and_empty_target(spark, sf001):
     assert daily_increment(pipe.fact.read(), empty, C.P2).count() == 0
 
 
+def test_daily_increment_writes_its_dates_only(spark, sf001):
+    """Partitions of other dates keep their files; those of a reader stay; a repeated commit replaces its own."""
+    pipe, first, a, b = _two_runs(spark, sf001, [FACT, DAILY])
+    data = f"{pipe.daily.root}/data"
+    before = {n: pipe.store.times(f"{data}/{n}") for n in pipe.store.names(data) if "=" in n}
+    held = first[DAILY]
+    pipe.run(C.P2, [FACT, DAILY])
+    after = {n: pipe.store.times(f"{data}/{n}") for n in pipe.store.names(data) if "=" in n}
+    changed = {n for n, t in after.items() if t != before.get(n)}
+    assert changed == {f"summary_date=2024-01-{d}" for d in range(19, 31)} and len(before) == 21
+    assert all(set(t) == {"__commit=1"} for n, t in after.items() if n not in changed)
+    assert held.count() == 21  # read before the increment
+    s = pipe.daily.state()
+    rows = pipe.daily.read().where("summary_date = '2024-01-30'")
+    for _ in range(2):  # as if the first had died before its manifest
+        pipe.daily.commit(rows)
+        pipe.store.remove(f"{pipe.daily.root}/manifests/{pipe.store.names(pipe.daily.root + '/manifests')[-1]}")
+    assert pipe.daily.state() == s and pipe.daily.read().count() == 31
+    pipe.daily.commit(rows)
+    assert pipe.daily.read().count() == 31 and pipe.daily.read().where("summary_date is null").count() == 1
+
+
+def test_partition_cleaning_goes_by_age(spark):
+    import datetime as dt
+
+    from epicentre.sources.store import PartitionedTable
+
+    store = TableStore(spark, scratch_path(spark, "t-part"), keep_for=dt.timedelta(hours=6))
+    t = PartitionedTable(store, "t", "d")
+    rows = lambda v, *ds: spark.createDataFrame([(d, v) for d in ds], "d string, v int")
+    t.commit(rows(1, "a", "b"), replace_all=True)
+    t.commit(rows(2, "b"))
+    t.commit(rows(3, "b", "c"))
+    _age(store, t.root, 24)
+    t.commit(rows(4, "c").selectExpr("d", "v", "v * 10 as w"))
+    assert {(r.d, r.v, r.w) for r in t.read().collect()} == {("a", 1, None), ("b", 3, None), ("c", 4, 40)}
+    assert store.names(f"{t.root}/data/d=b") == ["__commit=3"]
+    assert store.names(f"{t.root}/data/d=c") == ["__commit=3", "__commit=4"]  # replaced just now
+    t.commit(rows(5, "a"), replace_all=True)
+    assert [(r.d, r.v) for r in t.read().collect()] == [("a", 5)] and t.read().columns == ["d", "v"]
+
+
 def test_full_refresh_equals_one_shot_build(spark, sf001):
     pipe, first, a, b = _two_runs(spark, sf001, [FACT, DAILY])
     refreshed = pipe.run(C.P2, [FACT, DAILY], full_refresh=True)

@@ -44,6 +44,20 @@ def test_stream_one_file_per_trigger(spark, sf001, expected):
     assert same(got.drop(*stamps), expected.drop(*stamps))
 
 
+def test_stream_of_several_layouts(spark, tmp_path):
+    """A pretty-printed document and JSON Lines in one trigger."""
+    import json
+
+    one = lambda *ids: {"type": "FeatureCollection", "features": [{"id": i, "properties": {"mag": 1.0, "updated": 5}} for i in ids]}
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.json").write_text(json.dumps(one("p", "q"), indent=2))
+    (landing / "b.json").write_text("\n".join(json.dumps(one(x)) for x in "rst"))
+    store = TableStore(spark, str(tmp_path / "tables"))
+    start_ingest(spark, str(landing / "*"), store, str(tmp_path / "ckpt"), available_now=True).awaitTermination()
+    assert sorted(r.event_id for r in Pipeline(spark, store).raw_table().collect()) == list("pqrst")
+
+
 def test_service_mode_trigger(spark, sf001):
     """The long-running form (processing-time trigger) picks up a landed snapshot."""
     root = scratch_path(spark, "t-service")
