@@ -1,9 +1,9 @@
 """Fact table and the three aggregate marts.
 
-Each mart is one scan and one grouping with a map-side partial step, so a hot group
-key costs one partial row per task in the shuffle, not its rows. The exact
-percentiles keep one count per distinct value of a group (magnitudes have few),
-never the rows.
+Each grouping has a map-side partial step, so a hot group key costs one partial row per task
+in the shuffle, not its rows. Daily and regional marts first count cells of one magnitude, so
+that exact percentiles rank counts (``ranks``) and no buffer grows with the values of a group;
+the regional cells can also come from a maintained table of parts (``maintained``).
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from epicentre.functions import (
     max_magnitude_points,
     risk_category,
 )
+from epicentre.operators.ranks import percentile, stddev_samp, with_ranks
 from epicentre.params import RunParams
 from epicentre.schemas import FACT_COLUMNS
 
@@ -37,83 +38,125 @@ def _mag(x: float):
     return F.count_if(F.col("magnitude") >= x)
 
 
+def _sum_count(name: str) -> list[Column]:
+    return [F.sum(name).alias(f"{name}_sum"), F.count(name).alias(f"{name}_n")]
+
+
+def _mean(name: str) -> Column:
+    return F.sum(f"{name}_sum").cast("double") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
+
+
+def _at_least(x: float) -> Column:
+    return F.coalesce(F.sum(F.when(F.col("magnitude") >= x, F.col("n"))), F.lit(0))
+
+
+def _mean_magnitude() -> Column:
+    known = F.when(F.col("magnitude").isNotNull(), F.col("n"))
+    return F.sum(F.col("magnitude") * F.col("n")) / F.nullif(F.sum(known), F.lit(0))
+
+
 def daily_summary(fct: DataFrame, params: RunParams, more: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row per date, 25 measures; ``more`` adds named aggregates."""
-    cat = F.col("magnitude_category")
-    depth = F.col("depth_category")
-    stats = fct.groupBy(F.col("event_date").alias("summary_date")).agg(
-        F.count(F.lit(1)).alias("total_earthquakes"),
-        _mag(SIGNIFICANT_MAG).alias("significant_earthquakes"),
-        _mag(STRONG_MAG).alias("strong_earthquakes"),
-        F.count_if(F.col("has_tsunami_warning")).alias("tsunami_warnings"),
-        F.avg("magnitude").alias("avg_magnitude"),
-        F.max("magnitude").alias("max_magnitude"),
-        F.min("magnitude").alias("min_magnitude"),
-        F.stddev_samp("magnitude").alias("stddev_magnitude"),
-        F.percentile("magnitude", 0.5).alias("median_magnitude"),
-        F.avg("depth_km").alias("avg_depth_km"),
+    """One row per date, 25 measures; ``more`` adds named counts (or other sums)."""
+    cat, depth, more = F.col("magnitude_category"), F.col("depth_category"), more or {}
+    counts = {f"{c}_count": cat == c for c in ("micro", "minor", "light", "moderate", "strong", "major", "great")}
+    counts |= {f"{c}_count": depth == c for c in ("shallow", "intermediate", "deep")}
+    counts |= {"tsunami_warnings": F.col("has_tsunami_warning"), "reviewed_count": F.col("status") == "reviewed"}
+    cells = fct.groupBy(F.col("event_date").alias("summary_date"), "magnitude").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(c).alias(n) for n, c in counts.items()],
+        *_sum_count("depth_km"),
         F.max("depth_km").alias("max_depth_km"),
         F.sum(F.coalesce(F.col("felt_reports"), F.lit(0))).alias("total_felt_reports"),
-        F.avg(F.coalesce(F.col("significance"), F.lit(0))).alias("avg_significance"),
-        F.count_if(cat == "micro").alias("micro_count"),
-        F.count_if(cat == "minor").alias("minor_count"),
-        F.count_if(cat == "light").alias("light_count"),
-        F.count_if(cat == "moderate").alias("moderate_count"),
-        F.count_if(cat == "strong").alias("strong_count"),
-        F.count_if(cat == "major").alias("major_count"),
-        F.count_if(cat == "great").alias("great_count"),
-        F.count_if(depth == "shallow").alias("shallow_count"),
-        F.count_if(depth == "intermediate").alias("intermediate_count"),
-        F.count_if(depth == "deep").alias("deep_count"),
-        F.avg("station_count").alias("avg_station_count"),
-        F.count_if(F.col("status") == "reviewed").alias("reviewed_count"),
-        *[c.alias(n) for n, c in (more or {}).items()],
+        F.sum(F.coalesce(F.col("significance"), F.lit(0))).alias("significance"),
+        *_sum_count("station_count"),
+        *[c.alias(n) for n, c in more.items()],
+    )
+    stats = with_ranks(cells, "summary_date", "magnitude").groupBy("summary_date").agg(
+        F.sum("n").alias("total_earthquakes"),
+        _at_least(SIGNIFICANT_MAG).alias("significant_earthquakes"),
+        _at_least(STRONG_MAG).alias("strong_earthquakes"),
+        _mean_magnitude().alias("avg_magnitude"),
+        F.max("magnitude").alias("max_magnitude"),
+        F.min("magnitude").alias("min_magnitude"),
+        stddev_samp("magnitude").alias("stddev_magnitude"),
+        percentile("magnitude", 0.5).alias("median_magnitude"),
+        _mean("depth_km").alias("avg_depth_km"),
+        F.max("max_depth_km").alias("max_depth_km"),
+        F.sum("total_felt_reports").alias("total_felt_reports"),
+        (F.sum("significance").cast("double") / F.sum("n")).alias("avg_significance"),
+        _mean("station_count").alias("avg_station_count"),
+        *[F.sum(n).alias(n) for n in (*counts, *more)],
+    )
+    return stats.select(
+        "summary_date", "total_earthquakes", "significant_earthquakes", "strong_earthquakes", "tsunami_warnings",
+        "avg_magnitude", "max_magnitude", "min_magnitude", "stddev_magnitude", "median_magnitude",
+        "avg_depth_km", "max_depth_km", "total_felt_reports", "avg_significance",
+        "micro_count", "minor_count", "light_count", "moderate_count", "strong_count", "major_count", "great_count",
+        "shallow_count", "intermediate_count", "deep_count", "avg_station_count", "reviewed_count",
+        *more, params.run_ts_col().alias("dbt_updated_at"),
+    )
+
+
+def region_cells(fct: DataFrame, params: RunParams) -> DataFrame:
+    """Counts and sums for each region and magnitude; regions present only."""
+    as_of = params.as_of_col()
+    date = F.col("event_date")
+    return fct.filter(F.col("region").isNotNull()).groupBy("region", "magnitude").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(date >= F.date_sub(as_of, 30)).alias("n_30"),
+        F.count_if(date >= F.date_sub(as_of, 7)).alias("n_7"),
+        *_sum_count("depth_km"),
+        F.sum(F.coalesce(F.col("felt_reports"), F.lit(0))).cast("bigint").alias("felt"),
+        F.count_if(F.col("has_tsunami_warning")).alias("tsunami"),
+        F.min(date).alias("first_date"),
+        F.max(date).alias("last_date"),
+        *_sum_count("latitude"),
+        *_sum_count("longitude"),
     )
-    return stats.withColumn("dbt_updated_at", params.run_ts_col())
 
 
 def regional_stats(fct: DataFrame, params: RunParams) -> DataFrame:
     """Per-region statistics (17 measures); regions present only."""
-    as_of = params.as_of_col()
-    date = F.col("event_date")
-    located = fct.filter(F.col("region").isNotNull())
-    return (
-        located.groupBy("region")
-        .agg(
-            F.count(F.lit(1)).alias("total_earthquakes"),
-            F.count_if(date >= F.date_sub(as_of, 30)).alias("earthquakes_last_30_days"),
-            F.count_if(date >= F.date_sub(as_of, 7)).alias("earthquakes_last_7_days"),
-            F.avg("magnitude").alias("avg_magnitude"),
-            F.max("magnitude").alias("max_magnitude"),
-            F.percentile("magnitude", 0.95).alias("p95_magnitude"),
-            _mag(SIGNIFICANT_MAG).alias("significant_events"),
-            _mag(STRONG_MAG).alias("strong_events"),
-            _mag(MAJOR_MAG).alias("major_events"),
-            F.avg("depth_km").alias("avg_depth_km"),
-            F.sum(F.coalesce(F.col("felt_reports"), F.lit(0))).alias("total_felt_reports"),
-            F.count_if(F.col("has_tsunami_warning")).alias("tsunami_warnings"),
-            F.min(date).alias("first_event_date"),
-            F.max(date).alias("last_event_date"),
-            F.avg("latitude").alias("centroid_latitude"),
-            F.avg("longitude").alias("centroid_longitude"),
-        )
-        .withColumn(
-            "days_with_data",
-            (F.datediff("last_event_date", "first_event_date") + 1).cast("bigint"),
-        )
-        .select(
-            "region", "total_earthquakes", "earthquakes_last_30_days", "earthquakes_last_7_days",
-            "avg_magnitude", "max_magnitude", "p95_magnitude", "significant_events",
-            "strong_events", "major_events", "avg_depth_km", "total_felt_reports",
-            "tsunami_warnings", "first_event_date", "last_event_date", "days_with_data",
-            "centroid_latitude", "centroid_longitude",
-        )
+    return stats_of_cells(region_cells(fct, params))
+
+
+def stats_of_cells(cells: DataFrame) -> DataFrame:
+    """The regional statistics from the cells of ``region_cells``."""
+    stats = with_ranks(cells, "region", "magnitude").groupBy("region").agg(
+        F.sum("n").alias("total_earthquakes"),
+        F.sum("n_30").alias("earthquakes_last_30_days"),
+        F.sum("n_7").alias("earthquakes_last_7_days"),
+        _mean_magnitude().alias("avg_magnitude"),
+        F.max("magnitude").alias("max_magnitude"),
+        percentile("magnitude", 0.95).alias("p95_magnitude"),
+        _at_least(SIGNIFICANT_MAG).alias("significant_events"),
+        _at_least(STRONG_MAG).alias("strong_events"),
+        _at_least(MAJOR_MAG).alias("major_events"),
+        _mean("depth_km").alias("avg_depth_km"),
+        F.sum("felt").alias("total_felt_reports"),
+        F.sum("tsunami").alias("tsunami_warnings"),
+        F.min("first_date").alias("first_event_date"),
+        F.max("last_date").alias("last_event_date"),
+        _mean("latitude").alias("centroid_latitude"),
+        _mean("longitude").alias("centroid_longitude"),
     )
+    days = (F.datediff("last_event_date", "first_event_date") + 1).cast("bigint")
+    return stats.withColumn("days_with_data", days).select(
+        "region", "total_earthquakes", "earthquakes_last_30_days", "earthquakes_last_7_days",
+        "avg_magnitude", "max_magnitude", "p95_magnitude", "significant_events",
+        "strong_events", "major_events", "avg_depth_km", "total_felt_reports",
+        "tsunami_warnings", "first_event_date", "last_event_date", "days_with_data",
+        "centroid_latitude", "centroid_longitude",
+    )
 
 
 def regional_risk(fct: DataFrame, params: RunParams) -> DataFrame:
     """Regional statistics plus frequency, raw and capped risk score, category."""
-    stats = regional_stats(fct, params)
+    return risk_of_stats(regional_stats(fct, params), params)
+
+
+def risk_of_stats(stats: DataFrame, params: RunParams) -> DataFrame:
+    """The risk mart from regional statistics."""
     freq = F.col("total_earthquakes").cast("double") / F.nullif(F.col("days_with_data"), F.lit(0))
     raw = (
         freq * W_FREQUENCY
@@ -139,6 +182,11 @@ def hourly_heatmap(fct: DataFrame, params: RunParams) -> DataFrame:
         F.max("magnitude").alias("max_magnitude"),
         _mag(SIGNIFICANT_MAG).alias("significant_count"),
     )
+    return named_heatmap(agg, params)
+
+
+def named_heatmap(agg: DataFrame, params: RunParams) -> DataFrame:
+    """The heatmap mart from its aggregates."""
     return agg.select(
         "day_of_week",
         "event_hour",

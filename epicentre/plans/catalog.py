@@ -327,6 +327,12 @@ def q_dq_report(spark, sf):
     return quality.dq_report(_tables(spark, sf), spark)
 
 
+def q_dq_report_of_writes(spark, sf):
+    """The report from what the writes counted, after a second ingest and build."""
+    pipe, _ = _pipeline(spark, sf, [FACT, DAILY, RISK])
+    return pipe.quality_report(P2, from_writes=True)
+
+
 def q_dq_report_flawed(spark, sf):
     """The report over a raw table with repeated keys and over-long texts; the risk table is absent."""
     raw = flawed_raw(_raw(spark, sf))
@@ -376,6 +382,17 @@ def q_end_to_end_build(spark, sf):
     return _round(_pipeline(spark, sf, [FACT, DAILY, RISK, HEATMAP])[1][RISK], RISK_ROUND)
 
 
+def q_risk_maintained(spark, sf):
+    """The risk mart after a second ingest, from parts that the build of it changed by its fact rows alone."""
+    pipe = _fresh(spark)
+    pipe.maintain = True
+    a, b = _two_batches(spark, sf)
+    pipe.ingest(a, P1)
+    pipe.run(P1, [FACT, RISK])
+    pipe.ingest(b, P2)
+    return _round(pipe.run(P2, [FACT, RISK])[RISK], RISK_ROUND)
+
+
 def q_interleaved_build(spark, sf):
     """Ingest and build as two users of one warehouse: batch B is committed while a build of batch A is at work.
 

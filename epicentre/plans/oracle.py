@@ -362,6 +362,7 @@ def oracle_sql() -> dict[str, str]:
     newest = "ORDER BY event_timestamp DESC NULLS FIRST, event_id"
     ranked = "ORDER BY risk_score DESC NULLS FIRST, region"
     report = "SELECT *, if(ifnull(failures, 1) = 0, 'pass', 'fail') AS status FROM ({})"
+    second = {"raw_earthquakes": "raw_ab", "stg_earthquakes": "stg_ab", "fct_earthquakes": "fct_ab", "agg_daily_summary": "daily_ab", "agg_regional_risk": "risk_ab"}
     absent = {"agg_regional_risk": "", "raw_earthquakes": "flawed"}
     return {
         "geojson_flatten": f"WITH feed AS ({feed_sql()}) SELECT * FROM feed",
@@ -417,11 +418,13 @@ def oracle_sql() -> dict[str, str]:
         "dq_not_null": base + _dq_not_null(),
         "dq_length": base + _dq_length(),
         "dq_report": base + report.format(f"{_dq_unique()} UNION ALL {_dq_not_null()} UNION ALL {_dq_length()}"),
+        "dq_report_of_writes": two + report.format(" UNION ALL ".join([_dq_unique(second), _dq_not_null(second), _dq_length("raw_ab")])),
         "dq_report_flawed": base_ctes("flawed") + report.format(f"{_dq_unique(absent)} UNION ALL {_dq_not_null(absent)} UNION ALL {_dq_length('flawed')}"),
         "row_counts": base + "SELECT 'raw_earthquakes' AS table_name, count(*) AS row_count FROM raw UNION ALL SELECT 'fct_earthquakes', count(*) FROM fct",
         "stream_ingest": f"WITH {batches(TS1, TS2)}, {merged_raw(TS1, TS2)} SELECT {raw_cols} FROM raw_ab",
         "stream_chained_build": two_run_ctes(CHAIN[1], CHAIN[0], CHAIN[1], CHAIN[2], "DATE '2024-02-20'", CHAIN[0]) + _replace_round("risk_ab", RISK_R),
         "end_to_end_build": two + _replace_round("risk_ab", RISK_R),
+        "risk_maintained": two + _replace_round("risk_ab", RISK_R),
         "interleaved_build": two + f""", stats_a AS (SELECT * EXCLUDE (felt) FROM ({stats_sql('fct_a')})), risk_a AS ({risk_sql('stats_a')})
             SELECT *, 1 AS build FROM ({_replace_round("risk_a", RISK_R)}) UNION ALL BY NAME SELECT *, 2 AS build FROM ({_replace_round("risk_ab", RISK_R)})""",
         "end_to_end_heatmap": two + "SELECT * FROM heatmap_ab",

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from epicentre.operators import incremental as inc
+from epicentre.operators.maintained import HOUR_PARTS, REGION_PARTS, heatmap_from_parts, risk_from_parts
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
 from epicentre.operators.merge import dedupe_latest
-from epicentre.operators.quality import dq_report
+from epicentre.operators.quality import dq_report, dq_report_of_writes, write_checks
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
@@ -32,8 +33,9 @@ REJECTED = RAW + "__rejected"
 STAGING = "stg_earthquakes"
 MODELS = [STAGING, FACT, DAILY, RISK, HEATMAP]
 LAYERS = {"staging": [STAGING], "marts": [FACT, DAILY, RISK, HEATMAP]}
-#: The commit of raw that the fact has seen, kept in the fact's own manifest.
-SEEN = "raw_commit"
+#: The commit of raw that the fact has seen, kept in the fact's own manifest; that of the fact which
+#: the parts have seen, kept in theirs.
+SEEN, SEEN_FACT = "raw_commit", "fact_commit"
 
 
 class MissingTable(LookupError):
@@ -42,15 +44,20 @@ class MissingTable(LookupError):
 
 class Pipeline:
     """``fact_model`` and ``daily_model`` are the two incremental models; columns that one has got since its
-    table was built are appended to the table, null in the rows that no later run takes."""
+    table was built are appended to the table, null in the rows that no later run takes.
 
-    def __init__(self, spark: SparkSession, store: TableStore, fact_model: inc.FactModel = fct_events, daily_model: inc.DailyModel = daily_summary):
-        self.spark = spark
+    With ``maintain``, the risk and heatmap marts are built from tables of parts, which each build
+    changes by the fact rows that it changes, instead of from the whole fact."""
+
+    def __init__(self, spark: SparkSession, store: TableStore, fact_model: inc.FactModel = fct_events, daily_model: inc.DailyModel = daily_summary,
+                 maintain: bool = False):
+        self.spark, self.maintain = spark, maintain
         self.fact_model, self.daily_model = fact_model, daily_model
         self.store = store
-        self.raw = KeyedTable(store, RAW, "event_id")
-        self.fact = KeyedTable(store, FACT, "event_id", order_by=["event_date"])
+        self.raw = KeyedTable(store, RAW, "event_id", checks=write_checks(RAW))
+        self.fact = KeyedTable(store, FACT, "event_id", order_by=["event_date"], checks=write_checks(FACT))
         self.daily = PartitionedTable(store, DAILY, "summary_date")
+        self.parts = {RISK: (KeyedTable(store, RISK + "__parts", "part"), REGION_PARTS), HEATMAP: (KeyedTable(store, HEATMAP + "__parts", "part"), HOUR_PARTS)}
         self.rejects = AppendTable(store, REJECTED, "row_hash")
 
     # -- ingest --
@@ -113,9 +120,9 @@ class Pipeline:
         if DAILY in chosen:
             self._daily(fct, params, full_refresh)
         if RISK in chosen:
-            self.store.write(RISK, regional_risk(fct, params))
+            self.store.write(RISK, risk_from_parts(self._parts(RISK), params) if self.maintain else regional_risk(fct, params))
         if HEATMAP in chosen:
-            self.store.write(HEATMAP, hourly_heatmap(fct, params))
+            self.store.write(HEATMAP, heatmap_from_parts(self._parts(HEATMAP), params) if self.maintain else hourly_heatmap(fct, params))
         out = self.tables() | {STAGING: self.staging(params)}
         del out[RAW]
         return out
@@ -136,7 +143,26 @@ class Pipeline:
         with self.store.run() as scratch:
             keys = scratch.write("increment-keys", inc.increment_keys(recent, current))
             increment = scratch.write("increment", inc.fact_increment(recent, current, keys, self.fact_model))
-            self.fact.commit(inc.fact_changes(current, increment), {SEEN: state["last"]})
+            changes = inc.fact_changes(current, increment)
+            if not self.maintain:
+                self.fact.commit(changes, {SEEN: state["last"]})
+                return
+            changes = scratch.write("changes", changes)
+            old = scratch.write("replaced", current.join(changes.select("event_id"), "event_id", "left_semi").select(*current.columns))
+            before = self.fact.last_commit()
+            self.fact.commit(changes, {SEEN: state["last"]})
+            for table, kind in self.parts.values():
+                if table.notes().get(SEEN_FACT) == before:
+                    table.commit(kind.changed(table.read(), changes, old), {SEEN_FACT: self.fact.last_commit()})
+
+    def _parts(self, mart: str) -> DataFrame:
+        """The parts of a mart. They are made from the whole fact if they have missed one of its commits
+        (they are new, a run died between the two commits, or another build didn't maintain them)."""
+        table, kind = self.parts[mart]
+        seen = self.fact.last_commit()
+        if not table.exists() or table.notes().get(SEEN_FACT) != seen:
+            table.rebuild(kind.of(self.fact.read()), {SEEN_FACT: seen})
+        return table.read()
 
     def _daily(self, fct: DataFrame, params: RunParams, full_refresh: bool) -> None:
         """An increment replaces the partitions of its dates; what it is computed from, the table's last
@@ -166,13 +192,19 @@ class Pipeline:
                 continue
         return out
 
-    def quality_report(self, params: RunParams) -> DataFrame:
+    def quality_report(self, params: RunParams, from_writes: bool = False) -> DataFrame:
         """The declared column tests (plus declared lengths) over the current tables,
-        as the transform's test step runs them after the marts. An absent table fails its tests."""
+        as the transform's test step runs them after the marts. An absent table fails its tests.
+
+        ``from_writes`` takes nulls and lengths of raw and fact from what their writes counted, so that
+        only keys are read of these; it reads a column where rows that failed may have been replaced since."""
         tables = self.tables()
         if RAW in tables:
             tables[STAGING] = self.staging(params)
-        return dq_report(tables, self.spark)
+        if not from_writes:
+            return dq_report(tables, self.spark)
+        keyed = {RAW: self.raw, FACT: self.fact}
+        return dq_report_of_writes(tables, self.spark, lambda t, check: keyed[t].failures(check) if t in keyed else None)
 
     def register_views(self, params: RunParams) -> list[str]:
         """Expose the current tables (and the staging view) to ``spark.sql`` by name."""

@@ -20,8 +20,9 @@ import datetime as dt
 import json
 import math
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -302,11 +303,12 @@ class KeyedTable(Manifests):
     #: Directories that are folded into one; share of the base's rows at which the base is rewritten.
     FOLD, MAX_SHARE = 8, 0.25
 
-    def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None):
+    def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None, checks: Mapping[str, Column] | None = None):
+        """``checks`` are counts of failures that each write takes of its rows on the way, kept in the manifest."""
         super().__init__(store, name)
-        self.key, self.order_by = key, order_by
+        self.key, self.order_by, self.checks = key, order_by, dict(checks or {})
 
-    # a manifest: base, base_rows, base_commit, commits [[directory, last number, rows]], last, notes
+    # a manifest: base, base_rows, base_commit, base_checks, commits [[directory, last number, rows, checks]], last, notes
 
     def _clean(self, kept: list[dict], now: int) -> None:
         used = {"manifests"}.union(*({s["base"], *(c[0] for c in s["commits"])} for s in kept))
@@ -314,18 +316,29 @@ class KeyedTable(Manifests):
             if n not in used and self.store.expired(t, now):  # a younger one may be about to be named
                 self.store.remove(f"{self.root}/{n}")
 
-    def _write(self, df: DataFrame, ordered: bool) -> tuple[str, int]:
+    def _write(self, df: DataFrame, ordered: bool) -> tuple[str, int, dict[str, int]]:
         from pyspark.sql import Observation
 
-        seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
-        df = df.observe(seen, F.count(F.lit(1)).alias("n"))
         if ordered and self.order_by:
             df = df.repartitionByRange(*self.order_by, self.key).sortWithinPartitions(*self.order_by)
         else:
             df = df.hint("rebalance")
+        # counted past the shuffle: ranging runs what is below it twice, once for its sample
+        seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in self.checks.items()])
         folder = uuid.uuid4().hex[:16]
         df.write.parquet(f"{self.root}/{folder}")
-        return folder, int(seen.get["n"] or 0)
+        counts = seen.get
+        return folder, int(counts["n"] or 0), {c: int(counts[c] or 0) for c in self.checks}
+
+    def failures(self, check: str) -> int | None:
+        """Failures of a check as the writes counted them; None where they can't tell.
+
+        Rows that a later write has replaced were counted too: only zeros are sure to hold for the table.
+        """
+        s = self.state()
+        counts = [(s.get("base_checks") or {}).get(check), *[(c[3] if len(c) > 3 else {}).get(check) for c in s["commits"]]] if s else [None]
+        return 0 if all(n == 0 for n in counts) else counts[0] if len(counts) == 1 else None
 
     def read(self, with_commit: bool = False, since: int | None = None, state: dict | None = None) -> DataFrame | None:
         """The current rows; with ``since``, only those written by later commits."""
@@ -360,20 +373,20 @@ class KeyedTable(Manifests):
     def rebuild(self, df: DataFrame, notes: dict | None = None) -> None:
         """Replace the whole table."""
         last = self.last_commit() + 1
-        folder, rows = self._write(df.withColumn(COMMIT, F.lit(last).cast("long")), True)
-        self._put({"base": folder, "base_rows": rows, "base_commit": last, "commits": [], "last": last, "notes": notes or {}})
+        folder, rows, checks = self._write(df.withColumn(COMMIT, F.lit(last).cast("long")), True)
+        self._put({"base": folder, "base_rows": rows, "base_commit": last, "base_checks": checks, "commits": [], "last": last, "notes": notes or {}})
 
     def commit(self, rows: DataFrame, notes: dict | None = None) -> int:
         """Add changed or new rows, one for each key; gives their number.  No rows, no commit."""
         s = self.state()
         last = s["last"] + 1
-        folder, n = self._write(rows.withColumn(COMMIT, F.lit(last).cast("long")), False)
+        folder, n, checks = self._write(rows.withColumn(COMMIT, F.lit(last).cast("long")), False)
         if not n:
             self.store.remove(f"{self.root}/{folder}")
             if notes is not None and notes != s["notes"]:
                 self._put(s | {"notes": notes})
             return 0
-        self._put(s | {"commits": [*s["commits"], [folder, last, n]], "last": last, "notes": s["notes"] if notes is None else notes})
+        self._put(s | {"commits": [*s["commits"], [folder, last, n, checks]], "last": last, "notes": s["notes"] if notes is None else notes})
         if n + sum(c[2] for c in s["commits"]) > self.MAX_SHARE * max(s["base_rows"], 1):
             self.compact()
         else:
@@ -390,13 +403,13 @@ class KeyedTable(Manifests):
             full = next((runs for _, runs in sorted(orders.items()) if len(runs) >= self.FOLD), None)
             if full is None:
                 return
-            folder, rows = self._write(self._runs(full), False)
+            folder, rows, checks = self._write(self._runs(full), False)
             rest = [c for c in s["commits"] if c not in full]
-            self._put(s | {"commits": sorted([*rest, [folder, max(c[1] for c in full), rows]], key=lambda c: c[1])})
+            self._put(s | {"commits": sorted([*rest, [folder, max(c[1] for c in full), rows, checks]], key=lambda c: c[1])})
 
     def compact(self) -> None:
         """Write the current rows as a new base; each keeps the number of its commit."""
         s = self.state()
         if s["commits"]:
-            folder, rows = self._write(self.read(with_commit=True, state=s), True)
-            self._put(s | {"base": folder, "base_rows": rows, "base_commit": s["last"], "commits": []})
+            folder, rows, checks = self._write(self.read(with_commit=True, state=s), True)
+            self._put(s | {"base": folder, "base_rows": rows, "base_commit": s["last"], "base_checks": checks, "commits": []})

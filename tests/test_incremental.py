@@ -177,7 +177,7 @@ def test_small_commits_are_folded_and_never_rewrite_the_base(spark):
 
     def counted(df, ordered):
         out = plain(df, ordered)
-        written.append(out[1])
+        written.append(out[1])  # rows
         return out
 
     t._write = counted

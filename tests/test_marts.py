@@ -1,5 +1,6 @@
 """Aggregate traps: single-row stddev, exact percentiles, score cap, empty KPI."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from epicentre.operators import serving
@@ -68,3 +69,84 @@ def test_increment_into_empty_fact_takes_everything(spark, sf001):
     stg = C._stg(spark, sf001)
     empty = C._fct(spark, sf001).limit(0)
     assert fact_increment(stg, empty).count() == stg.count()
+
+
+def test_percentiles_and_deviation_against_plain_aggregates(spark):
+    """Groups of every size, nulls, repeated values, several cells for a value."""
+    import random
+    import statistics
+
+    from epicentre.operators.ranks import percentile, stddev_samp, with_ranks
+
+    rng = random.Random(3)
+    rows = [(g, rng.choice([None, -2.5, 0.0, 1.25, rng.uniform(-3, 9)]), rng.randrange(2)) for g in ["a", "b", "c", None] for _ in range(rng.randrange(1, 60))]
+    rows += [("one", 2.0, 0), ("none", None, 0), ("none", None, 1)]
+    cells = spark.createDataFrame(rows, "g string, v double, k int").groupBy("g", "v", "k").count().withColumnRenamed("count", "n")
+    got = with_ranks(cells, "g", "v").groupBy("g").agg(percentile("v", 0.5).alias("p50"), percentile("v", 0.95).alias("p95"), stddev_samp("v").alias("sd")).collect()
+    assert {r.g for r in got} == {r[0] for r in rows}
+    for r in got:
+        values = sorted(v for g, v, _ in rows if g == r.g and v is not None)
+        if not values:
+            assert (r.p50, r.p95, r.sd) == (None, None, None)
+            continue
+        assert r.p50 == pytest.approx(statistics.median(values))
+        at = 0.95 * (len(values) - 1)
+        low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+        assert r.p95 == pytest.approx(low + (at - int(at)) * (high - low))
+        assert r.sd is None if len(values) < 2 else r.sd == pytest.approx(statistics.stdev(values))
+
+
+def test_a_region_of_five_million_magnitudes_in_a_small_heap():
+    """One group of so many distinct values is sorted, with spills, not held."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import sys; sys.path.insert(0, sys.argv[1])
+from pyspark.sql import functions as F
+from epicentre.session import build_session
+from epicentre.operators.ranks import percentile, with_ranks
+spark = build_session("local[2]", conf={"spark.driver.memory": "640m", "spark.sql.shuffle.partitions": "8"})
+n = 5_000_000
+cells = spark.range(n).select(F.lit("r").alias("region"), ((F.col("id") * 7919) % n / 1e6).alias("magnitude")).groupBy("region", "magnitude").agg(F.count(F.lit(1)).alias("n"))
+got = with_ranks(cells, "region", "magnitude").groupBy("region").agg(percentile("magnitude", 0.95).alias("p"), F.sum("n").alias("n")).first()
+assert got.n == n and abs(got.p - 0.95 * (n - 1) / 1e6) < 1e-9, got
+print("fine")
+"""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_"))}
+    done = subprocess.run([sys.executable, "-c", code, here], capture_output=True, text=True, env=env, timeout=600)
+    assert "fine" in done.stdout, done.stderr[-3000:]
+
+
+def test_maintained_parts_equal_a_rebuild(spark, sf001):
+    """Random increments, with revisions that move events between magnitudes; then one that the parts have missed."""
+    from epicentre.operators.marts import hourly_heatmap, regional_risk
+    from epicentre.plans import catalog as C
+    from epicentre.plans.pipeline import FACT, HEATMAP, RISK, Pipeline
+    from epicentre.session import scratch_path
+    from epicentre.sources.store import TableStore
+
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-parts")), maintain=True)
+    feed = C._feed(spark, sf001)
+
+    def same():
+        out, fct = pipe.run(C.P2, [RISK, HEATMAP]), pipe.fact.read()
+        for mart, whole in ((RISK, regional_risk(fct, C.P2)), (HEATMAP, hourly_heatmap(fct, C.P2))):
+            near = lambda df: df.select(*[F.round(c, 8).alias(c) if k == "double" else F.col(c) for c, k in sorted(df.dtypes)])
+            assert near(out[mart]).exceptAll(near(whole)).count() == 0 and out[mart].count() == whole.count()
+
+    for i in range(3):
+        some = feed.where(F.pmod(F.xxhash64("event_id", F.lit(i)), F.lit(3)) != 0)
+        some = some.withColumns({"updated_time": F.col("updated_time") + F.lit(i * 10**12), "magnitude": F.col("magnitude") + F.lit(0.25 * i)})
+        pipe.ingest(some, C.P1)
+        held = {m: t.state()["base"] for m, (t, _) in pipe.parts.items() if t.exists()}
+        pipe.run(C.P1, [FACT])
+        if i == 1:
+            assert held and all(t.notes()["fact_commit"] == pipe.fact.last_commit() for t, _ in pipe.parts.values())
+        same()
+    plain = Pipeline(spark, pipe.store)
+    plain.ingest(feed.limit(50).withColumn("updated_time", F.col("updated_time") + F.lit(9 * 10**12)), C.P2)
+    plain.run(C.P2, [FACT])
+    same()
