@@ -59,6 +59,14 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores after it while there is such a column (in any case) already."""
+    have = {c.lower() for c in columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """array<string> of the words; empty for a null text."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACES}]+"), lambda w: w != "")

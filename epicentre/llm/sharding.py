@@ -8,9 +8,11 @@ rows of the cells so made tell where each shard begins; inside a cell a running
 each record.  So shards differ by no more than about one record, no task handles more than a
 cell, and equal texts share a shard unless a boundary runs through them.
 
-A null text has no bytes; its size is that of an empty one.  Repeated rows each get their own
-slot.  An empty table gives an empty result.  All input columns are carried along; the
-results stand in one struct column.
+A null text has no bytes; its size is that of an empty one.  Very long texts are measured and
+hashed whole.  Equal texts stand in the order of a hash of their ids, equal ids in any order.
+Repeated rows each get their own slot.  An empty table gives an empty result.  All input
+columns are carried along; the results stand in one struct column, whose name gets underscores
+after it if the input has such a column.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ from bisect import bisect_right
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import written
+from epicentre.llm.common import free_name, written
 
 SHARDS = 24
-#: Ranges for each shard, and for each so many bytes; and the most there are in all.  The
-#: splitters are the only thing that the driver gets, so the last one bounds them.
+#: Ranges for each shard, and for each so many bytes; and the most splitters there are.  With more
+#: data ranges are subdivided as overfull ones are, into cells of BYTES_PER_RANGE at any size; the
+#: driver gets the splitters and one line for each cell.
 RANGES_PER_SHARD, BYTES_PER_RANGE, MAX_RANGES = 16, 1 << 30, 20_000
 #: Expected sampled keys for each range.
 SAMPLES_PER_RANGE = 12
@@ -35,20 +38,18 @@ RECORD_BYTES = 8
 
 
 def _numbers(values: list[int]) -> Column:
-    """A literal array<bigint>; one string in the plan instead of an expression for each number."""
+    """A literal array<bigint>, written as one string that is parsed once, when the plan is made."""
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
 
 
 def _rank(key: Column, splitters: list[int]) -> Column:
-    """How many of the sorted splitters are <= key: a search among every sqrt(n)-th, then in that run."""
-    step = max(1, int(len(splitters) ** 0.5))
-    runs = [splitters[i : i + step] for i in range(0, len(splitters), step)]
-    if not runs:
+    """How many of the sorted splitters are <= key, by halving steps."""
+    n = len(splitters)
+    if not n:
         return F.lit(0)
-    count = lambda arr: F.size(F.filter(arr, lambda s: s <= key))
-    heads = count(_numbers([r[0] for r in runs]))
-    rest = F.transform(F.split(F.lit(";".join(",".join(map(str, r)) for r in runs)), ";"), lambda s: F.split(s, ",").cast("array<bigint>"))
-    return F.when(heads == 0, F.lit(0)).otherwise((heads - 1) * step + count(F.get(rest, heads - 1)))
+    values = _numbers(splitters)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & (F.get(values, at + step - 1) <= key), at + step).otherwise(at))
 
 
 def _measures(text: str, doc_id: str) -> dict[str, Column]:
@@ -60,10 +61,23 @@ def _measures(text: str, doc_id: str) -> dict[str, Column]:
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", out: str = "sharding") -> DataFrame:
-    """``docs`` with a struct ``out``: size, shard (from 0) and slot (gapless from 0 in each shard)."""
-    own = [c for c in docs.columns if c != out]
-    # sizes and hashes only: what follows until the last step never sees a text
-    slim = written(docs.select(F.col(doc_id).alias("__id"), *[c.alias(n) for n, c in _measures(text, doc_id).items()]), "sharding-sizes")
+    """``docs`` with a struct ``out``: size, shard (from 0) and slot (gapless from 0 in each shard).
+
+    The last step sorts the rows with all their columns; who needs no texts measures first (``measured``) and
+    leaves them out.
+    """
+    return _assigned(measured(docs, text, doc_id), shards, doc_id, free_name(docs.columns, out))
+
+
+def measured(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with what a record's place depends on: its size and two hashes."""
+    return docs.select("*", *[c.alias(n) for n, c in _measures(text, doc_id).items()])
+
+
+def _assigned(docs: DataFrame, shards: int, doc_id: str, out: str) -> DataFrame:
+    own = [c for c in docs.columns if c not in ("__size", "__key", "__tie")]
+    # sizes and hashes only: what follows until the last step sees nothing else
+    slim = written(docs.select(F.col(doc_id).alias("__id"), "__size", "__key", "__tie"), "sharding-sizes")
     total = slim.agg(F.sum("__size")).first()[0] or 0
     ranges = min(MAX_RANGES, max(shards * RANGES_PER_SHARD, total // BYTES_PER_RANGE))
     step = max(1.0, total / (ranges * SAMPLES_PER_RANGE))
@@ -73,7 +87,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: st
 
     ranked = slim.withColumn("__range", _rank(F.col("__key"), splitters))
     filled = dict(ranked.groupBy("__range").agg(F.sum("__size")).collect())
-    mean = max(1.0, total / ranges)
+    mean = min(max(1.0, total / ranges), BYTES_PER_RANGE)
     pieces = [1 if filled.get(r, 0) <= OVERFULL * mean else -int(-filled[r] // mean) for r in range(len(splitters) + 1)]
     first, last = [], 0  # the cells of a range follow each other
     for n in pieces:
@@ -107,20 +121,25 @@ def assign(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: st
     starts = {s: rows_before[c] + sum(n for (k, x), n in counts.items() if k == c and x < s) for s, c in through.items()}
     first_row = _numbers([starts.get(s, 0) for s in range(shards)])
 
-    d = docs.select(*own, *[c.alias(n) for n, c in _measures(text, doc_id).items()]).withColumn("__range", _rank(F.col("__key"), splitters))
-    d = placed(celled(d), order)
+    d = placed(celled(docs.withColumn("__range", _rank(F.col("__key"), splitters))), order)
     return d.select(*own, F.struct(F.col("__size").alias("size"), F.col("__shard").alias("shard"), (F.col("__row") - F.get(first_row, F.col("__shard"))).alias("slot")).alias(out))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """The records in one folder for each shard."""
+    """The records in one folder for each shard, by ``shard``, with their ``slot``.
+
+    Where the input has such columns, the new ones have underscores after their names.
+    """
+    out = free_name(docs.columns, "sharding")
+    shard, slot = free_name(docs.columns, "shard"), free_name(docs.columns, "slot")
     d = assign(docs, shards)
-    d.select(*docs.columns, "sharding.shard", "sharding.slot").write.partitionBy("shard").parquet(path)
+    d.select(*docs.columns, F.col(f"{out}.shard").alias(shard), F.col(f"{out}.slot").alias(slot)).write.partitionBy(shard).parquet(path)
 
 
 def shard_rows(docs: DataFrame) -> DataFrame:
     """op8: where each document goes, by the law ``bytes``."""
-    d = assign(docs.select("doc_id", "text"))
+    d = measured(docs.select("doc_id", "text")).withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")))).drop("text")
+    d = _assigned(d, SHARDS, "doc_id", "sharding")
     return d.select(
-        "doc_id", F.col("sharding.size").alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+        "doc_id", F.col("sharding.size").alias("size"), "text_crc32",
         F.lit("bytes").alias("law"), F.col("sharding.shard").alias("shard"), F.col("sharding.slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from epicentre.llm import sharding as s
 
@@ -70,3 +71,58 @@ def test_written_shards(spark, sf001_docs, tmp_path):
     s.write_shards(sf001_docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == sf001_docs.count() and back.select("shard").distinct().count() == 4
+
+
+def test_splitters_are_searched_not_parsed_for_each_row(spark):
+    """20,000 splitters cost less than twice what 384 cost; ranks equal a plain count."""
+    import bisect
+    import random
+    import time
+
+    rng = random.Random(1)
+    rows = spark.range(60_000).select(F.xxhash64("id").alias("key")).cache()
+    rows.count()
+    spent = {}
+    for n in (384, 20_000):
+        splitters = sorted({rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)})
+        ranked = rows.select("key", s._rank(F.col("key"), splitters).alias("r"))
+        assert all(r.r == bisect.bisect_right(splitters, r.key) for r in ranked.limit(500).collect())
+        best = []
+        for _ in range(3):
+            began = time.perf_counter()
+            ranked.agg(F.sum("r")).first()
+            best.append(time.perf_counter() - began)
+        spent[n] = min(best)
+    rows.unpersist()
+    assert spent[20_000] < 2 * spent[384] + 0.5, spent
+    for few in ([], [5], [5, 9]):
+        got = spark.createDataFrame([(k,) for k in (4, 5, 6, 9, 10)], "key long").select(s._rank(F.col("key"), few).alias("r"))
+        assert [r.r for r in got.collect()] == [bisect.bisect_right(few, k) for k in (4, 5, 6, 9, 10)]
+
+
+def test_place_by_brute_force(docs_of, monkeypatch):
+    """Cells, running sums and shards against one sorted list, with ranges that are subdivided."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, "copy " * 40 if rng.random() < 0.4 else "w" * rng.randrange(0, 300)) for i in range(600)]
+    monkeypatch.setattr(s, "BYTES_PER_RANGE", 2000)
+    df = docs_of(rows)
+    got = s.assign(df, 5).select("doc_id", "sharding.*").collect()
+    total = sum(r.size for r in got)
+    assert {r.doc_id: r.size for r in got} == {i: len(t) + 8 for i, t in rows} and total == sum(len(t) + 8 for _, t in rows)
+    order = sorted(got, key=lambda r: (r.shard, r.slot))
+    before = 0
+    for k, r in enumerate(order):  # the shard of a record is that of its middle byte in the whole order
+        assert r.shard == min(4, (2 * before + r.size) * 5 // (2 * total))
+        assert r.slot == (0 if k == 0 or order[k - 1].shard != r.shard else order[k - 1].slot + 1)
+        before += r.size
+
+
+def test_clashing_names_are_kept(spark, docs_of, tmp_path):
+    df = docs_of([(i, f"text {i}") for i in range(50)]).withColumns({"sharding": F.lit("mine"), "shard": F.lit("too"), "slot": F.lit(1)})
+    got = s.assign(df, 3)
+    assert got.columns == [*df.columns, "sharding_"] and got.where("sharding = 'mine' and shard = 'too' and sharding_.shard < 3").count() == 50
+    s.write_shards(df, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {*df.columns, "shard_", "slot_"} and back.where("shard = 'too' and shard_ in (0, 1, 2)").count() == 50
