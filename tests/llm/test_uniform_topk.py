@@ -67,3 +67,37 @@ def test_large_components_stay_exact(table):
     rng = random.Random(4)
     rows = [(i, [rng.uniform(-9e5, 9e5) for _ in range(8)]) for i in range(120)]
     assert got(table(rows)) == brute(rows)
+
+
+def test_bounds_spare_entries():
+    """Vectors of skewed lengths: fewer entries are computed than there are pairs, in both phases, and none that counts is missed."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    x = (rng.normal(0, 40, (4000, 16)) * (rng.pareto(1.5, 4000)[:, None] + 0.05)).astype(np.int64)
+    ids, asked = np.arange(4000), x[::200]
+    tables = []
+    for i in range(2):
+        side = slice(8 * i, 8 * i + 8)
+        other = slice(8 - 8 * i, 16 - 8 * i)
+        make = lambda m, names: pa.table({"part": pa.array(m[:, side].tolist(), pa.list_(pa.int64())), "gid": names, "rest": np.sqrt((m[:, other].astype(float) ** 2).sum(axis=1))})  # noqa: B023, E731
+        tables.append((make(x, ids), make(asked, ids[::200])))
+    lists = [u._List(*t) for t in tables]
+    gathered = {}
+    for one, side in zip(lists, (slice(0, 8), slice(8, 16)), strict=True):
+        for name, found, entries in one.best(6):
+            exact = x[:, side] @ x[name, side]
+            assert sorted(entries) == sorted(np.sort(exact)[-6:]) and (exact[found] == entries).all()
+            gathered.setdefault(name, set()).update(found.tolist())
+    first = sum(one.computed for one in lists)
+    exact = {n: x @ x[n] for n in gathered}
+    cutoffs = np.array([np.sort(exact[n][sorted(gathered[n])])[-6] for n in ids[::200]])
+    sent = {}
+    for one in lists:
+        for name, found, _ in one.sufficient(cutoffs, 2):
+            sent.setdefault(name, set()).update(found.tolist())
+    second = sum(one.computed for one in lists) - first
+    for n, cutoff in zip(ids[::200], cutoffs, strict=True):
+        assert set(np.flatnonzero(exact[n] >= cutoff).tolist()) <= sent[n]
+    pairs = len(asked) * len(x) * 2
+    assert first < 0.7 * pairs and second < 0.7 * pairs and sum(map(len, sent.values())) < 0.2 * len(asked) * len(x)
