@@ -2,12 +2,14 @@
 
 Each rule is a boolean column that is true where a document must go.  Cost and selectivity
 of every rule are estimated on a sample; the rules then run in the order of rejection per
-cost, and a document that one rule rejects is not shown to the later ones.  The order never
-changes which documents are kept, only what it costs and which rule is named.
-
-Null and empty texts have no words and are rejected.  Repeated rows are judged alike, one
-result each.  An empty table gives an empty result.  All columns of the input are kept; the
-results stand in one struct column (``out``), so no name can clash.
+cost, and for a document that one rule rejects nothing is computed that only later ones need.
+The order never changes which documents are kept, only what it costs and which rule is named.
+
+Null and empty texts have no words and are rejected.  Very long texts are judged whole.
+Repeated rows are judged alike, one result each; rules of equal rejection per cost keep their
+order.  An empty table gives an empty result.  All columns of the input are kept; the results
+stand in one struct column, whose name gets underscores after it if the input has such a
+column.
 """
 
 from __future__ import annotations
@@ -20,10 +22,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import SPACES, written
+from epicentre.llm.common import SPACES, free_name, written
 
-#: Rows of the sample on which cost and selectivity are estimated (expected number).
-SAMPLE_ROWS = 2_000
+#: Rows of the sample on which cost and selectivity are estimated (expected number), and how often
+#: each rule's cost is measured.
+SAMPLE_ROWS, REPEATS = 8_000, 3
 WINDOW = 8
 
 
@@ -120,37 +123,50 @@ def _with(df: DataFrame, text: str, names: list[str], have: set[str], alive: Col
 def order_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """The rules by estimated rejection per cost, highest first.
 
-    The sample is drawn by a hash of the text, so it has the same rows in every run; its
-    cost is the wall time of one aggregate over the sample for each rule.
+    The sample is drawn by row, so that a text with very many copies has its share in it and no more.
+    A rule's cost is the time of an aggregate over the sample with what the rule needs, less that of one
+    without any rule: the least of some repeats, after one to compile it.
     """
     total = df.count()
     if not total:
         return list(rules)
-    keep = min(1.0, sample_rows / total)
-    sample = written(df.select(F.col(text)).where(F.pmod(F.xxhash64(F.col(text), F.lit(7)), F.lit(1 << 20)) < int(keep * (1 << 20)) + 1), "quality-sample")
+    sample = written(df.select(F.col(text)).where(F.rand(7) < min(1.0, sample_rows / total)), "quality-sample")
+
+    def measured(judged: DataFrame, *counts: Column) -> tuple[float, tuple]:
+        spent, found = [], None
+        for _ in range(REPEATS + 1):
+            began = time.perf_counter()
+            found = judged.agg(F.count("*"), F.sum(F.length(text)), *counts).first()
+            spent.append(time.perf_counter() - began)
+        return min(spent[1:]), found
+
+    idle, _ = measured(sample)
     rated = []
     for k, r in enumerate(rules):
-        judged = _with(sample, text, list(r.needs), set())
-        began = time.perf_counter()
-        n, bad = judged.agg(F.count("*"), F.count_if(r.rejects(lambda x: F.col(f"__q_{x}")))).first()
-        rated.append(((bad + 1) / (n + 2) / max(time.perf_counter() - began, 1e-3), -k, r))
+        cost, (n, _, bad) = measured(_with(sample, text, list(r.needs), set()), F.count_if(r.rejects(lambda x: F.col(f"__q_{x}"))))
+        rated.append(((bad + 1) / (n + 2) / max(cost - idle, 1e-3), -k, r))
     return [r for _, _, r in sorted(rated, key=lambda x: x[:2], reverse=True)]
 
 
-def judge(df: DataFrame, text: str = "text", rules: list[Rule] | tuple[Rule, ...] = RULES, features: tuple[str, ...] = (), out: str = "quality") -> DataFrame:
-    """``df`` with a struct ``out``: the named features, ``failed`` (the first rule that rejects, else null).
+def cascade(df: DataFrame, text: str, rules: list[Rule] | tuple[Rule, ...], features: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``__q_failed`` (the first rule that rejects, else null) and a column ``__q_<name>`` for each feature.
 
-    The rules stand in one CASE in their order: a later one is evaluated only where the
-    earlier ones let the document pass.
+    Those named in ``features`` are computed for all rows, others only where no earlier rule rejects.
     """
-    needed = _closure(tuple(dict.fromkeys([*features, *(n for r in rules for n in r.needs)])))
-    own = [c for c in df.columns if c != out]
-    d = _with(df, text, needed, set())
-    at = lambda n: F.col(f"__q_{n}")
-    failed = F.lit(None).cast("string")
-    for r in reversed(rules):
-        failed = F.when(r.rejects(at), F.lit(r.name)).otherwise(failed)
-    return d.select(*own, F.struct(*[at(n).alias(n) for n in features], failed.alias("failed")).alias(out))
+    have: set[str] = set()
+    failed = F.col("__q_failed")
+    d = _with(df, text, list(features), have).withColumn("__q_failed", F.lit(None).cast("string"))
+    for r in rules:
+        d = _with(d, text, list(r.needs), have, failed.isNull())
+        d = d.withColumn("__q_failed", F.when(failed.isNotNull(), failed).when(r.rejects(lambda n: F.col(f"__q_{n}")), F.lit(r.name)))
+    return d
+
+
+def judge(df: DataFrame, text: str = "text", rules: list[Rule] | tuple[Rule, ...] = RULES, features: tuple[str, ...] = (), out: str = "quality") -> DataFrame:
+    """``df`` with a struct ``out``: the named features, ``failed`` (the first rule that rejects, else null)."""
+    own, out = df.columns, free_name(df.columns, out)
+    d = cascade(df, text, rules, features)
+    return d.select(*own, F.struct(*[F.col(f"__q_{n}").alias(n) for n in features], F.col("__q_failed").alias("failed")).alias(out))
 
 
 def passing(df: DataFrame, text: str = "text", rules: list[Rule] | tuple[Rule, ...] = RULES) -> DataFrame:

@@ -60,3 +60,39 @@ def test_order_prefers_rejection_per_cost(sf001_docs):
 def test_no_python_in_the_plan(sf001_docs):
     plan = q.verdicts(sf001_docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def evaluations(df, rules):
+    """How many counts are computed for how many rows."""
+    from pyspark.sql import functions as F
+
+    done = q.cascade(df, "text", rules)
+    steps = [c for c in done.columns if c.startswith("__q_n_") or c == "__q_word_chars"]
+    return sum(done.agg(*[F.count(c) for c in steps]).first())
+
+
+def test_the_measured_order_computes_less_than_its_reverse(docs_of):
+    """Most texts break the cheap rule on symbols: behind it, few are looked at for the dear ones."""
+    plain = " ".join(f"word{i}" for i in range(200))
+    df = docs_of([(i, plain + " ### &&& %%% $$$ ***" * 10 if i % 10 else plain) for i in range(1500)])
+    rules = q.order_rules(df)
+    assert evaluations(df, rules) < evaluations(df, rules[::-1])
+    assert evaluations(df, q.RULES[2:]) == 1500 * 2 + 150 * 4  # words and symbols of all; characters, both line counts and stutters of the rest
+    kept = {r.doc_id for r in q.judge(df, rules=rules).where("quality.failed is null").collect()}
+    assert kept == {i for i in range(0, 1500, 10)}
+
+
+def test_a_text_with_very_many_copies_has_its_share_of_the_sample(docs_of, monkeypatch):
+    taken = []
+    plain = q.written
+    monkeypatch.setattr(q, "written", lambda df, name: taken.append(plain(df, name)) or taken[-1])
+    q.order_rules(docs_of([(i, "one text " * 20 if i % 3 else f"text {i} " * 20) for i in range(3000)]), rules=q.RULES[:1], sample_rows=300)
+    assert 200 < taken[0].count() < 400
+
+
+def test_clashing_name_of_the_result(docs_of):
+    from pyspark.sql import functions as F
+
+    df = docs_of([(1, "a b")]).withColumn("quality", F.lit("mine"))
+    got = q.judge(df).first()
+    assert got.quality == "mine" and got.quality_.failed == "few_words"
