@@ -15,6 +15,7 @@ as they stand there.  An empty table gives an empty result.  Null ids of documen
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -37,6 +38,8 @@ MIN_FILL = 0.98
 CACHE = 100_000
 #: Bytes of text that a task turns into ids at a time.
 SLICE = 6 << 20
+#: Characters that are encoded at a time where texts are encoded as wholes.
+WHOLE_CHARS = 1 << 20
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -44,21 +47,59 @@ _stores: dict[str, "_Ids"] = {}
 
 
 class _Ids:
-    """The ids of strings, encoded once while they are remembered."""
+    """The ids of strings, encoded once while they are remembered; and which shortcuts this tokenizer allows.
+
+    ``by_words``: a text's ids are those of its blank-separated strings, one after the other.
+    ``plain``: moreover, an ASCII word has the ids of its lower-case form, and a full stop or comma behind
+    it has its own.  ``direct``: such a word can skip the steps before the model.  Each is taken only
+    where the probes bear it out, and where no entry of the vocabulary could break it.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.encoder, self.young, self.old = Tokenizer.from_file(path), {}, {}
-        # lower-case ASCII words can skip the steps before the model, if these leave them as they are
         self.model = self.encoder.model
-        probes = ["a", "the", "licensed", "qzxwvj", "abcdefghijklmnopqrstuvwxyz"]
-        self.direct = all(self._direct(w) == self.encoder.encode(w, add_special_tokens=False).ids for w in probes)
+        added = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
+        self.by_words = self._by_words(added)
+        self.plain = self.by_words and self._plain(added)
+        self.direct = self.plain and all(self._direct(w) == self._ids(w) for w in ("a", "the", "licensed", "qzxwvj", "abcdefghijklmnopqrstuvwxyz"))
+
+    def _ids(self, text: str) -> list[int]:
+        return self.encoder.encode(text, add_special_tokens=False).ids
 
     def _direct(self, word: str) -> list[int]:
         return [t.id for t in self.model.tokenize(word)]
 
+    def _by_words(self, added: list[str]) -> bool:
+        # an entry with a blank (or its sign) between other characters can reach across words
+        if any(re.search(r"\S[\s\u2581\u0120]+\S", t) for t in self.encoder.get_vocab(with_added_tokens=True)):
+            return False
+        strings = ["the", "of", "Word", "I'll", "7", "12.5", ".", "(x)", "-", "\u00fcn\u00ef", "\u4e2d\u6587", "\u0301", *added]
+        gaps = [" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c", " \n\n "]
+        ids = {w: self._ids(w) for w in strings}
+        return not any(self._ids(g) for g in gaps) and all(
+            self._ids(f"{a}{g}{b}") == ids[a] + ids[b] and self._ids(f"{g}{a}{g}") == ids[a]
+            for k, a in enumerate(strings) for b in (strings if k < 12 else strings[:12]) for g in gaps)
+
+    def _plain(self, added: list[str]) -> bool:
+        if any(re.fullmatch(r"[A-Za-z.,]+", t) for t in added):
+            return False
+        words = ["a", "I", "The", "LICENSED", "qZxwvj", "McDonald", "AbcdefghijklmnopqrstuvwxyZ", "etc", "U"]
+        return all(self._ids(w + end) == self._ids(w.lower()) + self._ids(end) for w in words for end in ("", ".", ","))
+
+    def whole(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, encoded as a whole."""
+        run, held = [], 0
+        for k, t in enumerate(texts):
+            run.append(t)
+            held += len(t)
+            if held >= WHOLE_CHARS or k == len(texts) - 1:
+                for e in self.encoder.encode_batch_fast(run, add_special_tokens=False):
+                    yield np.array(e.ids, np.uint32)
+                run, held = [], 0
+
     def of(self, words: list[str]) -> list[bytes]:
         if len(self.young) > CACHE:  # what wasn't asked for since the last time is forgotten
             self.old, self.young = self.young, {}
@@ -97,21 +138,23 @@ def default_tokenizer() -> str:
 def encode(text: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts (without end marks), one after the other, and how many each text has.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those
-    of its blank-separated strings.  It also lower-cases all text and cuts between letters and
-    other characters: so of an ASCII word the lower-cased form is looked up, and a full stop or
-    comma behind it apart from it.
+    Equal to encoding each text as a whole.  Where the tokenizer allows it (see _Ids), only
+    distinct words are encoded.
     """
     if path not in _stores:
         _stores[path] = _Ids(path)
+    store = _stores[path]
+    if not store.by_words:
+        ids = list(store.whole(pc.fill_null(text, "").to_pylist()))
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in ids], np.int64)
     codes, distinct, counts = coded_words(text)
     if not len(codes):
         return np.zeros(0, np.uint32), np.zeros(len(counts), np.int64)
-    plain = pc.match_substring_regex(distinct, "^[A-Za-z]+[.,]?$")
+    plain = pc.match_substring_regex(distinct, "^[A-Za-z]+[.,]?$") if store.plain else pa.array(np.zeros(len(distinct), bool))
     words = pc.if_else(plain, pc.utf8_rtrim(pc.ascii_lower(distinct), ".,"), distinct)
     ends = np.where(plain, pc.ends_with(distinct, "."), False) + 2 * np.where(plain, pc.ends_with(distinct, ","), False)
     looked_up = words.dictionary_encode()
-    blobs = _stores[path].of([*looked_up.dictionary.to_pylist(), "", ".", ","])
+    blobs = store.of([*looked_up.dictionary.to_pylist(), "", ".", ","])
     flat = np.frombuffer(b"".join(blobs), dtype="<u4")
     sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
     starts = starts_of(sizes)
@@ -219,7 +262,7 @@ def pack_block(n_ids: np.ndarray, window: int, min_fill: float, first: int) -> t
     return (*pieces.T, at)
 
 
-def _packer(path: str, window: int, block: int, min_fill: float):
+def _packer(path: str, window: int, block: int, min_fill: float, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -244,7 +287,7 @@ def _packer(path: str, window: int, block: int, min_fill: float):
         for part_of in slices(batches, "text", SLICE):
             flat, counts = encode(part_of.column("text"), path)
             ends = np.cumsum(counts)
-            ids.append(np.insert(flat, ends, END_ID))
+            ids.append(np.insert(flat, ends, end_id))
             sizes.append(counts + 1)
             docs.append(part_of.column("doc_id").cast(pa.int64()))
             held += len(ids[-1])
@@ -256,13 +299,15 @@ def _packer(path: str, window: int, block: int, min_fill: float):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, block_ids: int = BLOCK_IDS, min_fill: float = MIN_FILL) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, block_ids: int = BLOCK_IDS, min_fill: float = MIN_FILL,
+         end_id: int = END_ID) -> DataFrame:
     """Pieces of all documents (SCHEMA); ``ids`` holds a piece's ids as little-endian unsigned 32-bit integers.
 
-    ``tokenizer`` is the path of a tokenizer file that every executor can read.
+    ``tokenizer`` is the path of a tokenizer file that every executor can read; any tokenizer of that
+    library will do.  ``end_id`` ends each document.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(_packer(tokenizer or default_tokenizer(), window, block_ids, min_fill), SCHEMA)
+    return d.mapInArrow(_packer(tokenizer or default_tokenizer(), window, block_ids, min_fill, end_id), SCHEMA)
 
 
 def packed_pieces(docs: DataFrame) -> DataFrame:

@@ -71,6 +71,59 @@ def test_string_by_string_is_the_same(text, tokenizer):
     assert flat.tolist() == want * 2 and counts.tolist() == [len(want), 0, len(want)]
 
 
+def test_shortcuts_are_taken_only_where_they_hold():
+    import public_tokenizers
+
+    own, other = p._Ids(p.default_tokenizer()), p._Ids(public_tokenizers.path("byte_bpe_50k.json"))
+    assert own.by_words and own.plain and own.direct
+    assert not (other.by_words or other.plain or other.direct)
+
+
+def _saved(tmp_path, pre, normalizer=None, added=()):
+    """A small tokenizer of words, for the shortcuts between all and none."""
+    from tokenizers import AddedToken, Tokenizer, models
+
+    names = ["<unk>", "the", "The", ".", ",", "a", "A", "cat", "of", "the."]
+    t = Tokenizer(models.WordLevel({w: k for k, w in enumerate(names)}, unk_token="<unk>"))
+    t.pre_tokenizer = pre
+    if normalizer is not None:
+        t.normalizer = normalizer
+    t.add_tokens([AddedToken(x) for x in added])
+    t.save(str(tmp_path / "t.json"))
+    return str(tmp_path / "t.json")
+
+
+@pytest.mark.parametrize("added", [(), ("cat",), ("of the",)])
+@pytest.mark.parametrize("kind", ["blanks", "lower"])
+def test_other_tokenizers(kind, added, tmp_path):
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    path = _saved(tmp_path, pre_tokenizers.WhitespaceSplit() if kind == "blanks" else pre_tokenizers.BertPreTokenizer(), normalizers.Lowercase() if kind == "lower" else None, added)
+    texts = ["The cat. the, THE of the", "A  a\tcat\n.", "", "Cat cat, the. ofthe of  the"]
+    flat, counts = p.encode(pa.array(texts), path)
+    want = [Tokenizer.from_file(path).encode(x, add_special_tokens=False).ids for x in texts]
+    assert flat.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+    assert p._Ids(path).plain == (kind == "lower" and not added)
+
+
+def test_whole_texts_with_a_tokenizer_that_keeps_blanks(sf001_docs, odd_docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    for df in (sf001_docs.limit(40), odd_docs.where("doc_id <> 5")):
+        docs = {r.doc_id: r.text for r in df.collect() if r.doc_id is not None}
+        got = defaultdict(list)
+        for r in p.pack(df, tokenizer=path, end_id=50256).collect():
+            if r.doc_id is not None:
+                got[r.doc_id].append((r.start, r.ids))
+        assert set(got) == set(docs)
+        for i, x in docs.items():
+            ids = np.frombuffer(b"".join(b for _, b in sorted(got[i])), "<u4").tolist()
+            assert ids == [*t.encode(x or "", add_special_tokens=False).ids, 50256]
+
+
 def test_forgetting_changes_nothing(monkeypatch, sf001_docs, tokenizer):
     monkeypatch.setattr(p, "CACHE", 5)
     p._stores.clear()
