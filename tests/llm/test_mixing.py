@@ -64,6 +64,42 @@ def test_many_small_documents_meet_the_target(docs_of):
     assert all(abs(taken[s] - want[s]) <= 1.5 for s in want)  # the sizes of c are multiples of 3
 
 
+def test_a_long_document_at_the_edge_leaves_a_gap_that_small_ones_fill(docs_of):
+    # the gaps take thousands of documents: more than one at a time must be found
+    sizes, want, taken, _ = check(docs_of([(0, "l " * 4000, "a")] + [(i, "s", "a") for i in range(1, 5000)] + [(5000 + i, "t " * 5, "b") for i in range(2000)]))
+    assert all(abs(taken[s] - want[s]) <= 3 for s in want)
+
+
+def test_rows_that_share_an_id_and_the_end_of_filling(docs_of):
+    _, want, taken, got = check(docs_of([(1, "x " * 30, "a")] * 40 + [(2, "y " * 7, "a")] * 9 + [(100 + i, "z " * 11, "b") for i in range(50)]))
+    assert len({r.taken for r in got if r.doc_id == 1}) == 1
+
+
+def test_what_is_left_ends_under_the_shortest_document_left(sf001_docs):
+    _, want, taken, got = check(sf001_docs)
+    source = {r.doc_id: r.source for r in sf001_docs.collect()}
+    size = {s: sum(r["size"] for r in got if source[r.doc_id] == s) for s in want}
+    for s in want:
+        times = want[s] // size[s]
+        over = [r["size"] for r in got if source[r.doc_id] == s and r["size"] and r.taken == times * r["size"]]
+        assert not over or abs(taken[s] - want[s]) <= min(over) + 1
+
+
+def test_many_sources(spark):
+    from pyspark.sql import functions as F
+
+    sized = spark.range(100_000).select(F.concat(F.lit("host"), F.col("id")).alias("source"), (1 + F.pmod(F.col("id") * 7919, F.lit(97))).alias("size"))
+    got = {r.source: r.target for r in m.source_targets(sized).collect()}
+    want = brute_targets({r.source: r["size"] for r in sized.collect()})
+    assert len(got) == 100_000 and all(abs(got[x] - want[x]) < 1e-6 for x in want)
+
+
+def test_the_input_keeps_a_column_named_like_the_result(docs_of, clash):
+    df = clash(docs_of([(1, "a b", "a"), (2, "c d e", None)]))
+    out = m.chosen(df)
+    assert out.columns == [*df.columns, "mix_"] and {r.mix for r in out.collect()} == {"x"}
+
+
 def test_same_again(sf001_docs):
     assert sorted(m.mixed_sizes(sf001_docs).collect()) == sorted(m.mixed_sizes(sf001_docs.repartition(3)).collect())
 
