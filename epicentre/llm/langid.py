@@ -7,12 +7,14 @@ of how far their rank is from their rank in the profile, and the full profile le
 the profile lacks one.  The nearest language wins; ties go to the smaller value by code point.
 
 Training counts n-grams inside the tasks and sums them by language and n-gram, so a language
-that holds most rows is pre-aggregated before the shuffle; what is broadcast has PROFILE rows
-for each language, MAX_LANGUAGES at most.  Prediction is a map over the documents that sees
-the text alone.
+that holds most rows is pre-aggregated before the shuffle.  Prediction is a map over the
+documents that sees the text alone.  A task gets the profiles of at most LANGUAGES languages, as
+a list of their n-grams' places; where there are more, the map is taken for one set of them after
+the other and the nearest so far goes along.
 
 ``und``, score 0: a text that is null or has no letter, or nothing to learn from.  Documents
 with a null id are neither learnt from nor held out.  Repeated rows get the same prediction.
+A text longer than a slice is counted as a whole; n-grams of equal number are ordered by code.
 An empty table gives an empty result.
 """
 
@@ -26,9 +28,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import crc32_of_id, slices
+from epicentre.llm.common import crc32_of_id, slices, starts_of, written
 
-PROFILE, MAX_LANGUAGES = 300, 2_000
+#: N-grams of a profile; languages whose profiles a task holds at a time.
+PROFILE, LANGUAGES = 300, 2_000
 #: Fixed by the contract: documents with this remainder aren't learnt from.
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
@@ -121,51 +124,68 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
 
 class Profiles:
-    """All profiles as one table: n-gram -> place in each language, ``size`` where it lacks it."""
+    """Profiles of some languages: for each n-gram, the languages that have it and its places there."""
 
     def __init__(self, rows: list[tuple[str, int, int]], size: int = PROFILE):
         self.size = size
         self.langs = sorted({r[0] for r in rows})
-        self.grams = np.array(sorted({r[1] for r in rows}), np.int64)
-        self.place = np.full((len(self.grams) + 1, len(self.langs)), size, np.int64)  # the last row: in no profile
-        row, col = {g: k for k, g in enumerate(self.grams.tolist())}, {x: k for k, x in enumerate(self.langs)}
-        for lang, gram, place in rows:
-            self.place[row[gram], col[lang]] = place
+        at = {x: k for k, x in enumerate(self.langs)}
+        grams = np.array([r[1] for r in rows], np.int64)
+        order = np.argsort(grams, kind="stable")
+        self.lang = np.array([at[r[0]] for r in rows], np.int32)[order]
+        self.place = np.array([r[2] for r in rows], np.int32)[order]
+        self.grams, first = np.unique(grams[order], return_index=True)
+        self.bounds = np.append(first, len(rows))
 
     def nearest(self, mine: np.ndarray) -> tuple[str, float]:
         """The language at the least distance from ranked n-grams, and one less the share of the greatest distance."""
         if not len(mine) or not self.langs:
             return UNKNOWN, 0.0
         at = np.minimum(np.searchsorted(self.grams, mine), len(self.grams) - 1)
-        place = self.place[np.where(self.grams[at] == mine, at, len(self.grams))]
-        off = np.where(place == self.size, self.size, np.abs(place - np.arange(len(mine))[:, None])).sum(axis=0)
-        best = int(off.argmin())
-        return self.langs[best], 1.0 - float(off[best]) / (self.size * len(mine))
-
-
-def _predict(known: Profiles):
+        mine_at = np.flatnonzero(self.grams[at] == mine)
+        first = self.bounds[at[mine_at]]
+        n = self.bounds[at[mine_at] + 1] - first
+        entry = np.repeat(first - starts_of(n), n) + np.arange(n.sum())
+        # what an n-gram that a profile has is nearer than one that it lacks
+        near = self.size - np.abs(self.place[entry] - np.repeat(mine_at, n))
+        gained = np.bincount(self.lang[entry], weights=near, minlength=len(self.langs))
+        best = int(gained.argmax())
+        off = self.size * len(mine) - gained[best]
+        return self.langs[best], 1.0 - float(off) / (self.size * len(mine))
+
+
+def _predict(known: Profiles, more: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             all_grams, at = grams(pc.fill_null(part.column("text"), "").to_pylist())
             found = [known.nearest(ranked(_text_codes(all_grams, a, b + 1), known.size)) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            if "lang_pred" in part.schema.names:  # the nearest of languages that come before these
+                before = zip(part.column("lang_pred").to_pylist(), part.column("score").to_pylist(), strict=True)
+                found = [old if new[0] == UNKNOWN or old[1] >= new[1] and old[0] != UNKNOWN else new for old, new in zip(before, found, strict=True)]
+            own = ["doc_id", "held_out"] + ["text"] * more  # the text goes along if there are more languages
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("held_out"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                names=["doc_id", "held_out", "lang_pred", "score"])
+                [*[part.column(c) for c in own], pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
+                names=[*own, "lang_pred", "score"])
 
     return run
 
 
-def predict(docs: DataFrame, known: Profiles) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for rows (doc_id, held_out, text)."""
+def predict(docs: DataFrame, known: DataFrame, languages: int = LANGUAGES) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for rows (doc_id, held_out, text).  ``known`` is a written table of profiles."""
     d = docs.select("doc_id", "held_out", F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(_predict(known), "doc_id long, held_out boolean, lang_pred string, score double")
+    langs, some = known.select("lang").distinct(), None
+    while some is None or len(some) == languages:
+        after = langs if some is None else langs.where(F.col("lang") > some[-1])
+        some = [r[0] for r in after.orderBy("lang").limit(languages).collect()]
+        if some or "lang_pred" not in d.columns:
+            rows = known.where(F.col("lang").between(some[0], some[-1])).collect() if some else []
+            more = len(some) == languages
+            d = d.mapInArrow(_predict(Profiles([tuple(r) for r in rows]), more), "doc_id long, held_out boolean, " + "text string, " * more + "lang_pred string, score double")
+    return d.drop("text")
 
 
 def identified(docs: DataFrame) -> DataFrame:
     """op9: learn from the training folds, predict every document."""
     fold = F.pmod(crc32_of_id(F.col("doc_id")), F.lit(FOLDS))
-    learnt = profiles(docs.where(fold != HELD_OUT))
-    rows = [tuple(r) for r in learnt.limit(PROFILE * MAX_LANGUAGES + 1).collect()]
-    if len(rows) > PROFILE * MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
-    return predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"), "text"), Profiles(rows))
+    learnt = written(profiles(docs.where(fold != HELD_OUT)), "langid-profiles")
+    return predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"), "text"), learnt)

@@ -69,6 +69,26 @@ def test_odd_inputs(odd_docs, clash, docs_of):
     assert check(docs_of([])) == []
 
 
+@pytest.mark.parametrize("languages", [1, 2, 3])
+def test_more_languages_than_a_task_holds(languages, sf001_docs):
+    from pyspark.sql import functions as F
+
+    from epicentre.llm.common import written
+
+    known = written(li.profiles(sf001_docs), "langid-test")
+    rows = sf001_docs.select("doc_id", F.lit(False).alias("held_out"), "text").limit(60)
+    assert known.select("lang").distinct().count() > languages
+    assert sorted(li.predict(rows, known, languages).collect()) == sorted(li.predict(rows, known).collect())
+
+
+def test_thousands_of_languages(docs_of):
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(0x4E00 + i % 2500)} {chr(0x4E00 + i % 2500)}q", "a", f"l{i % 2500:04}") for i in range(5000)]
+    got = li.identified(docs_of(rows)).collect()
+    lang = {r[0]: r[3] for r in rows}
+    learnt = {x for i, x in lang.items() if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(learnt) > li.LANGUAGES and all(r.lang_pred == lang[r.doc_id] for r in got if lang[r.doc_id] in learnt)
+
+
 def test_no_letters_and_nothing_learnt(docs_of):
     assert {r.lang_pred for r in li.identified(docs_of([(1, "12 34 !"), (2, "words here")])).collect() if r.doc_id == 1} == {"und"}
     assert {r.lang_pred for r in li.identified(docs_of([(1, "words", "a", None)])).collect()} == {"und"}
