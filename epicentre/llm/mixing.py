@@ -123,6 +123,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
 
     def weighed(state: DataFrame, name: str) -> DataFrame:
         """With ``left``: what the source still needs; and whether a document fits that, and the last rule took anything."""
+        state = written(state, f"{name}-rules")  # so that its size is known: a row for each source
         taken = sized.join(state.select("name", "need", "edge", "rules"), _same("source", "name"))
         got = taken.groupBy("source").agg(F.sum(F.when(_extra(), F.col("size")).otherwise(0)).alias("got"), F.min(F.when(~_extra() & (F.col("size") > 0), F.col("size"))).alias("least"))
         left = F.col("need") - F.col("got")
