@@ -38,9 +38,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_katz_backoff": katz.SCORED_SQL,
         "op3_suffix_automata": automata_dedup.KEPT_SQL,
         "op4_oph_minhash": oph_minhash.LINKED_SQL,
+        "op6_template_markup": license_scan.PLACES_SQL,
         "op7_uniform_threshold": uniform_topk.TOP_SCORES_SQL,
+        "op9_rank_order": langid.IDENTIFIED_SQL,
         "op10_quality_cascade": quality_cascade.VERDICTS_SQL,
         "op11_wagner_fischer": turn_repair.REPAIRED_SQL,
         "op12_union_free_wrappers": wrapper_html.PAGE_TEXTS_SQL,

@@ -158,6 +158,12 @@ def crc32_of_id(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string"))
 
 
+#: DuckDB: the text with A-Z in lower case (null: empty), and the crc32 of the id written as text.
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CRC32_OF_ID = """xor(list_reduce(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT),
+    lambda acc, b: list_reduce(range(8), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END, xor(acc, b)),
+    4294967295::BIGINT), 4294967295::BIGINT)"""
+
 #: Bits of the filter of may_be_in(): 256 bitmaps of 4 KB, whatever the number of ids.
 FILTER_BITS, BITMAP_BITS = 1 << 23, 1 << 15
 

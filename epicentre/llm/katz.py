@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import coded_words, crc32_of_id, mix, slices, starts_of, string_hashes, written
+from epicentre.llm.common import CRC32_OF_ID, LOWERED, WORD, coded_words, crc32_of_id, mix, slices, starts_of, string_hashes, written
 
 #: Fixed by the contract: the documents with this remainder aren't learnt from.
 FOLDS, HELD_OUT = 7, 2
@@ -420,3 +420,31 @@ def scored(docs: DataFrame) -> DataFrame:
     fold = F.pmod(crc32_of_id(F.col("doc_id")), F.lit(FOLDS))
     d = docs.select("doc_id", "text")
     return score(d.withColumns({"learn": F.coalesce(fold != HELD_OUT, F.lit(False)), "held_out": F.coalesce(fold == HELD_OUT, F.lit(False))}))
+
+
+#: A blank stands for the end mark and an empty word for the start mark; no word is like them.
+SCORED_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {CRC32_OF_ID} % {FOLDS} AS fold,
+    list_append(regexp_extract_all({LOWERED}, '{WORD}'), ' ') AS w FROM documents),
+t AS (SELECT r, coalesce(fold <> {HELD_OUT}, false) AS learn, unnest(list_prepend('', w[1:len(w) - 1])) AS h, unnest(w) AS w FROM d),
+words AS (SELECT w, count(*) AS c FROM t WHERE learn GROUP BY w),
+pairs AS (SELECT h, w, count(*) AS c FROM t WHERE learn GROUP BY h, w),
+contexts AS (SELECT h, count(*) AS c FROM t WHERE learn GROUP BY h),
+size AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM words),
+-- how many counts are 1 to 6, of words (1) and of pairs (2), and what a count is multiplied by
+few AS (SELECT o, [count(*) FILTER (c = 1), count(*) FILTER (c = 2), count(*) FILTER (c = 3), count(*) FILTER (c = 4), count(*) FILTER (c = 5), count(*) FILTER (c = 6)] AS n
+    FROM (SELECT 1 AS o, c FROM words UNION ALL SELECT 2, c FROM pairs) GROUP BY o),
+turing AS (SELECT o, k, n[k] AS of_k, CASE WHEN n[1] > 0 AND n[2] > 0 THEN n[1] / (n[1] + 2 * n[2]) ELSE 0.5 END AS absolute,
+    CASE WHEN n[1] > 0 THEN 6 * n[6] / n[1] ELSE 1.0 END AS common, CASE WHEN n[k] > 0 THEN (k + 1) * n[k + 1] / (k * n[k]) END AS ratio FROM few, range(1, 6) x(k)),
+kept AS (SELECT o, k, of_k, CASE WHEN common < 1 AND (ratio - common) / (1 - common) > 0 AND (ratio - common) / (1 - common) < 1 THEN (ratio - common) / (1 - common) ELSE 1 - absolute / k END AS d FROM turing),
+free AS (SELECT coalesce(sum((1 - d) * k * of_k), 0) AS free FROM kept WHERE o = 1),
+over AS (SELECT CASE WHEN free > 0 THEN n ELSE n + 1 END AS over, CASE WHEN free > 0 THEN free ELSE 1.0 END / CASE WHEN free > 0 THEN n ELSE n + 1 END AS unknown FROM size, free),
+one AS (SELECT w, c, c * coalesce(d, 1.0) / over AS p FROM words CROSS JOIN over LEFT JOIN kept ON o = 1 AND k = c),
+seen AS (SELECT h, pairs.w, pairs.c, pairs.c * coalesce(d, 1.0) AS left_of, k IS NOT NULL AS few, p FROM pairs JOIN one ON one.w = pairs.w LEFT JOIN kept ON o = 2 AND k = pairs.c),
+-- a context of which nothing is discounted gives one more to the unseen
+context AS (SELECT h, contexts.c + CASE WHEN bool_or(few) THEN 0 ELSE 1 END AS over, fsum(left_of) AS left_of, fsum(p) AS covered FROM seen JOIN contexts USING (h) GROUP BY h, contexts.c),
+scores AS (SELECT r, count(*) AS n_tokens, count(one.c) AS n_known, fsum(log10((coalesce(one.c, 0) + 1) / (n * 1.0::DOUBLE + v + 1))) AS base_score,
+    fsum(CASE WHEN seen.c IS NOT NULL THEN log10(seen.left_of / context.over)
+        ELSE log10(coalesce((1 - context.left_of / context.over) / (1 - covered), 1.0)) + log10(coalesce(one.p, unknown)) END) AS score
+    FROM t CROSS JOIN size CROSS JOIN over LEFT JOIN one ON one.w = t.w LEFT JOIN context ON context.h = t.h LEFT JOIN seen ON seen.h = t.h AND seen.w = t.w GROUP BY r)
+SELECT doc_id, coalesce(fold = {HELD_OUT}, false) AS held_out, n_tokens, n_known, n AS train_tokens, base_score, score FROM d JOIN scores USING (r) CROSS JOIN size"""

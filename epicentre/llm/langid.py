@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import crc32_of_id, slices, starts_of, written
+from epicentre.llm.common import CRC32_OF_ID, crc32_of_id, slices, starts_of, written
 
 #: N-grams of a profile; languages whose profiles a task holds at a time.
 PROFILE, LANGUAGES = 300, 2_000
@@ -189,3 +189,21 @@ def identified(docs: DataFrame) -> DataFrame:
     fold = F.pmod(crc32_of_id(F.col("doc_id")), F.lit(FOLDS))
     learnt = written(profiles(docs.where(fold != HELD_OUT)), "langid-profiles")
     return predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"), "text"), learnt)
+
+
+#: Borders as blanks, which stand before every letter; n-grams are ordered by length, then by code point.
+IDENTIFIED_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, text IS NULL AS no_text, {CRC32_OF_ID} % {FOLDS} AS fold,
+    regexp_extract_all(' ' || regexp_replace(lower(coalesce(text, '')), '\PL', ' ', 'g') || ' ', '.') AS l FROM documents),
+x AS (SELECT r, unnest(list_prepend(NULL, l[:-2])) AS a, unnest(l) AS b, unnest(list_append(l[2:], NULL)) AS c FROM d),
+g AS (SELECT r, unnest([CASE WHEN b <> ' ' THEN b END, CASE WHEN a <> ' ' OR a = ' ' AND b <> ' ' THEN a || b END, CASE WHEN b <> ' ' THEN a || b || c END]) AS g FROM x),
+n AS (SELECT r, g, count(*) AS n FROM g WHERE g IS NOT NULL GROUP BY r, g),
+k AS (SELECT lang, g, sum(n) AS n FROM n JOIN d USING (r) WHERE fold <> {HELD_OUT} AND lang IS NOT NULL AND NOT no_text GROUP BY lang, g),
+known AS (SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(g), g) - 1 AS place FROM k QUALIFY place < {PROFILE}),
+mine AS (SELECT r, g, row_number() OVER (PARTITION BY r ORDER BY n DESC, length(g), g) - 1 AS place FROM n QUALIFY place < {PROFILE}),
+gained AS (SELECT r, lang, sum({PROFILE} - abs(known.place - mine.place)) AS gained FROM mine JOIN known USING (g) GROUP BY r, lang),
+far AS (SELECT r, lang, {PROFILE} * n - coalesce(gained, 0) AS far, {PROFILE} * n AS farthest
+    FROM (SELECT r, count(*) AS n FROM mine GROUP BY r) CROSS JOIN (SELECT DISTINCT lang FROM known) LEFT JOIN gained USING (r, lang)),
+best AS (SELECT * FROM far QUALIFY row_number() OVER (PARTITION BY r ORDER BY far, lang) = 1)
+SELECT doc_id, coalesce(fold = {HELD_OUT}, false) AS held_out, coalesce(best.lang, '{UNKNOWN}') AS lang_pred, coalesce(1 - far::DOUBLE / farthest, 0) AS score
+FROM d LEFT JOIN best USING (r)"""

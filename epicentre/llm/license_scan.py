@@ -8,8 +8,9 @@ becomes an automaton over words; it is started at the words that a match can beg
 accepts the longest stretch.
 
 The scan is a map over the documents: no shuffle, a bounded run of texts in memory, templates
-as code.  A null text is empty and has no words and no labels.  Repeated rows are scanned
-alike.  An empty table gives an empty result.  Overlapping places all count.
+as code.  A null text is empty and has no words and no labels.  A very long text is scanned whole,
+in memory that grows with it alone.  Repeated rows are scanned alike.  An empty table gives an
+empty result.  Overlapping places all count; of matches from one word the longest does.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epicentre.llm.common import slices
+from epicentre.llm.common import LOWERED, slices
+from epicentre.llm.license_texts import LICENSES
 
 #: Fixed by the contract: phrase -> label.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Label -> template.  The quoted notices are the public wordings of these licenses.
-TEMPLATES = {
+#: Label -> template: whole licenses, and notices and passages that stand for them.  The quoted
+#: notices are the public wordings of these licenses.
+TEMPLATES = LICENSES | {
     "notice:mit": "<<beginOptional>>This <<var;name=work;match=1-6>> is <<endOptional>><<var;name=verb;match=released|licensed|distributed|available>> under the <<beginOptional>>terms of the <<endOptional>>MIT License",
     "notice:apache": "<<beginOptional>>This <<var;name=work;match=1-6>> is <<endOptional>>Licensed under the Apache License, <<beginOptional>>Version <<endOptional>><<var;name=version;match=1 0|1 1|2 0>>",
     "notice:gpl": "<<var;name=verb;match=released|licensed|distributed>> under the <<beginOptional>>terms of the <<endOptional>><<beginOptional>>GNU <<endOptional>><<beginOptional>>Lesser <<endOptional>>General Public License, <<beginOptional>>version <<var;name=version;match=1-2>><<endOptional>>",
@@ -230,3 +233,48 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
 def license_places(docs: DataFrame) -> DataFrame:
     """op6: the contract's phrases and this library's templates."""
     return scan(docs)
+
+
+# -- the same by regular expressions, in SQL ----------------------------------------------
+
+
+def _expression(template: str) -> tuple[str, int]:
+    """A template as a regular expression over words with a blank behind each, and the most words that it spans."""
+    out, most = [], 0
+    for text, mark in re.findall(r"([^<]+)|<<(.*?)>>", template, re.S):
+        if text:
+            most += len(lower_words(text))
+            out += [w + " " for w in lower_words(text)]
+        elif mark == "beginOptional":
+            out.append("(?:")
+        elif mark == "endOptional":
+            out.append(")?")
+        else:
+            match = mark.split("match=")[1]
+            if count := re.fullmatch(r"(\d+)-(\d+)", match):
+                most += int(count[2])
+                out.append("(?:[^ ]+ ){%s,%s}" % count.groups())
+            else:  # longer wordings first: the longest match is wanted
+                wordings = sorted((lower_words(x) for x in match.split("|")), key=len, reverse=True)
+                most += len(wordings[0])
+                out.append("(?:" + "|".join(" ".join(x) + " " for x in wordings) + ")")
+    return "".join(out), most
+
+
+def _places_sql(label: str, template: str, base: bool) -> str:
+    x, most = _expression(template)
+    return f"""SELECT r, '{label}' AS label, {base} AS base, i, length(x) - length(replace(x, ' ', '')) AS n
+    FROM (SELECT r, i, regexp_extract(array_to_string(w[i + 1:i + {most}], ' ') || ' ', '^{x}') AS x
+        FROM (SELECT r, w, unnest(range(len(w))) AS i FROM s WHERE regexp_matches(s, ' {x}'))) WHERE x <> ''"""
+
+
+PLACES_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '{WORD.pattern}') AS w FROM documents),
+s AS (SELECT r, w, ' ' || array_to_string(w, ' ') || ' ' AS s FROM d WHERE len(w) > 0),
+p AS ({" UNION ALL ".join([*(_places_sql(label, x, True) for x, label in BASE_PHRASES.items()), *(_places_sql(label, x, False) for label, x in TEMPLATES.items())])}),
+b AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p WHERE base GROUP BY r),
+l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM p GROUP BY r),
+c AS (SELECT r, count(*) AS covered FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS i FROM p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN len(w) > 0 THEN coalesce(covered, 0)::DOUBLE / len(w) ELSE 0.0::DOUBLE END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN l USING (r) LEFT JOIN c USING (r)"""
