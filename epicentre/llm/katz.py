@@ -372,8 +372,8 @@ def _evaluate(parts: int, train_docs: int, vocabulary: int, words: Unigrams, d:
                 log_seen = np.log10(c * d[np.minimum(c, CUTOFF) * (c <= CUTOFF)] / over[ask.h])
                 log_backed = np.log10(alpha[ask.h]) + np.log10(p1[ask.w])
             log_p = np.where(c > 0, log_seen, log_backed)
-            doc = np.repeat(np.arange(len(block.doc_id)), block.n_tokens)
-            summed = lambda x, doc=doc, n=len(block.doc_id): np.bincount(doc, weights=x, minlength=n)
+            # in wide floats, so that a sum of very many logarithms is as good as one of few; each document has a token
+            summed = lambda x, at=starts_of(block.n_tokens): np.add.reduceat(x.astype(np.longdouble), at).astype(float)
             base = np.log10((totals + 1) / (words.tokens + vocabulary + 1))
             out.append(pa.table({
                 "doc_id": pa.array(block.doc_id, mask=(block.flags & 4) > 0), "held_out": pa.array((block.flags & 2) > 0), "n_tokens": pa.array(block.n_tokens),
