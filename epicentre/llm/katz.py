@@ -19,7 +19,8 @@ the word that follows; its statistics are sums, which the block adds up.
 
 ``docs`` must be a table read from files: blocks are made anew in each pass and known by a
 checksum; if they differ, the run fails (write the table first).  Words are compared by 64-bit
-hashes.  Null and empty texts have the end mark only.  Documents with a null id are scored but
+hashes.  Null and empty texts have the end mark only; a very long text is one document of one
+block, however long.  Documents with a null id are scored but
 not learnt from.  Repeated rows count as often as they stand there.  With nothing to learn
 from, all tokens are unknown and have probability 1.  An empty table gives an empty result.
 """
