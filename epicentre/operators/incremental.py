@@ -37,14 +37,15 @@ def _raw_rule(batch: DataFrame, params: RunParams) -> dict:
     }
 
 
-def raw_changes(target: DataFrame, batch: DataFrame, params: RunParams) -> DataFrame:
+def raw_changes(target: DataFrame, batch: DataFrame, params: RunParams, past_keys: bool = True) -> DataFrame:
     """The raw rows that a deduplicated feed batch adds or replaces.
 
     An update keeps two stamps of the stored row and takes all else from the batch, so only
-    those, the key and ``updated_time`` are read from the stored table, and what only it has.
+    those, the key and ``updated_time`` are read from the stored table, and what only it has;
+    ``past_keys`` as for ``merge_rows``.
     """
     kept = [c for c in target.columns if c not in RAW_UPDATE_COLUMNS or c == "updated_time"]
-    rows = merge_rows(target.select(*kept), batch, "event_id", **_raw_rule(batch, params))
+    rows = merge_rows(target.select(*kept), batch, "event_id", past_keys=past_keys, **_raw_rule(batch, params))
     return rows.select(*target.columns, *[c for c in batch.columns if c not in target.columns])
 
 
@@ -75,12 +76,13 @@ def fact_increment(stg: DataFrame, fct_target: DataFrame, keys: DataFrame | None
     return model(stg.join(keys, "event_id", "left_semi"))
 
 
-def fact_changes(fct_target: DataFrame, increment: DataFrame) -> DataFrame:
+def fact_changes(fct_target: DataFrame, increment: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """unique_key event_id: the fact's new rows; on match only the seven merge columns change.
 
     A column that the model has got since is appended: null in stored rows, also where they change.
+    With ``keys``, those that the increment was made from, the increment is read once.
     """
-    return merge_rows(fct_target, increment, "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS)
+    return merge_rows(fct_target, increment, "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS, keys=keys)
 
 
 def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams, model: DailyModel = daily_summary) -> DataFrame:

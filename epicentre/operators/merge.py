@@ -1,37 +1,68 @@
 """Keyed upsert (MERGE) as DataFrame joins, and latest-row-per-key dedupe.
 
 ``merge_rows`` gives the rows that a MERGE inserts or updates, whole; a keyed table commits just
-those.  The target is read once, past the source's keys; which side is broadcast or whether
-both shuffle is left to Spark, which knows the written sizes and adapts at run time.
+those.  The target is read once, past the source's keys unless these are many; which side is
+broadcast or whether both shuffle is left to Spark, which knows the written sizes and adapts at
+run time.
 
 Target and source keys must be unique and not null; deduplicate the source first.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 _S = "__src_"  # prefix for source columns after the join
 _T_PRESENT = "__tgt_present"
 
+#: A key with more rows than this is reduced before the shuffle; at most so many keys are.
+FREQUENT_ROWS, FREQUENT_KEYS = 100_000, 1000
+
 Side = Callable[[str], Column]
 
 
-def dedupe_latest(df: DataFrame, key: str, order_by: str) -> DataFrame:
+def key_counts(df: DataFrame, key: str) -> tuple[int, int, list]:
+    """Number of distinct keys, of rows without one, and the most frequent keys (a bounded list).
+
+    Reads the key alone. If there are more frequent keys than the list takes, each of the others has
+    less than a thousandth of all rows.
+    """
+    seen = Observation(f"keys-{uuid.uuid4().hex[:8]}")
+    known = F.col(key).isNotNull()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).observe(
+        seen, F.count_if(known).alias("keys"), F.sum(F.when(~known, F.col("__n"))).alias("none"))
+    often = counts.where((F.col("__n") > FREQUENT_ROWS) & F.col(key).isNotNull()).orderBy(F.col("__n").desc()).limit(FREQUENT_KEYS).collect()
+    return int(seen.get["keys"] or 0), int(seen.get["none"] or 0), [r[0] for r in often]
+
+
+def dedupe_latest(df: DataFrame, key: str, order_by: str, frequent: Sequence | None = None) -> DataFrame:
     """One row per key: the largest ``order_by``; ties by a hash of the row.  Null keys are left out.
 
     A max() over a packed struct has a map-side partial step, so a key repeated in a third of all
-    rows is one row per task before the shuffle.
+    rows is one row per task before the shuffle.  The step sorts all rows of a task, of whatever size
+    the input's splits are; a caller who knows the ``frequent`` keys (``key_counts``) has it for these
+    alone, and the others are sorted after the shuffle, in its even parts.
     """
+    rows = df.filter(F.col(key).isNotNull())
+    if frequent is None:
+        return _latest(rows, key, order_by)
+    if not frequent:
+        return _latest(rows.repartition(key), key, order_by)
+    often = F.col(key).isin(list(frequent))
+    return _latest(rows.filter(~often).repartition(key), key, order_by).unionByName(_latest(rows.filter(often), key, order_by))
+
+
+def _latest(df: DataFrame, key: str, order_by: str) -> DataFrame:
     packed = F.struct(
         F.col(order_by).alias("__order"),
         F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tiebreak"),
         *[F.col(c) for c in df.columns if c != key],
     )
-    latest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(packed).alias("__w"))
+    latest = df.groupBy(key).agg(F.max(packed).alias("__w"))
     return latest.select(*[F.col(key) if c == key else F.col("__w")[c].alias(c) for c in df.columns])
 
 
@@ -44,6 +75,8 @@ def merge_rows(
     condition: Callable[[Side, Side], Column] | None = None,
     on_update: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
+    keys: DataFrame | None = None,
+    past_keys: bool = True,
 ) -> DataFrame:
     """The new rows of MERGE ... USING ``source`` ON key.
 
@@ -51,6 +84,10 @@ def merge_rows(
     source (all shared non-key columns if None) and ``on_update`` values;
     WHEN NOT MATCHED THEN INSERT the source row, ``on_insert`` filling columns the
     source lacks. Columns that only the source has are appended, null in rows that don't take them.
+
+    The target is first reduced to the source's keys, which reads the source twice: ``keys``, a
+    written table that holds all of them (and maybe more), spares that. With ``past_keys`` off
+    the target is joined as it is, for a source with a large share of its keys.
     """
     on_update, on_insert = dict(on_update or {}), dict(on_insert or {})
     added = [c for c in source.columns if c not in target.columns]
@@ -58,7 +95,8 @@ def merge_rows(
     upd = {c for c in source.columns if c != key} if update_cols is None else set(update_cols)
     types = {f.name: f.dataType for f in (*source.schema.fields, *target.schema.fields)}
 
-    hits = target.join(source.select(key), key, "left_semi").select(*target.columns).withColumn(_T_PRESENT, F.lit(True))
+    hits = target.join((source if keys is None else keys).select(key), key, "left_semi").select(*target.columns) if past_keys else target
+    hits = hits.withColumn(_T_PRESENT, F.lit(True))
     src = source.select(*[F.col(c).alias(_S + c) for c in source.columns])
     joined = src.join(hits, F.col(key) == F.col(_S + key), "left")
 

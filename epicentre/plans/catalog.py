@@ -21,7 +21,7 @@ from epicentre.functions import region_from_place
 from epicentre.operators import incremental as inc
 from epicentre.operators import quality, serving
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk, regional_stats
-from epicentre.operators.merge import dedupe_latest
+from epicentre.operators.merge import dedupe_latest, key_counts
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.plans.pipeline import DAILY, FACT, HEATMAP, RAW, RISK, STAGING, Pipeline
@@ -184,8 +184,8 @@ def q_marts_schema_evolution(spark, sf):
 def q_dedupe_latest(spark, sf):
     # one ingest stamp for both snapshots: unchanged repeats are then identical rows
     feed = _feed(spark, sf, P1)
-    a, b = batch_a(feed), batch_b(feed)
-    return dedupe_latest(a.unionByName(b), "event_id", "updated_time")
+    both = batch_a(feed).unionByName(batch_b(feed))
+    return dedupe_latest(both, "event_id", "updated_time", key_counts(both, "event_id")[2])
 
 
 # -- staging and marts ----------------------------------------------------------

@@ -9,16 +9,15 @@ follow the rules in ``epicentre.operators.incremental``; ``full_refresh`` rebuil
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epicentre.operators import incremental as inc
 from epicentre.operators.maintained import HOUR_PARTS, REGION_PARTS, heatmap_from_parts, risk_from_parts
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
-from epicentre.operators.merge import dedupe_latest
+from epicentre.operators.merge import dedupe_latest, key_counts
 from epicentre.operators.quality import dq_report, dq_report_of_writes, write_checks
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
@@ -67,28 +66,35 @@ class Pipeline:
         Commits only rows that are new or strictly newer, so a replayed snapshot commits
         nothing. Rows without a key go to a table of rejected rows, each once however often it comes
         again. Gives the number of rows committed, and of rows of this batch that were rejected.
+        The batch is read once for its keys and once whole (``ingest_parsed`` for one that is dear to make).
         """
-        no_key = F.col("event_id").isNull()
-        seen = Observation(f"batch-{uuid.uuid4().hex[:8]}")
-        counted = batch.observe(seen, F.count_if(no_key).alias("rejected"))
-        with self.store.run() as scratch:
-            latest = scratch.write("latest", dedupe_latest(counted, "event_id", "updated_time"))
-            rejected = int(seen.get["rejected"] or 0)
-            if rejected:
-                what = F.to_json(F.struct(*[c for c in sorted(batch.columns) if c != "ingested_at"]))
-                self.rejects.append(batch.where(no_key).withColumns({"row_hash": F.sha2(what, 256), "rejected_at": params.run_ts_col()}))
-            target = self.raw.read()
-            if target is None:
-                first = inc.raw_changes(self.spark.createDataFrame([], RAW_SCHEMA), latest, params)
-                self.raw.rebuild(first)
-                committed = self.raw.state()["base_rows"]
-            else:
-                committed = self.raw.commit(inc.raw_changes(target, latest, params))
+        keys, rejected, frequent = key_counts(batch, "event_id")
+        latest = dedupe_latest(batch, "event_id", "updated_time", frequent)
+        if rejected:
+            what = F.to_json(F.struct(*[c for c in sorted(batch.columns) if c != "ingested_at"]))
+            no_key = batch.where(F.col("event_id").isNull())
+            self.rejects.append(no_key.withColumns({"row_hash": F.sha2(what, 256), "rejected_at": params.run_ts_col()}))
+        state = self.raw.state()
+        if state is None:
+            # without rows for the optimizer too, so that the batch is written as it comes
+            none = self.spark.createDataFrame([], RAW_SCHEMA).limit(0)
+            self.raw.rebuild(inc.raw_changes(none, latest, params))
+            committed = self.raw.state()["base_rows"]
+        elif keys > self.raw.MAX_SHARE * state["base_rows"]:
+            committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), latest, params, past_keys=False))
+        else:  # a small batch is written for its keys, past which the stored rows stream
+            with self.store.run() as scratch:
+                committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), scratch.write("latest", latest), params))
         return {"committed": committed, "rejected": rejected}
 
+    def ingest_parsed(self, batch: DataFrame, params: RunParams) -> dict[str, int]:
+        """``ingest`` of a batch that is parsed from texts: parsed once, into an intermediate table."""
+        with self.store.run() as scratch:
+            return self.ingest(scratch.write("batch", batch), params)
+
     def backfill(self, history: DataFrame, params: RunParams, **slice_args) -> dict[str, int]:
         """Historical load: the back-fill slice of landed feed records, then the upsert."""
-        return self.ingest(backfill_slice(history, params, **slice_args), params)
+        return self.ingest_parsed(backfill_slice(history, params, **slice_args), params)
 
     def raw_table(self) -> DataFrame:
         raw = self.raw.read()
@@ -142,8 +148,7 @@ class Pipeline:
         recent = stg_events(self.raw.read(since=self.fact.notes().get(SEEN, 0), state=state), params)
         with self.store.run() as scratch:
             keys = scratch.write("increment-keys", inc.increment_keys(recent, current))
-            increment = scratch.write("increment", inc.fact_increment(recent, current, keys, self.fact_model))
-            changes = inc.fact_changes(current, increment)
+            changes = inc.fact_changes(current, inc.fact_increment(recent, current, keys, self.fact_model), keys)
             if not self.maintain:
                 self.fact.commit(changes, {SEEN: state["last"]})
                 return

@@ -321,8 +321,7 @@ class KeyedTable(Manifests):
 
         if ordered and self.order_by:
             df = df.repartitionByRange(*self.order_by, self.key).sortWithinPartitions(*self.order_by)
-        else:
-            df = df.hint("rebalance")
+        # in no order, rows are written as their join or scan gives them: in even parts, as keys are unique
         # counted past the shuffle: ranging runs what is below it twice, once for its sample
         seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
         df = df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in self.checks.items()])

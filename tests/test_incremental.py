@@ -443,3 +443,20 @@ def test_incremental_fact_is_zone_free(spark, sf001):
         assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_a_large_batch_is_written_once(spark, sf001, monkeypatch):
+    """A first batch, and one with a large share of the stored keys, go to raw without an intermediate table; so
+    does the fact's increment, but for its keys."""
+    from epicentre.sources.store import Scratch
+
+    written, plain = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, name, df: (written.append(name), plain(self, name, df))[1])
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-once")))
+    a, b = C._two_batches(spark, sf001)
+    assert pipe.ingest(a, C.P1) == {"committed": 702, "rejected": 0}
+    pipe.run(C.P1, [FACT])
+    assert pipe.ingest(b, C.P2)["committed"] == 508
+    assert written == []
+    assert pipe.ingest(b.limit(5), C.P2)["committed"] == 0 and written == ["latest"]
+    assert pipe.run(C.P2, [FACT])[FACT].count() == 980 and written == ["latest", "increment-keys"]

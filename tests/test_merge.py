@@ -133,3 +133,26 @@ def test_random_inputs_row_by_row(spark, joins):
         assert got == sorted(t.values())
 
     check()
+
+
+def test_dedupe_sorts_after_the_shuffle_but_for_frequent_keys(spark, monkeypatch):
+    from epicentre.operators import merge
+
+    monkeypatch.setattr(merge, "FREQUENT_ROWS", 3)
+    rows = [(f"k{i % 9}", i % 4, i) for i in range(27)] + [("hot", i % 5, i % 2) for i in range(40)] + [(None, 1, 1)] * 2
+    df = spark.createDataFrame(rows, "k string, o int, v int")
+    keys, none, often = merge.key_counts(df, "k")
+    assert (keys, none, often) == (10, 2, ["hot"])
+    want = sorted(map(tuple, dedupe_latest(df, "k", "o").collect()))
+    for frequent in (often, [], ["k1", "absent"]):
+        assert sorted(map(tuple, dedupe_latest(df, "k", "o", frequent).collect())) == want
+    plan = dedupe_latest(df, "k", "o", [])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" in plan and "Aggregate" not in plan.split("Exchange")[1]
+
+
+def test_merge_by_given_keys_or_past_none(spark, joins):
+    tgt = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
+    src = spark.createDataFrame([(2, "B"), (4, "D")], "id int, v string")
+    more = spark.createDataFrame([(2,), (3,), (4,), (9,)], "id int")
+    for how in ({}, {"keys": more}, {"past_keys": False}):
+        assert sorted(map(tuple, merge_rows(tgt, src, "id", **how).collect())) == [(2, "B"), (4, "D")]
