@@ -68,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
         collections = feed.accepted(feed.parse_documents(feed.read_documents(spark, args.snapshots, args.layout)))
         records = feed.flatten(collections, params.run_ts_col())
         if args.cmd == "ingest":
-            done = pipe.ingest(records, params)
+            done = pipe.ingest_parsed(records, params)
         else:
             given = {"start": args.start, "end": args.end, "min_magnitude": args.min_magnitude}
             done = pipe.backfill(records, params, **{k: v for k, v in given.items() if v is not None})

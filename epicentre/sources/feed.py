@@ -2,7 +2,7 @@
 
 A feed file holds one FeatureCollection in any layout, as the feed serves it, or JSON Lines
 with one collection on each line, as ``write_snapshot`` writes them.  Lines are read by Spark's
-text source, which splits a file of any size among tasks; only a file whose document runs over
+text source, which splits a plain file of any size among tasks (a compressed one is a task's); only a file whose document runs over
 several lines is one row, up to ``WHOLE_BYTES``.  Documents that don't parse, or hold a value
 of a wrong type, are never skipped: they fail the job that reads them, or are handed back as
 rejects.
@@ -176,7 +176,10 @@ def to_documents(feed: DataFrame, per_document: int = FEATURES_PER_DOCUMENT) ->
 
 
 def write_snapshot(feed: DataFrame, path: str, per_document: int = FEATURES_PER_DOCUMENT) -> None:
-    to_documents(feed, per_document).select("value").write.mode("errorifexists").text(path)
+    """A folder of JSON Lines, compressed: the texts are many times the rows' size. A file is one shuffle
+    partition's documents, so its size is bounded though it can't be split."""
+    docs = to_documents(feed, per_document).select("value")
+    docs.write.mode("errorifexists").option("zlib.compress.level", "BEST_SPEED").text(path, compression="gzip")
 
 
 def backfill_slice(

@@ -54,7 +54,7 @@ def upsert_batch(store: TableStore, clock: Clock, landing: str,
     def run(batch: DataFrame, epoch_id: int) -> None:
         params = clock(epoch_id)
         pipe = Pipeline(batch.sparkSession, store)
-        pipe.ingest(flatten(accepted(parse_documents(documents_of(batch, landing))), params.run_ts_col()), params)
+        pipe.ingest_parsed(flatten(accepted(parse_documents(documents_of(batch, landing))), params.run_ts_col()), params)
         if transform_every is not None and (not last_build or params.run_ts - last_build[-1] >= transform_every):
             pipe.run(params)
             last_build.append(params.run_ts)

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from epicentre.params import RunParams
+from epicentre.plans import catalog as C
 from epicentre.schemas import FEED_COLUMNS
 from epicentre.sources import feed as fd
 from epicentre.session import scratch_path
+from epicentre.sources.store import TableStore
 
 STAMP = dt.datetime(2024, 1, 31)
 
@@ -149,3 +151,13 @@ def test_a_document_too_large_raises(spark, tmp_path, monkeypatch):
         fd.read_documents(spark, str(tmp_path))
     (tmp_path / "pretty.json").write_text(json.dumps(ONE) + "\n" + json.dumps(ONE))
     assert fd.read_documents(spark, str(tmp_path)).count() == 2  # lines of any size
+
+
+def test_snapshots_are_written_compressed(spark, sf001):
+    path = scratch_path(spark, "t-gz")
+    feed = C._feed(spark, sf001)
+    fd.write_snapshot(feed, path, 100)
+    files = [n for n in TableStore(spark, path).names(path) if n.startswith("part-")]
+    assert files and all(n.endswith(".gz") for n in files)
+    back = fd.flatten(fd.accepted(_read(spark, path)), C.P1.run_ts_col())
+    assert back.count() == feed.count() and back.exceptAll(feed).count() == 0
