@@ -84,7 +84,7 @@ class Pipeline:
             committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), latest, params, past_keys=False))
         else:  # a small batch is written for its keys, past which the stored rows stream
             with self.store.run() as scratch:
-                committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), scratch.write("latest", latest), params))
+                committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), scratch.write("latest", latest), params).hint("rebalance"))
         return {"committed": committed, "rejected": rejected}
 
     def ingest_parsed(self, batch: DataFrame, params: RunParams) -> dict[str, int]:
@@ -149,6 +149,8 @@ class Pipeline:
         with self.store.run() as scratch:
             keys = scratch.write("increment-keys", inc.increment_keys(recent, current))
             changes = inc.fact_changes(current, inc.fact_increment(recent, current, keys, self.fact_model), keys)
+            if keys.count() <= self.fact.MAX_SHARE * self.fact.state()["base_rows"]:
+                changes = changes.hint("rebalance")  # few rows, out of each split of raw
             if not self.maintain:
                 self.fact.commit(changes, {SEEN: state["last"]})
                 return

@@ -402,7 +402,7 @@ class KeyedTable(Manifests):
             full = next((runs for _, runs in sorted(orders.items()) if len(runs) >= self.FOLD), None)
             if full is None:
                 return
-            folder, rows, checks = self._write(self._runs(full), False)
+            folder, rows, checks = self._write(self._runs(full).hint("rebalance"), False)  # few rows of many files
             rest = [c for c in s["commits"] if c not in full]
             self._put(s | {"commits": sorted([*rest, [folder, max(c[1] for c in full), rows, checks]], key=lambda c: c[1])})
 
