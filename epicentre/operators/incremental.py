@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epicentre.operators.marts import daily_summary, fct_events
-from epicentre.operators.merge import dedupe_latest, merge_rows, merge_upsert
+from epicentre.operators.merge import dedupe_latest, merge_all, merge_rows, merge_upsert
 from epicentre.params import RunParams
 from epicentre.schemas import FACT_MERGE_UPDATE_COLUMNS, FEED_COLUMNS, RAW_UPDATE_COLUMNS
 
@@ -49,6 +49,11 @@ def raw_changes(target: DataFrame, batch: DataFrame, params: RunParams, past_key
     return rows.select(*target.columns, *[c for c in batch.columns if c not in target.columns])
 
 
+def raw_merged(target: DataFrame, batch: DataFrame, params: RunParams, changed: str) -> DataFrame:
+    """The whole raw table after a deduplicated feed batch that changes much of it; ``changed`` as for ``merge_all``."""
+    return merge_all(target, batch, "event_id", changed, **_raw_rule(batch, params))
+
+
 def raw_upsert(target: DataFrame, batch: DataFrame, params: RunParams) -> DataFrame:
     """The whole raw table after merging one feed batch (null keys left out)."""
     return merge_upsert(target, dedupe_latest(batch, "event_id", "updated_time"), "event_id", **_raw_rule(batch, params))
@@ -85,6 +90,11 @@ def fact_changes(fct_target: DataFrame, increment: DataFrame, keys: DataFrame |
     return merge_rows(fct_target, increment, "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS, keys=keys)
 
 
+def fact_merged(fct_target: DataFrame, increment: DataFrame, changed: str) -> DataFrame:
+    """The whole fact after an increment that changes much of it; ``changed`` as for ``merge_all``."""
+    return merge_all(fct_target, increment, "event_id", changed, update_cols=FACT_MERGE_UPDATE_COLUMNS)
+
+
 def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams, model: DailyModel = daily_summary) -> DataFrame:
     """Daily rows for event_date >= max(summary_date) - 1 day."""
     low = daily_target.select(F.date_sub(F.max("summary_date"), 1)).scalar()

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -25,18 +26,46 @@ FREQUENT_ROWS, FREQUENT_KEYS = 100_000, 1000
 Side = Callable[[str], Column]
 
 
+class KeyCounts(NamedTuple):
+    """Distinct keys, rows without one, the most frequent keys, and all that have several rows (None if too many)."""
+
+    keys: int
+    none: int
+    frequent: list
+    repeated: list | None
+
+
 def key_counts(df: DataFrame, key: str) -> tuple[int, int, list]:
     """Number of distinct keys, of rows without one, and the most frequent keys (a bounded list).
 
     Reads the key alone. If there are more frequent keys than the list takes, each of the others has
     less than a thousandth of all rows.
     """
+    return count_keys(df, key)[:3]
+
+
+def count_keys(df: DataFrame, key: str) -> KeyCounts:
+    """``key_counts``, and the keys with several rows, where these are no more than the bounded list takes."""
     seen = Observation(f"keys-{uuid.uuid4().hex[:8]}")
     known = F.col(key).isNotNull()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).observe(
         seen, F.count_if(known).alias("keys"), F.sum(F.when(~known, F.col("__n"))).alias("none"))
-    often = counts.where((F.col("__n") > FREQUENT_ROWS) & F.col(key).isNotNull()).orderBy(F.col("__n").desc()).limit(FREQUENT_KEYS).collect()
-    return int(seen.get["keys"] or 0), int(seen.get["none"] or 0), [r[0] for r in often]
+    several = counts.where((F.col("__n") > 1) & F.col(key).isNotNull()).orderBy(F.col("__n").desc()).limit(FREQUENT_KEYS + 1).collect()
+    often = [r[0] for r in several[:FREQUENT_KEYS] if r["__n"] > FREQUENT_ROWS]
+    repeated = [r[0] for r in several] if len(several) <= FREQUENT_KEYS else None
+    return KeyCounts(int(seen.get["keys"] or 0), int(seen.get["none"] or 0), often, repeated)
+
+
+def dedupe_counted(df: DataFrame, key: str, order_by: str, counts: KeyCounts) -> DataFrame:
+    """``dedupe_latest`` of rows whose keys were counted: where few keys repeat, or none, the rows of all others
+    go as they come, unshuffled and unsorted."""
+    if counts.repeated is None:
+        return dedupe_latest(df, key, order_by, counts.frequent)
+    rows = df.filter(F.col(key).isNotNull())
+    if not counts.repeated:
+        return rows
+    several = F.col(key).isin(counts.repeated)
+    return rows.filter(~several).unionByName(_latest(rows.filter(several), key, order_by))
 
 
 def dedupe_latest(df: DataFrame, key: str, order_by: str, frequent: Sequence | None = None) -> DataFrame:
@@ -89,17 +118,46 @@ def merge_rows(
     written table that holds all of them (and maybe more), spares that. With ``past_keys`` off
     the target is joined as it is, for a source with a large share of its keys.
     """
+    hits = target.join((source if keys is None else keys).select(key), key, "left_semi").select(*target.columns) if past_keys else target
+    hits = hits.withColumn(_T_PRESENT, F.lit(True))
+    src = source.select(*[F.col(c).alias(_S + c) for c in source.columns])
+    joined = src.join(hits, F.col(key) == F.col(_S + key), "left")
+    is_insert, takes, new, _ = _rule(target, source, key, update_cols, condition, on_update, on_insert)
+    return joined.filter(is_insert | takes).select(*[c.alias(n) for n, c in new.items()])
+
+
+def merge_all(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    changed: str,
+    *,
+    update_cols: Sequence[str] | None = None,
+    condition: Callable[[Side, Side], Column] | None = None,
+    on_update: Mapping[str, Column] | None = None,
+    on_insert: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """The whole target after the MERGE of ``merge_rows``, from one join: for a source that changes much of it.
+
+    ``changed`` is a column of the target alone (the number of a row's commit): null in the rows that the MERGE
+    inserts or updates.
+    """
+    src = source.select(*[F.col(c).alias(_S + c) for c in source.columns])
+    joined = src.join(target.withColumn(_T_PRESENT, F.lit(True)), F.col(key) == F.col(_S + key), "full")
+    is_insert, takes, new, stored = _rule(target, source, key, update_cols, condition, on_update, on_insert)
+    renewed = is_insert | (F.col(_S + key).isNotNull() & takes)
+    new[changed] = F.lit(None).cast(target.schema[changed].dataType)
+    return joined.select(*[F.when(renewed, c).otherwise(stored[n]).alias(n) for n, c in new.items()])
+
+
+def _rule(target, source, key, update_cols, condition, on_update, on_insert) -> tuple[Column, Column, dict[str, Column], dict[str, Column]]:
+    """Of joined rows: whether one is inserted, whether a matched one is updated, its new values, and those stored."""
     on_update, on_insert = dict(on_update or {}), dict(on_insert or {})
     added = [c for c in source.columns if c not in target.columns]
     out_cols = [*target.columns, *added]
     upd = {c for c in source.columns if c != key} if update_cols is None else set(update_cols)
     types = {f.name: f.dataType for f in (*source.schema.fields, *target.schema.fields)}
 
-    hits = target.join((source if keys is None else keys).select(key), key, "left_semi").select(*target.columns) if past_keys else target
-    hits = hits.withColumn(_T_PRESENT, F.lit(True))
-    src = source.select(*[F.col(c).alias(_S + c) for c in source.columns])
-    joined = src.join(hits, F.col(key) == F.col(_S + key), "left")
-
     def t(c: str) -> Column:
         return F.col(c) if c in target.columns else F.lit(None).cast(types[c])
 
@@ -114,8 +172,17 @@ def merge_rows(
 
     is_insert = F.col(_T_PRESENT).isNull()
     takes = F.coalesce(condition(t, s), F.lit(False)) if condition else F.lit(True)
-    return joined.filter(is_insert | takes).select(
-        *[F.when(is_insert, inserted(c)).otherwise(updated(c)).cast(types[c]).alias(c) for c in out_cols])
+    new = {c: F.when(is_insert, inserted(c)).otherwise(updated(c)).cast(types[c]) for c in out_cols}
+    return is_insert, takes, new, {c: t(c) for c in out_cols}
+
+
+def count_merged(target: DataFrame, source: DataFrame, key: str, order_by: str) -> int:
+    """Number of rows of ``merge_rows`` that take a source row if its ``order_by`` is strictly newer: reads these and the
+    keys alone. A key of the source may have several rows, of which the newest counts."""
+    newest = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order_by).alias("__new"))
+    stored = target.select(key, F.col(order_by).alias("__old"), F.lit(True).alias(_T_PRESENT))
+    takes = F.col(_T_PRESENT).isNull() | (F.col("__new") > F.col("__old"))
+    return newest.join(stored, key, "left").where(takes).count()
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, **how) -> DataFrame:

@@ -96,15 +96,15 @@ def dq_report(tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame
 
 
 def write_checks(table: str) -> dict[str, Column]:
-    """The not_null and length checks of a table, and those of staging that depend on raw rows, as counts that
-    a write can take of its rows: column__check -> count of failures."""
-    checks = {**_nulls(NOT_NULL_CHECKS[table]), **_lengths(LENGTH_CHECKS.get(table, {}))}
-    out = {f"{c}__{k}": n for (c, k), n in checks.items()}
+    """The not_null and length checks of a table, and those of staging that depend on raw rows, for a write
+    to count on its rows: column__check -> whether a row fails (null: no)."""
+    out = {f"{c}__not_null": F.col(c).isNull() for c in NOT_NULL_CHECKS[table]}
+    out |= {f"{c}__max_length": F.length(c) > n for c, n in LENGTH_CHECKS.get(table, {}).items()}
     if table == "raw_earthquakes":  # staging leaves out rows without these; of the others it needs the time
         there = F.lit(True)
         for c in REQUIRED_FIELDS:
             there = there & F.col(c).isNotNull()
-        out["stg_event_timestamp__not_null"] = F.count_if(there & F.col("event_time").isNull())
+        out["stg_event_timestamp__not_null"] = there & F.col("event_time").isNull()
     return out
 
 

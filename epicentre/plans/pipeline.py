@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from epicentre.operators import incremental as inc
 from epicentre.operators.maintained import HOUR_PARTS, REGION_PARTS, heatmap_from_parts, risk_from_parts
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
-from epicentre.operators.merge import dedupe_latest, key_counts
+from epicentre.operators.merge import count_keys, count_merged, dedupe_counted
 from epicentre.operators.quality import dq_report, dq_report_of_writes, write_checks
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
 from epicentre.schemas import RAW_SCHEMA
 from epicentre.sources.feed import backfill_slice
-from epicentre.sources.store import AppendTable, KeyedTable, PartitionedTable, TableStore
+from epicentre.sources.store import COMMIT, AppendTable, KeyedTable, PartitionedTable, TableStore
 
 RAW, FACT, DAILY, RISK, HEATMAP = (
     "raw_earthquakes", "fct_earthquakes", "agg_daily_summary", "agg_regional_risk", "agg_hourly_heatmap",
@@ -68,8 +68,9 @@ class Pipeline:
         again. Gives the number of rows committed, and of rows of this batch that were rejected.
         The batch is read once for its keys and once whole (``ingest_parsed`` for one that is dear to make).
         """
-        keys, rejected, frequent = key_counts(batch, "event_id")
-        latest = dedupe_latest(batch, "event_id", "updated_time", frequent)
+        counts = count_keys(batch, "event_id")
+        keys, rejected = counts.keys, counts.none
+        latest = dedupe_counted(batch, "event_id", "updated_time", counts)
         if rejected:
             what = F.to_json(F.struct(*[c for c in sorted(batch.columns) if c != "ingested_at"]))
             no_key = batch.where(F.col("event_id").isNull())
@@ -81,12 +82,24 @@ class Pipeline:
             self.raw.rebuild(inc.raw_changes(none, latest, params))
             committed = self.raw.state()["base_rows"]
         elif keys > self.raw.MAX_SHARE * state["base_rows"]:
-            committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), latest, params, past_keys=False))
+            committed = self._ingest_large(batch, latest, params, state)
         else:  # a small batch is written for its keys, past which the stored rows stream
             with self.store.run() as scratch:
                 committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), scratch.write("latest", latest), params).hint("rebalance"))
         return {"committed": committed, "rejected": rejected}
 
+    def _ingest_large(self, batch: DataFrame, latest: DataFrame, params: RunParams, state: dict) -> int:
+        """The rows that the batch changes are counted from keys and times first: none, and nothing whole is read; so many
+        that the base would be rewritten, and they are written into the new base at once."""
+        stored = self.raw.read(with_commit=True, state=state)
+        changed = count_merged(stored, batch, "event_id", "updated_time")
+        if not changed:
+            return 0
+        if not self.raw.outgrows(changed, state):
+            return self.raw.commit(inc.raw_changes(stored.drop(COMMIT), latest, params, past_keys=False))
+        self.raw.commit_all(inc.raw_merged(stored, latest, params, COMMIT), state)
+        return changed
+
     def ingest_parsed(self, batch: DataFrame, params: RunParams) -> dict[str, int]:
         """``ingest`` of a batch that is parsed from texts: parsed once, into an intermediate table."""
         with self.store.run() as scratch:
@@ -148,8 +161,14 @@ class Pipeline:
         recent = stg_events(self.raw.read(since=self.fact.notes().get(SEEN, 0), state=state), params)
         with self.store.run() as scratch:
             keys = scratch.write("increment-keys", inc.increment_keys(recent, current))
-            changes = inc.fact_changes(current, inc.fact_increment(recent, current, keys, self.fact_model), keys)
-            if keys.count() <= self.fact.MAX_SHARE * self.fact.state()["base_rows"]:
+            increment, held, taken = inc.fact_increment(recent, current, keys, self.fact_model), self.fact.state(), keys.count()
+            if taken and not self.maintain and self.fact.outgrows(taken, held):
+                whole = inc.fact_merged(self.fact.read(with_commit=True, state=held), increment, COMMIT)
+                dates = current.select("event_date").unionByName(recent.select("event_date"))
+                self.fact.commit_all(whole, held, {SEEN: state["last"]}, like=dates)
+                return
+            changes = inc.fact_changes(current, increment, keys)
+            if taken <= self.fact.MAX_SHARE * held["base_rows"]:
                 changes = changes.hint("rebalance")  # few rows, out of each split of raw
             if not self.maintain:
                 self.fact.commit(changes, {SEEN: state["last"]})

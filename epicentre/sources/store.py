@@ -27,6 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COMMIT = "__commit"
+_FAILED = "__failed"
+
+#: Ranges of an ordered base that have bounds of their own; rows of a file of it, and fewest rows that are worth a task.
+RANGES, ROWS_A_FILE, ROWS_A_TASK = 64, 500_000, 20_000
+
+
+def _place(at: Column, bounds: list[tuple[float, int]], above: int) -> Column:
+    """The number of the first bound that isn't below ``at``, ``above`` if all are: a binary search."""
+    if not bounds:
+        return F.lit(above)
+    mid = len(bounds) // 2
+    value, number = bounds[mid]
+    return F.when(at <= value, _place(at, bounds[:mid], number)).otherwise(_place(at, bounds[mid + 1:], above))
 
 
 class TableStore:
@@ -304,7 +317,9 @@ class KeyedTable(Manifests):
     FOLD, MAX_SHARE = 8, 0.25
 
     def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None, checks: Mapping[str, Column] | None = None):
-        """``checks`` are counts of failures that each write takes of its rows on the way, kept in the manifest."""
+        """``checks`` tell whether a row fails; each write counts such rows, in its manifest. At most 63.
+
+        ``order_by`` names the columns that the base is ranged by, the first of them a date or a number."""
         super().__init__(store, name)
         self.key, self.order_by, self.checks = key, order_by, dict(checks or {})
 
@@ -316,19 +331,58 @@ class KeyedTable(Manifests):
             if n not in used and self.store.expired(t, now):  # a younger one may be about to be named
                 self.store.remove(f"{self.root}/{n}")
 
-    def _write(self, df: DataFrame, ordered: bool) -> tuple[str, int, dict[str, int]]:
+    def _write(self, df: DataFrame, ordered: bool, like: DataFrame | None = None) -> tuple[str, int, dict[str, int]]:
+        """``like`` has about the values of the order columns that ``df`` has, where those are dear to make."""
         from pyspark.sql import Observation
 
         if ordered and self.order_by:
-            df = df.repartitionByRange(*self.order_by, self.key).sortWithinPartitions(*self.order_by)
+            df = self._ranged(df, df if like is None else like).sortWithinPartitions(*self.order_by)
         # in no order, rows are written as their join or scan gives them: in even parts, as keys are unique
-        # counted past the shuffle: ranging runs what is below it twice, once for its sample
         seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
-        df = df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in self.checks.items()])
+        # what is observed is interpreted for each row: the checks are compiled into the bits of one number
+        failed = F.lit(0).cast("long")
+        for i, fails in enumerate(self.checks.values()):
+            failed = failed.bitwiseOR(F.when(fails, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+        df = df.withColumn(_FAILED, failed).observe(seen, F.count(F.lit(1)).alias("n"), F.bit_or(_FAILED).alias("failed")).drop(_FAILED)
         folder = uuid.uuid4().hex[:16]
         df.write.parquet(f"{self.root}/{folder}")
         counts = seen.get
-        return folder, int(counts["n"] or 0), {c: int(counts[c] or 0) for c in self.checks}
+        return folder, int(counts["n"] or 0), self._counted(folder, int(counts["failed"] or 0))
+
+    def _counted(self, folder: str, failed: int) -> dict[str, int]:
+        """Failures of each check in written rows: only where some row has failed are its columns read back."""
+        again = {n: fails for i, (n, fails) in enumerate(self.checks.items()) if failed >> i & 1}
+        found = {}
+        if again:
+            found = self.store.spark.read.parquet(f"{self.root}/{folder}").agg(*[F.count_if(c).alias(n) for n, c in again.items()]).first().asDict()
+        return {n: int(found.get(n, 0)) for n in self.checks}
+
+    def _ranged(self, df: DataFrame, like: DataFrame) -> DataFrame:
+        """``df`` in even ranges of the first order column, a value of many rows over several.
+
+        The bounds come from that column of ``like`` alone; ``repartitionByRange`` would make all rows of ``df``
+        twice, once for its sample.
+        """
+        lead, kind = F.col(self.order_by[0]), df.schema[self.order_by[0]].dataType
+        if not isinstance(kind, (T.DateType, T.NumericType)):
+            return df.repartitionByRange(*self.order_by, self.key)
+        at = F.coalesce((F.unix_date(lead) if isinstance(kind, T.DateType) else lead).cast("double"), F.lit(float("-inf")))
+        parts = [(i + 1) / RANGES for i in range(RANGES - 1)]
+        rows, cuts = like.select(at.alias("at")).agg(F.count(F.lit(1)), F.percentile_approx("at", parts)).first()
+        tasks = self.store.spark.sparkContext.defaultParallelism
+        files = max(1, math.ceil(rows / ROWS_A_FILE), min(tasks, math.ceil(rows / ROWS_A_TASK)))
+        ranges = min(files, RANGES)
+        cuts = [cuts[(i + 1) * RANGES // ranges - 1] for i in range(ranges - 1)] if rows else []
+        first, times = {}, {}
+        for i, c in enumerate(cuts):
+            first.setdefault(c, i)
+            times[c] = times.get(c, 0) + 1
+        each = -(-files // ranges)
+        low, span = _place(at, list(first.items()), len(cuts)), F.lit(1)
+        for c, n in times.items():
+            span = F.when(at == c, F.lit(n + 1)).otherwise(span) if n > 1 else span
+        spread = F.pmod(F.xxhash64(self.key), span * each).cast("int")
+        return df.repartitionById(each * ranges, low * each + spread)
 
     def failures(self, check: str) -> int | None:
         """Failures of a check as the writes counted them; None where they can't tell.
@@ -386,7 +440,7 @@ class KeyedTable(Manifests):
                 self._put(s | {"notes": notes})
             return 0
         self._put(s | {"commits": [*s["commits"], [folder, last, n, checks]], "last": last, "notes": s["notes"] if notes is None else notes})
-        if n + sum(c[2] for c in s["commits"]) > self.MAX_SHARE * max(s["base_rows"], 1):
+        if self.outgrows(n, s):
             self.compact()
         else:
             self.fold()
@@ -406,9 +460,24 @@ class KeyedTable(Manifests):
             rest = [c for c in s["commits"] if c not in full]
             self._put(s | {"commits": sorted([*rest, [folder, max(c[1] for c in full), rows, checks]], key=lambda c: c[1])})
 
+    def outgrows(self, changed: int, state: dict) -> bool:
+        """Whether a commit of so many rows leads to a new base."""
+        return changed + sum(c[2] for c in state["commits"]) > self.MAX_SHARE * max(state["base_rows"], 1)
+
+    def commit_all(self, table: DataFrame, state: dict, notes: dict | None = None, like: DataFrame | None = None) -> None:
+        """A commit that leads to a new base, as that base: ``table`` is the whole table after it, made from ``state``, and
+        has no commit in the rows that it changes or adds. So they are written once, not as a directory first."""
+        last = state["last"] + 1
+        folder, rows, checks = self._write(table.withColumn(COMMIT, F.coalesce(COMMIT, F.lit(last).cast("long"))), True, like)
+        if self.state() != state:
+            raise RuntimeError(f"{self.root} was committed by another writer")
+        self._put({"base": folder, "base_rows": rows, "base_commit": last, "base_checks": checks, "commits": [], "last": last,
+                   "notes": state["notes"] if notes is None else notes})
+
     def compact(self) -> None:
         """Write the current rows as a new base; each keeps the number of its commit."""
         s = self.state()
         if s["commits"]:
-            folder, rows, checks = self._write(self.read(with_commit=True, state=s), True)
+            like = self.store.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{d}" for d in (s["base"], *(c[0] for c in s["commits"]))])
+            folder, rows, checks = self._write(self.read(with_commit=True, state=s), True, like)
             self._put(s | {"base": folder, "base_rows": rows, "base_commit": s["last"], "base_checks": checks, "commits": []})
