@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epicentre.operators.marts import daily_summary, fct_events
-from epicentre.operators.merge import dedupe_latest, merge_all, merge_rows, merge_upsert
+from epicentre.operators.merge import Matches, dedupe_latest, matches, merge_apart, merge_rows, merge_upsert
 from epicentre.params import RunParams
 from epicentre.schemas import FACT_MERGE_UPDATE_COLUMNS, FEED_COLUMNS, RAW_UPDATE_COLUMNS
 
@@ -49,9 +49,18 @@ def raw_changes(target: DataFrame, batch: DataFrame, params: RunParams, past_key
     return rows.select(*target.columns, *[c for c in batch.columns if c not in target.columns])
 
 
-def raw_merged(target: DataFrame, batch: DataFrame, params: RunParams, changed: str) -> DataFrame:
-    """The whole raw table after a deduplicated feed batch that changes much of it; ``changed`` as for ``merge_all``."""
-    return merge_all(target, batch, "event_id", changed, **_raw_rule(batch, params))
+def raw_day() -> Column:
+    """The day of a raw row as a number, some day for one without a time."""
+    return F.coalesce(F.floor(F.col("event_time") / 86_400_000), F.lit(0)).cast("long")
+
+
+def raw_merged(target: DataFrame, batch: DataFrame, params: RunParams, changed: str, found: Matches, once: bool) -> DataFrame:
+    """The whole raw table after a deduplicated feed batch that changes much of it; ``changed`` as for ``merge_all``.
+
+    ``found`` are the days of the keys on both sides, by ``raw_day``; those of the batch count where each of its
+    keys came ``once``. Stored rows and batch rows of other days aren't joined."""
+    how, kept = _raw_rule(batch, params), found.source(raw_day()) if once else F.lit(True)
+    return merge_apart(target, batch.where(kept), batch.where(~kept), found.target(raw_day()), "event_id", changed, **how)
 
 
 def raw_upsert(target: DataFrame, batch: DataFrame, params: RunParams) -> DataFrame:
@@ -67,12 +76,26 @@ def increment_keys(stg: DataFrame, fct_target: DataFrame) -> DataFrame:
     join). Only key and timestamp columns take part; of the fact's keys only those that
     staging has.
     """
+    return candidates(stg, fct_target).filter("take").select("event_id")
+
+
+def fact_day() -> Column:
+    """The day of a staging or fact row as a number, some day for one without a date."""
+    return F.coalesce(F.unix_date("event_date"), F.lit(0)).cast("long")
+
+
+def candidates(stg: DataFrame, fct_target: DataFrame) -> DataFrame:
+    """Staging's keys: whether ``increment_keys`` takes one, its day, and that of the fact's row (null: unknown)."""
     high_water = fct_target.select(F.max("updated_timestamp")).scalar()
-    left = stg.select("event_id", "updated_timestamp")
-    known = fct_target.select("event_id").join(left.select("event_id"), "event_id", "left_semi").withColumn("__known", F.lit(True))
-    joined = left.join(known, "event_id", "left")
-    take = F.col("__known").isNull() | F.coalesce(F.col("updated_timestamp") > high_water, F.lit(False))
-    return joined.filter(take).select("event_id")
+    left = stg.select("event_id", "updated_timestamp", fact_day().alias("day"))
+    known = fct_target.select("event_id", fact_day().alias("fact_day")).join(left.select("event_id"), "event_id", "left_semi")
+    take = F.col("fact_day").isNull() | F.coalesce(F.col("updated_timestamp") > high_water, F.lit(False))
+    return left.join(known, "event_id", "left").select("event_id", take.alias("take"), "day", "fact_day")
+
+
+def candidate_matches(judged: DataFrame) -> Matches:
+    """The number of rows taken, and the days of the keys that the fact knows, from written ``candidates``."""
+    return matches(judged, F.col("take"), "fact_day", "day")
 
 
 def fact_increment(stg: DataFrame, fct_target: DataFrame, keys: DataFrame | None = None, model: FactModel = fct_events) -> DataFrame:
@@ -90,9 +113,14 @@ def fact_changes(fct_target: DataFrame, increment: DataFrame, keys: DataFrame |
     return merge_rows(fct_target, increment, "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS, keys=keys)
 
 
-def fact_merged(fct_target: DataFrame, increment: DataFrame, changed: str) -> DataFrame:
-    """The whole fact after an increment that changes much of it; ``changed`` as for ``merge_all``."""
-    return merge_all(fct_target, increment, "event_id", changed, update_cols=FACT_MERGE_UPDATE_COLUMNS)
+def fact_merged(fct_target: DataFrame, stg: DataFrame, keys: DataFrame, changed: str, found: Matches, model: FactModel = fct_events) -> DataFrame:
+    """The whole fact after an increment that changes much of it; ``changed`` as for ``merge_all``.
+
+    Staging rows of days without known keys are new, so all of them are taken; neither they nor the fact's rows
+    of its other days are joined. The model is applied to either part, as it is to each increment."""
+    kept = found.source(fact_day())
+    increment = fact_increment(stg.where(kept), fct_target, keys, model)
+    return merge_apart(fct_target, increment, model(stg.where(~kept)), found.target(fact_day()), "event_id", changed, update_cols=FACT_MERGE_UPDATE_COLUMNS)
 
 
 def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams, model: DailyModel = daily_summary) -> DataFrame:

@@ -23,6 +23,9 @@ _T_PRESENT = "__tgt_present"
 #: A key with more rows than this is reduced before the shuffle; at most so many keys are.
 FREQUENT_ROWS, FREQUENT_KEYS = 100_000, 1000
 
+#: Pairs of places (days, say) that rows of one key may have in target and source, for a merge to leave other places alone.
+MATCHED_PLACES = 1000
+
 Side = Callable[[str], Column]
 
 
@@ -150,6 +153,53 @@ def merge_all(
     return joined.select(*[F.when(renewed, c).otherwise(stored[n]).alias(n) for n, c in new.items()])
 
 
+class Matches(NamedTuple):
+    """Rows that a MERGE inserts or updates, and the places (target, source) of the keys on both sides (None if too many)."""
+
+    changed: int
+    places: list[tuple[int, int]] | None
+
+    def target(self, place: Column) -> Column:
+        """Whether a target row's key may be in the source: no row of another place has it there."""
+        return F.lit(True) if self.places is None else place.isin(sorted({at for at, _ in self.places}))
+
+    def source(self, place: Column) -> Column:
+        """Whether a source row's key may be in the target."""
+        return F.lit(True) if self.places is None else place.isin(sorted({to for _, to in self.places}))
+
+
+def matches(joined: DataFrame, takes: Column, at: str, to: str) -> Matches:
+    """Of source rows ``joined`` with their target rows' place ``at`` (null: unmatched) and their own ``to``."""
+    seen = Observation(f"matches-{uuid.uuid4().hex[:8]}")
+    pairs = joined.observe(seen, F.count_if(takes).alias("changed")).where(F.col(at).isNotNull()).groupBy(at, to).count()
+    found = [(r[at], r[to]) for r in pairs.orderBy(F.col("count").desc()).limit(MATCHED_PLACES + 1).collect()]
+    return Matches(int(seen.get["changed"] or 0), found if len(found) <= MATCHED_PLACES else None)
+
+
+def match_merged(target: DataFrame, source: DataFrame, key: str, order_by: str, place: Column) -> Matches:
+    """``count_merged``, with the places of the keys on both sides; ``place``, never null, is made of columns of either.
+
+    Of a key's several rows in the source, only the last place is told."""
+    newest = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order_by).alias("__new"), F.max(place).alias("__to"))
+    stored = target.select(key, F.col(order_by).alias("__old"), place.alias("__at"))
+    takes = F.col("__at").isNull() | (F.col("__new") > F.col("__old"))
+    return matches(newest.join(stored, key, "left"), takes, "__at", "__to")
+
+
+def merge_apart(target: DataFrame, source: DataFrame, fresh: DataFrame, shared: Column, key: str, changed: str, **how) -> DataFrame:
+    """``merge_all`` of ``source`` and ``fresh`` together, joining no more than it must.
+
+    No key of ``fresh`` is in the target, and no row of the target that isn't ``shared`` (true or false, never null) has
+    a key of the source: these stay and are inserted as they come, unshuffled and unsorted."""
+    whole = merge_all(target.where(shared), source, key, changed, **how)
+    on_insert = how.get("on_insert") or {}
+    # plain values: with the conditions of a merge, the code of a wide row can outgrow what the JVM compiles
+    value = {c: F.col(c) if c in fresh.columns else on_insert.get(c, F.lit(None)) for c in whole.columns if c != changed}
+    inserted = fresh.select(*[value.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in whole.schema.fields])
+    # scans first, as their tasks are less even than those of the join
+    return inserted.unionByName(target.where(~shared), allowMissingColumns=True).unionByName(whole)
+
+
 def _rule(target, source, key, update_cols, condition, on_update, on_insert) -> tuple[Column, Column, dict[str, Column], dict[str, Column]]:
     """Of joined rows: whether one is inserted, whether a matched one is updated, its new values, and those stored."""
     on_update, on_insert = dict(on_update or {}), dict(on_insert or {})
@@ -179,10 +229,7 @@ def _rule(target, source, key, update_cols, condition, on_update, on_insert) ->
 def count_merged(target: DataFrame, source: DataFrame, key: str, order_by: str) -> int:
     """Number of rows of ``merge_rows`` that take a source row if its ``order_by`` is strictly newer: reads these and the
     keys alone. A key of the source may have several rows, of which the newest counts."""
-    newest = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order_by).alias("__new"))
-    stored = target.select(key, F.col(order_by).alias("__old"), F.lit(True).alias(_T_PRESENT))
-    takes = F.col(_T_PRESENT).isNull() | (F.col("__new") > F.col("__old"))
-    return newest.join(stored, key, "left").where(takes).count()
+    return match_merged(target, source, key, order_by, F.lit(0)).changed
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, **how) -> DataFrame:

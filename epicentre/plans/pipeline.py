@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from epicentre.operators import incremental as inc
 from epicentre.operators.maintained import HOUR_PARTS, REGION_PARTS, heatmap_from_parts, risk_from_parts
 from epicentre.operators.marts import daily_summary, fct_events, hourly_heatmap, regional_risk
-from epicentre.operators.merge import count_keys, count_merged, dedupe_counted
+from epicentre.operators.merge import count_keys, dedupe_counted, match_merged
 from epicentre.operators.quality import dq_report, dq_report_of_writes, write_checks
 from epicentre.operators.staging import stg_events
 from epicentre.params import RunParams
@@ -82,23 +82,24 @@ class Pipeline:
             self.raw.rebuild(inc.raw_changes(none, latest, params))
             committed = self.raw.state()["base_rows"]
         elif keys > self.raw.MAX_SHARE * state["base_rows"]:
-            committed = self._ingest_large(batch, latest, params, state)
+            committed = self._ingest_large(batch, latest, params, state, once=counts.repeated == [])
         else:  # a small batch is written for its keys, past which the stored rows stream
             with self.store.run() as scratch:
                 committed = self.raw.commit(inc.raw_changes(self.raw.read(state=state), scratch.write("latest", latest), params).hint("rebalance"))
         return {"committed": committed, "rejected": rejected}
 
-    def _ingest_large(self, batch: DataFrame, latest: DataFrame, params: RunParams, state: dict) -> int:
+    def _ingest_large(self, batch: DataFrame, latest: DataFrame, params: RunParams, state: dict, once: bool) -> int:
         """The rows that the batch changes are counted from keys and times first: none, and nothing whole is read; so many
-        that the base would be rewritten, and they are written into the new base at once."""
+        that the base would be rewritten, and they are written into the new base at once, where only days that have
+        keys of both are joined."""
         stored = self.raw.read(with_commit=True, state=state)
-        changed = count_merged(stored, batch, "event_id", "updated_time")
-        if not changed:
+        found = match_merged(stored, batch, "event_id", "updated_time", inc.raw_day())
+        if not found.changed:
             return 0
-        if not self.raw.outgrows(changed, state):
+        if not self.raw.outgrows(found.changed, state):
             return self.raw.commit(inc.raw_changes(stored.drop(COMMIT), latest, params, past_keys=False))
-        self.raw.commit_all(inc.raw_merged(stored, latest, params, COMMIT), state)
-        return changed
+        self.raw.commit_all(inc.raw_merged(stored, latest, params, COMMIT, found, once), state)
+        return found.changed
 
     def ingest_parsed(self, batch: DataFrame, params: RunParams) -> dict[str, int]:
         """``ingest`` of a batch that is parsed from texts: parsed once, into an intermediate table."""
@@ -160,14 +161,15 @@ class Pipeline:
             return
         recent = stg_events(self.raw.read(since=self.fact.notes().get(SEEN, 0), state=state), params)
         with self.store.run() as scratch:
-            keys = scratch.write("increment-keys", inc.increment_keys(recent, current))
-            increment, held, taken = inc.fact_increment(recent, current, keys, self.fact_model), self.fact.state(), keys.count()
+            judged = scratch.write("increment-keys", inc.candidates(recent, current))
+            held, found, keys = self.fact.state(), inc.candidate_matches(judged), judged.where("take").select("event_id")
+            taken = found.changed
             if taken and not self.maintain and self.fact.outgrows(taken, held):
-                whole = inc.fact_merged(self.fact.read(with_commit=True, state=held), increment, COMMIT)
+                whole = inc.fact_merged(self.fact.read(with_commit=True, state=held), recent, keys, COMMIT, found, self.fact_model)
                 dates = current.select("event_date").unionByName(recent.select("event_date"))
                 self.fact.commit_all(whole, held, {SEEN: state["last"]}, like=dates)
                 return
-            changes = inc.fact_changes(current, increment, keys)
+            changes = inc.fact_changes(current, inc.fact_increment(recent, current, keys, self.fact_model), keys)
             if taken <= self.fact.MAX_SHARE * held["base_rows"]:
                 changes = changes.hint("rebalance")  # few rows, out of each split of raw
             if not self.maintain:

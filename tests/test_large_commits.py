@@ -5,9 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from epicentre.operators import incremental as inc
 from epicentre.operators import merge
 from epicentre.plans import catalog as C
-from epicentre.plans.pipeline import FACT, Pipeline
+from epicentre.plans.pipeline import FACT, RAW, Pipeline
+from epicentre.schemas import FACT_MERGE_UPDATE_COLUMNS, RAW_SCHEMA
 from epicentre.session import scratch_path
 from epicentre.sources import store as S
 from epicentre.sources.store import KeyedTable, TableStore
@@ -47,6 +49,74 @@ def test_merge_all_is_merge_upsert_in_one_join(spark):
     assert merge.count_merged(tgt, src.unionByName(src.where("k = 1").withColumn("u", F.lit(1))), "k", "u") == 2
 
 
+def test_merge_apart_joins_only_places_with_keys_of_both(spark, monkeypatch):
+    place = F.coalesce(F.col("d"), F.lit(0)).cast("long")
+    tgt = spark.createDataFrame([(1, 5, 10, "a", 1), (2, 5, 10, "b", 1), (3, 5, 20, "c", 1), (4, 5, None, "d", 2), (5, 5, 30, "e", 2)],
+                                "k int, u int, d int, v string, c long")
+    src = spark.createDataFrame([(1, 6, 40, "A", "x"), (4, 4, 20, "D", "x"), (7, 1, None, "N", "x"), (8, 1, 40, "N", "x"), (9, 1, 50, "N", "x"), (10, 1, 30, "N", "x")],
+                                "k int, u int, d int, v string, w string")
+    how = {"condition": lambda t, s: s("u") > t("u"), "on_update": {"u": F.lit(0)}}
+    want = merge.merge_all(tgt, src, "k", "c", **how)
+    found = merge.match_merged(tgt, src, "k", "u", place)
+    assert found.changed == 5 == merge.count_merged(tgt, src, "k", "u") and sorted(found.places) == [(0, 20), (10, 40)]
+    kept = found.source(place)
+    joined, plain = [], merge.merge_all
+    monkeypatch.setattr(merge, "merge_all", lambda t, s, *a, **h: (joined.append((t.count(), s.count())), plain(t, s, *a, **h))[1])
+    got = merge.merge_apart(tgt, src.where(kept), src.where(~kept), found.target(place), "k", "c", **how)
+    assert joined == [(3, 3)] and got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    monkeypatch.setattr(merge, "MATCHED_PLACES", 1)  # too many to tell: all are joined
+    found = merge.match_merged(tgt, src, "k", "u", place)
+    assert found == (5, None)
+    got = merge.merge_apart(tgt, src.where(found.source(place)), src.where(~found.source(place)), found.target(place), "k", "c", **how)
+    assert joined[1:] == [(5, 6)] and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_large_batch_and_increment_join_only_days_with_keys_of_both(spark, monkeypatch):
+    """Days that only the stored rows or only the batch have pass the join, also rows without a time or whose day has
+    changed; with repeated keys, the whole batch is joined."""
+    day = 86_400_000
+    names = [f.name for f in RAW_SCHEMA.fields][:27]
+
+    def feed(rows):
+        df = spark.createDataFrame(rows, "event_id string, event_time long, updated_time long, magnitude double")
+        df = df.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(2.0), "ingested_at": C.P1.run_ts_col()})
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(RAW_SCHEMA[c].dataType).alias(c) for c in names])
+
+    a = feed([(f"e{i}", i % 10 * day, 5, 1.0) for i in range(40)] + [("none", None, 5, 1.0)])
+    later = [(f"e{i}", 9 * day + 7, 6, 2.0) for i in (8, 9, 18, 19)] + [(f"n{i}", (15 + i % 5) * day, 6, 3.0) for i in range(20)] + [("late", None, 1, 3.0)]
+    joined, plain = [], merge.merge_all
+    monkeypatch.setattr(merge, "merge_all", lambda t, s, *x, **h: (joined.append((t.count(), s.count())), plain(t, s, *x, **h))[1])
+    for rows, raw_join in ((later, (8, 4)), ([*later, ("n3", 3 * day, 9, 4.0)], (8, 25))):
+        joined.clear()
+        b = feed(rows)
+        pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-days")))
+        pipe.ingest(a, C.P1)
+        before = pipe.raw_table()
+        pipe.run(C.P1, [FACT])
+        assert pipe.ingest(b, C.P2) == {"committed": 25, "rejected": 0}
+        want = inc.raw_upsert(before, b, C.P2)
+        assert sorted(map(str, pipe.raw_table().collect())) == sorted(map(str, want.select(*before.columns).collect()))
+        old = pipe.fact.read()
+        keys = inc.increment_keys(pipe.staging(C.P2), old)
+        assert joined == [raw_join]
+        want = merge.merge_upsert(old, inc.fact_increment(pipe.staging(C.P2), old, keys), "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS)
+        want = sorted(map(str, want.select(*old.columns).collect()))
+        assert sorted(map(str, pipe.run(C.P2, [FACT])[FACT].collect())) == want
+        assert joined[1:] == [(8, 4)]
+
+
+def test_report_of_writes_counts_raw_keys_once_and_starts_no_python(spark, sf001):
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-report")))
+    pipe.ingest(C._feed(spark, sf001), C.P1)
+    pipe.run(C.P1)
+    report = pipe.quality_report(C.P1, from_writes=True)
+    plan = report._jdf.queryExecution().toString()
+    assert RAW + "/" not in plan and "ExistingRDD" not in plan and "LogicalRDD" not in plan
+    got = {(r.table_name, r.column_name, r.check_name): r.failures for r in report.collect()}
+    assert got == {(r.table_name, r.column_name, r.check_name): r.failures for r in pipe.quality_report(C.P1).collect()}
+
+
 def test_a_large_commit_is_written_into_the_new_base_at_once(spark, sf001, monkeypatch):
     written, plain = [], KeyedTable._write
     monkeypatch.setattr(KeyedTable, "_write", lambda self, df, *how: (written.append(self.name), plain(self, df, *how))[1])
