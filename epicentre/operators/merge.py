@@ -171,8 +171,10 @@ class Matches(NamedTuple):
 def matches(joined: DataFrame, takes: Column, at: str, to: str) -> Matches:
     """Of source rows ``joined`` with their target rows' place ``at`` (null: unmatched) and their own ``to``."""
     seen = Observation(f"matches-{uuid.uuid4().hex[:8]}")
-    pairs = joined.observe(seen, F.count_if(takes).alias("changed")).where(F.col(at).isNotNull()).groupBy(at, to).count()
-    found = [(r[at], r[to]) for r in pairs.orderBy(F.col("count").desc()).limit(MATCHED_PLACES + 1).collect()]
+    # observed past the shuffle: what is before one that turns out empty is dropped at run time, and its counts with it
+    pairs = joined.groupBy(at, to).agg(F.count(F.lit(1)).alias("__n"), F.count_if(takes).alias("__taken")).observe(seen, F.sum("__taken").alias("changed"))
+    top = pairs.where(F.col(at).isNotNull()).orderBy(F.col("__n").desc()).limit(MATCHED_PLACES + 1)
+    found = [(r[at], r[to]) for r in top.collect()]
     return Matches(int(seen.get["changed"] or 0), found if len(found) <= MATCHED_PLACES else None)
 
 

@@ -59,6 +59,8 @@ def test_merge_apart_joins_only_places_with_keys_of_both(spark, monkeypatch):
     want = merge.merge_all(tgt, src, "k", "c", **how)
     found = merge.match_merged(tgt, src, "k", "u", place)
     assert found.changed == 5 == merge.count_merged(tgt, src, "k", "u") and sorted(found.places) == [(0, 20), (10, 40)]
+    assert merge.match_merged(tgt, src.where("k > 6"), "k", "u", place) == (4, [])
+    assert merge.match_merged(tgt, src.where("k > 99"), "k", "u", place) == (0, [])
     kept = found.source(place)
     joined, plain = [], merge.merge_all
     monkeypatch.setattr(merge, "merge_all", lambda t, s, *a, **h: (joined.append((t.count(), s.count())), plain(t, s, *a, **h))[1])
