@@ -54,13 +54,14 @@ def raw_day() -> Column:
     return F.coalesce(F.floor(F.col("event_time") / 86_400_000), F.lit(0)).cast("long")
 
 
-def raw_merged(target: DataFrame, batch: DataFrame, params: RunParams, changed: str, found: Matches, once: bool) -> DataFrame:
+def raw_merged(target: DataFrame, batch: DataFrame, params: RunParams, changed: str, found: Matches, once: bool, rest: bool = True) -> DataFrame:
     """The whole raw table after a deduplicated feed batch that changes much of it; ``changed`` as for ``merge_all``.
 
     ``found`` are the days of the keys on both sides, by ``raw_day``; those of the batch count where each of its
-    keys came ``once``. Stored rows and batch rows of other days aren't joined."""
+    keys came ``once``. Stored rows and batch rows of other days aren't joined; without ``rest``, these stored rows are
+    left out."""
     how, kept = _raw_rule(batch, params), found.source(raw_day()) if once else F.lit(True)
-    return merge_apart(target, batch.where(kept), batch.where(~kept), found.target(raw_day()), "event_id", changed, **how)
+    return merge_apart(target, batch.where(kept), batch.where(~kept), found.target(raw_day()), "event_id", changed, rest, **how)
 
 
 def raw_upsert(target: DataFrame, batch: DataFrame, params: RunParams) -> DataFrame:
@@ -113,14 +114,17 @@ def fact_changes(fct_target: DataFrame, increment: DataFrame, keys: DataFrame |
     return merge_rows(fct_target, increment, "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS, keys=keys)
 
 
-def fact_merged(fct_target: DataFrame, stg: DataFrame, keys: DataFrame, changed: str, found: Matches, model: FactModel = fct_events) -> DataFrame:
+def fact_merged(fct_target: DataFrame, stg: DataFrame, keys: DataFrame, changed: str, found: Matches, model: FactModel = fct_events,
+                rest: bool = True) -> DataFrame:
     """The whole fact after an increment that changes much of it; ``changed`` as for ``merge_all``.
 
     Staging rows of days without known keys are new, so all of them are taken; neither they nor the fact's rows
-    of its other days are joined. The model is applied to either part, as it is to each increment."""
+    of its other days are joined. The model is applied to either part, as it is to each increment. Without ``rest``, the
+    fact's rows of its other days are left out."""
     kept = found.source(fact_day())
     increment = fact_increment(stg.where(kept), fct_target, keys, model)
-    return merge_apart(fct_target, increment, model(stg.where(~kept)), found.target(fact_day()), "event_id", changed, update_cols=FACT_MERGE_UPDATE_COLUMNS)
+    return merge_apart(fct_target, increment, model(stg.where(~kept)), found.target(fact_day()), "event_id", changed, rest,
+                       update_cols=FACT_MERGE_UPDATE_COLUMNS)
 
 
 def daily_increment(fct: DataFrame, daily_target: DataFrame, params: RunParams, model: DailyModel = daily_summary) -> DataFrame:

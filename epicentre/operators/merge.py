@@ -159,9 +159,13 @@ class Matches(NamedTuple):
     changed: int
     places: list[tuple[int, int]] | None
 
+    def replaced(self) -> list[int] | None:
+        """The target's places that may have keys of the source (None if too many)."""
+        return None if self.places is None else sorted({at for at, _ in self.places})
+
     def target(self, place: Column) -> Column:
         """Whether a target row's key may be in the source: no row of another place has it there."""
-        return F.lit(True) if self.places is None else place.isin(sorted({at for at, _ in self.places}))
+        return F.lit(True) if self.places is None else place.isin(self.replaced())
 
     def source(self, place: Column) -> Column:
         """Whether a source row's key may be in the target."""
@@ -188,18 +192,20 @@ def match_merged(target: DataFrame, source: DataFrame, key: str, order_by: str,
     return matches(newest.join(stored, key, "left"), takes, "__at", "__to")
 
 
-def merge_apart(target: DataFrame, source: DataFrame, fresh: DataFrame, shared: Column, key: str, changed: str, **how) -> DataFrame:
+def merge_apart(target: DataFrame, source: DataFrame, fresh: DataFrame, shared: Column, key: str, changed: str, rest: bool = True, **how) -> DataFrame:
     """``merge_all`` of ``source`` and ``fresh`` together, joining no more than it must.
 
     No key of ``fresh`` is in the target, and no row of the target that isn't ``shared`` (true or false, never null) has
-    a key of the source: these stay and are inserted as they come, unshuffled and unsorted."""
+    a key of the source: these stay and are inserted as they come, unshuffled and unsorted. Without ``rest``, those that
+    stay are left out, for a table that keeps them where they are."""
     whole = merge_all(target.where(shared), source, key, changed, **how)
     on_insert = how.get("on_insert") or {}
     # plain values: with the conditions of a merge, the code of a wide row can outgrow what the JVM compiles
     value = {c: F.col(c) if c in fresh.columns else on_insert.get(c, F.lit(None)) for c in whole.columns if c != changed}
     inserted = fresh.select(*[value.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in whole.schema.fields])
     # scans first, as their tasks are less even than those of the join
-    return inserted.unionByName(target.where(~shared), allowMissingColumns=True).unionByName(whole)
+    plain = inserted.unionByName(target.where(~shared), allowMissingColumns=True) if rest else inserted
+    return plain.unionByName(whole)
 
 
 def _rule(target, source, key, update_cols, condition, on_update, on_insert) -> tuple[Column, Column, dict[str, Column], dict[str, Column]]:

@@ -53,8 +53,8 @@ class Pipeline:
         self.spark, self.maintain = spark, maintain
         self.fact_model, self.daily_model = fact_model, daily_model
         self.store = store
-        self.raw = KeyedTable(store, RAW, "event_id", checks=write_checks(RAW))
-        self.fact = KeyedTable(store, FACT, "event_id", order_by=["event_date"], checks=write_checks(FACT))
+        self.raw = KeyedTable(store, RAW, "event_id", checks=write_checks(RAW), place=inc.raw_day())
+        self.fact = KeyedTable(store, FACT, "event_id", order_by=["event_date"], checks=write_checks(FACT), place=inc.fact_day())
         self.daily = PartitionedTable(store, DAILY, "summary_date")
         self.parts = {RISK: (KeyedTable(store, RISK + "__parts", "part"), REGION_PARTS), HEATMAP: (KeyedTable(store, HEATMAP + "__parts", "part"), HOUR_PARTS)}
         self.rejects = AppendTable(store, REJECTED, "row_hash")
@@ -91,14 +91,15 @@ class Pipeline:
     def _ingest_large(self, batch: DataFrame, latest: DataFrame, params: RunParams, state: dict, once: bool) -> int:
         """The rows that the batch changes are counted from keys and times first: none, and nothing whole is read; so many
         that the base would be rewritten, and they are written into the new base at once, where only days that have
-        keys of both are joined."""
+        keys of both are joined, and stored rows of other days stay in their files where these are worth it."""
         stored = self.raw.read(with_commit=True, state=state)
         found = match_merged(stored, batch, "event_id", "updated_time", inc.raw_day())
         if not found.changed:
             return 0
         if not self.raw.outgrows(found.changed, state):
             return self.raw.commit(inc.raw_changes(stored.drop(COMMIT), latest, params, past_keys=False))
-        self.raw.commit_all(inc.raw_merged(stored, latest, params, COMMIT, found, once), state)
+        stay = self.raw.staying(found.replaced(), state)
+        self.raw.commit_all(inc.raw_merged(stored, latest, params, COMMIT, found, once, rest=stay is None), state, stay=stay)
         return found.changed
 
     def ingest_parsed(self, batch: DataFrame, params: RunParams) -> dict[str, int]:
@@ -165,9 +166,11 @@ class Pipeline:
             held, found, keys = self.fact.state(), inc.candidate_matches(judged), judged.where("take").select("event_id")
             taken = found.changed
             if taken and not self.maintain and self.fact.outgrows(taken, held):
-                whole = inc.fact_merged(self.fact.read(with_commit=True, state=held), recent, keys, COMMIT, found, self.fact_model)
-                dates = current.select("event_date").unionByName(recent.select("event_date"))
-                self.fact.commit_all(whole, held, {SEEN: state["last"]}, like=dates)
+                stay = self.fact.staying(found.replaced(), held)
+                merged = inc.fact_merged(self.fact.read(with_commit=True, state=held), recent, keys, COMMIT, found, self.fact_model, rest=stay is None)
+                again = current if stay is None else current.where(found.target(inc.fact_day()))
+                dates = again.select("event_date").unionByName(recent.select("event_date"))
+                self.fact.commit_all(merged, held, {SEEN: state["last"]}, like=dates, stay=stay)
                 return
             changes = inc.fact_changes(current, inc.fact_increment(recent, current, keys, self.fact_model), keys)
             if taken <= self.fact.MAX_SHARE * held["base_rows"]:

@@ -20,7 +20,8 @@ import datetime as dt
 import json
 import math
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -301,6 +302,14 @@ class PartitionedTable(Manifests):
                     self.store.remove(f"{self.root}/data/{part}/{COMMIT}={n}")
 
 
+class Staying(NamedTuple):
+    """Rows of a keyed table that stay in their files, how many of them fail each check, and the files."""
+
+    rows: int
+    checks: dict[str, int]
+    files: list
+
+
 class KeyedTable(Manifests):
     """Rows by key, with small commits: a base, and directories of rows written since.
 
@@ -310,23 +319,29 @@ class KeyedTable(Manifests):
     are folded into one of the next, which leaves their newest rows: so a row is folded once for
     each order of size, however small the commits are, and there are fewer than ``FOLD``
     directories of each.  The base is rewritten only when what came later has grown to
-    ``MAX_SHARE`` of its rows.
+    ``MAX_SHARE`` of its rows.  A commit that touches only some places (days, say) of a large
+    share of the rows writes these anew; the rows of other places stay in the older base's files.
     """
 
-    #: Directories that are folded into one; share of the base's rows at which the base is rewritten.
-    FOLD, MAX_SHARE = 8, 0.25
+    #: Directories that are folded into one (and of the base, fewer than so many); share of the base's rows at which the base
+    #: is rewritten; least share of the rows in older files that must be current for these to stay.
+    FOLD, MAX_SHARE, CURRENT_SHARE = 8, 0.25, 1 / 3
 
-    def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None, checks: Mapping[str, Column] | None = None):
+    def __init__(self, store: TableStore, name: str, key: str, order_by: list[str] | None = None, checks: Mapping[str, Column] | None = None,
+                 place: Column | None = None):
         """``checks`` tell whether a row fails; each write counts such rows, in its manifest. At most 63.
 
-        ``order_by`` names the columns that the base is ranged by, the first of them a date or a number."""
+        ``order_by`` names the columns that the base is ranged by, the first of them a date or a number; ``place`` is
+        a number of each row, never null and the same for many, that a commit may leave whole places alone by: where the
+        base is ranged by a date, its day (some day for null)."""
         super().__init__(store, name)
-        self.key, self.order_by, self.checks = key, order_by, dict(checks or {})
+        self.key, self.order_by, self.checks, self.place = key, order_by, dict(checks or {}), place
 
-    # a manifest: base, base_rows, base_commit, base_checks, commits [[directory, last number, rows, checks]], last, notes
+    # a manifest: base, base_rows, base_commit, base_checks, commits [[directory, last number, rows, checks]], last, notes, and
+    # kept [[directory, last number, rows, places that aren't current in it]]: the older files of the base, whose rows and checks count in it
 
     def _clean(self, kept: list[dict], now: int) -> None:
-        used = {"manifests"}.union(*({s["base"], *(c[0] for c in s["commits"])} for s in kept))
+        used = {"manifests"}.union(*({s["base"], *(k[0] for k in s.get("kept", [])), *(c[0] for c in s["commits"])} for s in kept))
         for n, t in self.store.times(self.root).items():
             if n not in used and self.store.expired(t, now):  # a younger one may be about to be named
                 self.store.remove(f"{self.root}/{n}")
@@ -399,10 +414,8 @@ class KeyedTable(Manifests):
         if s is None:
             return None
         spark = self.store.spark
-        base = spark.read.parquet(f"{self.root}/{s['base']}")
+        base = self._base(s, since)
         later = [c for c in s["commits"] if since is None or c[1] > since]
-        if since is not None:
-            base = base.where(F.col(COMMIT) > since) if s["base_commit"] > since else None
         out = base
         if later:
             new = self._runs(later)
@@ -415,6 +428,28 @@ class KeyedTable(Manifests):
             out = spark.read.parquet(f"{self.root}/{s['base']}").limit(0)
         return out if with_commit else out.drop(COMMIT)
 
+    def _base(self, s: dict, since: int | None = None) -> DataFrame | None:
+        """The rows of the base, each in one of its directories; with ``since``, only those of later commits, None if there are none."""
+        if since is not None and s["base_commit"] <= since:
+            return None
+        base = self.store.spark.read.parquet(f"{self.root}/{s['base']}")
+        for folder, last, _, gone in s.get("kept", []):
+            if since is None or last > since:
+                rows = self.store.spark.read.parquet(f"{self.root}/{folder}")
+                base = base.unionByName(rows.where(~self.place.isin(gone) & self._outside(gone, rows)), allowMissingColumns=True)
+        return base if since is None else base.where(F.col(COMMIT) > since)
+
+    def _outside(self, gone: list[int], rows: DataFrame) -> Column:
+        """Where the base is ranged by the date whose day is the place, the same in bounds that let whole files be skipped."""
+        if not self.order_by or not isinstance(rows.schema[self.order_by[0]].dataType, T.DateType):
+            return F.lit(True)
+        date, out = F.col(self.order_by[0]), F.lit(True)
+        first = [g for g in gone if g - 1 not in set(gone)]
+        last = [g for g in gone if g + 1 not in set(gone)]
+        for low, high in zip(first, last, strict=True):
+            out = out & (date.isNull() | (date < F.date_from_unix_date(F.lit(low))) | (date > F.date_from_unix_date(F.lit(high))))
+        return out
+
     def _runs(self, runs: list) -> DataFrame:
         """The newest rows of these directories; which they are is told by keys and numbers alone."""
         new = self.store.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{c[0]}" for c in runs])
@@ -464,20 +499,41 @@ class KeyedTable(Manifests):
         """Whether a commit of so many rows leads to a new base."""
         return changed + sum(c[2] for c in state["commits"]) > self.MAX_SHARE * max(state["base_rows"], 1)
 
-    def commit_all(self, table: DataFrame, state: dict, notes: dict | None = None, like: DataFrame | None = None) -> None:
+    def staying(self, gone: Sequence[int] | None, state: dict) -> Staying | None:
+        """The rows of ``state`` outside the places ``gone``, if a ``commit_all`` may leave them in their files: None if
+        the places aren't known, rows of later commits lie over the base, or the files hold too few current rows or are too many."""
+        if self.place is None or gone is None or state["commits"]:
+            return None
+        files = [[state["base"], state["base_commit"], state["base_rows"] - state.get("kept_rows", 0), []], *state.get("kept", [])]
+        if len(files) >= self.FOLD:
+            return None
+        known = state.get("base_checks") or {}
+        failing = [n for n in self.checks if known.get(n) != 0]
+        counts = [F.count_if(self.checks[n]).alias(n) for n in failing]
+        left = self._base(state).where(~self.place.isin(list(gone))).agg(F.count(F.lit(1)).alias("__rows"), *counts).first().asDict()
+        if not left["__rows"] or left["__rows"] < self.CURRENT_SHARE * sum(f[2] for f in files):
+            return None
+        return Staying(left["__rows"], {n: left.get(n, 0) for n in self.checks}, [[*f[:3], sorted({*f[3], *gone})] for f in files])
+
+    def commit_all(self, table: DataFrame, state: dict, notes: dict | None = None, like: DataFrame | None = None, stay: Staying | None = None) -> None:
         """A commit that leads to a new base, as that base: ``table`` is the whole table after it, made from ``state``, and
-        has no commit in the rows that it changes or adds. So they are written once, not as a directory first."""
+        has no commit in the rows that it changes or adds. So they are written once, not as a directory first.
+        Rows that ``stay`` (``staying`` of the same state) are not in ``table``, and not written."""
         last = state["last"] + 1
         folder, rows, checks = self._write(table.withColumn(COMMIT, F.coalesce(COMMIT, F.lit(last).cast("long"))), True, like)
         if self.state() != state:
             raise RuntimeError(f"{self.root} was committed by another writer")
-        self._put({"base": folder, "base_rows": rows, "base_commit": last, "base_checks": checks, "commits": [], "last": last,
-                   "notes": state["notes"] if notes is None else notes})
+        new = {"base": folder, "base_rows": rows, "base_commit": last, "base_checks": checks, "commits": [], "last": last,
+               "notes": state["notes"] if notes is None else notes}
+        if stay:
+            new |= {"base_rows": rows + stay.rows, "base_checks": {n: c + stay.checks[n] for n, c in checks.items()}, "kept": stay.files, "kept_rows": stay.rows}
+        self._put(new)
 
     def compact(self) -> None:
         """Write the current rows as a new base; each keeps the number of its commit."""
         s = self.state()
         if s["commits"]:
-            like = self.store.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{d}" for d in (s["base"], *(c[0] for c in s["commits"]))])
+            later = self.store.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{c[0]}" for c in s["commits"]])
+            like = self._base(s).unionByName(later, allowMissingColumns=True)
             folder, rows, checks = self._write(self.read(with_commit=True, state=s), True, like)
-            self._put(s | {"base": folder, "base_rows": rows, "base_commit": s["last"], "base_checks": checks, "commits": []})
+            self._put(s | {"base": folder, "base_rows": rows, "base_commit": s["last"], "base_checks": checks, "commits": [], "kept": [], "kept_rows": 0})

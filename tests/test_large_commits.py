@@ -1,6 +1,7 @@
 """Large batches and increments: no dedupe where keys don't repeat, one write of a new base, ranges without a sample."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,64 @@ def test_a_large_commit_is_written_into_the_new_base_at_once(spark, sf001, monke
     assert pipe.ingest(b, C.P2)["committed"] == 0 and pipe.raw.state() == held and len(written) == 4
 
 
+def test_days_without_keys_of_a_large_commit_stay_in_their_files(spark, monkeypatch):
+    """Neither read whole nor written again, over several commits, with a column that comes later, rows without a time, a
+    day that is rewritten after it stayed, and a fold of everything; all counts hold."""
+    day = 86_400_000
+    names = [f.name for f in RAW_SCHEMA.fields][:27]
+
+    def feed(rows, title="t"):
+        df = spark.createDataFrame(rows, "event_id string, event_time long, updated_time long, magnitude double")
+        df = df.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(2.0), "ingested_at": C.P1.run_ts_col(), "title": F.lit(title)})
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(RAW_SCHEMA[c].dataType).alias(c) for c in names])
+
+    pipe = Pipeline(spark, TableStore(spark, scratch_path(spark, "t-stay")))
+    pipe.ingest(feed([(f"e{i}", i % 20 * day, 5, 1.0) for i in range(60)] + [("none", None, 5, 1.0)], "x" * 501), C.P1)
+    pipe.run(C.P1, [FACT])
+    first = [pipe.raw.state()["base"], pipe.fact.state()["base"]]
+    batches = (
+        feed([(f"e{i}", i % 20 * day, 6, 2.0) for i in range(60) if i % 20 > 14] + [(f"n{i}", (20 + i % 5) * day, 6, 3.0) for i in range(20)]),
+        feed([(f"e{i}", 22 * day, 7, 4.0) for i in range(0, 60, 20)] + [(f"m{i}", 30 * day, 7, 4.0) for i in range(30)]).withColumn("note", F.lit("later")),
+        feed([("none", 3 * day, 8, 4.0)] + [(f"e{i}", i % 20 * day, 8, 5.0) for i in range(60) if i != 5] + [(f"m{i}", 30 * day, 8, 5.0) for i in range(30)]).withColumn("note", F.lit("last")),
+    )
+    written = []
+    for n, (batch, params, kept) in enumerate(zip(batches, (C.P2, C.P3, C.P3), (1, 2, 0), strict=True)):
+        want = inc.raw_upsert(pipe.raw_table(), batch, params)
+        want = sorted(map(str, want.select(*sorted(want.columns)).collect()))
+        old, held = pipe.fact.read(), pipe.raw.state()
+        before = sorted(map(str, old.collect()))
+        pipe.ingest(batch, params)
+        got = pipe.raw_table()
+        assert sorted(map(str, got.select(*sorted(got.columns)).collect())) == want
+        keys = inc.increment_keys(pipe.staging(params), old)
+        fact = merge.merge_upsert(old, inc.fact_increment(pipe.staging(params), old, keys), "event_id", update_cols=FACT_MERGE_UPDATE_COLUMNS)
+        fact = sorted(map(str, fact.select(*old.columns).collect()))
+        pipe.run(params, [FACT])
+        assert sorted(map(str, pipe.fact.read().collect())) == fact
+        assert sorted(map(str, old.collect())) == before  # readers of the state before still have it
+        for t, start in zip((pipe.raw, pipe.fact), first, strict=True):
+            s = t.state()
+            assert len(s.get("kept", [])) == kept and (start in [k[0] for k in s.get("kept", [])]) == (kept > 0) and s["commits"] == []
+            assert s["base_rows"] == t.read().count()
+            written.append(spark.read.parquet(f"{t.root}/{s['base']}").count())
+            assert {c: t.failures(c) for c in t.checks} == t.read().agg(*[F.count_if(x).alias(c) for c, x in t.checks.items()]).first().asDict()
+        assert pipe.raw.read(since=held["last"]).count() == pipe.raw_table().where(F.col("updated_time") == 6 + n).count()
+        if n == 0:  # what the fact's readers skip is told by dates too, which Parquet's bounds hold
+            plan = pipe.fact.read().select("event_id")._jdf.queryExecution().optimizedPlan().toString()
+            assert all(re.search(rf"event_date#\d+ {bound}", plan) for bound in ("< 1970-01-16", "> 1970-01-20"))
+        if n == 1:  # a small commit over it, and a new base of all
+            pipe.raw.commit(pipe.raw.read().where("event_id = 'e5'").withColumn("updated_time", F.lit(99).cast("long")).localCheckpoint())
+            assert len(pipe.raw.state()["kept"]) == 2 and pipe.raw.read().count() == 111 and pipe.raw.read().where("updated_time = 99").count() == 1
+            assert pipe.raw.staying([5], pipe.raw.state()) is None  # a commit lies over the files
+            pipe.raw.compact()
+            assert pipe.raw.state()["kept"] == [] and pipe.raw.read().count() == 111 == pipe.raw.state()["base_rows"]
+    assert written[:4] == [35, 35, 34, 34]  # of 81 and 111
+    monkeypatch.setattr(KeyedTable, "CURRENT_SHARE", 2)
+    assert pipe.raw.staying([], pipe.raw.state()) is None
+    monkeypatch.undo()
+    assert pipe.raw.staying([], pipe.raw.state()).rows == 111 and pipe.raw.staying(None, pipe.raw.state()) is None
+
+
 def test_a_second_writer_of_a_base_is_noticed(spark):
     store = TableStore(spark, scratch_path(spark, "t-two"))
     t = KeyedTable(store, "t", "k")
